@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import reports as R
 from .catalog import query
-from .oracle import SCALE, cents, fixed_money, us_week, with_ctes
+from .oracle import SCALE, cents, dmy, es_ar, fixed_money, month_title, us_week, with_ctes, xml_el, xml_escape
 
 # ---------------------------------------------------------------------------
 _SPLIT = f"""
@@ -33,3 +33,272 @@ FROM (SELECT year, week, o, e, t,
 def q_weekly_cash_flow(L):
     """J-01 over every payment of every building (no optional filter given)."""
     return R.weekly_cash_flow(L.payment, L.apportionment, L.charge)
+
+
+# ---------------------------------------------------------------------------
+PIVOT_YEAR = 1996  # report parameter of the registered monthly pivot (the pivot is yearly)
+PIVOT_UNIT = 10    # report parameter of the single-unit variant (optional-parameter filter)
+
+
+def _pivot_sql(unit_filter: str = "") -> str:
+    months = ", ".join(
+        f"CAST(sum(CASE WHEN month(p.pay_date) = {i} THEN p.amount ELSE 0 END) AS DECIMAL(18,2)) AS {m}"
+        for i, m in enumerate(R.MONTH_COLUMNS, 1))
+    return with_ctes(f"""
+SELECT u.building_id, u.unit_id, u.floor || ' - ' || u.door AS unit_label,
+       pe.first_name || ' ' || pe.last_name AS owner, {months},
+       CAST(sum(p.amount) AS DECIMAL(18,2)) AS year_total
+FROM unit u
+LEFT JOIN payment p ON p.unit_id = u.unit_id AND p.pay_date >= DATE '{PIVOT_YEAR}-01-01'
+                   AND p.pay_date < DATE '{PIVOT_YEAR + 1}-01-01'
+LEFT JOIN person pe ON pe.unit_id = u.unit_id
+WHERE TRUE {unit_filter}
+GROUP BY u.unit_id, u.building_id, u.floor, u.door, pe.first_name, pe.last_name""")
+
+
+@query("q_monthly_pivot", _pivot_sql())
+def q_monthly_pivot(L):
+    """J-02 for every unit of every building (year parameter)."""
+    return R.monthly_pivot(L.unit, L.payment, L.person, PIVOT_YEAR)
+
+
+@query("q_monthly_pivot_unit", _pivot_sql(f"AND u.unit_id = {PIVOT_UNIT}"))
+def q_monthly_pivot_unit(L):
+    """J-02 with the optional unit parameter given (B-04)."""
+    return R.monthly_pivot(L.unit, L.payment, L.person, PIVOT_YEAR, unit_id=PIVOT_UNIT)
+
+
+# ---------------------------------------------------------------------------
+_INCOME = f"""
+SELECT building_id, year, month, {month_title('month')} AS month_name,
+       {fixed_money('o')} AS ordinary, {fixed_money('e')} AS extraordinary, {fixed_money('t')} AS total
+FROM (SELECT building_id, CAST(year(pay_date) AS INTEGER) AS year, CAST(month(pay_date) AS INTEGER) AS month,
+             sum(amt * r_o) AS o, sum(amt * r_e) AS e, sum(amt * r_o + amt * r_e) AS t
+      FROM ({_SPLIT}) x GROUP BY ALL) g
+"""
+
+
+@query("q_income_by_source", with_ctes(_INCOME))
+def q_income_by_source(L):
+    """J-03 per building, year and month."""
+    return R.income_by_source(L.payment, L.apportionment, L.charge)
+
+
+@query("q_income_by_source_xml", with_ctes(f"""
+SELECT building_id, year, '<RecaudacionPorOrigen>' || string_agg(r, '' ORDER BY month) || '</RecaudacionPorOrigen>' AS xml
+FROM (SELECT building_id, year, month,
+             '<Periodo>' || {xml_el('Anio', 'year')} || {xml_el('Mes', 'month')} || {xml_el('NombreMes', 'month_name')}
+             || {xml_el('RecaudacionOrdinaria', 'ordinary')} || {xml_el('RecaudacionExtraordinaria', 'extraordinary')}
+             || {xml_el('TotalRecaudado', 'total')} || '</Periodo>' AS r
+      FROM ({_INCOME}) i) x
+GROUP BY building_id, year"""))
+def q_income_by_source_xml(L):
+    """J-03 rendered as one XML document per building and year (A-10)."""
+    return R.income_by_source_xml(R.income_by_source(L.payment, L.apportionment, L.charge))
+
+
+# ---------------------------------------------------------------------------
+def _top_months_sql(category: str, inner: str) -> str:
+    return with_ctes(f"""
+SELECT '{category}' AS category, building_id, year, month, {month_title('month')} AS month_name,
+       CAST(s AS DECIMAL(18,2)) AS total, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY building_id, year ORDER BY s DESC, month ASC) AS rank
+      FROM ({inner}) g) r
+WHERE rank <= 5""")
+
+
+@query("q_top_months_income", _top_months_sql("MAYORES INGRESOS", """
+SELECT u.building_id, CAST(year(p.pay_date) AS INTEGER) AS year, CAST(month(p.pay_date) AS INTEGER) AS month,
+       sum(p.amount) AS s
+FROM payment p JOIN unit u ON u.unit_id = p.unit_id GROUP BY ALL"""))
+def q_top_months_income(L):
+    """J-04 income: top 5 months per building and year (tie-break: month)."""
+    return R.top_months_income(L.payment, L.unit)
+
+
+@query("q_top_months_expense", _top_months_sql("MAYORES GASTOS", """
+SELECT building_id, CAST(year(issue_date) AS INTEGER) AS year, CAST(month(issue_date) AS INTEGER) AS month,
+       sum(amount) AS s
+FROM expense GROUP BY ALL"""))
+def q_top_months_expense(L):
+    """J-04 expenses: top 5 months per building and year."""
+    return R.top_months_expense(L.expense)
+
+
+# ---------------------------------------------------------------------------
+_TOP_DEBTORS = """
+SELECT * FROM (
+  SELECT u.building_id, pe.dni, pe.first_name, pe.last_name,
+         coalesce(pe.email, 'No informado') AS email, coalesce(pe.phone, 'No informado') AS phone,
+         u.floor || ' - ' || u.door AS unit_label, CAST(a.d AS DECIMAL(18,2)) AS total_debt,
+         CAST(a.n AS INTEGER) AS open_charges,
+         CAST(row_number() OVER (PARTITION BY u.building_id ORDER BY a.d DESC, pe.dni ASC) AS INTEGER) AS rank
+  FROM person pe JOIN unit u ON u.unit_id = pe.unit_id
+  JOIN (SELECT unit_id, sum(debt) AS d, count(*) AS n FROM apportionment WHERE debt > 0 GROUP BY unit_id) a
+    ON a.unit_id = u.unit_id) r
+WHERE rank <= 3"""
+
+
+@query("q_top_debtors", with_ctes(_TOP_DEBTORS))
+def q_top_debtors(L):
+    """J-05: top 3 debtors per building (tie-break: DNI)."""
+    return R.top_debtors(L.person, L.unit, L.apportionment)
+
+
+@query("q_top_debtors_xml", with_ctes(f"""
+SELECT building_id, '<Top3Morosos>' || string_agg(r, '' ORDER BY rank) || '</Top3Morosos>' AS xml
+FROM (SELECT building_id, rank,
+             '<Moroso DNI="' || {xml_escape('dni')} || '">' || {xml_el('Nombre', 'first_name')}
+             || {xml_el('Apellido', 'last_name')} || {xml_el('Email', 'email')} || {xml_el('Telefono', 'phone')}
+             || {xml_el('UnidadFuncional', 'unit_label')} || {xml_el('DeudaTotal', 'total_debt')}
+             || {xml_el('CantidadExpensasAdeudadas', 'open_charges')} || '</Moroso>' AS r
+      FROM ({_TOP_DEBTORS}) t) x
+GROUP BY building_id"""))
+def q_top_debtors_xml(L):
+    """J-05 as XML with the DNI as attribute (A-10)."""
+    return R.top_debtors_xml(R.top_debtors(L.person, L.unit, L.apportionment))
+
+
+def _td(style: str, value: str) -> str:
+    return f"'<td style=\"{style}\">' || {value} || '</td>'"
+
+
+_S = R._TD
+
+
+@query("q_debtors_html", with_ctes(f"""
+SELECT t.building_id,
+       '<html><body><h2>Reporte de Morosidad</h2><p>Consorcio: <strong>' || {xml_escape('b.name')}
+       || '</strong></p><table><thead><tr><th>DNI</th><th>Nombre</th><th>UF</th><th>Deuda Total</th><th>Contacto</th></tr></thead><tbody>'
+       || t.rows_ || '</tbody></table></body></html>' AS html
+FROM (SELECT building_id, string_agg(r, '' ORDER BY rank) AS rows_
+      FROM (SELECT building_id, rank, '<tr>'
+                   || {_td(_S + ' white-space: nowrap; font-weight: bold;', xml_escape('dni'))}
+                   || {_td(_S + ' white-space: nowrap;', xml_escape("first_name || ' ' || last_name"))}
+                   || {_td(_S + ' white-space: nowrap;', xml_escape('unit_label'))}
+                   || {_td(_S + ' color: #d9534f; text-align: right; white-space: nowrap;', "'$ ' || " + es_ar('total_debt'))}
+                   || {_td(_S + ' font-size: 12px; color: #666;', xml_escape('email') + " || '<br> Tel.: ' || " + xml_escape('phone'))}
+                   || '</tr>' AS r
+            FROM ({_TOP_DEBTORS}) d) x
+      GROUP BY building_id) t
+JOIN building b ON b.building_id = t.building_id"""))
+def q_debtors_html(L):
+    """J-07: HTML body of the debtors notice per building (rendering only)."""
+    return R.debtors_html(R.top_debtors(L.person, L.unit, L.apportionment), L.building)
+
+
+# ---------------------------------------------------------------------------
+@query("q_days_between_payments", with_ctes("""
+SELECT u.building_id, p.payment_id, u.floor || ' - ' || u.door AS unit_label, p.pay_date,
+       coalesce(CAST(p.prev AS VARCHAR), 'Primer Pago') AS previous_date,
+       CAST(CASE WHEN p.prev IS NULL THEN 0 ELSE date_diff('day', p.prev, p.pay_date) END AS INTEGER) AS days
+FROM (SELECT payment_id, unit_id, pay_date,
+             lag(pay_date) OVER (PARTITION BY unit_id ORDER BY pay_date, payment_id) AS prev
+      FROM payment) p
+JOIN unit u ON u.unit_id = p.unit_id"""))
+def q_days_between_payments(L):
+    """J-06 for every payment (LAG before any date filter)."""
+    return R.days_between_payments(L.payment, L.unit)
+
+
+# ---------------------------------------------------------------------------
+_HEADER_ITEMS = [
+    ("ENCABEZADO", "Nombre Administración", "'Administración del Consorcio'"),
+    ("ENCABEZADO", "CUIT Administración", "'30-00000000-0'"),
+    ("CONSORCIO", "Nombre", "b.name"),
+    ("CONSORCIO", "Dirección", "b.address"),
+    ("VENCIMIENTOS", "Periodo", f"{month_title('month(c.gen_date)')} || ' ' || CAST(year(c.gen_date) AS VARCHAR)"),
+    ("VENCIMIENTOS", "Fecha Vto 1", dmy("c.due1")),
+    ("VENCIMIENTOS", "Fecha Vto 2", dmy("c.due2")),
+    ("FORMA DE PAGO", "Medio", "'Transferencia Bancaria'"),
+    ("FORMA DE PAGO", "CVU (Consorcio)", "'0000000000000000000000'"),
+]
+
+
+@query("q_statement_header", with_ctes(
+    "SELECT c.charge_no, v.section, v.item, CASE v.line "
+    + " ".join(f"WHEN {i} THEN {expr}" for i, (_, _, expr) in enumerate(_HEADER_ITEMS, 1))
+    + " END AS value, CAST(v.line AS INTEGER) AS line\n"
+    "FROM charge c JOIN building b ON b.building_id = c.building_id CROSS JOIN (VALUES "
+    + ", ".join(f"({i}, '{s}', '{it}')" for i, (s, it, _) in enumerate(_HEADER_ITEMS, 1))
+    + ") v(line, section, item)"))
+def q_statement_header(L):
+    """J-08 result set 1 for every charge: nine header rows each."""
+    return R.statement_header(L.charge, L.building)
+
+
+@query("q_statement_debtors", with_ctes("""
+SELECT 'DEUDOR' AS kind, u.building_id, pe.dni, pe.first_name || ' ' || pe.last_name AS full_name,
+       u.floor || ' - ' || u.door AS unit_label, CAST(a.debt AS DECIMAL(12,2)) AS debt,
+       CAST(a.interest AS DECIMAL(12,2)) AS interest, a.charge_no
+FROM apportionment a JOIN unit u ON u.unit_id = a.unit_id
+JOIN occupancy o ON o.unit_id = u.unit_id AND o.role = 'Propietario'
+JOIN person pe ON pe.dni = o.dni
+WHERE a.debt > 0"""))
+def q_statement_debtors(L):
+    """J-08 result set 2: owners with debt, for every building."""
+    return R.statement_debtors(L.apportionment, L.unit, L.occupancy, L.person)
+
+
+@query("q_statement_ordinary", with_ctes(f"""
+SELECT 'ORDINARIO' AS kind, e.charge_no, e.expense_id, eo.category, e.description AS detail, eo.provider,
+       eo.invoice_no, {dmy('e.issue_date')} AS issue_date, CAST(e.amount AS DECIMAL(10,2)) AS amount
+FROM expense e JOIN expense_ordinary eo ON eo.expense_id = e.expense_id"""))
+def q_statement_ordinary(L):
+    """J-08 result set 3: ordinary expenses with provider and invoice."""
+    return R.statement_ordinary(L.expense, L.expense_ordinary)
+
+
+@query("q_statement_extra", with_ctes(f"""
+SELECT 'EXTRAORDINARIO' AS kind, e.charge_no, e.expense_id, e.description AS detail,
+       CAST(x.instalment AS INTEGER) AS instalment, CAST(x.instalments AS INTEGER) AS instalments,
+       {dmy('e.issue_date')} AS issue_date, CAST(e.amount AS DECIMAL(10,2)) AS amount
+FROM expense e JOIN expense_extraordinary x ON x.expense_id = e.expense_id"""))
+def q_statement_extra(L):
+    """J-08 result set 4: extraordinary expenses with instalments."""
+    return R.statement_extraordinary(L.expense, L.expense_extraordinary)
+
+
+_CONCEPTS = ["TOTAL_GASTO_ORDINARIO", "TOTAL_GASTO_EXTRAORDINARIO", "TOTAL_EXPENSA_A_REPARTIR",
+             "TOTAL_PAGOS_RECIBIDOS", "TOTAL_SALDO_ANTERIOR", "TOTAL_DEUDA_PENDIENTE"]
+
+
+@query("q_statement_totals", with_ctes(
+    "SELECT 'ESTADO_FINANCIERO' AS kind, c.charge_no, v.concept, CAST(CASE v.line WHEN 1 THEN e.o WHEN 2 THEN e.x "
+    "WHEN 3 THEN c.total WHEN 4 THEN a.rec WHEN 5 THEN a.bal WHEN 6 THEN a.debt END AS DECIMAL(18,2)) AS amount, "
+    "CAST(v.line AS INTEGER) AS line\n"
+    "FROM charge c LEFT JOIN (SELECT charge_no, sum(CASE WHEN kind = 'Ordinario' THEN amount ELSE 0 END) AS o, "
+    "sum(CASE WHEN kind = 'Extraordinario' THEN amount ELSE 0 END) AS x FROM expense GROUP BY charge_no) e "
+    "ON e.charge_no = c.charge_no\n"
+    "LEFT JOIN (SELECT charge_no, sum(received) AS rec, sum(prior_balance) AS bal, sum(debt) AS debt "
+    "FROM apportionment GROUP BY charge_no) a ON a.charge_no = c.charge_no\n"
+    "CROSS JOIN (VALUES " + ", ".join(f"({i}, '{k}')" for i, k in enumerate(_CONCEPTS, 1)) + ") v(line, concept)"))
+def q_statement_totals(L):
+    """J-08 result set 5: six totals per charge from one aggregate + stack."""
+    return R.statement_totals(L.charge, L.expense, L.apportionment)
+
+
+@query("q_statement_units", with_ctes("""
+SELECT 'PRORRATEO' AS kind, a.charge_no, a.unit_id, u.floor || ' - ' || u.door AS unit_label,
+       CAST(a.pct AS DECIMAL(5,2)) AS pct, CAST(a.ordinary AS DECIMAL(12,2)) AS ordinary,
+       CAST(a.extraordinary AS DECIMAL(12,2)) AS extraordinary, CAST(a.prior_balance AS DECIMAL(12,2)) AS prior_balance,
+       CAST(a.interest AS DECIMAL(12,2)) AS interest, CAST(a.total AS DECIMAL(12,2)) AS total,
+       CAST(a.received AS DECIMAL(12,2)) AS received, CAST(a.debt AS DECIMAL(12,2)) AS debt
+FROM apportionment a JOIN unit u ON u.unit_id = a.unit_id"""))
+def q_statement_units(L):
+    """J-08 result set 6: apportionment lines of every charge."""
+    return R.statement_units(L.apportionment, L.unit)
+
+
+# ---------------------------------------------------------------------------
+@query("q_guard_unknown_building", with_ctes("""
+SELECT r.building_id, b.building_id IS NOT NULL AS known,
+       CASE WHEN b.building_id IS NULL THEN 'El Consorcio no existe' END AS message
+FROM (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS building_id FROM customer
+      UNION SELECT DISTINCT CAST(c_nationkey AS BIGINT) + 1000 FROM customer) r
+LEFT JOIN building b ON b.building_id = r.building_id"""))
+def q_guard_unknown_building(L):
+    """B-13: requested building ids (every known id and the same ids shifted out of
+    range) checked against ``building``; unknown ids get the message and no report."""
+    from ..operators.guards import guard_buildings
+    return guard_buildings(L.unit, L.building)

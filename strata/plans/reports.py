@@ -52,7 +52,7 @@ def _split_parts(j: DataFrame) -> DataFrame:
     return j.withColumn("_ord", amt * r_o).withColumn("_ext", amt * r_e)
 
 
-def _fixed_to_money(c, divisor=None, precision: int = 12) -> F.Column:
+def _fixed_to_money(c, divisor=None, precision: int = 18) -> F.Column:
     den = X.dec(SCALE) if divisor is None else divisor
     return X.from_cents(X.round_div_half_up(c, den), precision)
 
@@ -145,8 +145,7 @@ def income_by_source_xml(income: DataFrame) -> DataFrame:
         X.xml_element("RecaudacionOrdinaria", "ordinary"), X.xml_element("RecaudacionExtraordinaria", "extraordinary"),
         X.xml_element("TotalRecaudado", "total"), F.lit("</Periodo>"))
     g = income.withColumn("_row", row).groupBy("building_id", "year").agg(
-        F.listagg("_row", "").withinGroup(F.col("month")).alias("_rows") if hasattr(F.listagg("_row"), "withinGroup")
-        else F.expr("listagg(_row, '') within group (order by month)").alias("_rows"))
+        F.expr("listagg(_row, '') within group (order by month)").alias("_rows"))
     return g.select("building_id", "year",
                     F.concat(F.lit("<RecaudacionPorOrigen>"), F.col("_rows"), F.lit("</RecaudacionPorOrigen>")).alias("xml"))
 
@@ -168,7 +167,7 @@ def top_months_income(payment: DataFrame, unit: DataFrame, building=None, year=N
     return g.select(F.lit("MAYORES INGRESOS").alias("category"), "building_id",
                     F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
                     X.es_month_title(F.col("month")).alias("month_name"),
-                    F.col("_s").cast("decimal(12,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
+                    F.col("_s").cast("decimal(18,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
 
 
 def top_months_expense(expense: DataFrame, building=None, year=None, n: int = 5) -> DataFrame:
@@ -181,7 +180,7 @@ def top_months_expense(expense: DataFrame, building=None, year=None, n: int = 5)
     return g.select(F.lit("MAYORES GASTOS").alias("category"), "building_id",
                     F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
                     X.es_month_title(F.col("month")).alias("month_name"),
-                    F.col("_s").cast("decimal(12,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
+                    F.col("_s").cast("decimal(18,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
 
 
 def top_debtors(person: DataFrame, unit: DataFrame, apportionment: DataFrame, building=None, n: int = 3) -> DataFrame:
@@ -197,7 +196,7 @@ def top_debtors(person: DataFrame, unit: DataFrame, apportionment: DataFrame, bu
                  F.coalesce("email", F.lit("No informado")).alias("email"),
                  F.coalesce("phone", F.lit("No informado")).alias("phone"),
                  X.display_unit("floor", "door").alias("unit_label"),
-                 F.col("_debt").cast("decimal(12,2)").alias("total_debt"),
+                 F.col("_debt").cast("decimal(18,2)").alias("total_debt"),
                  F.col("_n").cast("int").alias("open_charges"))
     return _top_n(j, ["building_id"], [F.col("total_debt").desc(), F.col("dni").asc()], n) \
         .withColumn("rank", F.col("rank").cast("int"))
@@ -355,7 +354,7 @@ def statement_totals(charge: DataFrame, expense: DataFrame, apportionment: DataF
     a = apportionment.groupBy("charge_no").agg(
         F.sum("received").alias("rec"), F.sum("prior_balance").alias("bal"), F.sum("debt").alias("debt"))
     j = c.join(e, "charge_no", "left").join(a, "charge_no", "left")
-    m = lambda x: F.col(x).cast("decimal(12,2)")
+    m = lambda x: F.col(x).cast("decimal(18,2)")
     arr = F.array(*[F.struct(F.lit(k).alias("concept"), v.alias("amount"), F.lit(i).alias("line"))
                     for i, (k, v) in enumerate([
                         ("TOTAL_GASTO_ORDINARIO", m("ord")), ("TOTAL_GASTO_EXTRAORDINARIO", m("ext")),
