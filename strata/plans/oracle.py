@@ -260,6 +260,12 @@ FROM expense WHERE kind = 'Extraordinario'""",
 
 
 def with_ctes(select: str) -> str:
-    """Prefix ``select`` with the ledger CTEs (DuckDB skips the unreferenced ones)."""
+    """Prefix ``select`` with the ledger CTEs (DuckDB skips the unreferenced ones).
+
+    A ``select`` starting with its own ``WITH`` has its CTEs appended to the list.
+    """
     body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in LEDGER_CTES.items())
-    return f"WITH {body}\n{select.strip()}"
+    sel = select.strip()
+    if sel[:5].upper() == "WITH ":
+        return f"WITH {body},\n{sel[5:]}"
+    return f"WITH {body}\n{sel}"

@@ -151,6 +151,14 @@ def expense_sheet(spark: SparkSession, sf: str) -> DataFrame:
     return g.select(*cols)
 
 
+def regional_expense_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One consolidated expenses object per region (a name that is not a building)."""
+    r = scan(spark, sf, "region", "r_name")
+    cols = [F.col("r_name").alias("Nombre del consorcio"), F.lit("enero").alias("Mes"), F.lit(1995).alias("year")]
+    cols += [F.lit(None).cast("string").alias(k) for k in EXPENSE_JSON_KEYS]
+    return r.select(*cols)
+
+
 def providers_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Provider rows F1..F4: category, provider, description, building name."""
     su = scan(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey")
