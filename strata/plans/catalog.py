@@ -45,3 +45,4 @@ def query(name: str, sql: str | None = None):
 # Import the modules that register queries (order only affects listing order).
 from . import queries_reports  # noqa: E402,F401
 from . import queries_ledger  # noqa: E402,F401
+from . import queries_imports  # noqa: E402,F401
