@@ -46,3 +46,4 @@ def query(name: str, sql: str | None = None):
 from . import queries_reports  # noqa: E402,F401
 from . import queries_ledger  # noqa: E402,F401
 from . import queries_imports  # noqa: E402,F401
+from . import queries_validate  # noqa: E402,F401
