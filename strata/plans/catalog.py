@@ -47,3 +47,6 @@ from . import queries_reports  # noqa: E402,F401
 from . import queries_ledger  # noqa: E402,F401
 from . import queries_imports  # noqa: E402,F401
 from . import queries_validate  # noqa: E402,F401
+from . import queries_changes  # noqa: E402,F401
+from . import queries_scalars  # noqa: E402,F401
+from . import queries_stream  # noqa: E402,F401
