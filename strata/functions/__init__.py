@@ -49,6 +49,22 @@ def from_cents(c, precision: int = 12) -> Column:
     return (col_(c).cast("decimal(36,0)") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
 
 
+def cents_long(c) -> Column:
+    """DECIMAL(p<=14, 2) money as long cents (stays on Spark's 64-bit decimal path)."""
+    return (col_(c) * F.lit(Decimal(100))).cast("bigint")
+
+
+def div_half_up_long(num, den) -> Column:
+    """round(num / den) half-up for non-negative longs (overflow raises under ANSI)."""
+    n, d = col_(num).cast("bigint"), col_(den).cast("bigint")
+    return int_div(n * 2 + d, d * 2)
+
+
+def money_from_cents_long(c, precision: int = 12) -> Column:
+    """Long cents (|c| < 1e16) -> DECIMAL(p,2), exact."""
+    return (col_(c).cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
+
+
 def int_div(num, den) -> Column:
     """SQL ``div``: integral division truncating toward zero, result bigint."""
     return F.call_function("div", col_(num), col_(den))

@@ -147,9 +147,11 @@ def apportion_base(charge: DataFrame, unit: DataFrame, existing: DataFrame | Non
     units = unit.select("unit_id", "building_id", "area").join(area_totals(unit), "building_id")
     j = charge.select("charge_no", "building_id", "total").join(units, "building_id")
     j = j.filter(F.col("building_area") > 0)
-    area_c, sum_c, total_c = X.cents("area"), X.cents("building_area"), X.cents("total")
-    pct = X.from_cents(X.round_div_half_up(area_c * 10000, sum_c), 10)
-    amount = X.from_cents(X.round_div_half_up(total_c.cast("decimal(38,0)") * area_c, sum_c), 12)
+    # exact long arithmetic: area <= 9999.99, total <= 99 999 999.99 (clamped), so every
+    # product below stays far inside 64 bits; ANSI mode would raise on overflow.
+    area_c, sum_c, total_c = X.cents_long("area"), X.cents_long("building_area"), X.cents_long("total")
+    pct = X.money_from_cents_long(X.div_half_up_long(area_c * 10000, sum_c), 10)
+    amount = X.money_from_cents_long(X.div_half_up_long(total_c * area_c, sum_c), 12)
     zero = X.dec(0, 12, 2)
     return j.select(
         "charge_no", "unit_id", pct.alias("pct"),
@@ -239,21 +241,20 @@ def expense_totals(expense: DataFrame) -> DataFrame:
 
 
 def _share(total_col: str) -> F.Column:
-    """round(total * pct / 100, 2) in exact integer arithmetic."""
-    return X.from_cents(X.round_div_half_up(X.cents(F.coalesce(F.col(total_col), X.dec(0, 18, 2))).cast("decimal(38,0)")
-                                            * X.cents("pct"), F.lit(10000)), 12)
+    """round(total * pct / 100, 2) in exact long arithmetic (cents x hundredths of a
+    percent <= 7e10 x 1e4, far inside 64 bits)."""
+    total_c = X.cents_long(F.coalesce(F.col(total_col), X.dec(0, 18, 2)))
+    return X.money_from_cents_long(X.div_half_up_long(total_c * X.cents_long("pct"), F.lit(10000)), 12)
 
 
 def apportion_final(base: DataFrame, totals: DataFrame) -> DataFrame:
     """ordinary/extraordinary/total = charge sums x rounded pct / 100 (unit amounts
-    need not add up to the charge total; ``residual`` reports the difference)."""
+    need not add up to the charge total)."""
     j = base.join(totals, "charge_no", "inner")
-    total = _share("sum_total")
-    return j.select(
-        "charge_no", "unit_id", "pct", "prior_balance", "received", "interest",
-        _share("sum_ordinary").alias("ordinary"), _share("sum_extraordinary").alias("extraordinary"),
-        total.alias("total"), total.alias("debt"),
-    )
+    j = j.select("charge_no", "unit_id", "pct", "prior_balance", "received", "interest",
+                 _share("sum_ordinary").alias("ordinary"), _share("sum_extraordinary").alias("extraordinary"),
+                 _share("sum_total").alias("total"))
+    return j.withColumn("debt", F.col("total"))
 
 
 # ---------------------------------------------------------------------------

@@ -68,16 +68,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        # unset (local tests only): a folder of our own, registered with the context
         base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "strata-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable (shared) target."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = shared_dir(spark, "ckpt")
+    """Make sure ``DataFrame.checkpoint()`` has a reliable (shared) target: the
+    cluster's ``spark.checkpoint.dir`` when set, our own folder otherwise."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    base = shared_dir(spark, "ckpt")
     spark.sparkContext.setCheckpointDir(base)
     return base

@@ -31,6 +31,7 @@ from .. import functions as X
 from ..operators import charges as C
 from ..operators import payments as P
 from ..schemas import EXPENSE_JSON_KEYS
+from ..session import shared_dir
 from .tables import scan
 
 # Fixed values of the derivation: (returnflag, linestatus) pair -> JSON amount key.
@@ -278,9 +279,9 @@ class Ledger:
         # edge injection: zero ordinary+extraordinary on January rows of units key%11=0
         zero_row = (F.col("unit_id") % 11 == 0) & ((F.col("charge_no") % C.CHARGE_NO_STRIDE) % 12 == 1)
         zero = X.dec(0, 12, 2)
-        for c in ("ordinary", "extraordinary", "total", "debt"):
-            a = a.withColumn(c, F.when(zero_row, zero).otherwise(F.col(c)))
-        return a
+        z = {c: F.when(zero_row, zero).otherwise(F.col(c)).alias(c) for c in ("ordinary", "extraordinary", "total")}
+        return a.select("charge_no", "unit_id", "pct", "prior_balance", "received", "interest",
+                        z["ordinary"], z["extraordinary"], z["total"], z["total"].alias("debt"))
 
     @cached_property
     def apportion_carried(self) -> DataFrame:
@@ -307,3 +308,27 @@ class Ledger:
     @cached_property
     def apportionment(self) -> DataFrame:
         return P.apply_payments(self.apportion_carried, self.payment)
+
+    # storage ----------------------------------------------------------------
+    STORED = ["building", "unit", "person", "occupancy", "storage", "parking", "resolved", "charge", "expense",
+              "expense_ordinary", "expense_extraordinary", "apportion_final", "apportion_carried",
+              "bank_matched", "payment", "apportionment"]
+    SORT_KEYS = {"apportion_final": ["charge_no", "unit_id"], "apportion_carried": ["charge_no", "unit_id"],
+                 "apportionment": ["charge_no", "unit_id"], "payment": ["pay_date", "payment_id"],
+                 "bank_matched": ["source_id"], "expense": ["charge_no", "expense_id"]}
+
+    def materialize(self, path: str | None = None) -> "Ledger":
+        """Write the ledger tables once, in dependency order, each computed from the
+        already written ones (lineage is cut at every table, so a lost executor only
+        recomputes the current stage). Returns a Ledger reading the stored tables."""
+        path = path or shared_dir(self.spark, "ledger")
+        stored = Ledger(self.spark, self.sf)
+        for name in self.STORED:
+            df = getattr(stored, name)
+            keys = self.SORT_KEYS.get(name)
+            if keys:
+                df = df.sortWithinPartitions(*keys)  # narrow min/max per row group
+            target = f"{path}/{name}"
+            df.write.mode("overwrite").parquet(target)
+            stored.__dict__[name] = self.spark.read.parquet(target)
+        return stored
