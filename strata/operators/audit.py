@@ -38,3 +38,9 @@ def import_log_rows(L, path: str = "pagos_consorcios.csv") -> DataFrame:
                  F.col("ok").cast("string")).alias("message"),
         F.lit(path).alias("path"))
     return stamp(errors.unionByName(summary))
+
+
+def log_event(spark, proc: str, level: str, message: str, path: str | None = None) -> DataFrame:
+    """J-19: one audit row (level checked, UTC timestamp)."""
+    row = spark.createDataFrame([(proc, level, message, path)], "proc string, level string, message string, path string")
+    return stamp(row)

@@ -313,3 +313,47 @@ def _chained_balance(a: DataFrame, rate: str) -> DataFrame:
     folded = F.aggregate(F.col("_hist"), init, step)
     bal = F.when(folded["no"] == F.col("prev_charge_no"), folded["bal"]).otherwise(zero)
     return a.withColumn("prior_balance", F.coalesce(bal, zero).cast("decimal(12,2)")).drop("_hist")
+
+
+# ---------------------------------------------------------------------------
+# J-15 / J-16: the whole expenses import as one call
+class UnknownBuildings(ValueError):
+    pass
+
+
+def generate_charges(sheet: DataFrame, providers: DataFrame, building: DataFrame, unit: DataFrame,
+                     existing_charges: DataFrame | None = None, existing_expenses: DataFrame | None = None,
+                     year: int | None = None, day1: int = 10, day2: int = 20, carry: str = "snapshot",
+                     check_buildings: bool = True) -> dict[str, DataFrame]:
+    """Expenses objects (+ providers) -> charges, apportionment, expenses and subtypes.
+
+    Unknown building names stop the import (as the reference raises), checked with one
+    small aggregate over the distinct missing names. ``carry`` is 'snapshot' (one-step,
+    the reference's behaviour) or 'chained'.
+    """
+    stage = stage_expenses(sheet, year=year)
+    if check_buildings:
+        missing = missing_buildings(stage, building)
+        names = [r[0] for r in missing.limit(20).collect()]
+        if names:
+            raise UnknownBuildings("Los siguientes consorcios no existen en la base de datos: " + ", ".join(names))
+    resolved = resolve_building(stage, building)
+    charge = new_charges(charge_totals(resolved), existing_charges, day1, day2)
+    expense = expenses(resolved, existing_expenses)
+    base = apportion_base(charge, unit)
+    final = apportion_final(base, expense_totals(expense))
+    carried = carry_forward(final, charge, chained=(carry == "chained"))
+    return {"charge": charge, "expense": expense, "expense_ordinary": assign_providers(expense, providers),
+            "expense_extraordinary": extraordinary_rows(expense), "apportion_base": base,
+            "apportion_final": final, "apportionment": carried}
+
+
+def load_expenses_file(spark, json_path: str, providers_path: str, building: DataFrame, unit: DataFrame,
+                       year: int = 2024, day1: int = 10, day2: int = 20, **kw) -> dict[str, DataFrame]:
+    """J-16: read the expenses JSON and the providers range, then ``generate_charges``."""
+    from ..sources.adapter import providers_table
+    from ..sources.files import read_expenses_json, read_providers_sheet
+
+    sheet = read_expenses_json(spark, json_path)
+    providers = providers_table(read_providers_sheet(spark, providers_path), building)
+    return generate_charges(sheet, providers, building, unit, year=year, day1=day1, day2=day2, **kw)

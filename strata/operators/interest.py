@@ -77,3 +77,21 @@ def refresh_prior_balance(appt: DataFrame, charge: DataFrame, charge_no=None) ->
     a = a.withColumn("total", total)
     debt = F.greatest(F.col("total") - F.coalesce("received", zero), zero).cast("decimal(12,2)")
     return a.select("charge_no", "unit_id", "prior_balance", zero.alias("interest"), "total", debt.alias("debt"))
+
+
+def refresh_balances(appt: DataFrame, charge: DataFrame, as_of, with_interest: bool = True,
+                     charge_no=None) -> DataFrame:
+    """J-14: refresh prior balances, then (optionally) apply the tiered interest as of
+    ``as_of``; rows without interest keep interest 0."""
+    r = refresh_prior_balance(appt, charge, charge_no)
+    if not with_interest:
+        return r
+    base = appt.select("charge_no", "unit_id", "pct", "received", "ordinary", "extraordinary").join(
+        r.select("charge_no", "unit_id", "prior_balance"), ["charge_no", "unit_id"])
+    base = base.select("charge_no", "unit_id", "pct", "prior_balance", "received", X.dec(0, 12, 2).alias("interest"),
+                       "ordinary", "extraordinary", X.dec(0, 12, 2).alias("total"), X.dec(0, 12, 2).alias("debt"))
+    li = late_interest(base, charge, as_of, charge_no).select("charge_no", "unit_id", F.col("interest").alias("_i"),
+                                                              F.col("total").alias("_t"), F.col("debt").alias("_d"))
+    out = r.join(li, ["charge_no", "unit_id"], "left")
+    return out.select("charge_no", "unit_id", "prior_balance", F.coalesce("_i", "interest").alias("interest"),
+                      F.coalesce("_t", "total").alias("total"), F.coalesce("_d", "debt").alias("debt"))

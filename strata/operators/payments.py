@@ -160,3 +160,32 @@ def apply_payments(appt: DataFrame, payments: DataFrame) -> DataFrame:
         F.when(left_ < 0, zero).otherwise(left_)).cast("decimal(12,2)")
     return a.select("charge_no", "unit_id", "pct", "prior_balance", received.alias("received"), "interest",
                     "ordinary", "extraordinary", "total", debt.alias("debt"))
+
+
+# ---------------------------------------------------------------------------
+# J-17 / J-18: the whole bank import as one call
+def import_payments(bank_rows: DataFrame, person: DataFrame, appt: DataFrame, charge: DataFrame,
+                    existing: DataFrame | None = None, match: str = "month") -> dict[str, DataFrame]:
+    """Bank text rows -> accepted payments (insert-if-absent), rejects with reasons,
+    quality profile and the updated apportionment.
+
+    ``match='month'``: account equality, charge of the payment's month.
+    ``match='fifo'``: account hash, oldest open charge, else the interval rule.
+    """
+    staged = parse_bank_file(bank_rows)
+    if match == "month":
+        matched = match_by_month(resolve_unit_by_account(staged, person), appt, charge)
+        require_account = False
+    elif match == "fifo":
+        f = match_fifo(resolve_unit_by_hash(staged, person), appt, charge)
+        todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())
+        iv = match_interval(todo, appt, charge).select("source_id", "charge_interval")
+        matched = f.join(iv, "source_id", "left").withColumn("charge_no", F.coalesce("charge_fifo", "charge_interval"))
+        require_account = True
+    else:
+        raise ValueError("match must be 'month' or 'fifo'")
+    accepted, rejected = split_accepted(matched, require_account)
+    rows = as_payment_rows(accepted)
+    new = rows if existing is None else new_payments(rows, existing)
+    return {"matched": matched, "quality": quality_profile(matched), "payments": new, "rejected": rejected,
+            "apportionment": apply_payments(appt, new)}
