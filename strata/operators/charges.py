@@ -144,7 +144,13 @@ def apportion_base(charge: DataFrame, unit: DataFrame, existing: DataFrame | Non
     """charge x units of its building: pct rounded to 2 decimals, amount by exact area ratio."""
     if existing is not None:
         charge = charge.join(existing.select("charge_no").distinct(), "charge_no", "left_anti")
-    units = unit.select("unit_id", "building_id", "area").join(area_totals(unit), "building_id")
+    # The expansion runs in the tasks of the streamed (unit) side. Spread the units over
+    # an explicit number of partitions by unit_id (not by building: one building may hold
+    # a third of all units), so the output is produced in parallel whatever the input
+    # file layout; the charges of each building meet them through the equi-join.
+    n = int(unit.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = unit.select("unit_id", "building_id", "area").join(area_totals(unit), "building_id") \
+        .repartition(n, "unit_id")
     j = charge.select("charge_no", "building_id", "total").join(units, "building_id")
     j = j.filter(F.col("building_area") > 0)
     # exact long arithmetic: area <= 9999.99, total <= 99 999 999.99 (clamped), so every
