@@ -374,3 +374,54 @@ def statement_units(apportionment: DataFrame, unit: DataFrame, charge_no=None) -
                     m("extraordinary").alias("extraordinary"), m("prior_balance").alias("prior_balance"),
                     m("interest").alias("interest"), m("total").alias("total"), m("received").alias("received"),
                     m("debt").alias("debt"))
+
+
+# ---------------------------------------------------------------------------
+# F-01 / F-05 presentation order and A-11 export. Reports are computed as unordered
+# sets (a global sort of a large result is a full shuffle); the reference's ORDER BY
+# is applied only when a report is presented or exported.
+REPORT_ORDER = {
+    "weekly_cash_flow": ["year", "week"],
+    "monthly_pivot": ["building_id", "unit_id"],
+    "income_by_source": ["building_id", "year", "month"],
+    "top_months_income": ["building_id", "year", "rank"],
+    "top_months_expense": ["building_id", "year", "rank"],
+    "top_debtors": ["building_id", "rank"],
+    "days_between_payments": ["building_id", "unit_label", "pay_date", "payment_id"],
+    "statement_header": ["charge_no", "line"],
+    "statement_debtors": ["-debt", "dni", "charge_no"],
+    "statement_ordinary": ["charge_no", "-amount", "expense_id"],
+    "statement_extraordinary": ["charge_no", "-amount", "expense_id"],
+    "statement_totals": ["charge_no", "line"],
+    "statement_units": ["charge_no", "unit_label"],
+}
+
+
+def presented(name: str, df: DataFrame) -> DataFrame:
+    """The report in the reference's row order (range-partitioned sort); a leading
+    '-' marks a descending key."""
+    keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in REPORT_ORDER[name]]
+    return df.orderBy(*keys)
+
+
+def statement(ledger, charge_no=None) -> dict[str, DataFrame]:
+    """J-08: the six result sets of the charge statement (all charges when None)."""
+    L = ledger
+    return {
+        "statement_header": statement_header(L.charge, L.building, charge_no),
+        "statement_debtors": statement_debtors(L.apportionment, L.unit, L.occupancy, L.person, L.charge, charge_no),
+        "statement_ordinary": statement_ordinary(L.expense, L.expense_ordinary, charge_no),
+        "statement_extraordinary": statement_extraordinary(L.expense, L.expense_extraordinary, charge_no),
+        "statement_totals": statement_totals(L.charge, L.expense, L.apportionment, charge_no),
+        "statement_units": statement_units(L.apportionment, L.unit, charge_no),
+    }
+
+
+def export_csv(results: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """A-11: each result set as CSV with header, in presentation order."""
+    out = {}
+    for name, df in results.items():
+        path = f"{folder}/{name}"
+        presented(name, df).write.mode("overwrite").option("header", True).csv(path)
+        out[name] = path
+    return out

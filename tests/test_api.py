@@ -45,3 +45,16 @@ def test_refresh_balances_and_log(spark):
     assert row.level == "INFO" and row.logged_at is not None
     with pytest.raises(Exception):
         A.log_event(spark, "proc", "DEBUG", "bad").collect()
+
+
+def test_statement_export_in_order(spark):
+    import os
+    from strata.plans import reports as R
+    from strata.session import shared_dir
+    L = ledger(spark, SF_SMALL)
+    no = L.charge.agg({"charge_no": "min"}).first()[0]
+    res = R.statement(L, no)
+    hdr = R.presented("statement_header", res["statement_header"]).collect()
+    assert [r.line for r in hdr] == list(range(1, 10)) and hdr[0].value == "Administración del Consorcio"
+    paths = R.export_csv(res, shared_dir(spark, "tests", "statement"))
+    assert set(paths) == set(R.REPORT_ORDER) & set(res) and all(os.path.isdir(p) for p in paths.values())
