@@ -79,18 +79,28 @@ def match_fifo(payments: DataFrame, appt: DataFrame, charge: DataFrame) -> DataF
 
 
 def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key: str = "source_id") -> DataFrame:
-    """Newest charge of the unit whose [gen, COALESCE(due2, gen+30)] holds the payment date."""
+    """Newest charge of the unit whose [gen, COALESCE(due2, gen+30)] holds the payment date.
+
+    One left join on (unit, month bucket) with the exact range as residual condition,
+    then one aggregate per payment (``max_by``; a payment without candidates keeps its
+    single NULL-extended row), so no join back onto the payments is needed.
+    """
     c = with_charge_dates(appt.select("charge_no", "unit_id"), charge).select(
-        "unit_id", "charge_no", "gen_date",
+        F.col("unit_id").alias("_cu"), F.col("charge_no").alias("_cno"), F.col("gen_date").alias("_gen"),
         F.coalesce("due2", F.date_add("gen_date", 30)).alias("_end"))
-    months = F.sequence(X.month_start("gen_date"), X.month_start(F.greatest("_end", "gen_date")),
-                        F.expr("interval 1 month"))
-    c = c.select("*", F.explode(months).alias("_m"))
-    p = payments.filter(F.col("unit_id").isNotNull() & F.col("pay_date").isNotNull()) \
-        .select(key, "unit_id", "pay_date", X.month_start("pay_date").alias("_m"))
-    hits = p.join(c, ["unit_id", "_m"]).filter(F.col("pay_date").between(F.col("gen_date"), F.col("_end")))
-    best = hits.groupBy(key).agg(F.max_by("charge_no", F.struct("gen_date", "charge_no")).alias("charge_interval"))
-    return payments.join(best, key, "left")
+    months = F.sequence(X.month_start("_gen"), X.month_start(F.greatest("_end", "_gen")), F.expr("interval 1 month"))
+    c = c.select("*", F.explode(months).alias("_cm"))
+    keyed = payments.filter(F.col(key).isNotNull())
+    p = keyed.withColumn("_m", X.month_start("pay_date"))
+    cond = ((p["unit_id"] == c["_cu"]) & (p["_m"] == c["_cm"])
+            & p["pay_date"].between(c["_gen"], c["_end"]))
+    j = p.join(c, cond, "left")
+    payload = [F.first(x).alias(x) for x in payments.columns if x != key]
+    best = F.max_by(F.col("_cno"), F.struct(F.col("_gen"), F.col("_cno"))).alias("charge_interval")
+    matched = j.groupBy(key).agg(*payload, best).select(*payments.columns, "charge_interval")
+    # rows without an id cannot be told apart (and are rejected later): no match
+    unkeyed = payments.filter(F.col(key).isNull()).withColumn("charge_interval", F.lit(None).cast("bigint"))
+    return matched.unionByName(unkeyed)
 
 
 # ---------------------------------------------------------------------------

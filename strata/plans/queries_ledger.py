@@ -204,7 +204,7 @@ def q_import_sample(L):
 
 
 def _hashed(L):
-    return P.resolve_unit_by_hash(P.parse_bank_file(L.bank_file), L.person)
+    return P.resolve_unit_by_hash(L.bank_parsed, L.person)
 
 
 def _fifo(L):

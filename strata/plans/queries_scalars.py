@@ -68,7 +68,8 @@ SELECT o.o_orderkey AS source_id,
        CASE WHEN o.o_totalprice > 200000 THEN 'ALTO' WHEN o.o_totalprice > 100000 THEN 'MEDIO' ELSE 'BAJO' END AS band,
        CAST(o.o_totalprice AS DECIMAL(12,2)) AS price,
        CAST(o.o_orderkey AS VARCHAR) AS key_text,
-       coalesce(TRY_CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS DECIMAL(6,2)), 0) AS guarded_small,
+       CAST(coalesce(TRY_CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS DECIMAL(6,2)), 0) AS DECIMAL(6,2))
+         AS guarded_small,
        b.pay_date AS parsed_date,
        strftime(CAST(o.o_orderdate AS DATE), '%d/%m/%Y') AS dmy,
        coalesce(CAST(b.pay_date AS VARCHAR), 'Primer Pago') AS date_or_placeholder,

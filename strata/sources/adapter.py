@@ -292,9 +292,14 @@ class Ledger:
     def bank_file(self) -> DataFrame:
         return bank_file(self.spark, self.sf)
 
+    @cached_property
+    def bank_parsed(self) -> DataFrame:
+        """The bank file parsed (typed staging rows, before any matching)."""
+        return P.parse_bank_file(self.bank_file)
+
     @cached_property
     def bank_staged(self) -> DataFrame:
-        return P.resolve_unit_by_account(P.parse_bank_file(self.bank_file), self.person)
+        return P.resolve_unit_by_account(self.bank_parsed, self.person)
 
     @cached_property
     def bank_matched(self) -> DataFrame:
@@ -312,10 +317,10 @@ class Ledger:
     # storage ----------------------------------------------------------------
     STORED = ["building", "unit", "person", "occupancy", "storage", "parking", "resolved", "charge", "expense",
               "expense_ordinary", "expense_extraordinary", "apportion_final", "apportion_carried",
-              "bank_matched", "payment", "apportionment"]
+              "bank_parsed", "bank_matched", "payment", "apportionment"]
     SORT_KEYS = {"apportion_final": ["charge_no", "unit_id"], "apportion_carried": ["charge_no", "unit_id"],
                  "apportionment": ["charge_no", "unit_id"], "payment": ["pay_date", "payment_id"],
-                 "bank_matched": ["source_id"], "expense": ["charge_no", "expense_id"]}
+                 "bank_matched": ["source_id"], "bank_parsed": ["source_id"], "expense": ["charge_no", "expense_id"]}
 
     def materialize(self, path: str | None = None) -> "Ledger":
         """Write the ledger tables once, in dependency order, each computed from the
