@@ -315,25 +315,52 @@ class Ledger:
         return P.apply_payments(self.apportion_carried, self.payment)
 
     # storage ----------------------------------------------------------------
-    STORED = ["building", "unit", "person", "occupancy", "storage", "parking", "resolved", "charge", "expense",
-              "expense_ordinary", "expense_extraordinary", "apportion_final", "apportion_carried",
-              "bank_parsed", "bank_matched", "payment", "apportionment"]
+    # stored tables and the stored tables each one is computed from
+    DEPENDS = {
+        "unit": [], "person": [], "resolved": [], "bank_parsed": [],
+        "building": ["unit"], "occupancy": ["person"], "storage": ["unit"], "parking": ["unit"],
+        "charge": ["resolved"], "expense": ["resolved"],
+        "expense_ordinary": ["expense", "building"], "expense_extraordinary": ["expense"],
+        "apportion_final": ["charge", "unit", "expense"],
+        "apportion_carried": ["apportion_final", "charge"],
+        "bank_matched": ["bank_parsed", "person", "apportion_carried", "charge"],
+        "payment": ["bank_matched"],
+        "apportionment": ["apportion_carried", "payment"],
+    }
+    STORED = list(DEPENDS)
     SORT_KEYS = {"apportion_final": ["charge_no", "unit_id"], "apportion_carried": ["charge_no", "unit_id"],
                  "apportionment": ["charge_no", "unit_id"], "payment": ["pay_date", "payment_id"],
                  "bank_matched": ["source_id"], "bank_parsed": ["source_id"], "expense": ["charge_no", "expense_id"]}
 
-    def materialize(self, path: str | None = None) -> "Ledger":
-        """Write the ledger tables once, in dependency order, each computed from the
-        already written ones (lineage is cut at every table, so a lost executor only
-        recomputes the current stage). Returns a Ledger reading the stored tables."""
+    def materialize(self, path: str | None = None, parallel: int = 4) -> "Ledger":
+        """Write the ledger tables once, each computed from the already written ones
+        (lineage is cut at every table, so a lost executor only recomputes the current
+        stage). Tables whose inputs are ready are written concurrently (one Spark job
+        per thread). Returns a Ledger reading the stored tables; the caller switches
+        to it only when every table was written (all-or-nothing)."""
+        from concurrent.futures import ThreadPoolExecutor
+
         path = path or shared_dir(self.spark, "ledger")
         stored = Ledger(self.spark, self.sf)
-        for name in self.STORED:
+        done: set[str] = set()
+
+        def write(name: str) -> DataFrame:
             df = getattr(stored, name)
             keys = self.SORT_KEYS.get(name)
             if keys:
                 df = df.sortWithinPartitions(*keys)  # narrow min/max per row group
             target = f"{path}/{name}"
             df.write.mode("overwrite").parquet(target)
-            stored.__dict__[name] = self.spark.read.parquet(target)
+            return self.spark.read.parquet(target)
+
+        while len(done) < len(self.DEPENDS):
+            ready = [n for n, deps in self.DEPENDS.items() if n not in done and all(d in done for d in deps)]
+            # build the lazy plans on this thread, then run the writes concurrently
+            for n in ready:
+                getattr(stored, n)
+            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+                results = dict(zip(ready, pool.map(write, ready)))
+            for n, df in results.items():
+                stored.__dict__[n] = df
+            done.update(ready)
         return stored
