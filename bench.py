@@ -57,7 +57,7 @@ def main() -> None:
     build = time.perf_counter() - t0
 
     from strata.plans import catalog
-    catalog._LEDGERS[(id(spark), sf_dir)] = stored
+    catalog._LEDGERS[(id(spark), sf_dir, True)] = stored
 
     times: dict[str, float] = {"ledger_build": round(build, 3)}
     for n in names:  # warm-up

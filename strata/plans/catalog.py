@@ -7,6 +7,7 @@ Column names and types are aliased/cast identically on both sides.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,24 @@ from ..sources.adapter import Ledger
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_LEDGERS: dict[tuple[int, str], Ledger] = {}
+_LEDGERS: dict[tuple[int, str, bool], Ledger] = {}
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
-    key = (id(spark), sf_dir)
+def ledger(spark: SparkSession, sf_dir: str, stored: bool | None = None) -> Ledger:
+    """The ledger of one dataset for this session.
+
+    By default the ledger tables are built once (Spark jobs over the given tables) and
+    written to the shared checkpoint folder; every query then reads those tables, as
+    the reference's reports read its database. ``STRATA_LAZY=1`` (or ``stored=False``)
+    returns the fully lazy derivation instead.
+    """
+    if stored is None:
+        stored = os.environ.get("STRATA_LAZY", "") not in ("1", "true", "yes")
+    key = (id(spark), sf_dir, stored)
     if key not in _LEDGERS:
         configure(spark)
-        _LEDGERS[key] = Ledger(spark, sf_dir)
+        base = Ledger(spark, sf_dir)
+        _LEDGERS[key] = base.materialize() if stored else base
     return _LEDGERS[key]
 
 

@@ -84,3 +84,11 @@ def test_import_log_levels(spark):
     levels = {r.level for r in rows}
     assert levels <= {"INFO", "WARN", "ERROR"} and "INFO" in levels and "ERROR" in levels
     assert all(r.logged_at is not None for r in rows)
+
+
+@pytest.mark.parametrize("name", ["q_weekly_cash_flow", "q_carry_forward", "q_payment_interval_match",
+                                  "q_apply_payments", "q_unpivot_expenses"])
+def test_lazy_derivation_matches_oracle(spark, duck, monkeypatch, name):
+    """The same queries over the fully lazy ledger (no stored tables)."""
+    monkeypatch.setenv("STRATA_LAZY", "1")
+    test_query_matches_oracle(spark, duck, name)
