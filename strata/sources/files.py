@@ -114,3 +114,20 @@ def write_expenses_json(df: DataFrame, path: str) -> str:
             .agg(F.concat(F.lit("["), F.expr("listagg(_o, ',') within group (order by _m)"), F.lit("]")).alias("value")))
     docs.write.mode("overwrite").partitionBy("part").text(path)
     return path
+
+
+def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, attributes: tuple[str, ...] = ()) -> str:
+    """A-10 whole-file sink with Spark's XML data source: one ``root_tag`` document per
+    output file, one ``row_tag`` element per row; ``attributes`` become XML attributes
+    (the data source's ``_``-prefix convention), e.g. ``Moroso DNI="..."``."""
+    cols = [F.col(c).alias(f"_{c}") if c in attributes else F.col(c) for c in df.columns]
+    (df.select(*cols).write.mode("overwrite").format("xml")
+     .option("rootTag", root_tag).option("rowTag", row_tag).save(path))
+    return path
+
+
+def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.format("xml").option("rowTag", row_tag)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path)

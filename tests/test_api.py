@@ -58,3 +58,17 @@ def test_statement_export_in_order(spark):
     assert [r.line for r in hdr] == list(range(1, 10)) and hdr[0].value == "Administración del Consorcio"
     paths = R.export_csv(res, shared_dir(spark, "tests", "statement"))
     assert set(paths) == set(R.REPORT_ORDER) & set(res) and all(os.path.isdir(p) for p in paths.values())
+
+
+def test_xml_file_sink_round_trip(spark):
+    from strata.plans import reports as R
+    from strata.session import shared_dir
+    from strata.sources import files as FL
+    L = ledger(spark, SF_SMALL)
+    debtors = R.top_debtors(L.person, L.unit, L.apportionment).select(
+        "dni", "first_name", "last_name", "email", "phone", "unit_label", "total_debt", "open_charges")
+    path = FL.write_xml(debtors, shared_dir(spark, "tests", "xml"), "Top3Morosos", "Moroso", attributes=("dni",))
+    back = FL.read_xml(spark, path, "Moroso")
+    assert back.count() == debtors.count()
+    assert "_dni" in back.columns
+    assert {str(r["_dni"]).zfill(10) for r in back.collect()} == {r.dni for r in debtors.collect()}
