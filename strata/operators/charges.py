@@ -17,6 +17,8 @@ Scale notes
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -289,7 +291,7 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate: str = FLAT_INTEREST,
     else:
         a = _chained_balance(a, rate)
     interest = F.when(F.col("prior_balance") > 0,
-                      (F.col("prior_balance") * F.lit(X.Decimal(rate))).cast("decimal(12,2)")).otherwise(zero)
+                      (F.col("prior_balance") * F.lit(Decimal(rate))).cast("decimal(12,2)")).otherwise(zero)
     a = a.withColumn("interest", interest)
     total = (F.coalesce("ordinary", zero) + F.coalesce("extraordinary", zero)
              + F.col("prior_balance") + F.col("interest")).cast("decimal(12,2)")
@@ -306,7 +308,7 @@ def _chained_balance(a: DataFrame, rate: str) -> DataFrame:
     w = Window.partitionBy("unit_id").orderBy("charge_no").rowsBetween(Window.unboundedPreceding, -1)
     hist = F.collect_list(F.struct("charge_no", "prev_charge_no", "debt")).over(w)
     a = a.withColumn("_hist", hist)
-    r = F.lit(X.Decimal(rate))
+    r = F.lit(Decimal(rate))
     zero = X.dec(0, 12, 2)
 
     def step(acc, x):

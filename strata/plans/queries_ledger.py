@@ -7,7 +7,6 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from .. import functions as X
 from ..operators import charges as C
 from ..operators import interest as I
 from ..operators import payments as P

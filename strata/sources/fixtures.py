@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import functions as X
 from . import adapter as A
 from .tables import scan
 
@@ -98,4 +97,4 @@ def providers_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 __all__ = ["units_file", "people_file", "accounts_file", "buildings_sheet", "payments_file",
-           "expenses_objects", "providers_sheet", "X"]
+           "expenses_objects", "providers_sheet"]

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from strata.operators import charges as C
 from strata.operators import interest as I
