@@ -13,16 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's for identical results.
-# Spanish month names, lowercase, January first (used for parsing and display).
-SPANISH_MONTHS = [
-    "enero", "febrero", "marzo", "abril", "mayo", "junio",
-    "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre",
-]
-# Amount ceiling of charge and expense totals.
-AMOUNT_CEILING = Decimal("99999999.99")
-# ---------------------------------------------------------------------------
+from ..fixed import AMOUNT_CEILING, SPANISH_MONTHS  # noqa: F401 (re-exported)
 
 
 def col_(c) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import payments as P
 
-LEVELS = ("INFO", "WARN", "ERROR")
+from ..fixed import LOG_LEVELS as LEVELS
 PAYMENTS_PROC = "Pago.sp_importarPagosDesdeCSV"
 
 

@@ -23,25 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
-from ..schemas import EXPENSE_JSON_KEYS
+from ..fixed import (EXPENSE_JSON_KEYS, EXTRAORDINARY_CATEGORY, FLAT_INTEREST, INVOICE_PREFIX, KIND_EXTRAORDINARY,
+                     KIND_ORDINARY, MISSING_BUILDINGS, PROVIDER_RULES)
 
-# Category of each JSON amount key (upper-cased key), and the
-# category whose expenses are extraordinary.
+# category of each JSON amount key: the key upper-cased
 CATEGORY_OF_KEY = {k: k.upper() for k in EXPENSE_JSON_KEYS}
 CATEGORIES = [CATEGORY_OF_KEY[k] for k in EXPENSE_JSON_KEYS]
-EXTRAORDINARY_CATEGORY = "GASTOS GENERALES"
-FLAT_INTEREST = "0.05"
-
-# Provider rules (token in the expense description, provider
-# category, required provider name or None).
-PROVIDER_RULES = [
-    ("BANCARIOS", "GASTOS BANCARIOS", None),
-    ("ADMINISTRACION", "GASTOS DE ADMINISTRACION", None),
-    ("SEGUROS", "SEGUROS", None),
-    ("LIMPIEZA", "GASTOS DE LIMPIEZA", None),
-    ("AGUA", "SERVICIOS PUBLICOS", "AYSA"),
-    ("LUZ", "SERVICIOS PUBLICOS", "EDENOR"),
-]
 
 CHARGE_NO_STRIDE = 100000  # charge_no = building_id * stride + (year*12 + month)
 
@@ -178,8 +165,8 @@ def expenses(resolved: DataFrame, existing: DataFrame | None = None) -> DataFram
         (no * 10 + category_index(F.col("category"))).alias("expense_id"),
         no.alias("charge_no"),
         F.col("building_id").cast("bigint").alias("building_id"),
-        F.when(F.col("category") == EXTRAORDINARY_CATEGORY, F.lit("Extraordinario"))
-         .otherwise(F.lit("Ordinario")).alias("kind"),
+        F.when(F.col("category") == EXTRAORDINARY_CATEGORY, F.lit(KIND_EXTRAORDINARY))
+         .otherwise(F.lit(KIND_ORDINARY)).alias("kind"),
         F.concat(F.col("category"), F.lit(" - "), F.col("mes_raw")).alias("description"),
         F.make_date("year", "month", F.lit(1)).alias("issue_date"),
         X.clamp(F.col("amount")).cast("decimal(10,2)").alias("amount"),
@@ -217,19 +204,19 @@ def pick_providers(providers: DataFrame) -> DataFrame:
 def assign_providers(expense: DataFrame, providers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Ordinary expense -> provider by the rule table, as an equi-join (no theta join)."""
     cat, prov = rule_tag(F.col("description"))
-    tagged = (expense.filter(F.col("kind") == "Ordinario")
+    tagged = (expense.filter(F.col("kind") == KIND_ORDINARY)
               .select("expense_id", "building_id", cat.alias("category"), prov.alias("provider_key"))
               .filter(F.col("category").isNotNull()))
     out = tagged.join(pick_providers(providers), ["building_id", "category", "provider_key"]).select(
         "expense_id", "provider", "category",
-        F.concat(F.lit("FAC-"), F.col("expense_id").cast("string")).alias("invoice_no"))
+        F.concat(F.lit(INVOICE_PREFIX), F.col("expense_id").cast("string")).alias("invoice_no"))
     if existing is not None:
         out = out.join(existing.select("expense_id"), "expense_id", "left_anti")
     return out
 
 
 def extraordinary_rows(expense: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    out = expense.filter(F.col("kind") == "Extraordinario").select(
+    out = expense.filter(F.col("kind") == KIND_EXTRAORDINARY).select(
         "expense_id", F.lit(1).cast("smallint").alias("instalment"), F.lit(1).cast("smallint").alias("instalments"))
     if existing is not None:
         out = out.join(existing.select("expense_id"), "expense_id", "left_anti")
@@ -242,8 +229,8 @@ def expense_totals(expense: DataFrame) -> DataFrame:
     """Conditional sums per charge (SUM(CASE WHEN kind ...))."""
     amt = F.col("amount")
     return expense.groupBy("charge_no").agg(
-        F.sum(F.when(F.col("kind") == "Ordinario", amt).otherwise(X.dec(0, 10, 2))).cast("decimal(18,2)").alias("sum_ordinary"),
-        F.sum(F.when(F.col("kind") == "Extraordinario", amt).otherwise(X.dec(0, 10, 2))).cast("decimal(18,2)").alias("sum_extraordinary"),
+        F.sum(F.when(F.col("kind") == KIND_ORDINARY, amt).otherwise(X.dec(0, 10, 2))).cast("decimal(18,2)").alias("sum_ordinary"),
+        F.sum(F.when(F.col("kind") == KIND_EXTRAORDINARY, amt).otherwise(X.dec(0, 10, 2))).cast("decimal(18,2)").alias("sum_extraordinary"),
         F.sum(amt).cast("decimal(18,2)").alias("sum_total"),
     )
 
@@ -273,7 +260,7 @@ def previous_charge(charge: DataFrame) -> DataFrame:
     return charge.select("charge_no", F.lag("charge_no").over(w).alias("prev_charge_no"))
 
 
-def carry_forward(appt: DataFrame, charge: DataFrame, rate: str = FLAT_INTEREST, chained: bool = False) -> DataFrame:
+def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chained: bool = False) -> DataFrame:
     """One-step (snapshot) carry-forward: prior balance = previous charge's debt of the
     same unit *before* this step; interest = rate x balance when positive.
 
@@ -291,7 +278,7 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate: str = FLAT_INTEREST,
     else:
         a = _chained_balance(a, rate)
     interest = F.when(F.col("prior_balance") > 0,
-                      (F.col("prior_balance") * F.lit(Decimal(rate))).cast("decimal(12,2)")).otherwise(zero)
+                      (F.col("prior_balance") * F.lit(Decimal(str(rate)))).cast("decimal(12,2)")).otherwise(zero)
     a = a.withColumn("interest", interest)
     total = (F.coalesce("ordinary", zero) + F.coalesce("extraordinary", zero)
              + F.col("prior_balance") + F.col("interest")).cast("decimal(12,2)")
@@ -299,7 +286,7 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate: str = FLAT_INTEREST,
                     "ordinary", "extraordinary", total.alias("total"), total.alias("debt"))
 
 
-def _chained_balance(a: DataFrame, rate: str) -> DataFrame:
+def _chained_balance(a: DataFrame, rate) -> DataFrame:
     """Chained recurrence as an ordered fold over the unit's earlier charges.
 
     A unit's rows are bounded by its building's billing months, so the per-unit
@@ -308,7 +295,7 @@ def _chained_balance(a: DataFrame, rate: str) -> DataFrame:
     w = Window.partitionBy("unit_id").orderBy("charge_no").rowsBetween(Window.unboundedPreceding, -1)
     hist = F.collect_list(F.struct("charge_no", "prev_charge_no", "debt")).over(w)
     a = a.withColumn("_hist", hist)
-    r = F.lit(Decimal(rate))
+    r = F.lit(Decimal(str(rate)))
     zero = X.dec(0, 12, 2)
 
     def step(acc, x):
@@ -344,7 +331,7 @@ def generate_charges(sheet: DataFrame, providers: DataFrame, building: DataFrame
         missing = missing_buildings(stage, building)
         names = [r[0] for r in missing.limit(20).collect()]
         if names:
-            raise UnknownBuildings("Los siguientes consorcios no existen en la base de datos: " + ", ".join(names))
+            raise UnknownBuildings(MISSING_BUILDINGS + ", ".join(names))
     resolved = resolve_building(stage, building)
     charge = new_charges(charge_totals(resolved), existing_charges, day1, day2)
     expense = expenses(resolved, existing_expenses)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNKNOWN_BUILDING = "El Consorcio no existe"
+from ..fixed import UNKNOWN_BUILDING
 
 
 def known_buildings(requests: DataFrame, building: DataFrame) -> DataFrame:

@@ -11,18 +11,11 @@ repeated millions of times never gathers in one task.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
-
-# Defaults of buildings created as placeholders by the units import,
-# and the late fees given to imported buildings.
-PLACEHOLDER_ADDRESS_PREFIX = "Dirección "
-PLACEHOLDER_AREA = Decimal("1000.00")
-FEE_FIRST, FEE_NEXT = Decimal("2.00"), Decimal("5.00")
+from ..fixed import FEE_FIRST, FEE_NEXT, PLACEHOLDER_ADDRESS_PREFIX, PLACEHOLDER_AREA, ROLE_OWNER, ROLE_TENANT
 
 
 def _reasons(*rules) -> F.Column:
@@ -154,7 +147,7 @@ def import_occupancy(people_file: DataFrame, accounts: DataFrame, building: Data
                            F.trim("Inquilino").try_cast("int").alias("tenant"))
     acc = resolve_accounts(accounts, building, unit)
     j = p.join(acc, "account").join(person.select("dni").distinct(), "dni", "left_semi")
-    j = j.select(F.when(F.col("tenant") == 1, F.lit("Inquilino")).otherwise(F.lit("Propietario")).alias("role"),
+    j = j.select(F.when(F.col("tenant") == 1, F.lit(ROLE_TENANT)).otherwise(F.lit(ROLE_OWNER)).alias("role"),
                  "unit_id", "dni").distinct()
     if existing is not None:
         j = j.join(existing.select("dni", "unit_id"), ["dni", "unit_id"], "left_anti")

@@ -13,17 +13,12 @@
 from __future__ import annotations
 
 import datetime as _dt
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
-
-# Tiered late-interest rates.
-BASE_RATE = Decimal("0.02")
-MONTHLY_RATE = Decimal("0.005")
-CAP_RATE = Decimal("0.50")
+from ..fixed import BASE_RATE, CAP_RATE, INTEREST_INFO, MONTHLY_RATE
 
 
 def _date(v):
@@ -56,7 +51,7 @@ def interest_summary(updated: DataFrame) -> DataFrame:
     g = r.agg(F.count(F.lit(1)).alias("n"), F.sum("interest").alias("s"),
               F.min("interest").alias("mn"), F.max("interest").alias("mx"))
     avg = X.from_cents(X.round_div_half_up(X.cents("s"), F.col("n")), 12)
-    return g.select(F.lit("INTERESES CALCULADOS").alias("info"), F.col("n").cast("bigint").alias("total_rows"),
+    return g.select(F.lit(INTEREST_INFO).alias("info"), F.col("n").cast("bigint").alias("total_rows"),
                     F.col("s").cast("decimal(18,2)").alias("total_interest"),
                     F.when(F.col("n") > 0, avg).alias("avg_interest"),
                     F.col("mn").cast("decimal(12,2)").alias("min_interest"),

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed import FALLBACK_DUE_DAYS
 
 
 def parse_bank_file(raw: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key:
     """
     c = with_charge_dates(appt.select("charge_no", "unit_id"), charge).select(
         F.col("unit_id").alias("_cu"), F.col("charge_no").alias("_cno"), F.col("gen_date").alias("_gen"),
-        F.coalesce("due2", F.date_add("gen_date", 30)).alias("_end"))
+        F.coalesce("due2", F.date_add("gen_date", FALLBACK_DUE_DAYS)).alias("_end"))
     months = F.sequence(X.month_start("_gen"), X.month_start(F.greatest("_end", "_gen")), F.expr("interval 1 month"))
     c = c.select("*", F.explode(months).alias("_cm"))
     keyed = payments.filter(F.col(key).isNotNull())

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed import KIND_EXTRAORDINARY, KIND_ORDINARY, ROLE_OWNER, ROLE_TENANT
 
 
 def _date(v):
@@ -113,7 +114,7 @@ def validate_occupancy(batch: DataFrame, unit: DataFrame, person: DataFrame) ->
     rules = [
         (~F.col("_u"), "UNKNOWN_UNIT"),
         (~F.col("_p"), "UNKNOWN_PERSON"),
-        (~F.coalesce(F.col("role").isin("Propietario", "Inquilino"), F.lit(False)), "INVALID_ROLE"),
+        (~F.coalesce(F.col("role").isin(ROLE_OWNER, ROLE_TENANT), F.lit(False)), "INVALID_ROLE"),
     ]
     return validate(df, rules).drop("_u", "_p")
 
@@ -177,7 +178,7 @@ def validate_expenses(batch: DataFrame, charge: DataFrame, building: DataFrame,
     df = df.withColumn("issue_date", F.coalesce(F.col("issue_date"), d))  # default: today
     rules = [
         (~F.col("_c"), "UNKNOWN_CHARGE"), (~F.col("_b"), "UNKNOWN_BUILDING"),
-        (~F.coalesce(F.col("kind").isin("Ordinario", "Extraordinario"), F.lit(False)), "INVALID_KIND"),
+        (~F.coalesce(F.col("kind").isin(KIND_ORDINARY, KIND_EXTRAORDINARY), F.lit(False)), "INVALID_KIND"),
         (F.col("description").isNotNull() & (X.tsql_len("description") > 200), "DESCRIPTION_LENGTH"),
         (F.col("issue_date") > d, "INVALID_DATE"),
         (F.col("amount").isNull() | (F.col("amount") < 0), "INVALID_AMOUNT"),
@@ -194,7 +195,7 @@ def validate_ordinary(batch: DataFrame, expense: DataFrame, existing: DataFrame
     df = _parent_kind(batch, expense)
     rules = [
         (F.col("_kind").isNull(), "UNKNOWN_EXPENSE"),
-        (F.col("_kind").isNotNull() & (F.col("_kind") != "Ordinario"), "NOT_ORDINARY"),
+        (F.col("_kind").isNotNull() & (F.col("_kind") != KIND_ORDINARY), "NOT_ORDINARY"),
         (F.col("provider").isNotNull() & (X.tsql_len("provider") > 100), "PROVIDER_LENGTH"),
         (F.col("category").isNotNull() & (X.tsql_len("category") > 35), "CATEGORY_LENGTH"),
         (F.col("invoice_no").isNotNull() & (X.tsql_len("invoice_no") > 50), "INVOICE_LENGTH"),
@@ -207,7 +208,7 @@ def validate_extraordinary(batch: DataFrame, expense: DataFrame, existing: DataF
     cur, cnt = F.col("instalment"), F.col("instalments")
     rules = [
         (F.col("_kind").isNull(), "UNKNOWN_EXPENSE"),
-        (F.col("_kind").isNotNull() & (F.col("_kind") != "Extraordinario"), "NOT_EXTRAORDINARY"),
+        (F.col("_kind").isNotNull() & (F.col("_kind") != KIND_EXTRAORDINARY), "NOT_EXTRAORDINARY"),
         (cur.isNotNull() & ((cur <= 0) | (cur > 255)), "INVALID_INSTALMENT"),
         (cnt.isNotNull() & ((cnt <= 0) | (cnt > 255)), "INVALID_INSTALMENTS"),
         (cur.isNotNull() & cnt.isNotNull() & (cur > cnt), "INSTALMENT_ORDER"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import charges as C
 from ..operators import interest as I
 from ..operators import payments as P
+from .. import fixed as FX
 from .catalog import query
 from .oracle import CATS, cents, es_ar, from_cents, month_name, rdiv, with_ctes
 
@@ -96,9 +97,9 @@ def q_missing_buildings(L):
     missing = C.missing_buildings(C.stage_expenses(sheet), L.building)
     return missing.agg(
         F.count(F.lit(1)).alias("missing_count"),
-        F.concat(F.lit("Los siguientes consorcios no existen en la base de datos: "),
+        F.concat(F.lit(FX.MISSING_BUILDINGS),
                  F.coalesce(F.expr("listagg(building_name, ', ') within group (order by building_name)"),
-                            F.lit("Ninguno identificado"))).alias("message"))
+                            F.lit(FX.NONE_IDENTIFIED))).alias("message"))
 
 
 # ---------------------------------------------------------------------------
@@ -185,7 +186,7 @@ def q_payment_summary(L):
     p = L.payment.select(F.lit(1).alias("_p"), F.lit(0).alias("_r"))
     a = L.apportionment.select(F.lit(0).alias("_p"), F.when(F.col("received") > 0, 1).otherwise(0).alias("_r"))
     return p.unionByName(a).agg(
-        F.lit("Resumen final").alias("info"), F.sum("_p").cast("bigint").alias("inserted"),
+        F.lit(FX.SUMMARY_INFO).alias("info"), F.sum("_p").cast("bigint").alias("inserted"),
         F.sum("_p").cast("bigint").alias("total_in_table"),
         F.sum("_r").cast("bigint").alias("apportionments_with_payments"))
 

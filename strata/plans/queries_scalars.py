@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed import FIRST_PAYMENT
 from ..sources.tables import scan
 from .catalog import query
 from .oracle import month_name, month_title, us_week, with_ctes
@@ -97,7 +98,7 @@ def q_scalar_null_case_cast(L):
         F.coalesce(price.cast("string").try_cast("decimal(6,2)"), X.dec(0, 6, 2)).alias("guarded_small"),
         F.col("pay_date").alias("parsed_date"),
         X.format_dmy(F.to_date("o_orderdate")).alias("dmy"),
-        F.coalesce(F.col("pay_date").cast("string"), F.lit("Primer Pago")).alias("date_or_placeholder"),
+        F.coalesce(F.col("pay_date").cast("string"), F.lit(FIRST_PAYMENT)).alias("date_or_placeholder"),
         F.col("amount").alias("parsed_amount"),
         X.parse_amount_or_zero(F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(es_text)).alias("blank_or_amount"),
         X.try_decimal_comma(F.translate(price.cast("string"), ".", ","), 12, 2).alias("comma_decimal"),

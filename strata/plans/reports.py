@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from .. import fixed as FX
 
 SCALE = 10 ** 12  # fixed-point scale of the ordinary/extraordinary split ratios
 
@@ -139,15 +140,12 @@ def income_by_source_xml(income: DataFrame) -> DataFrame:
     The per-document aggregation is bounded (twelve months), so ``listagg`` never
     gathers an unbounded group.
     """
-    row = F.concat(
-        F.lit("<Periodo>"),
-        X.xml_element("Anio", "year"), X.xml_element("Mes", "month"), X.xml_element("NombreMes", "month_name"),
-        X.xml_element("RecaudacionOrdinaria", "ordinary"), X.xml_element("RecaudacionExtraordinaria", "extraordinary"),
-        X.xml_element("TotalRecaudado", "total"), F.lit("</Periodo>"))
+    root, row_tag, tags = FX.INCOME_XML
+    fields = ["year", "month", "month_name", "ordinary", "extraordinary", "total"]
+    row = F.concat(F.lit(f"<{row_tag}>"), *[X.xml_element(t, c) for t, c in zip(tags, fields)], F.lit(f"</{row_tag}>"))
     g = income.withColumn("_row", row).groupBy("building_id", "year").agg(
         F.expr("listagg(_row, '') within group (order by month)").alias("_rows"))
-    return g.select("building_id", "year",
-                    F.concat(F.lit("<RecaudacionPorOrigen>"), F.col("_rows"), F.lit("</RecaudacionPorOrigen>")).alias("xml"))
+    return g.select("building_id", "year", F.concat(F.lit(f"<{root}>"), F.col("_rows"), F.lit(f"</{root}>")).alias("xml"))
 
 
 # ---------------------------------------------------------------------------
@@ -164,7 +162,7 @@ def top_months_income(payment: DataFrame, unit: DataFrame, building=None, year=N
     g = p.join(u, "unit_id").groupBy("building_id", F.year("pay_date").alias("year"),
                                      F.month("pay_date").alias("month")).agg(F.sum("amount").alias("_s"))
     g = _top_n(g, ["building_id", "year"], [F.col("_s").desc(), F.col("month").asc()], n)
-    return g.select(F.lit("MAYORES INGRESOS").alias("category"), "building_id",
+    return g.select(F.lit(FX.TOP_INCOME_LABEL).alias("category"), "building_id",
                     F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
                     X.es_month_title(F.col("month")).alias("month_name"),
                     F.col("_s").cast("decimal(18,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
@@ -177,7 +175,7 @@ def top_months_expense(expense: DataFrame, building=None, year=None, n: int = 5)
     g = e.groupBy("building_id", F.year("issue_date").alias("year"), F.month("issue_date").alias("month")) \
         .agg(F.sum("amount").alias("_s"))
     g = _top_n(g, ["building_id", "year"], [F.col("_s").desc(), F.col("month").asc()], n)
-    return g.select(F.lit("MAYORES GASTOS").alias("category"), "building_id",
+    return g.select(F.lit(FX.TOP_EXPENSE_LABEL).alias("category"), "building_id",
                     F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
                     X.es_month_title(F.col("month")).alias("month_name"),
                     F.col("_s").cast("decimal(18,2)").alias("total"), F.col("rank").cast("int").alias("rank"))
@@ -193,8 +191,8 @@ def top_debtors(person: DataFrame, unit: DataFrame, apportionment: DataFrame, bu
         F.sum("debt").alias("_debt"), F.count(F.lit(1)).alias("_n"))
     j = person.join(u, "unit_id").join(a, "unit_id")
     j = j.select("building_id", "dni", "first_name", "last_name",
-                 F.coalesce("email", F.lit("No informado")).alias("email"),
-                 F.coalesce("phone", F.lit("No informado")).alias("phone"),
+                 F.coalesce("email", F.lit(FX.NOT_GIVEN)).alias("email"),
+                 F.coalesce("phone", F.lit(FX.NOT_GIVEN)).alias("phone"),
                  X.display_unit("floor", "door").alias("unit_label"),
                  F.col("_debt").cast("decimal(18,2)").alias("total_debt"),
                  F.col("_n").cast("int").alias("open_charges"))
@@ -204,19 +202,16 @@ def top_debtors(person: DataFrame, unit: DataFrame, apportionment: DataFrame, bu
 
 def top_debtors_xml(debtors: DataFrame) -> DataFrame:
     """<Top3Morosos><Moroso DNI="..">..</Moroso>..</Top3Morosos> per building (≤ n rows each)."""
-    row = F.concat(
-        F.lit('<Moroso DNI="'), X.xml_escape("dni"), F.lit('">'),
-        X.xml_element("Nombre", "first_name"), X.xml_element("Apellido", "last_name"),
-        X.xml_element("Email", "email"), X.xml_element("Telefono", "phone"),
-        X.xml_element("UnidadFuncional", "unit_label"), X.xml_element("DeudaTotal", "total_debt"),
-        X.xml_element("CantidadExpensasAdeudadas", "open_charges"), F.lit("</Moroso>"))
+    root, row_tag, attr, tags = FX.DEBTORS_XML
+    fields = ["first_name", "last_name", "email", "phone", "unit_label", "total_debt", "open_charges"]
+    row = F.concat(F.lit(f'<{row_tag} {attr}="'), X.xml_escape("dni"), F.lit('">'),
+                   *[X.xml_element(t, c) for t, c in zip(tags, fields)], F.lit(f"</{row_tag}>"))
     g = debtors.withColumn("_row", row).groupBy("building_id").agg(
         F.expr("listagg(_row, '') within group (order by rank)").alias("_rows"))
-    return g.select("building_id", F.concat(F.lit("<Top3Morosos>"), F.col("_rows"), F.lit("</Top3Morosos>")).alias("xml"))
+    return g.select("building_id", F.concat(F.lit(f"<{root}>"), F.col("_rows"), F.lit(f"</{root}>")).alias("xml"))
 
 
-# Cell styles of the debtors e-mail table.
-_TD = "padding: 12px; border-bottom: 1px solid #ddd;"
+_TD = FX.HTML_CELL
 
 
 def debtors_html(debtors: DataFrame, building: DataFrame) -> DataFrame:
@@ -232,7 +227,7 @@ def debtors_html(debtors: DataFrame, building: DataFrame) -> DataFrame:
         td(_TD + " color: #d9534f; text-align: right; white-space: nowrap;",
            F.concat(F.lit("$ "), X.format_es_ar("total_debt"))),
         td(_TD + " font-size: 12px; color: #666;",
-           F.concat(X.xml_escape("email"), F.lit("<br> Tel.: "), X.xml_escape("phone"))),
+           F.concat(X.xml_escape("email"), F.lit(FX.HTML_LINE_BREAK + " Tel.: "), X.xml_escape("phone"))),
         F.lit("</tr>"))
     g = debtors.withColumn("_row", row).groupBy("building_id").agg(
         F.expr("listagg(_row, '') within group (order by rank)").alias("_rows"))
@@ -268,7 +263,7 @@ def days_between_payments(payment: DataFrame, unit: DataFrame, building=None, st
     return j.select(
         "building_id", "payment_id", X.display_unit("floor", "door").alias("unit_label"),
         F.col("pay_date").alias("pay_date"),
-        F.coalesce(F.col("_prev").cast("string"), F.lit("Primer Pago")).alias("previous_date"),
+        F.coalesce(F.col("_prev").cast("string"), F.lit(FX.FIRST_PAYMENT)).alias("previous_date"),
         F.when(F.col("_prev").isNull(), F.lit(0)).otherwise(F.datediff("pay_date", "_prev")).cast("int").alias("days"))
 
 
@@ -287,17 +282,9 @@ def statement_header(charge: DataFrame, building: DataFrame, charge_no=None,
     period = F.concat(X.es_month_title(F.month("gen_date")), F.lit(" "), F.year("gen_date").cast("string"))
     c = c.select("charge_no", "name", "address", period.alias("period"),
                  X.format_dmy("due1").alias("due1_txt"), X.format_dmy("due2").alias("due2_txt"))
-    items = [
-        ("ENCABEZADO", "Nombre Administración", F.lit(admin_name)),
-        ("ENCABEZADO", "CUIT Administración", F.lit(admin_tax_id)),
-        ("CONSORCIO", "Nombre", F.col("name")),
-        ("CONSORCIO", "Dirección", F.col("address")),
-        ("VENCIMIENTOS", "Periodo", F.col("period")),
-        ("VENCIMIENTOS", "Fecha Vto 1", F.col("due1_txt")),
-        ("VENCIMIENTOS", "Fecha Vto 2", F.col("due2_txt")),
-        ("FORMA DE PAGO", "Medio", F.lit("Transferencia Bancaria")),
-        ("FORMA DE PAGO", "CVU (Consorcio)", F.lit(payment_account)),
-    ]
+    values = [F.lit(admin_name), F.lit(admin_tax_id), F.col("name"), F.col("address"), F.col("period"),
+              F.col("due1_txt"), F.col("due2_txt"), F.lit(FX.PAYMENT_MEANS), F.lit(payment_account)]
+    items = [(s, i, v) for (s, i), v in zip(FX.HEADER_ITEMS, values)]
     arr = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(i).alias("item"), v.cast("string").alias("value"),
                              F.lit(k).alias("line")) for k, (s, i, v) in enumerate(items, start=1)])
     return c.select("charge_no", F.inline(arr)).select("charge_no", "section", "item", "value",
@@ -312,11 +299,11 @@ def statement_debtors(apportionment: DataFrame, unit: DataFrame, occupancy: Data
         b = charge.filter(F.col("charge_no") == charge_no).select("building_id")
         u = u.join(b, "building_id", "left_semi")
     a = apportionment.filter(F.col("debt") > 0).select("charge_no", "unit_id", "debt", "interest")
-    o = occupancy.filter(F.col("role") == "Propietario").select("unit_id", "dni")
+    o = occupancy.filter(F.col("role") == FX.ROLE_OWNER).select("unit_id", "dni")
     p = person.select("dni", "first_name", "last_name")
     j = a.join(u, "unit_id").join(o, "unit_id").join(p, "dni")
     return j.select(
-        F.lit("DEUDOR").alias("kind"), "building_id", "dni",
+        F.lit(FX.DEBTOR_LABEL).alias("kind"), "building_id", "dni",
         F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("full_name"),
         X.display_unit("floor", "door").alias("unit_label"),
         F.col("debt").cast("decimal(12,2)").alias("debt"), F.col("interest").cast("decimal(12,2)").alias("interest"),
@@ -326,7 +313,7 @@ def statement_debtors(apportionment: DataFrame, unit: DataFrame, occupancy: Data
 def statement_ordinary(expense: DataFrame, expense_ordinary: DataFrame, charge_no=None) -> DataFrame:
     e = expense if charge_no is None else expense.filter(F.col("charge_no") == charge_no)
     j = e.join(expense_ordinary, "expense_id")
-    return j.select(F.lit("ORDINARIO").alias("kind"), "charge_no", "expense_id",
+    return j.select(F.lit(FX.ORDINARY_LABEL).alias("kind"), "charge_no", "expense_id",
                     expense_ordinary["category"].alias("category"), F.col("description").alias("detail"),
                     "provider", "invoice_no", X.format_dmy("issue_date").alias("issue_date"),
                     F.col("amount").cast("decimal(10,2)").alias("amount"))
@@ -335,7 +322,7 @@ def statement_ordinary(expense: DataFrame, expense_ordinary: DataFrame, charge_n
 def statement_extraordinary(expense: DataFrame, expense_extraordinary: DataFrame, charge_no=None) -> DataFrame:
     e = expense if charge_no is None else expense.filter(F.col("charge_no") == charge_no)
     j = e.join(expense_extraordinary, "expense_id")
-    return j.select(F.lit("EXTRAORDINARIO").alias("kind"), "charge_no", "expense_id",
+    return j.select(F.lit(FX.EXTRAORDINARY_LABEL).alias("kind"), "charge_no", "expense_id",
                     F.col("description").alias("detail"),
                     F.col("instalment").cast("int").alias("instalment"),
                     F.col("instalments").cast("int").alias("instalments"),
@@ -349,26 +336,24 @@ def statement_totals(charge: DataFrame, expense: DataFrame, apportionment: DataF
     c = _charges(charge, charge_no).select("charge_no", "total")
     zero = X.dec(0, 10, 2)
     e = expense.groupBy("charge_no").agg(
-        F.sum(F.when(F.col("kind") == "Ordinario", F.col("amount")).otherwise(zero)).alias("ord"),
-        F.sum(F.when(F.col("kind") == "Extraordinario", F.col("amount")).otherwise(zero)).alias("ext"))
+        F.sum(F.when(F.col("kind") == FX.KIND_ORDINARY, F.col("amount")).otherwise(zero)).alias("ord"),
+        F.sum(F.when(F.col("kind") == FX.KIND_EXTRAORDINARY, F.col("amount")).otherwise(zero)).alias("ext"))
     a = apportionment.groupBy("charge_no").agg(
         F.sum("received").alias("rec"), F.sum("prior_balance").alias("bal"), F.sum("debt").alias("debt"))
     j = c.join(e, "charge_no", "left").join(a, "charge_no", "left")
     m = lambda x: F.col(x).cast("decimal(18,2)")
     arr = F.array(*[F.struct(F.lit(k).alias("concept"), v.alias("amount"), F.lit(i).alias("line"))
-                    for i, (k, v) in enumerate([
-                        ("TOTAL_GASTO_ORDINARIO", m("ord")), ("TOTAL_GASTO_EXTRAORDINARIO", m("ext")),
-                        ("TOTAL_EXPENSA_A_REPARTIR", m("total")), ("TOTAL_PAGOS_RECIBIDOS", m("rec")),
-                        ("TOTAL_SALDO_ANTERIOR", m("bal")), ("TOTAL_DEUDA_PENDIENTE", m("debt"))], start=1)])
+                    for i, (k, v) in enumerate(zip(FX.TOTAL_CONCEPTS, [m("ord"), m("ext"), m("total"), m("rec"),
+                                                                        m("bal"), m("debt")]), start=1)])
     return j.select("charge_no", F.inline(arr)).select(
-        F.lit("ESTADO_FINANCIERO").alias("kind"), "charge_no", "concept", "amount", F.col("line").cast("int").alias("line"))
+        F.lit(FX.FINANCIAL_LABEL).alias("kind"), "charge_no", "concept", "amount", F.col("line").cast("int").alias("line"))
 
 
 def statement_units(apportionment: DataFrame, unit: DataFrame, charge_no=None) -> DataFrame:
     a = apportionment if charge_no is None else apportionment.filter(F.col("charge_no") == charge_no)
     j = a.join(unit.select("unit_id", "floor", "door"), "unit_id")
     m = lambda x: F.col(x).cast("decimal(12,2)")
-    return j.select(F.lit("PRORRATEO").alias("kind"), "charge_no", "unit_id",
+    return j.select(F.lit(FX.APPORTIONMENT_LABEL).alias("kind"), "charge_no", "unit_id",
                     X.display_unit("floor", "door").alias("unit_label"),
                     F.col("pct").cast("decimal(5,2)").alias("pct"), m("ordinary").alias("ordinary"),
                     m("extraordinary").alias("extraordinary"), m("prior_balance").alias("prior_balance"),

@@ -71,9 +71,5 @@ FILES = {
     "providers_sheet": struct(("_c0", S), ("_c1", S), ("_c2", S), ("_c3", S)),
 }
 
-# Seven amount keys of one monthly-expenses JSON object, in file order.
-EXPENSE_JSON_KEYS = [
-    "BANCARIOS", "LIMPIEZA", "ADMINISTRACION", "SEGUROS", "GASTOS GENERALES",
-    "SERVICIOS PUBLICOS-Agua", "SERVICIOS PUBLICOS-Luz",
-]
+from .fixed import EXPENSE_JSON_KEYS  # noqa: E402
 EXPENSES_JSON = struct(("Nombre del consorcio", S), ("Mes", S), *[(k, S) for k in EXPENSE_JSON_KEYS])

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from ..fixed import ROLE_OWNER, ROLE_TENANT
 from ..operators import charges as C
 from ..operators import payments as P
 from ..schemas import EXPENSE_JSON_KEYS
@@ -108,7 +109,7 @@ def persons(spark: SparkSession, sf: str) -> DataFrame:
 def occupancies(spark: SparkSession, sf: str) -> DataFrame:
     p = persons(spark, sf)
     second = F.substring("dni", 1, 1) == "9"
-    role = F.when(second | (F.col("unit_id") % 3 == 0), F.lit("Inquilino")).otherwise(F.lit("Propietario"))
+    role = F.when(second | (F.col("unit_id") % 3 == 0), F.lit(ROLE_TENANT)).otherwise(F.lit(ROLE_OWNER))
     return p.select(
         (F.col("unit_id") * 2 + F.when(second, 1).otherwise(0)).alias("occupancy_id"),
         role.alias("role"), "unit_id", "dni")

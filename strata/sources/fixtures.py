@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import ROLE_TENANT
 from . import adapter as A
 from .tables import scan
 
@@ -50,7 +51,7 @@ def people_file(spark: SparkSession, sf: str) -> DataFrame:
         F.col("first_name").alias("Nombre"), F.col("last_name").alias("Apellido"), F.col("dni").alias("DNI"),
         F.coalesce("email", F.lit("")).alias("Email"), F.coalesce("phone", F.lit("")).alias("Telefono"),
         F.col("account").alias("CVU_CBU"),
-        F.when(F.col("role") == "Inquilino", "1").otherwise("0").alias("Inquilino"))
+        F.when(F.col("role") == ROLE_TENANT, "1").otherwise("0").alias("Inquilino"))
     dup = base.filter((F.substring("DNI", 1, 1) != "9") & (F.col("DNI").cast("bigint") % 9 == 0)).select(
         F.concat(F.col("Nombre"), F.lit("  ")).alias("Nombre"), "Apellido", "DNI", F.upper("Email").alias("Email"),
         "Telefono", "CVU_CBU", "Inquilino")
