@@ -5,7 +5,10 @@ duplicate drop within the watermark, 7-day tumbling windows. Runs with
 ``trigger(availableNow=True)`` in update mode; each micro-batch appends its updated
 windows (tagged with the batch id) through ``foreachBatch`` to a folder, and the
 current result is the latest version of every window (``max_by`` over batch ids),
-so the sink is idempotent and a restarted query resumes from its checkpoint.
+so the sink is idempotent and a restarted query resumes from its checkpoint. Late
+events are dropped once they fall behind the watermark of the previous micro-batch
+(Spark's rule for chained stateful operators); duplicates of an event id within the
+watermark are dropped before aggregation.
 
 K-02 ``apply_payments_stream``: bank files arriving in a folder are parsed, matched
 and de-duplicated per micro-batch (``foreachBatch`` calling the same operators as the
@@ -49,9 +52,16 @@ def weekly_totals_stream(spark: SparkSession, source_dir: str, glob: str = "even
     return latest_windows(spark, out_dir)
 
 
+_WINDOW_ROWS = ("window_start timestamp_ntz, window_end timestamp_ntz, event_type string, events bigint, "
+                "total_value decimal(18,2), batch_id bigint")
+
+
 def latest_windows(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current value of every window: the row of its latest micro-batch."""
-    r = spark.read.parquet(out_dir)
+    try:
+        r = spark.read.parquet(out_dir)
+    except AnalysisException:  # no micro-batch has produced output yet
+        r = spark.createDataFrame([], _WINDOW_ROWS)
     v = F.max_by(F.struct("window_end", "events", "total_value"), "batch_id")
     g = r.groupBy("window_start", "event_type").agg(v.alias("_v"))
     return g.select("window_start", F.col("_v.window_end").alias("window_end"), "event_type",
