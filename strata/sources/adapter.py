@@ -304,7 +304,10 @@ class Ledger:
 
     @cached_property
     def bank_matched(self) -> DataFrame:
-        return P.match_by_month(self.bank_staged, self.apportion_carried, self.charge)
+        # the month rule only needs the (charge, unit) keys, which the carry-forward
+        # does not change: match against the final apportionment so this import can
+        # run alongside the carry-forward
+        return P.match_by_month(self.bank_staged, self.apportion_final, self.charge)
 
     @cached_property
     def payment(self) -> DataFrame:
@@ -324,7 +327,7 @@ class Ledger:
         "expense_ordinary": ["expense", "building"], "expense_extraordinary": ["expense"],
         "apportion_final": ["charge", "unit", "expense"],
         "apportion_carried": ["apportion_final", "charge"],
-        "bank_matched": ["bank_parsed", "person", "apportion_carried", "charge"],
+        "bank_matched": ["bank_parsed", "person", "apportion_final", "charge"],
         "payment": ["bank_matched"],
         "apportionment": ["apportion_carried", "payment"],
     }
