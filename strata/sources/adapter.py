@@ -336,7 +336,7 @@ class Ledger:
                  "apportionment": ["charge_no", "unit_id"], "payment": ["pay_date", "payment_id"],
                  "bank_matched": ["source_id"], "bank_parsed": ["source_id"], "expense": ["charge_no", "expense_id"]}
 
-    def materialize(self, path: str | None = None, parallel: int = 4) -> "Ledger":
+    def materialize(self, path: str | None = None, parallel: int = 8) -> "Ledger":
         """Write the ledger tables once, each computed from the already written ones
         (lineage is cut at every table, so a lost executor only recomputes the current
         stage). Tables whose inputs are ready are written concurrently (one Spark job
