@@ -198,5 +198,11 @@ def import_payments(bank_rows: DataFrame, person: DataFrame, appt: DataFrame, ch
     accepted, rejected = split_accepted(matched, require_account)
     rows = as_payment_rows(accepted)
     new = rows if existing is None else new_payments(rows, existing)
+    # D-13 row counters (@@ROWCOUNT) without a second pass: filled by whatever action
+    # writes the inserted payments
+    from pyspark.sql import Observation
+    counters = Observation(f"payments_{match}")
+    new = new.observe(counters, F.count(F.lit(1)).alias("inserted"),
+                      F.coalesce(F.sum("amount"), F.lit(0)).alias("inserted_amount"))
     return {"matched": matched, "quality": quality_profile(matched), "payments": new, "rejected": rejected,
-            "apportionment": apply_payments(appt, new)}
+            "apportionment": apply_payments(appt, new), "counters": counters}

@@ -28,6 +28,8 @@ def test_import_payments_month_and_fifo(spark):
     m = P.import_payments(L.bank_file, L.person, L.apportion_carried, L.charge, match="month")
     assert m["payments"].exceptAll(L.payment).count() == 0
     assert m["apportionment"].exceptAll(L.apportionment).count() == 0
+    m["payments"].write.format("noop").mode("overwrite").save()
+    assert m["counters"].get["inserted"] == L.payment.count()  # observed while writing, no extra pass
     again = P.import_payments(L.bank_file, L.person, L.apportion_carried, L.charge, existing=L.payment)
     assert again["payments"].count() == 0
     f = P.import_payments(L.bank_file, L.person, L.apportionment, L.charge, match="fifo")
