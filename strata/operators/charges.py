@@ -319,12 +319,13 @@ class UnknownBuildings(ValueError):
 def generate_charges(sheet: DataFrame, providers: DataFrame, building: DataFrame, unit: DataFrame,
                      existing_charges: DataFrame | None = None, existing_expenses: DataFrame | None = None,
                      year: int | None = None, day1: int = 10, day2: int = 20, carry: str = "snapshot",
-                     check_buildings: bool = True) -> dict[str, DataFrame]:
+                     check_buildings: bool = True, interest: str = "flat", as_of=None) -> dict[str, DataFrame]:
     """Expenses objects (+ providers) -> charges, apportionment, expenses and subtypes.
 
     Unknown building names stop the import (as the reference raises), checked with one
     small aggregate over the distinct missing names. ``carry`` is 'snapshot' (one-step,
-    the reference's behaviour) or 'chained'.
+    the reference's behaviour) or 'chained'. ``interest`` is 'flat' (5% of the carried
+    balance, the import's rule) or 'tiered' (the late-interest rule as of ``as_of``).
     """
     stage = stage_expenses(sheet, year=year)
     if check_buildings:
@@ -337,7 +338,21 @@ def generate_charges(sheet: DataFrame, providers: DataFrame, building: DataFrame
     expense = expenses(resolved, existing_expenses)
     base = apportion_base(charge, unit)
     final = apportion_final(base, expense_totals(expense))
-    carried = carry_forward(final, charge, chained=(carry == "chained"))
+    if interest == "flat":
+        carried = carry_forward(final, charge, chained=(carry == "chained"))
+    elif interest == "tiered":
+        from .interest import late_interest
+        if as_of is None:
+            raise ValueError("tiered interest needs as_of")
+        base = carry_forward(final, charge, rate=Decimal("0"), chained=(carry == "chained"))
+        li = late_interest(base, charge, as_of).select(
+            "charge_no", "unit_id", F.col("interest").alias("_i"), F.col("total").alias("_t"))
+        carried = base.join(li, ["charge_no", "unit_id"], "left").select(
+            "charge_no", "unit_id", "pct", "prior_balance", "received",
+            F.coalesce("_i", "interest").alias("interest"), "ordinary", "extraordinary",
+            F.coalesce("_t", "total").alias("total"), F.coalesce("_t", "debt").alias("debt"))
+    else:
+        raise ValueError("interest must be 'flat' or 'tiered'")
     return {"charge": charge, "expense": expense, "expense_ordinary": assign_providers(expense, providers),
             "expense_extraordinary": extraordinary_rows(expense), "apportion_base": base,
             "apportion_final": final, "apportionment": carried}

@@ -23,6 +23,17 @@ def test_generate_charges_matches_ledger(spark):
                            L.building, L.unit)
 
 
+def test_generate_charges_tiered_interest(spark):
+    L = ledger(spark, SF_SMALL)
+    flat = C.generate_charges(L.expense_sheet, L.providers, L.building, L.unit)["apportionment"]
+    tiered = C.generate_charges(L.expense_sheet, L.providers, L.building, L.unit, interest="tiered",
+                                as_of=dt.date(2003, 3, 15))["apportionment"]
+    j = flat.alias("f").join(tiered.alias("t"), ["charge_no", "unit_id"])
+    assert j.count() == flat.count()
+    assert j.filter("f.prior_balance > 0 AND f.interest <> t.interest").count() > 0
+    assert j.filter("t.total <> t.ordinary + t.extraordinary + t.prior_balance + t.interest").count() == 0
+
+
 def test_import_payments_month_and_fifo(spark):
     L = ledger(spark, SF_SMALL)
     m = P.import_payments(L.bank_file, L.person, L.apportion_carried, L.charge, match="month")
