@@ -20,13 +20,13 @@ from .oracle import CATS, cents, es_ar, from_cents, month_name, rdiv, with_ctes
 
 @query("q_unpivot_expenses", with_ctes(
     f"""
-SELECT n.n_name AS building_name, {month_name('k.month')} AS mes_raw, k.month, k.year, c.category,
+SELECT n.n_name AS building_name, {month_name('k.month')} AS mes_raw, k.month, k.year, k.category,
        {es_ar('l.amount')} AS amount_raw, CAST(coalesce(l.amount, 0) AS DECIMAL(18,2)) AS amount
-FROM (SELECT DISTINCT building_id, year, month FROM li_sum) k
+FROM (SELECT building_id, year, month, unnest([{", ".join(f"'{c}'" for c in CATS)}]) AS category
+      FROM (SELECT DISTINCT building_id, year, month FROM li_sum) d) k
 JOIN nation n ON n.n_nationkey = k.building_id
-CROSS JOIN (VALUES {", ".join(f"('{c}')" for c in CATS)}) c(category)
 LEFT JOIN li_sum l ON l.building_id = k.building_id AND l.year = k.year AND l.month = k.month
-                  AND l.category = c.category"""))
+                  AND l.category = k.category"""))
 def q_unpivot_expenses(L):
     """C-17: monthly JSON objects (seven amount keys) -> one row per key, month and
     amount parsed (blank/NULL -> 0)."""

@@ -216,12 +216,13 @@ _HEADER_ITEMS = [
 
 
 @query("q_statement_header", with_ctes(
-    "SELECT c.charge_no, v.section, v.item, CASE v.line "
+    "SELECT c.charge_no, struct_extract(c.v, 'section') AS section, struct_extract(c.v, 'item') AS item, "
+    "CASE struct_extract(c.v, 'line') "
     + " ".join(f"WHEN {i} THEN {expr}" for i, (_, _, expr) in enumerate(_HEADER_ITEMS, 1))
-    + " END AS value, CAST(v.line AS INTEGER) AS line\n"
-    "FROM charge c JOIN building b ON b.building_id = c.building_id CROSS JOIN (VALUES "
-    + ", ".join(f"({i}, '{s}', '{it}')" for i, (s, it, _) in enumerate(_HEADER_ITEMS, 1))
-    + ") v(line, section, item)"))
+    + " END AS value, CAST(struct_extract(c.v, 'line') AS INTEGER) AS line\n"
+    "FROM (SELECT *, unnest(["
+    + ", ".join(f"{{'line': {i}, 'section': '{s}', 'item': '{it}'}}" for i, (s, it, _) in enumerate(_HEADER_ITEMS, 1))
+    + "]) AS v FROM charge) c JOIN building b ON b.building_id = c.building_id"))
 def q_statement_header(L):
     """J-08 result set 1 for every charge: nine header rows each."""
     return R.statement_header(L.charge, L.building)
@@ -264,15 +265,16 @@ _CONCEPTS = ["TOTAL_GASTO_ORDINARIO", "TOTAL_GASTO_EXTRAORDINARIO", "TOTAL_EXPEN
 
 
 @query("q_statement_totals", with_ctes(
-    "SELECT 'ESTADO_FINANCIERO' AS kind, c.charge_no, v.concept, CAST(CASE v.line WHEN 1 THEN e.o WHEN 2 THEN e.x "
+    "SELECT 'ESTADO_FINANCIERO' AS kind, c.charge_no, struct_extract(c.v, 'concept') AS concept, "
+    "CAST(CASE struct_extract(c.v, 'line') WHEN 1 THEN e.o WHEN 2 THEN e.x "
     "WHEN 3 THEN c.total WHEN 4 THEN a.rec WHEN 5 THEN a.bal WHEN 6 THEN a.debt END AS DECIMAL(18,2)) AS amount, "
-    "CAST(v.line AS INTEGER) AS line\n"
-    "FROM charge c LEFT JOIN (SELECT charge_no, sum(CASE WHEN kind = 'Ordinario' THEN amount ELSE 0 END) AS o, "
+    "CAST(struct_extract(c.v, 'line') AS INTEGER) AS line\n"
+    "FROM (SELECT *, unnest([" + ", ".join(f"{{'line': {i}, 'concept': '{k}'}}" for i, k in enumerate(_CONCEPTS, 1))
+    + "]) AS v FROM charge) c LEFT JOIN (SELECT charge_no, sum(CASE WHEN kind = 'Ordinario' THEN amount ELSE 0 END) AS o, "
     "sum(CASE WHEN kind = 'Extraordinario' THEN amount ELSE 0 END) AS x FROM expense GROUP BY charge_no) e "
     "ON e.charge_no = c.charge_no\n"
     "LEFT JOIN (SELECT charge_no, sum(received) AS rec, sum(prior_balance) AS bal, sum(debt) AS debt "
-    "FROM apportionment GROUP BY charge_no) a ON a.charge_no = c.charge_no\n"
-    "CROSS JOIN (VALUES " + ", ".join(f"({i}, '{k}')" for i, k in enumerate(_CONCEPTS, 1)) + ") v(line, concept)"))
+    "FROM apportionment GROUP BY charge_no) a ON a.charge_no = c.charge_no"))
 def q_statement_totals(L):
     """J-08 result set 5: six totals per charge from one aggregate + stack."""
     return R.statement_totals(L.charge, L.expense, L.apportionment)
