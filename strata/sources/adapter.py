@@ -25,6 +25,7 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -363,9 +364,13 @@ class Ledger:
             if name in self.BUCKETED:
                 key = self.BUCKETED[name]
                 table = f"strata_{run}_{name}"
-                (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
-                 .sortBy(key, "charge_no").option("path", target).saveAsTable(table))
-                return self.spark.table(table)
+                try:
+                    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
+                     .sortBy(key, "charge_no").option("path", target).saveAsTable(table))
+                    return self.spark.table(table)
+                except AnalysisException:
+                    # no usable catalog for bucketed tables: store plain parquet instead
+                    target = f"{target}_plain"
             keys = self.SORT_KEYS.get(name)
             if keys:
                 df = df.sortWithinPartitions(*keys)  # narrow min/max per row group
