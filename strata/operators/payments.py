@@ -79,12 +79,14 @@ def match_fifo(payments: DataFrame, appt: DataFrame, charge: DataFrame) -> DataF
     return p.withColumn("charge_fifo", F.when(F.col("_gen") <= F.col("pay_date"), F.col("_no"))).drop("_gen", "_no")
 
 
-def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key: str = "source_id") -> DataFrame:
+def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key: str = "source_id",
+                   only_if_null: str | None = None) -> DataFrame:
     """Newest charge of the unit whose [gen, COALESCE(due2, gen+30)] holds the payment date.
 
     One left join on (unit, month bucket) with the exact range as residual condition,
     then one aggregate per payment (``max_by``; a payment without candidates keeps its
     single NULL-extended row), so no join back onto the payments is needed.
+    ``only_if_null`` names a column: rows where it is set get no interval match.
     """
     c = with_charge_dates(appt.select("charge_no", "unit_id"), charge).select(
         F.col("unit_id").alias("_cu"), F.col("charge_no").alias("_cno"), F.col("gen_date").alias("_gen"),
@@ -95,6 +97,9 @@ def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key:
     p = keyed.withColumn("_m", X.month_start("pay_date"))
     cond = ((p["unit_id"] == c["_cu"]) & (p["_m"] == c["_cm"])
             & p["pay_date"].between(c["_gen"], c["_end"]))
+    if only_if_null is not None:
+        # rows already matched (e.g. by FIFO) keep their row but get no candidates
+        cond = cond & p[only_if_null].isNull()
     j = p.join(c, cond, "left")
     payload = [F.first(x).alias(x) for x in payments.columns if x != key]
     best = F.max_by(F.col("_cno"), F.struct(F.col("_gen"), F.col("_cno"))).alias("charge_interval")
@@ -189,9 +194,8 @@ def import_payments(bank_rows: DataFrame, person: DataFrame, appt: DataFrame, ch
         require_account = False
     elif match == "fifo":
         f = match_fifo(resolve_unit_by_hash(staged, person), appt, charge)
-        todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())
-        iv = match_interval(todo, appt, charge).select("source_id", "charge_interval")
-        matched = f.join(iv, "source_id", "left").withColumn("charge_no", F.coalesce("charge_fifo", "charge_interval"))
+        matched = match_interval(f, appt, charge, only_if_null="charge_fifo") \
+            .withColumn("charge_no", F.coalesce("charge_fifo", "charge_interval"))
         require_account = True
     else:
         raise ValueError("match must be 'month' or 'fifo'")

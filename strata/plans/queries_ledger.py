@@ -212,10 +212,8 @@ def _fifo(L):
 
 
 def _fifo_interval(L):
-    f = _fifo(L)
-    todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())
-    iv = P.match_interval(todo, L.apportionment, L.charge)
-    return f.join(iv.select("source_id", "charge_interval"), "source_id", "left") \
+    """FIFO, then the interval rule for the rows FIFO left unmatched, in one pass."""
+    return P.match_interval(_fifo(L), L.apportionment, L.charge, only_if_null="charge_fifo") \
         .withColumn("charge_no", F.coalesce("charge_fifo", "charge_interval"))
 
 
@@ -267,7 +265,7 @@ def q_payment_interval_match(L):
     """C-14: for payments FIFO left unmatched, the newest charge whose
     [generation, second due date or +30 days] holds the payment date."""
     f = _fifo(L)
-    todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())
+    todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())  # few rows: match only those
     return P.match_interval(todo, L.apportionment, L.charge).select("source_id", "unit_id", "pay_date", "charge_interval")
 
 
