@@ -337,11 +337,13 @@ class Ledger:
     SORT_KEYS = {"apportion_final": ["charge_no", "unit_id"], "apportion_carried": ["charge_no", "unit_id"],
                  "apportionment": ["charge_no", "unit_id"], "payment": ["pay_date", "payment_id"],
                  "bank_matched": ["source_id"], "bank_parsed": ["source_id"], "expense": ["charge_no", "expense_id"]}
-    # Tables bucketed by unit: a unit has one row per billing month, so no bucket can be
-    # hot, and the per-unit windows/aggregates over them (carry-forward, balance
-    # refresh, debtors) read co-located data without a shuffle. Payments are not
-    # bucketed: one unit may hold a third of them.
-    BUCKETED = {"apportion_final": "unit_id", "apportion_carried": "unit_id", "apportionment": "unit_id"}
+    # The final apportionment (the table the reports read) is bucketed by unit: a unit
+    # has one row per billing month, so no bucket can be hot, and the per-unit windows
+    # and aggregates over it (balance refresh, debtors) read co-located data without a
+    # shuffle. The two intermediate apportionment tables are only read once inside the
+    # build, where a bucketed write (repartition + sort) costs more than it saves.
+    # Payments are not bucketed: one unit may hold a third of them.
+    BUCKETED = {"apportionment": "unit_id"}
 
     def materialize(self, path: str | None = None, parallel: int = 8) -> "Ledger":
         """Write the ledger tables once, each computed from the already written ones
