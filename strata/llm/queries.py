@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import url_filter
+from . import cube_mix, quality_rules, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,21 @@ def query(fn):
     return run
 
 
+@query
+def op1_cube_mix(spark, sf_dir):
+    """Words that a balanced mix takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return cube_mix.mix(docs, cube_mix.ranked_weights(docs), cap=3.0) \
+        .select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    """Base figures and verdict on every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 @query
 def op9_url_filter(spark, sf_dir):
     """Verdict on every page's URL."""
