@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
-from . import cube_mix, quality_rules, url_filter
+from . import cube_mix, fingerprint, quality_rules, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,21 @@ def op9_url_filter(spark, sf_dir):
     """Verdict on every page's URL."""
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")) \
         .select("page_id", "host", "path", "rule", "verdict", "by")
+
+
+@query
+def op10_fingerprint(spark, sf_dir):
+    """Fingerprints of every text and of its edited form, and their likeness."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    value = F.struct(F.col("text").alias("text"), fingerprint.sketch(F.col("text")).alias("sketch"))
+    both = fingerprint.with_next(docs, "doc_id", value, "own", "next")
+    changed = both.select("doc_id", F.col("own.text").alias("text"), F.col("own.sketch").alias("own"),
+                          F.col("next.sketch").alias("next"),
+                          fingerprint.edited(F.col("own.text"), F.col("next.text")).alias("edited"))
+    changed = changed.withColumn("edited_own", fingerprint.sketch(F.col("edited")))
+    return changed.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("own")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_own")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("own"), F.col("edited_own")).alias("near_edited"),
+        fingerprint.resemblance(F.col("own"), F.col("next")).alias("near_next"))
