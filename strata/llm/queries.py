@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import cube_mix, fingerprint, quality_rules, url_filter
+from . import cube_mix, fingerprint, html_extract, quality_rules, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,10 @@ def op10_fingerprint(spark, sf_dir):
         fingerprint.as_text(F.col("edited_own")).alias("edited_fingerprint"),
         fingerprint.resemblance(F.col("own"), F.col("edited_own")).alias("near_edited"),
         fingerprint.resemblance(F.col("own"), F.col("next")).alias("near_next"))
+
+
+@query
+def op4_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    text = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
