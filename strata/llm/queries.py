@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import cube_mix, fingerprint, html_extract, quality_rules, url_filter
+from . import cube_mix, fingerprint, html_extract, pii, quality_rules, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op4_html_extract(spark, sf_dir):
     """Main text of every page."""
     text = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op7_pii(spark, sf_dir):
+    """Personal data of every document."""
+    return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
