@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import cube_mix, fingerprint, html_extract, pii, quality_rules, url_filter
+from . import cube_mix, fingerprint, html_extract, pii, quality_rules, sentencepiece_codec, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,14 @@ def op4_html_extract(spark, sf_dir):
 def op7_pii(spark, sf_dir):
     """Personal data of every document."""
     return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_sentencepiece(spark, sf_dir):
+    """Ids of every text, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs), out="decoded")
+    return coded.select("doc_id", F.length("text").cast("long").alias("n_chars"),
+                        F.size("ids").cast("long").alias("n_ids"), "ids",
+                        F.sha2("decoded", 256).alias("decoded_sha256"),
+                        (F.col("decoded") == F.col("text")).alias("round_trip"))
