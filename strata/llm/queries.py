@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import cube_mix, fingerprint, html_extract, pii, quality_rules, sentencepiece_codec, url_filter
+from . import (
+    cube_mix,
+    fingerprint,
+    html_extract,
+    jaccard_join,
+    pii,
+    quality_rules,
+    sentencepiece_codec,
+    url_filter,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +94,9 @@ def op5_sentencepiece(spark, sf_dir):
                         F.size("ids").cast("long").alias("n_ids"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"),
                         (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@query
+def op8_jaccard_join(spark, sf_dir):
+    """Components of documents that are at least 90 % similar in three-word shingles."""
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
