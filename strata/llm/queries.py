@@ -13,6 +13,7 @@ from . import (
     fingerprint,
     html_extract,
     jaccard_join,
+    katz,
     pii,
     quality_rules,
     sentencepiece_codec,
@@ -100,3 +101,9 @@ def op5_sentencepiece(spark, sf_dir):
 def op8_jaccard_join(spark, sf_dir):
     """Components of documents that are at least 90 % similar in three-word shingles."""
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_katz(spark, sf_dir):
+    """Katz backoff score of every text beside a unigram baseline."""
+    return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
