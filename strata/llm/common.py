@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +43,9 @@ def words(text: Column) -> Column:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove shuffle files that no plan needs any more: those of stored steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -17,6 +17,7 @@ from . import (
     pii,
     quality_rules,
     sentencepiece_codec,
+    suffix_dedup,
     url_filter,
 )
 from .common import table
@@ -107,3 +108,9 @@ def op8_jaccard_join(spark, sf_dir):
 def op2_katz(spark, sf_dir):
     """Katz backoff score of every text beside a unigram baseline."""
     return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that an earlier document has in strings of 50 bytes."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
