@@ -162,3 +162,18 @@ def ranked_weights(docs: DataFrame, source: str = "source", weights: Iterable[fl
     names = docs.select(F.col(source).alias("source")).distinct()
     rank = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))
     return names.select("source", cycle[F.pmod(rank - 1, F.size(cycle))].alias("weight"))
+
+
+def take(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+         cap: float = 3.0) -> DataFrame:
+    """The mix itself: each document as often as it is taken. Equal rows share what all of them are given."""
+    keyed = docs.withColumn("__key", F.xxhash64(doc_id, source, text))
+    size = F.size(words(F.col(text)))
+    given = mix(keyed, weights, "__key", source, size, cap).groupBy("__key") \
+        .agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
+    given = store(given, "mix-copies")
+    if not given.where("__n > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["__key"])
+    taken = keyed.hint("merge").join(given.where("__copies > 0").select("__key", "__copies"), "__key")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))) \
+        .select(*docs.columns)
