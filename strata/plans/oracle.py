@@ -9,6 +9,8 @@ recipe on both sides: cents as HUGEINT, one half-up rounding.
 
 from __future__ import annotations
 
+import re
+
 SCALE = 10 ** 12
 
 
@@ -259,13 +261,27 @@ FROM expense WHERE kind = 'Extraordinario'""",
 }
 
 
+def _needed(sql: str) -> list[str]:
+    """Names of the ledger CTEs that ``sql`` refers to, directly or through others, in order of definition."""
+    found: set[str] = set()
+    todo = [sql]
+    while todo:
+        words = set(re.findall(r"\w+", todo.pop()))
+        for name in LEDGER_CTES.keys() & words - found:
+            found.add(name)
+            todo.append(LEDGER_CTES[name])
+    return [name for name in LEDGER_CTES if name in found]
+
+
 def with_ctes(select: str) -> str:
-    """Prefix ``select`` with the ledger CTEs (DuckDB skips the unreferenced ones).
+    """Prefix ``select`` with the ledger CTEs it needs, each computed once.
 
     A ``select`` starting with its own ``WITH`` has its CTEs appended to the list.
     """
-    body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in LEDGER_CTES.items())
     sel = select.strip()
+    ctes = [f"{name} AS MATERIALIZED ({LEDGER_CTES[name].strip()})" for name in _needed(sel)]
+    if not ctes:
+        return sel
     if sel[:5].upper() == "WITH ":
-        return f"WITH {body},\n{sel[5:]}"
-    return f"WITH {body}\n{sel}"
+        return f"WITH {',\n'.join(ctes)},\n{sel[5:]}"
+    return f"WITH {',\n'.join(ctes)}\n{sel}"
