@@ -7,8 +7,8 @@ threshold; linked documents form components. The result is exact (but for collis
 2. Shingles are hashed into groups; a set is a point of group counts. For a threshold t, two linked sets of at most M
    shingles differ in at most D = 2M(1-t)/(1+t) shingles. With more than D blocks of groups, some block is equal in
    both. Nodes of a size class are dealt by the content of each block; nodes that meet in a block are joined in a
-   family. Blocks with few shingles meet by chance, so there are spare blocks for them: a node deals its poor blocks
-   only if it has more than the spare ones, which a linked pair then has in common.
+   family. Blocks with few shingles meet by chance, so there are spare blocks: a node deals its poor blocks only if
+   all blocks that it must have in common with a partner might be poor.
 3. In a family, an R-tree over the count vectors finds partners: the overlap of two sets is at most the sum of their
    counts' minima, that of a set and any point in a box at most the sum with the box's upper corner. Survivors are
    verified on the sets. Pairs that are already connected need no check.
@@ -32,15 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts, store
+from .common import release, shuffle_parts, store
 from .components import components
 from .tokens import combine, mix, text_column, word_hashes
 
 SHINGLE = 3
 PERCENT = 90
-RATIO = 1.25  # size of a class's largest set over its smallest
-POOR = 3  # a block of fewer shingles is poor
-GROUPS = 64
+RATIO = 1.25  # size of a class's largest set over its smallest; thresholds of 80 % and more fit it
+GROUPS = 64  # least and most groups of a count vector
+MOST_GROUPS = 4096
 LEAF = 16
 TILE = 1024
 BAND = 1.05
@@ -74,12 +74,22 @@ def class_of(size: int) -> int:
     return int(math.log(size) / math.log(RATIO) + 1e-9)
 
 
+def most_different(a: int, b: int, percent: int) -> int:
+    """Most shingles in which two linked sets of at most these sizes can differ."""
+    return (a + b) * (100 - percent) // (100 + percent)
+
+
 def class_blocks(c: int, percent: int) -> tuple[int, int]:
-    """Blocks of a size class and how many of them are spare; no blocks if only equal sets can link."""
+    """Blocks of a size class, and below how many shingles a block is poor. No blocks if only equal sets can link.
+
+    The blocks beyond those that linked sets can differ in make up for the poor ones: more of them for lower
+    thresholds, where blocks are smaller.
+    """
     most = math.ceil(RATIO ** (c + 1) + 1e-6)  # one more than the largest set, for rounding
-    differ = 2 * most * (100 - percent) // (100 + percent)
-    spare = 3 + differ // 6
-    return (differ + 1 + spare, spare) if differ else (0, 0)
+    differ = most_different(most, most, percent)
+    if not differ:
+        return 0, 0
+    return (differ + 4 + differ // 6, 3) if percent >= 90 else (differ + 4 + differ // 2, 2)
 
 
 def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
@@ -88,8 +98,9 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
     c = class_of(size)
     following = 100 * (size + 1) >= percent * RATIO ** (c + 1)
     place, weight = mix(s ^ np.uint64(0x8CB92BA72F3D8DD7)), mix(s)
+    largest = size * 100 // percent  # partner
     for k in (c, c + 1) if following else (c,):
-        blocks, spare = class_blocks(k, percent)
+        blocks, few = class_blocks(k, percent)
         if not blocks:
             continue
         at = (place % np.uint64(blocks)).astype(np.int64)
@@ -99,8 +110,10 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
         filled = np.flatnonzero(count)
         starts = np.cumsum(count) - count
         content[filled] = np.add.reduceat(weight[order], starts[filled])
-        poor = count < POOR
-        take = np.flatnonzero(~poor) if poor.sum() <= spare else np.arange(blocks)
+        poor = count < few
+        # a partner has at least this many blocks in common with the set; if more than are poor, one is not
+        common = blocks - most_different(size, largest, percent)
+        take = np.flatnonzero(~poor) if poor.sum() < common else np.arange(blocks)
         name = mix(np.uint64(k << 40) + take.astype(np.uint64) + np.uint64(1))
         out.append(combine(content[take], name ^ count[take].astype(np.uint64)))
     return np.concatenate(out)
@@ -147,14 +160,21 @@ class CountTree:
         return self.order[at]
 
 
-def count_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount((mix(s ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+def groups_for(largest: int) -> int:
+    """Groups of the count vectors of sets up to this size: about four shingles a group, else boxes bound nothing."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << max(0, (largest // 4)).bit_length()))
+
+
+def count_vector(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    at = mix(s ^ np.uint64(0xA0761D6478BD642F)) & np.uint64(groups - 1)
+    return np.bincount(at.astype(np.int64), minlength=groups)
 
 
 def family_links(nodes: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
                  percent: int) -> list[tuple[int, int]]:
     """Links that connect what is connected, between the left and the right members (both sides: any pair)."""
-    vectors = np.array([count_vector(s) for s in sets])
+    groups = groups_for(max(map(len, sets)))
+    vectors = np.array([count_vector(s, groups) for s in sets], np.int32)
     tree_at = np.flatnonzero(right)
     tree = CountTree(vectors[tree_at], percent)
     parent = list(range(len(nodes)))
@@ -247,7 +267,7 @@ def family_members(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                 ["family", "node", "size", "shingles"])
 
-    joined = docs.join(chosen.withColumnRenamed("id", "__id"), F.col("id").eqNullSafe(F.col("__id")))
+    joined = docs.hint("merge").join(chosen.withColumnRenamed("id", "__id"), F.col("id").eqNullSafe(F.col("__id")))
     return joined.select("text", "node", "family").mapInArrow(
         run, "family long, node long, size long, shingles binary")
 
@@ -291,16 +311,19 @@ def verified(members: DataFrame, chosen: DataFrame, percent: int, tile: int) ->
         return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()),
                          "b": pa.array([b for _, b in pairs], pa.int64())})
 
-    return members.join(placed, ["family", "node"]).select("family", "pair", "node", "left", "right", "shingles") \
+    return members.hint("merge").join(placed, ["family", "node"]).select("family", "pair", "node", "left", "right", "shingles") \
         .groupBy("family", "pair").applyInArrow(run, "a long, b long")
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT,
          tile: int = TILE) -> DataFrame:
     """Doc id, n_shingles and component_id of every row."""
+    if not 100 <= percent * RATIO or percent > 100:
+        raise ValueError("the threshold must be from 80 to 100 percent")
     rows = _ids(docs, doc_id, text)
     nodes = store(document_nodes(rows, n), "jaccard-nodes")
     families = store(components(met(dealt_blocks(rows, n, percent)), "a", "b", "jaccard-families"), "jaccard-families")
+    release(docs.sparkSession)
     first = nodes.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"))
     chosen = store(first.join(families, "node").select("id", "node", F.col("root").alias("family"), "n"),
                    "jaccard-chosen")
@@ -313,3 +336,17 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return nodes.join(by_node, "node").select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                                               component.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
+    """The documents without near duplicates: of each component the one of smallest id stays, equal rows once.
+
+    Empty texts belong to no one and stay. Rows of one id with different texts are one document's and stay together.
+    """
+    of = join(docs, doc_id, text, n, percent).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    rows = store(of.groupBy(F.col(doc_id).alias("__id")).agg(F.count("*").alias("__n")), "jaccard-kept")
+    kept = docs.hint("merge").join(rows.select("__id"), F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
+    if rows.where("__n > 1").isEmpty():
+        return kept
+    return kept.withColumn("__text", F.xxhash64(text)).dropDuplicates([doc_id, "__text"]).drop("__text")
