@@ -85,7 +85,7 @@ def _block(pdf: pd.DataFrame) -> pd.DataFrame:
     x = fly(pdf["__p"].to_numpy(float), size)
     if pdf["__last"].iloc[0]:
         x = land(x, size, 0.0)
-    return pdf.assign(__p=x)
+    return pdf.astype({"__source": object}).assign(__p=x)
 
 
 def targets(sources: DataFrame, cap: float) -> DataFrame:

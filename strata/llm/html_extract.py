@@ -217,7 +217,7 @@ def _subtrees(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for d in sorted(set(Page(source).hashes().values())):
                 host.append(h)
                 subtree.append(d)
-        yield pd.DataFrame({"host": host, "subtree": np.array(subtree, dtype=np.int64)})
+        yield pd.DataFrame({"host": pd.Series(host, dtype=object), "subtree": np.array(subtree, dtype=np.int64)})
 
 
 def template_subtrees(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
@@ -245,7 +245,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", out: str = "
                 page = Page(source)
                 known = set() if known is None else {int(x) for x in known}
                 found.append(page.text({i for i, h in page.hashes().items() if h in known} if known else frozenset()))
-            yield pdf[rest].assign(**{out: found})
+            yield pdf[rest].astype(object).assign(**{out: pd.Series(found, dtype=object)})
 
     schema = df.select(*rest).withColumn(out, F.lit("")).schema
     return df.mapInPandas(texts, schema)

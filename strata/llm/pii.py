@@ -190,7 +190,8 @@ VOTES = slice(1, 6)
 def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50):
     """Posterior of each vote pattern, and each labeler's vote probabilities given no (0) and yes (1).
 
-    Starts from the majority vote. Labelers are independent given the truth; each kind has its own prior.
+    Starts from the majority vote. Labelers are independent given the truth; each kind has its own prior. A labeler
+    that does not vote says nothing.
     """
     x = np.array([p for p, _ in patterns])
     n = np.array([c for _, c in patterns], float)
@@ -200,14 +201,15 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds
         table = np.empty((2, votes.shape[1], 3))
         for y, w in ((0, n * (1 - q)), (1, n * q)):
             for v in (-1, 0, 1):
-                table[y, :, v + 1] = (w[:, None] * (votes == v)).sum(0) + 0.5
+                table[y, :, v + 1] = (w[:, None] * (votes == v)).sum(0) + 0.5 if v else 0
         table /= table.sum(2, keepdims=True)
         logit = np.empty(len(n))
         for k in np.unique(x[:, 0]):
             of = x[:, 0] == k
             logit[of] = math.log(((n * q)[of].sum() + 1) / ((n * (1 - q))[of].sum() + 1))
         for j in range(votes.shape[1]):
-            logit += np.log(table[1, j, votes[:, j] + 1]) - np.log(table[0, j, votes[:, j] + 1])
+            given = votes[:, j] != 0
+            logit[given] += np.log(table[1, j, votes[given, j] + 1]) - np.log(table[0, j, votes[given, j] + 1])
         q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return q, table
 
@@ -267,7 +269,7 @@ def scanned(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                 rows.append((*[n[k] for k in BASE], joined(base),
                              [{"span": joined([s]), "f": list(f)} for s, f in spans]))
             out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "seen"])
-            yield pd.concat([pdf[keep].reset_index(drop=True), out], axis=1)
+            yield pd.concat([pdf[keep].reset_index(drop=True).astype(object), out], axis=1)
 
     head = docs.select(*keep).schema
     fields = docs.sparkSession.createDataFrame([], _SCANNED).schema
@@ -304,7 +306,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                     every.append(joined(decide(strict, spans, model)))
                 else:
                     every.append(base)
-            yield pdf.drop(columns=["base", "seen"]).assign(base_sha256=digest, spans=every)
+            yield pdf.drop(columns=["base", "seen"]).astype(object).assign(base_sha256=digest, spans=every)
 
     schema = rows.drop("base", "seen").withColumns({"base_sha256": F.lit(""), "spans": F.lit("")}).schema
     return rows.mapInPandas(run, schema)
@@ -332,7 +334,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            pdf[text] = [replaced(t) for t in pdf[text]]
+            pdf = pdf.astype(object)
+            pdf[text] = [replaced(t) if isinstance(t, str) else None for t in pdf[text]]
             yield pdf
 
     return docs.mapInPandas(run, docs.schema)
