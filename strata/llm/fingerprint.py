@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import let, store, words
+from .common import let, shuffle_parts, store, words
 
 K = 128
 SHINGLE = 5
@@ -98,7 +98,8 @@ def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, widt
     far = source.join(last, F.col("__from") == F.col("__b")) \
         .select(F.col("__to").alias("__bucket"), F.lit(1).alias("__rank"), "__far")
     at = W.partitionBy("__bucket").orderBy(key, own)
-    inner = df.select("__bucket", key, value.alias(own)) \
+    # dealt by range first, so that only the rows themselves are shuffled, not their values
+    inner = df.repartition(shuffle_parts(docs.sparkSession), "__bucket").select("__bucket", key, value.alias(own)) \
         .withColumns({"__near": F.lag(own).over(at), "__rank": F.row_number().over(at)})
     return inner.join(far, ["__bucket", "__rank"], "left") \
         .select(key, own, F.coalesce("__near", "__far").alias(out))
