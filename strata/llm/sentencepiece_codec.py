@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .packed import slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 1_000_000
+CACHE = 500_000
 CHUNK = 256
 _NEVER = -math.inf
 
@@ -248,11 +251,15 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), dtype=np.int32).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        """The text as UTF-8."""
         known = self.vocabulary.bytes_of
         if ids and not 0 <= min(ids) <= max(ids) < len(known):
             ids = [i for i in ids if 0 <= i < len(known)]
-        return b"".join(map(known.__getitem__, ids)).decode("utf-8", "replace")[1:]
+        return b"".join(map(known.__getitem__, ids))[1:]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 _codecs: dict[int, Codec] = {}
@@ -275,21 +282,29 @@ def _replaced(batch: pa.RecordBatch, keep: list[str], more: dict[str, pa.Array])
     return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + list(more.values()), [*keep, *more])
 
 
-def encode(docs: DataFrame, text: str = "text", out: str = "ids", model: str = MODEL) -> DataFrame:
-    """Adds the ids of every text as array<int>."""
-    keep = [c for c in docs.columns if c != out]
+def encode(docs: DataFrame, text: str = "text", out: str = "ids", model: str = MODEL,
+           decoded: str | None = None) -> DataFrame:
+    """Adds the ids of every text as array<int>; ``decoded`` names a column for the SHA-256 of what they decode to."""
+    keep = [c for c in docs.columns if c not in (out, decoded)]
     pieces = _vocabulary(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(pieces)
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch, text)):
             found = [codec.encode_bytes(t) for t in pc.fill_null(b.column(b.schema.get_field_index(text)), "").to_pylist()]
             ends = np.cumsum([0, *map(len, found)]) // 4
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                            pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
-            yield _replaced(b, keep, {out: ids})
-
-    schema = T.StructType([*docs.select(*keep).schema, T.StructField(out, T.ArrayType(T.IntegerType()))])
+            more = {out: ids}
+            if decoded:
+                more[decoded] = pa.array([sha256(codec.decode_bytes(array("i", x).tolist())).hexdigest() for x in found],
+                                         pa.string())
+            yield _replaced(b, keep, more)
+
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType()))
+    schema = T.StructType([*docs.select(*keep).schema, *fields])
     return docs.select(*keep).mapInArrow(run, schema)
 
 
@@ -301,7 +316,10 @@ def decode(coded: DataFrame, ids: str = "ids", out: str = "text", model: str = M
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(pieces)
         for b in batches:
-            texts = [codec.decode(x or []) for x in b.column(b.schema.get_field_index(ids)).to_pylist()]
+            lists = b.column(b.schema.get_field_index(ids))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy()
+            texts = [codec.decode(flat[a:z].tolist()) for a, z in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
             yield _replaced(b, keep, {out: pa.array(texts, pa.string())})
 
     schema = T.StructType([*coded.select(*keep).schema, T.StructField(out, T.StringType())])
