@@ -37,7 +37,8 @@ from .tokens import mix, powers, text_bytes, text_column
 
 LENGTH = 50
 GRAM = 24
-PART_BYTES = 16 << 20  # text bytes for each part of the exchanges
+PART_BYTES = 8 << 20  # text bytes for each part of the exchanges
+WINDOWS = 500_000  # windows that a part sorts at once, more only if one anchor has more
 _STRETCH = (1 << 20) - 2 * LENGTH
 _LOW = np.uint64((1 << 20) - 1)
 _NULL_ID = (1 << 63) - 1
@@ -171,7 +172,7 @@ def hit_documents(deals: DataFrame, parts: int) -> DataFrame:
     def gathered(pdf: pd.DataFrame) -> pd.DataFrame:
         hits = [unpack(x) for x in pdf.loc[pdf["kind"] == "hits", "blob"]]
         if not hits:
-            return pd.DataFrame({"id": [], "th": [], "hits": []})
+            return pd.DataFrame({"id": [], "th": [], "hits": []}, dtype=object)
         rows = unpack(pdf.loc[pdf["kind"] == "rows", "blob"].iloc[0])
         d = np.concatenate([x["d"].astype(np.int64) for x in hits])
         h = np.concatenate([x["h"] for x in hits])
@@ -224,6 +225,23 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - start, size)
 
 
+def _stretch_hashes(text: np.ndarray, start: np.ndarray, size: np.ndarray, off: np.ndarray):
+    """Hashes of each stretch's anchor, and of its bytes and anchor place. About a megabyte at a time."""
+    gram, same = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(start, start[a] + (1 << 20))))
+        raw, at = text[start[a]:start[b - 1] + size[b - 1]], start[a:b] - start[a]
+        up, down = powers(len(raw) + 1)
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+        g = at + off[a:b]
+        gram[a:b] = mix((total[g + GRAM] - total[g]) * down[g])
+        same[a:b] = mix((total[at + size[a:b]] - total[at]) * down[at]) + mix((size[a:b] * 64 + off[a:b]).astype(np.uint64))
+        a = b
+    return gram, same
+
+
 def previous_factors(text: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of each suffix whether its longest previous factor, in an earlier document, reaches LENGTH bytes.
 
@@ -255,18 +273,14 @@ def copied_windows(deals: DataFrame, parts: int) -> DataFrame:
         text = np.concatenate([x["text"] for x in cols])
         start = np.cumsum(size) - size
         # stretches: equal bytes and anchor place; each anchor's stretches are a group
-        up, down = powers(len(text) + 1)
-        total = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:len(text)], out=total[1:])
-        gram = mix((total[start + off + GRAM] - total[start + off]) * down[start + off])
-        same = mix((total[start + size] - total[start]) * down[start]) + mix((size * 64 + off).astype(np.uint64))
+        gram, same = _stretch_hashes(text, start, size, off)
         order = np.lexsort((doc, same, gram))
         g, s = gram[order], same[order]
         new = np.r_[True, (s[1:] != s[:-1]) | (g[1:] != g[:-1])]
         stretch = np.empty(len(order), np.int64)
         stretch[order] = np.cumsum(new) - 1
         lead = order[new]  # a record of each stretch, of its first document
-        first_doc = doc[lead]
+        first_doc = doc[lead]  # of each stretch
         later = doc > first_doc[stretch]
         out = [(of[later], d[later], at[later], size[later])]
         # an anchor with several stretches: its windows may be in an earlier document's other stretch
@@ -274,24 +288,27 @@ def copied_windows(deals: DataFrame, parts: int) -> DataFrame:
         mixed = np.zeros(len(lead), bool)
         mixed[1:] |= lg[1:] == lg[:-1]
         mixed[:-1] |= lg[1:] == lg[:-1]
-        several = lead[mixed]
-        if len(several):
-            count = size[several] - LENGTH + 1
-            windows = _ranges(start[several], count)
-            owner = np.repeat(np.arange(len(several)), count)
-            copied = previous_factors(text, windows, doc[several][owner])
+        several = np.flatnonzero(mixed)  # by group
+        count = size[lead[several]] - LENGTH + 1
+        ends = np.flatnonzero(np.r_[lg[several][1:] != lg[several][:-1], True]) + 1 if len(several) else []
+        # records of each stretch that are of its first document
+        rec = np.flatnonzero(~later)
+        rec = rec[np.argsort(stretch[rec], kind="stable")]
+        total, begin = np.cumsum(count), 0
+        for k, end in enumerate(ends):
+            if k + 1 < len(ends) and total[ends[k + 1] - 1] - (total[begin - 1] if begin else 0) <= WINDOWS:
+                continue
+            some, n_windows = several[begin:end], count[begin:end]
+            begin = end
+            windows = _ranges(start[lead[some]], n_windows)
+            owner = np.repeat(np.arange(len(some)), n_windows)
+            copied = previous_factors(text, windows, first_doc[some][owner])
             inner = np.r_[False, copied[1:] & copied[:-1] & (owner[1:] == owner[:-1])]
             a = np.flatnonzero(copied & ~inner)
             b = np.flatnonzero(copied & ~np.r_[inner[1:], False])
-            which, shift = owner[a], windows[a] - start[several][owner[a]]
-            # to all records of the stretch that are of its first document
-            rec = np.flatnonzero(~later)
-            rank = np.full(len(lead), -1)
-            rank[np.flatnonzero(mixed)] = np.arange(len(several))
-            rec = rec[rank[stretch[rec]] >= 0]
-            rec = rec[np.argsort(rank[stretch[rec]], kind="stable")]
-            r = rank[stretch[rec]]
-            lo, hi = np.searchsorted(r, which, "left"), np.searchsorted(r, which, "right")
+            which = some[owner[a]]
+            shift = windows[a] - start[lead[which]]
+            lo, hi = np.searchsorted(stretch[rec], which, "left"), np.searchsorted(stretch[rec], which, "right")
             to = rec[_ranges(lo, hi - lo)]
             span = np.repeat(np.arange(len(a)), hi - lo)
             out.append((of[to], d[to], at[to] + shift[span], (b - a)[span] + LENGTH))
@@ -319,7 +336,7 @@ def document_spans(found: DataFrame) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         spans = [unpack(x) for x in pdf.loc[pdf["kind"] == "spans", "blob"]]
         if not spans:
-            return pd.DataFrame({"id": [], "th": [], "spans": []})
+            return pd.DataFrame({"id": [], "th": [], "spans": []}, dtype=object)
         rows = unpack(pdf.loc[pdf["kind"] == "rows", "blob"].iloc[0])
         d, at, size = (np.concatenate([x[c].astype(np.int64) for x in spans]) for c in ("d", "at", "size"))
         order = np.lexsort((at, d))
@@ -344,13 +361,13 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     named = texts.withColumn("rid", F.monotonically_increasing_id())
     hits = store(hit_documents(dealt_anchors(named, parts), parts), "suffix-hits")
     release(spark)
-    joined = texts.join(hits, ["id", "th"]).withColumn("rid", F.monotonically_increasing_id())
+    joined = texts.hint("merge").join(hits, ["id", "th"]).withColumn("rid", F.monotonically_increasing_id())
     found = copied_windows(dealt_windows(joined, parts), parts)
     spans = store(document_spans(found), "suffix-spans")
     release(spark)
     plain = docs.select(F.col(doc_id), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"),
                         t.alias("text"), F.xxhash64(t).alias("th"))
-    return plain.join(spans, ["id", "th"], "left").select(doc_id, "text", "spans")
+    return plain.hint("merge").join(spans, ["id", "th"], "left").select(doc_id, "text", "spans")
 
 
 def kept_parts(data: bytes, spans: bytes | None) -> tuple[int, int, list[bytes]]:
