@@ -61,7 +61,7 @@ def main() -> None:
     build = statistics.median(builds)
 
     from strata.plans import catalog
-    catalog._LEDGERS[(id(spark), sf_dir, True)] = stored
+    catalog._LEDGERS[catalog.ledger_key(spark, sf_dir, True)] = stored
 
     times: dict[str, float] = {"ledger_build": round(build, 3)}
     for n in names:  # warm-up

@@ -11,10 +11,11 @@ from ..fixed import LOG_LEVELS as LEVELS
 PAYMENTS_PROC = "Pago.sp_importarPagosDesdeCSV"
 
 
-def stamp(events: DataFrame) -> DataFrame:
-    """(proc, level, message, path) -> log rows; an unknown level fails the job (CHECK)."""
+def stamp(events: DataFrame, at=None) -> DataFrame:
+    """(proc, level, message, path) -> log rows, stamped now or with the time ``at``; an
+    unknown level fails the job (CHECK)."""
     ok = F.assert_true(F.col("level").isin(*LEVELS), F.lit("log level must be INFO, WARN or ERROR"))
-    return events.select(F.current_timestamp().alias("logged_at"), "proc",
+    return events.select((F.current_timestamp() if at is None else F.lit(at)).alias("logged_at"), "proc",
                          F.when(ok.isNull(), F.col("level")).alias("level"), "message", "path")
 
 
@@ -22,7 +23,7 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def import_log_rows(L, path: str = "pagos_consorcios.csv") -> DataFrame:
+def import_log_rows(L, path: str = "pagos_consorcios.csv", at=None) -> DataFrame:
     """One ERROR row per rejected bank line (failure isolation), one INFO summary with
     the counters (single aggregate pass), and a WARN row when nothing was accepted."""
     r = L.bank_matched.withColumn("reasons", P.reject_reasons(L.bank_matched))
@@ -37,7 +38,7 @@ def import_log_rows(L, path: str = "pagos_consorcios.csv") -> DataFrame:
         F.concat(F.lit("Registros leidos: "), F.col("n").cast("string"), F.lit(", pagos insertados: "),
                  F.col("ok").cast("string")).alias("message"),
         F.lit(path).alias("path"))
-    return stamp(errors.unionByName(summary))
+    return stamp(errors.unionByName(summary), at)
 
 
 def log_event(spark, proc: str, level: str, message: str, path: str | None = None) -> DataFrame:

@@ -260,20 +260,34 @@ def previous_charge(charge: DataFrame) -> DataFrame:
     return charge.select("charge_no", F.lag("charge_no").over(w).alias("prev_charge_no"))
 
 
-def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chained: bool = False) -> DataFrame:
+def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chained: bool = False,
+                  stored_appt: DataFrame | None = None, stored_charge: DataFrame | None = None) -> DataFrame:
     """One-step (snapshot) carry-forward: prior balance = previous charge's debt of the
     same unit *before* this step; interest = rate x balance when positive.
 
     ``chained=True`` instead folds the linear recurrence d_t = c_t + (1+rate) d_{t-1}
     per unit (each charge sees the already carried debt of its predecessor).
+
+    ``stored_charge`` / ``stored_appt``: the ledger as it is. The previous charge of a
+    building's first new charge is a stored one, and its stored debt is carried. Only
+    the rows of ``appt`` come out.
     """
-    prev = previous_charge(charge)
+    zero = X.dec(0, 12, 2)
+    ids = charge.select("charge_no", "building_id")
+    if stored_charge is not None:
+        known = stored_charge.select("charge_no", "building_id").join(ids.select("charge_no"), "charge_no", "left_anti")
+        ids = ids.unionByName(known)
+    prev = previous_charge(ids)
     a = appt.join(prev, "charge_no")
+    if stored_appt is not None:
+        old = stored_appt.select(F.col("charge_no").alias("prev_charge_no"), "unit_id", F.col("debt").alias("_stored"))
+        a = a.join(old, ["prev_charge_no", "unit_id"], "left")
+    else:
+        a = a.withColumn("_stored", F.lit(None).cast("decimal(12,2)"))
     w = Window.partitionBy("unit_id").orderBy("charge_no")
     a = a.withColumn("_lag_no", F.lag("charge_no").over(w)).withColumn("_lag_debt", F.lag("debt").over(w))
-    zero = X.dec(0, 12, 2)
     if not chained:
-        bal = F.when(F.col("_lag_no") == F.col("prev_charge_no"), F.col("_lag_debt")).otherwise(zero)
+        bal = F.when(F.col("_lag_no") == F.col("prev_charge_no"), F.col("_lag_debt")).otherwise(F.col("_stored"))
         a = a.withColumn("prior_balance", F.coalesce(bal, zero).cast("decimal(12,2)"))
     else:
         a = _chained_balance(a, rate)
@@ -291,60 +305,69 @@ def _chained_balance(a: DataFrame, rate) -> DataFrame:
 
     A unit's rows are bounded by its building's billing months, so the per-unit
     array is small; the fold runs inside the JVM (``aggregate`` higher-order function).
+    A row whose previous charge is stored starts from the stored debt.
     """
     w = Window.partitionBy("unit_id").orderBy("charge_no").rowsBetween(Window.unboundedPreceding, -1)
-    hist = F.collect_list(F.struct("charge_no", "prev_charge_no", "debt")).over(w)
+    hist = F.collect_list(F.struct("charge_no", "prev_charge_no", "debt", "_stored")).over(w)
     a = a.withColumn("_hist", hist)
     r = F.lit(Decimal(str(rate)))
     zero = X.dec(0, 12, 2)
 
     def step(acc, x):
         # acc: struct(no, bal): no = last charge folded, bal = its carried debt
-        carried = F.when(x["prev_charge_no"] == acc["no"], acc["bal"]).otherwise(zero)
+        carried = F.when(x["prev_charge_no"] == acc["no"], acc["bal"]).otherwise(F.coalesce(x["_stored"], zero))
         inter = F.when(carried > 0, (carried * r).cast("decimal(12,2)")).otherwise(zero)
         return F.struct(x["charge_no"].alias("no"), (x["debt"] + carried + inter).cast("decimal(12,2)").alias("bal"))
 
     init = F.struct(F.lit(None).cast("bigint").alias("no"), zero.alias("bal"))
     folded = F.aggregate(F.col("_hist"), init, step)
-    bal = F.when(folded["no"] == F.col("prev_charge_no"), folded["bal"]).otherwise(zero)
+    bal = F.when(folded["no"] == F.col("prev_charge_no"), folded["bal"]).otherwise(F.col("_stored"))
     return a.withColumn("prior_balance", F.coalesce(bal, zero).cast("decimal(12,2)")).drop("_hist")
 
 
 # ---------------------------------------------------------------------------
 # J-15 / J-16: the whole expenses import as one call
 class UnknownBuildings(ValueError):
-    pass
+    """The file names buildings that do not exist; ``missing`` is the DataFrame of all of them."""
+
+    def __init__(self, message: str, missing: DataFrame):
+        super().__init__(message)
+        self.missing = missing
 
 
 def generate_charges(sheet: DataFrame, providers: DataFrame, building: DataFrame, unit: DataFrame,
                      existing_charges: DataFrame | None = None, existing_expenses: DataFrame | None = None,
                      year: int | None = None, day1: int = 10, day2: int = 20, carry: str = "snapshot",
-                     check_buildings: bool = True, interest: str = "flat", as_of=None) -> dict[str, DataFrame]:
+                     check_buildings: bool = True, interest: str = "flat", as_of=None,
+                     existing_apportionment: DataFrame | None = None) -> dict[str, DataFrame]:
     """Expenses objects (+ providers) -> charges, apportionment, expenses and subtypes.
 
-    Unknown building names stop the import (as the reference raises), checked with one
-    small aggregate over the distinct missing names. ``carry`` is 'snapshot' (one-step,
+    With ``existing_charges``, ``existing_expenses`` and ``existing_apportionment`` only what
+    is new comes out, and the first new charge of a building carries the stored debt.
+    Unknown building names stop the import (as the reference raises); the error holds
+    the DataFrame of all missing names. ``carry`` is 'snapshot' (one-step,
     the reference's behaviour) or 'chained'. ``interest`` is 'flat' (5% of the carried
     balance, the import's rule) or 'tiered' (the late-interest rule as of ``as_of``).
     """
     stage = stage_expenses(sheet, year=year)
     if check_buildings:
         missing = missing_buildings(stage, building)
-        names = [r[0] for r in missing.limit(20).collect()]
-        if names:
-            raise UnknownBuildings(MISSING_BUILDINGS + ", ".join(names))
+        if not missing.isEmpty():
+            raise UnknownBuildings(MISSING_BUILDINGS + "(all of them in .missing)", missing)
     resolved = resolve_building(stage, building)
     charge = new_charges(charge_totals(resolved), existing_charges, day1, day2)
     expense = expenses(resolved, existing_expenses)
     base = apportion_base(charge, unit)
     final = apportion_final(base, expense_totals(expense))
     if interest == "flat":
-        carried = carry_forward(final, charge, chained=(carry == "chained"))
+        carried = carry_forward(final, charge, chained=(carry == "chained"), stored_appt=existing_apportionment,
+                                stored_charge=existing_charges)
     elif interest == "tiered":
         from .interest import late_interest
         if as_of is None:
             raise ValueError("tiered interest needs as_of")
-        base = carry_forward(final, charge, rate=Decimal("0"), chained=(carry == "chained"))
+        base = carry_forward(final, charge, rate=Decimal("0"), chained=(carry == "chained"),
+                             stored_appt=existing_apportionment, stored_charge=existing_charges)
         li = late_interest(base, charge, as_of).select(
             "charge_no", "unit_id", F.col("interest").alias("_i"), F.col("total").alias("_t"))
         carried = base.join(li, ["charge_no", "unit_id"], "left").select(

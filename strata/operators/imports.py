@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as X
+from .keys import next_ids
+from .validate import first_of_key
 from ..fixed import FEE_FIRST, FEE_NEXT, PLACEHOLDER_ADDRESS_PREFIX, PLACEHOLDER_AREA, ROLE_OWNER, ROLE_TENANT
 
 
@@ -57,17 +59,44 @@ def clean_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> Data
     s = staged.filter(~X.is_blank("floor") & ~X.is_blank("door"))
     b = building.select(X.canon("name").alias("_k"), "building_id")
     s = s.join(b, X.canon(F.col("building_name")) == b["_k"], "left").drop("_k")
-    u = unit.select("building_id", "floor", "door", F.lit(True).alias("_exists"))
+    u = unit.select("building_id", "floor", "door", F.lit(True).alias("_exists")).distinct()
     s = s.join(u, ["building_id", "floor", "door"], "left")
     reasons = _reasons(
         (F.col("area").isNull() | (F.col("area") <= 0), "INVALID_AREA"),
         (F.col("coef").isNull() | (F.col("coef") <= 0) | (F.col("coef") > 100), "INVALID_COEF"),
         (F.length("floor") > 10, "FLOOR_LENGTH"), (F.length("door") > 10, "DOOR_LENGTH"))
-    status = F.when(F.col("_exists"), F.lit("EXISTING")).when(reasons != "", F.lit("REJECTED")).otherwise(F.lit("ACCEPTED"))
+    s = s.withColumn("_reasons", reasons)
+    # of the rows of one new unit the first is accepted, the others find it stored
+    fits = F.coalesce(F.col("_exists"), F.lit(False)) | (F.col("_reasons") != "")
+    new = first_of_key(s.filter(~fits).withColumn("_key", F.coalesce(F.col("building_id").cast("string"), X.canon("building_name"))),
+                       ["_key", "floor", "door"], ["_key", "floor", "door", "area", "coef"]).drop("_key")
+    s = s.filter(fits).withColumn("_first", F.lit(True)).unionByName(new)
+    reasons = F.col("_reasons")
+    status = F.when(F.col("_exists") | ~F.col("_first"), F.lit("EXISTING")).when(reasons != "", F.lit("REJECTED")) \
+        .otherwise(F.lit("ACCEPTED"))
     return s.select("building_name", "building_id", "floor", "door", "area", "coef",
                     status.alias("status"), reasons.alias("reasons"))
 
 
+def import_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> dict[str, DataFrame]:
+    """The whole units import: placeholder buildings get ids, the file's new units are
+    stored with ids, and storage and parking join to the units just stored.
+
+    Returns the tables as they are afterwards (``building`` with building_id, name;
+    ``unit``), the ``storage`` and ``parking`` rows to insert and the ``report`` rows.
+    """
+    fresh = next_ids(new_buildings(staged, building), building, "building_id", ["name"], "building_id")
+    buildings = building.select("building_id", "name").unionByName(fresh.select("building_id", "name"))
+    report = clean_units(staged, buildings, unit)
+    cols = ["building_id", "floor", "door", "area", "coef"]
+    accepted = report.filter(F.col("status") == "ACCEPTED").select(*cols)
+    new = next_ids(accepted, unit, "unit_id", ["building_id", "floor", "door"], "unit_id")
+    units = unit.select("unit_id", *cols).unionByName(new.select("unit_id", *cols))
+    return {"building": buildings, "unit": units, "report": report,
+            "storage": storage_rows(staged, buildings, units, "storage"),
+            "parking": storage_rows(staged, buildings, units, "parking")}
+
+
 def resolve_file_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> DataFrame:
     """C-04/C-05: file rows -> unit_id by (building name, floor, door) on trimmed text."""
     b = building.select(X.canon("name").alias("_k"), "building_id")
@@ -80,7 +109,7 @@ def storage_rows(staged: DataFrame, building: DataFrame, unit: DataFrame, kind:
     """Storage (or parking) rows: flag 'si' and a positive numeric size."""
     flag, size = (("has_storage", "storage_area") if kind == "storage" else ("has_parking", "parking_area"))
     s = staged.filter((F.col(flag) == "si") & (F.col(size) > 0))
-    return resolve_file_units(s, building, unit).select("unit_id", F.col(size).alias("size"))
+    return resolve_file_units(s, building, unit).groupBy("unit_id").agg(F.min(size).alias("size"))
 
 
 # ---------------------------------------------------------------------------
@@ -157,21 +186,26 @@ def import_occupancy(people_file: DataFrame, accounts: DataFrame, building: Data
 # ---------------------------------------------------------------------------
 # J-09 buildings sheet
 def import_buildings(sheet: DataFrame, building: DataFrame) -> DataFrame:
-    """Sheet rows with status EXISTING (same name and address), REJECTED (validation
-    reasons) or INSERTED; fees 2.00/5.00."""
+    """Sheet rows with status EXISTING (same name and address stored, or inserted by an
+    earlier row of the sheet), REJECTED (validation reasons) or INSERTED; fees 2.00/5.00."""
     s = sheet.select(
         F.trim("name").alias("name"), F.trim("address").alias("address"),
         F.trim("unit_count_raw").try_cast("int").alias("unit_count"),
         F.trim("area_raw").try_cast("decimal(10,2)").alias("area"))
-    e = building.select(F.col("name").alias("name"), "address", F.lit(True).alias("_exists"))
+    e = building.select(F.col("name").alias("name"), "address", F.lit(True).alias("_exists")).distinct()
     s = s.join(e, ["name", "address"], "left")
     reasons = _reasons(
         ((F.coalesce(F.col("name"), F.lit("")) == "") | (X.tsql_len("name") > 40), "NAME_LENGTH"),
         ((F.coalesce(F.col("address"), F.lit("")) == "") | (X.tsql_len("address") > 100), "ADDRESS_LENGTH"),
         (F.col("area").isNull() | (F.col("area") <= 0), "INVALID_AREA"),
         (F.col("unit_count").isNull() | (F.col("unit_count") <= 0), "INVALID_UNIT_COUNT"))
-    status = F.when(F.col("_exists"), F.lit("EXISTING")).when(reasons != "", F.lit("REJECTED")).otherwise(F.lit("INSERTED"))
+    s = s.withColumn("reasons", reasons)
+    fits = F.coalesce(F.col("_exists"), F.lit(False)) | (F.col("reasons") != "")
+    new = first_of_key(s.filter(~fits), ["name", "address"], ["name", "address", "unit_count", "area"])
+    s = s.filter(fits).withColumn("_first", F.lit(True)).unionByName(new)
+    status = F.when(F.col("_exists") | ~F.col("_first"), F.lit("EXISTING")) \
+        .when(F.col("reasons") != "", F.lit("REJECTED")).otherwise(F.lit("INSERTED"))
     return s.select("name", "address", "unit_count", "area",
                     F.lit(FEE_FIRST).cast("decimal(5,2)").alias("fee_first"),
                     F.lit(FEE_NEXT).cast("decimal(5,2)").alias("fee_next"),
-                    status.alias("status"), reasons.alias("reasons"))
+                    status.alias("status"), "reasons")

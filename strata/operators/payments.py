@@ -25,8 +25,13 @@ from ..fixed import FALLBACK_DUE_DAYS
 
 
 def parse_bank_file(raw: DataFrame) -> DataFrame:
-    """Raw text columns (id, fecha, CVU_CBU, valor) -> typed staging rows."""
+    """Raw text columns (id, fecha, CVU_CBU, valor) -> typed staging rows.
+
+    ``row_key`` tells the file's rows apart whatever their id says (repeated, blank or
+    not a number); it is assigned where the file is read, before any shuffle.
+    """
     return raw.select(
+        F.monotonically_increasing_id().alias("row_key"),
         F.trim("id").try_cast("bigint").alias("source_id"),
         F.col("fecha").alias("date_text"),
         X.parse_dmy("fecha").alias("pay_date"),
@@ -56,15 +61,18 @@ def with_charge_dates(appt: DataFrame, charge: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-def match_by_month(payments: DataFrame, appt: DataFrame, charge: DataFrame) -> DataFrame:
-    """Charge of the payment's calendar month that has an apportionment for the unit.
-
-    Reduced to one charge per (unit, month) with MIN before the join (deterministic
-    where the reference would pick an arbitrary one).
-    """
-    cand = (with_charge_dates(appt.select("charge_no", "unit_id"), charge)
+def month_candidates(appt: DataFrame, charge: DataFrame) -> DataFrame:
+    """One charge per (unit, month) with an apportionment: the smallest (deterministic
+    where the reference would pick an arbitrary one)."""
+    return (with_charge_dates(appt.select("charge_no", "unit_id"), charge)
             .groupBy("unit_id", X.month_start("gen_date").alias("_m"))
             .agg(F.min("charge_no").alias("charge_no")))
+
+
+def match_by_month(payments: DataFrame, appt: DataFrame, charge: DataFrame,
+                   candidates: DataFrame | None = None) -> DataFrame:
+    """Charge of the payment's calendar month that has an apportionment for the unit."""
+    cand = month_candidates(appt, charge) if candidates is None else candidates
     p = payments.withColumn("_m", X.month_start("pay_date"))
     return p.join(cand, ["unit_id", "_m"], "left").drop("_m")
 
@@ -79,13 +87,14 @@ def match_fifo(payments: DataFrame, appt: DataFrame, charge: DataFrame) -> DataF
     return p.withColumn("charge_fifo", F.when(F.col("_gen") <= F.col("pay_date"), F.col("_no"))).drop("_gen", "_no")
 
 
-def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key: str = "source_id",
+def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key: str = "row_key",
                    only_if_null: str | None = None) -> DataFrame:
     """Newest charge of the unit whose [gen, COALESCE(due2, gen+30)] holds the payment date.
 
     One left join on (unit, month bucket) with the exact range as residual condition,
     then one aggregate per payment (``max_by``; a payment without candidates keeps its
-    single NULL-extended row), so no join back onto the payments is needed.
+    single NULL-extended row), so no join back onto the payments is needed. ``key``
+    tells the payment rows apart: the file's own ids may repeat or be missing.
     ``only_if_null`` names a column: rows where it is set get no interval match.
     """
     c = with_charge_dates(appt.select("charge_no", "unit_id"), charge).select(
@@ -93,8 +102,7 @@ def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key:
         F.coalesce("due2", F.date_add("gen_date", FALLBACK_DUE_DAYS)).alias("_end"))
     months = F.sequence(X.month_start("_gen"), X.month_start(F.greatest("_end", "_gen")), F.expr("interval 1 month"))
     c = c.select("*", F.explode(months).alias("_cm"))
-    keyed = payments.filter(F.col(key).isNotNull())
-    p = keyed.withColumn("_m", X.month_start("pay_date"))
+    p = payments.withColumn("_m", X.month_start("pay_date"))
     cond = ((p["unit_id"] == c["_cu"]) & (p["_m"] == c["_cm"])
             & p["pay_date"].between(c["_gen"], c["_end"]))
     if only_if_null is not None:
@@ -103,10 +111,7 @@ def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key:
     j = p.join(c, cond, "left")
     payload = [F.first(x).alias(x) for x in payments.columns if x != key]
     best = F.max_by(F.col("_cno"), F.struct(F.col("_gen"), F.col("_cno"))).alias("charge_interval")
-    matched = j.groupBy(key).agg(*payload, best).select(*payments.columns, "charge_interval")
-    # rows without an id cannot be told apart (and are rejected later): no match
-    unkeyed = payments.filter(F.col(key).isNull()).withColumn("charge_interval", F.lit(None).cast("bigint"))
-    return matched.unionByName(unkeyed)
+    return j.groupBy(key).agg(*payload, best).select(*payments.columns, "charge_interval")
 
 
 # ---------------------------------------------------------------------------
@@ -125,8 +130,10 @@ def quality_profile(matched: DataFrame) -> DataFrame:
 
 
 def reject_reasons(matched: DataFrame, require_account: bool = False) -> F.Column:
-    """Comma-separated reasons; empty string = accepted."""
-    rules = [
+    """Comma-separated reasons; empty string = accepted. The hashed import
+    (``require_account``) takes ids as numbers, so an id that is none is a reason."""
+    rules = [(F.col("source_id").isNull(), "INVALID_ID")] if require_account else []
+    rules += [
         (F.col("pay_date").isNull(), "INVALID_DATE"),
         (F.col("amount").isNull() | ~(F.col("amount") > 0), "INVALID_AMOUNT"),
         (F.col("unit_id").isNull(), "UNKNOWN_ACCOUNT"),
@@ -148,6 +155,21 @@ def as_payment_rows(accepted: DataFrame) -> DataFrame:
         "account", "unit_id", "charge_no")
 
 
+def numbered(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The rows with generated payment ids that continue after the stored ones: two bank
+    files may use the same ids. ``source_id`` keeps the file's own."""
+    from .keys import next_ids, surrogate_keys
+
+    own = rows.withColumnRenamed("payment_id", "source_id")
+    order = ["pay_date", "account", "source_id", "unit_id", "charge_no", "amount"]
+    keyed = own.withColumn("_tie", F.monotonically_increasing_id())
+    if existing is None:
+        out = surrogate_keys(keyed, [*order, "_tie"], "payment_id")
+    else:
+        out = next_ids(keyed, existing, "payment_id", [*order, "_tie"], "payment_id")
+    return out.select("payment_id", *order[:1], "amount", "account", "unit_id", "charge_no", "source_id")
+
+
 DUP_KEY = ["pay_date", "amount", "account", "unit_id"]
 
 
@@ -201,7 +223,7 @@ def import_payments(bank_rows: DataFrame, person: DataFrame, appt: DataFrame, ch
         raise ValueError("match must be 'month' or 'fifo'")
     accepted, rejected = split_accepted(matched, require_account)
     rows = as_payment_rows(accepted)
-    new = rows if existing is None else new_payments(rows, existing)
+    new = numbered(rows if existing is None else new_payments(rows, existing), existing)
     # D-13 row counters (@@ROWCOUNT) without a second pass: filled by whatever action
     # writes the inserted payments
     from pyspark.sql import Observation

@@ -35,11 +35,21 @@ def exists_in(df: DataFrame, ref: DataFrame, left_cols: list[str], right_cols: l
 
 
 def first_of_key(df: DataFrame, key: list[str], order: list[str], flag: str = "_first") -> DataFrame:
-    """Mark the first row of each key (by ``order``) -- grouped MIN, then an equi-join."""
-    o = F.struct(*[F.col(c) for c in order])
-    firsts = df.groupBy(*key).agg(F.min(o).alias("_min_o"))
-    out = df.withColumn("_o", o).join(firsts, key, "left")
-    return out.withColumn(flag, F.col("_o") == F.col("_min_o")).drop("_o", "_min_o")
+    """Mark one row of each key, the first by ``order`` (ties: by all columns).
+
+    A grouped MIN and count per key joined back; keys that come once need no more. Of the
+    others, equal rows are grouped (with partial aggregation) and numbered, so exactly one of
+    them is first. A NULL in a key is no repeat.
+    """
+    every = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in df.columns if c not in order])
+    firsts = df.groupBy(*key).agg(F.min(every).alias("_min_o"), F.count(F.lit(1)).alias("_n"))
+    out = df.join(firsts, key, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
+    once = out.filter(F.col("_n") == 1).withColumn(flag, F.lit(True)).drop("_min_o", "_n")
+    groups = out.filter(F.col("_n") > 1).groupBy(*df.columns, "_min_o").agg(F.count(F.lit(1)).alias("_m"))
+    copies = groups.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    repeated = copies.withColumn(flag, (F.col("_i") == 1) & every.eqNullSafe(F.col("_min_o"))) \
+        .drop("_min_o", "_m", "_i")
+    return once.unionByName(repeated)
 
 
 def validate(batch: DataFrame, rules: list[tuple[Column, str]], key: list[str] | None = None,
@@ -142,7 +152,8 @@ def validate_charges(batch: DataFrame, building: DataFrame, as_of) -> DataFrame:
 AMOUNT_COLUMNS = ["prior_balance", "received", "interest", "ordinary", "extraordinary", "total", "debt"]
 
 
-def validate_apportionments(batch: DataFrame, charge: DataFrame, unit: DataFrame) -> DataFrame:
+def validate_apportionments(batch: DataFrame, charge: DataFrame, unit: DataFrame,
+                            existing: DataFrame | None = None) -> DataFrame:
     df = exists_in(batch, charge, ["charge_no"], ["charge_no"], "_c")
     df = exists_in(df, unit, ["unit_id"], ["unit_id"], "_u")
     neg = None
@@ -154,7 +165,7 @@ def validate_apportionments(batch: DataFrame, charge: DataFrame, unit: DataFrame
         (F.col("pct").isNull() | (F.col("pct") <= 0) | (F.col("pct") > 100), "INVALID_PCT"),
         (neg, "NEGATIVE_AMOUNT"),
     ]
-    return validate(df, rules, ["charge_no", "unit_id"], ["charge_no", "unit_id"]).drop("_c", "_u")
+    return validate(df, rules, ["charge_no", "unit_id"], ["charge_no", "unit_id"], existing).drop("_c", "_u")
 
 
 def validate_payments(batch: DataFrame, unit: DataFrame, charge: DataFrame, as_of) -> DataFrame:

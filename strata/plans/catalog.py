@@ -12,13 +12,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure
+from ..session import configure, path_stamp
 from ..sources.adapter import Ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_LEDGERS: dict[tuple[int, str, bool], Ledger] = {}
+_LEDGERS: dict[tuple, Ledger] = {}
+_INPUTS = ("nation", "customer", "supplier", "orders", "lineitem")
+
+
+def ledger_key(spark: SparkSession, sf_dir: str, stored: bool) -> tuple:
+    """Names a ledger by application, data and the state of its input tables."""
+    stamps = tuple(path_stamp(spark, f"{sf_dir}/{t}.parquet") for t in _INPUTS)
+    return spark.sparkContext.applicationId, sf_dir, stored, stamps
 
 
 def ledger(spark: SparkSession, sf_dir: str, stored: bool | None = None) -> Ledger:
@@ -31,7 +38,7 @@ def ledger(spark: SparkSession, sf_dir: str, stored: bool | None = None) -> Ledg
     """
     if stored is None:
         stored = os.environ.get("STRATA_LAZY", "") not in ("1", "true", "yes")
-    key = (id(spark), sf_dir, stored)
+    key = ledger_key(spark, sf_dir, stored)
     if key not in _LEDGERS:
         configure(spark)
         base = Ledger(spark, sf_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixed import EXPENSE_JSON_KEYS
 from ..operators import imports as IM
 from ..operators.keys import surrogate_keys
 from ..session import shared_dir
@@ -87,8 +88,7 @@ JOIN unit u ON u.building_id = b.building_id AND u.floor = a.floor AND u.door =
 
 def files_sql(select: str) -> str:
     return with_ctes(f"""WITH units_file AS ({UNITS_FILE}), people_file AS ({PEOPLE_FILE}),
-accounts_file AS ({ACCOUNTS_FILE}), buildings_sheet AS ({BUILDINGS_SHEET})
-{select}""")
+accounts_file AS ({ACCOUNTS_FILE}), buildings_sheet AS ({BUILDINGS_SHEET}){select if select.startswith(chr(10) + ",") else chr(10) + select}""")
 
 
 # ---------------------------------------------------------------------------
@@ -201,7 +201,9 @@ def _sheet_frame(df):
 @query("q_import_buildings", files_sql("""
 SELECT s.name, s.address, s.unit_count, s.area, CAST(2.00 AS DECIMAL(5,2)) AS fee_first,
        CAST(5.00 AS DECIMAL(5,2)) AS fee_next,
-       CASE WHEN b.building_id IS NOT NULL THEN 'EXISTING' WHEN s.r <> '' THEN 'REJECTED' ELSE 'INSERTED' END AS status,
+       CASE WHEN b.building_id IS NOT NULL THEN 'EXISTING' WHEN s.r <> '' THEN 'REJECTED'
+            WHEN row_number() OVER (PARTITION BY s.name, s.address, s.r, b.building_id) > 1 THEN 'EXISTING'
+            ELSE 'INSERTED' END AS status,
        s.r AS reasons
 FROM (SELECT *, concat_ws(',', CASE WHEN coalesce(name, '') = '' OR length(rtrim(name)) > 40 THEN 'NAME_LENGTH' END,
                                CASE WHEN coalesce(address, '') = '' OR length(rtrim(address)) > 100 THEN 'ADDRESS_LENGTH' END,
@@ -209,20 +211,55 @@ FROM (SELECT *, concat_ws(',', CASE WHEN coalesce(name, '') = '' OR length(rtrim
                                CASE WHEN unit_count IS NULL OR unit_count <= 0 THEN 'INVALID_UNIT_COUNT' END) AS r
       FROM (SELECT trim("Nombre del consorcio") AS name, trim("Domicilio") AS address,
                    TRY_CAST(trim("Cant unidades funcionales") AS INTEGER) AS unit_count,
-                   TRY_CAST(trim("m2 totales") AS DECIMAL(10,2)) AS area FROM buildings_sheet) s0) s
+                   TRY_CAST(trim("m2 totales") AS DECIMAL(10,2)) AS area
+            FROM (SELECT * FROM buildings_sheet
+                  UNION ALL SELECT * FROM buildings_sheet WHERE "Nombre del consorcio" LIKE 'Torre %') bs) s0) s
 LEFT JOIN building b ON b.name = s.name AND b.address = s.address"""))
 def q_import_buildings(L):
-    """J-09: buildings sheet rows, insert-if-absent by (name, address), validated."""
-    return IM.import_buildings(_sheet_frame(FX.buildings_sheet(L.spark, L.sf)), L.building)
+    """J-09: buildings sheet rows, insert-if-absent by (name, address), validated; the
+    sheet holds its regional rows twice."""
+    sheet = _sheet_frame(FX.buildings_sheet(L.spark, L.sf))
+    return IM.import_buildings(sheet.unionByName(sheet.filter("name like 'Torre %'")), L.building)
 
 
 # ---------------------------------------------------------------------------
-@query("q_surrogate_keys", files_sql(f"""
-SELECT dni, CAST(row_number() OVER (ORDER BY dni) AS BIGINT) AS person_key FROM ({DEDUP_PEOPLE}) d"""))
+@query("q_surrogate_keys", with_ctes("""
+SELECT *, CAST(row_number() OVER (ORDER BY o_custkey DESC, o_orderkey) AS BIGINT) AS order_no FROM orders"""))
 def q_surrogate_keys(L):
-    """E-06: dense ids 1..n in DNI order for the deduplicated people, computed with
+    """E-06: dense ids 1..n for whole order rows in an order of its own, computed with
     per-partition offsets (no single-partition window over the rows)."""
-    return surrogate_keys(_dedup(L).select("dni"), ["dni"], "person_key")
+    orders = L.spark.read.parquet(f"{L.sf}/orders.parquet").withColumn("_by", -F.col("o_custkey"))
+    return surrogate_keys(orders, ["_by", "o_orderkey"], "order_no").drop("_by")
+
+
+@query("q_import_units", files_sql(f"""
+, staged AS ({STAGED_UNITS}),
+names AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS building_id
+          FROM (SELECT DISTINCT building_name AS name FROM staged) d),
+accepted AS (
+  SELECT building_id, floor, door, area, coef,
+         row_number() OVER (PARTITION BY building_id, floor, door ORDER BY area, coef) AS rn
+  FROM staged s JOIN names n ON upper(trim(n.name)) = upper(trim(s.building_name))
+  WHERE trim(coalesce(floor, '')) <> '' AND trim(coalesce(door, '')) <> '' AND area > 0 AND coef > 0 AND coef <= 100
+    AND length(floor) <= 10 AND length(door) <= 10),
+stored AS (SELECT CAST(row_number() OVER (ORDER BY building_id, floor, door) AS BIGINT) AS unit_id, building_id, floor,
+                  door, area, coef FROM accepted WHERE rn = 1),
+resolved_units AS (SELECT s.*, u.unit_id FROM staged s JOIN names n ON upper(trim(n.name)) = upper(trim(s.building_name))
+             JOIN stored u ON u.building_id = n.building_id AND u.floor = s.floor AND u.door = s.door),
+sto AS (SELECT unit_id, min(storage_area) AS size FROM resolved_units WHERE has_storage = 'si' AND storage_area > 0 GROUP BY 1),
+par AS (SELECT unit_id, min(parking_area) AS size FROM resolved_units WHERE has_parking = 'si' AND parking_area > 0 GROUP BY 1)
+SELECT u.unit_id, n.name AS building_name, u.floor, u.door, u.area, u.coef, sto.size AS storage_size,
+       par.size AS parking_size
+FROM stored u JOIN names n ON n.building_id = u.building_id LEFT JOIN sto ON sto.unit_id = u.unit_id
+LEFT JOIN par ON par.unit_id = u.unit_id"""))
+def q_import_units(L):
+    """J-10: the units file imported into an empty ledger: placeholder buildings and units
+    stored with ids, storage and parking of the units just stored."""
+    out = IM.import_units(_staged_units(L), L.building.limit(0), L.unit.limit(0))
+    return out["unit"].join(out["building"].withColumnRenamed("name", "building_name"), "building_id") \
+        .join(out["storage"].withColumnRenamed("size", "storage_size"), "unit_id", "left") \
+        .join(out["parking"].withColumnRenamed("size", "parking_size"), "unit_id", "left") \
+        .select("unit_id", "building_name", "floor", "door", "area", "coef", "storage_size", "parking_size")
 
 
 # ---------------------------------------------------------------------------
@@ -272,13 +309,9 @@ def q_read_payments_csv(L):
     return FL.read_payments_csv(L.spark, path).drop(FL.CORRUPT)
 
 
-_KEYS_JSON = ["BANCARIOS", "LIMPIEZA", "ADMINISTRACION", "SEGUROS", "GASTOS GENERALES",
-              "SERVICIOS PUBLICOS-Agua", "SERVICIOS PUBLICOS-Luz"]
-
-
 @query("q_read_expenses_json", with_ctes(
     "SELECT n.n_name AS \"Nombre del consorcio\", " + month_name("g.month") + " AS \"Mes\", "
-    + ", ".join(f"{es_ar(f'g.k{i}')} AS \"{k}\"" for i, k in enumerate(_KEYS_JSON))
+    + ", ".join(f"{es_ar(f'g.k{i}')} AS \"{k}\"" for i, k in enumerate(EXPENSE_JSON_KEYS))
     + "\nFROM (SELECT building_id, year, month, "
     + ", ".join(f"max(CASE WHEN category = '{c}' THEN amount END) AS k{i}" for i, c in enumerate(CATS))
     + " FROM li_sum GROUP BY building_id, year, month) g JOIN nation n ON n.n_nationkey = g.building_id"))

@@ -63,6 +63,35 @@ def q_carry_forward(L):
     return L.apportion_carried
 
 
+IMPORTED_UNTIL = _dt.date(1996, 12, 31)  # months up to this date are in the ledger, the rest is imported
+
+
+@query("q_incremental_import", with_ctes(f"""
+WITH dated AS (SELECT a.*, c.gen_date, pc.prev_charge_no FROM apportion_final a
+               JOIN charge c ON c.charge_no = a.charge_no JOIN prev_charge pc ON pc.charge_no = a.charge_no),
+balance AS (
+  SELECT d.*, CAST(coalesce(CASE WHEN p.gen_date <= DATE '{IMPORTED_UNTIL}' THEN s.debt ELSE f.debt END, 0)
+                   AS DECIMAL(12,2)) AS bal
+  FROM dated d LEFT JOIN charge p ON p.charge_no = d.prev_charge_no
+  LEFT JOIN apportion_carried s ON s.charge_no = d.prev_charge_no AND s.unit_id = d.unit_id
+  LEFT JOIN apportion_final f ON f.charge_no = d.prev_charge_no AND f.unit_id = d.unit_id
+  WHERE d.gen_date > DATE '{IMPORTED_UNTIL}'),
+charged AS (SELECT *, CASE WHEN bal > 0 THEN CAST(bal * 0.05 AS DECIMAL(12,2)) ELSE CAST(0 AS DECIMAL(12,2)) END AS i
+            FROM balance)
+SELECT charge_no, unit_id, pct, bal AS prior_balance, received, i AS interest, ordinary, extraordinary,
+       CAST(coalesce(ordinary, 0) + coalesce(extraordinary, 0) + bal + i AS DECIMAL(12,2)) AS total,
+       CAST(coalesce(ordinary, 0) + coalesce(extraordinary, 0) + bal + i AS DECIMAL(12,2)) AS debt
+FROM charged"""))
+def q_incremental_import(L):
+    """C-11/J-15: months up to a date are stored, the others imported on top: the first
+    new charge of a building carries the stored (already carried) debt."""
+    old = L.charge.filter(F.col("gen_date") <= F.lit(IMPORTED_UNTIL))
+    new = L.charge.filter(F.col("gen_date") > F.lit(IMPORTED_UNTIL))
+    stored = C.carry_forward(L.apportion_final.join(old.select("charge_no"), "charge_no", "left_semi"), old)
+    batch = L.apportion_final.join(new.select("charge_no"), "charge_no", "left_semi")
+    return C.carry_forward(batch, new, stored_appt=stored, stored_charge=old)
+
+
 @query("q_provider_assignment", with_ctes("SELECT * FROM expense_ordinary"))
 def q_provider_assignment(L):
     """C-09/B-07: ordinary expense -> provider through the six token rules (equi-join)."""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..fixed import FIRST_PAYMENT
+from ..operators.audit import PAYMENTS_PROC
 from ..sources.tables import scan
 from .catalog import query
 from .oracle import month_name, month_title, us_week, with_ctes
@@ -179,10 +182,25 @@ def q_json_props(L):
                     F.get_json_object("props", "$['k']").alias("k_text"))
 
 
-@query("q_import_log")
+_LOGGED_AT = _dt.datetime(2001, 6, 30, 12, 0, 0)  # the time of the import, an argument
+
+
+@query("q_import_log", with_ctes(f"""
+SELECT TIMESTAMP '{_LOGGED_AT}' AS logged_at, proc, level, message, 'pagos_consorcios.csv' AS path
+FROM (SELECT '{PAYMENTS_PROC}' AS proc, 'ERROR' AS level,
+             'Linea ' || coalesce(CAST(source_id AS VARCHAR), '?') || ' rechazada: ' || r AS message
+      FROM (SELECT source_id, concat_ws(',', CASE WHEN pay_date IS NULL THEN 'INVALID_DATE' END,
+                     CASE WHEN amount IS NULL OR NOT (amount > 0) THEN 'INVALID_AMOUNT' END,
+                     CASE WHEN unit_id IS NULL THEN 'UNKNOWN_ACCOUNT' END,
+                     CASE WHEN charge_no IS NULL THEN 'NO_CHARGE' END) AS r FROM bank_matched) x WHERE r <> ''
+      UNION ALL
+      SELECT '{PAYMENTS_PROC}', CASE WHEN (SELECT count(*) FROM payment) = 0 THEN 'WARN' ELSE 'INFO' END,
+             'Registros leidos: ' || CAST((SELECT count(*) FROM bank_matched) AS VARCHAR)
+             || ', pagos insertados: ' || CAST((SELECT count(*) FROM payment) AS VARCHAR)) e"""))
 def q_import_log(L):
     """A-09/D-13/I-12/J-19: audit rows of the bank import (one ERROR per rejected line,
     INFO summary with counts, WARN when nothing was inserted), level-checked and
-    stamped in UTC. Rows-only check (timestamps)."""
+    stamped with the import's time."""
     from ..operators.audit import import_log_rows
-    return import_log_rows(L)
+    rows = import_log_rows(L, at=_LOGGED_AT)
+    return rows.withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))

@@ -20,7 +20,7 @@ SELECT CAST(time_bucket(INTERVAL 7 DAY, CAST(ts AS TIMESTAMP), TIMESTAMP '1970-0
 FROM events GROUP BY ALL"""))
 def q_stream_weekly(L):
     """K-01: event stream -> watermark, duplicate drop, weekly tumbling totals per type."""
-    return weekly_totals_stream(L.spark, L.sf)
+    return weekly_totals_stream(L.spark, f"{L.sf}/events.parquet")
 
 
 @query("q_stream_payments", with_ctes("SELECT * FROM apportionment"))

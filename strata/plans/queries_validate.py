@@ -13,10 +13,14 @@ AS_OF = _dt.date(2001, 6, 30)  # "today" for the not-in-the-future rules
 _D = f"DATE '{AS_OF}'"
 
 
-def _sql(batch: str, rules: list[tuple[str, str]], cols: str, key: str | None = None, order: str | None = None) -> str:
-    """Oracle: reasons = concat_ws of the failing codes; duplicates by row_number."""
+def _sql(batch: str, rules: list[tuple[str, str]], cols: str, key: str | None = None, order: str | None = None,
+         stored: str | None = None) -> str:
+    """Oracle: reasons = concat_ws of the failing codes; duplicates by row_number;
+    ``stored`` is the condition that a row's key is in the stored table."""
     parts = [f"CASE WHEN {cond} THEN '{code}' END" for cond, code in rules]
     dup = ""
+    if stored:
+        parts.append(f"CASE WHEN {stored} THEN 'ALREADY_EXISTS' END")
     if key:
         parts.append("CASE WHEN rn > 1 THEN 'DUPLICATE_KEY' END")
         dup = f", row_number() OVER (PARTITION BY {key} ORDER BY {order or key}) AS rn"
@@ -63,10 +67,14 @@ FROM unit""", [
     ("building_id NOT IN (SELECT building_id FROM building)", "UNKNOWN_BUILDING"),
     (_blank_long("floor", 10), "FLOOR_LENGTH"), (_blank_long("door", 10), "DOOR_LENGTH"),
     ("area IS NULL OR area <= 0", "INVALID_AREA"), ("coef IS NULL OR coef <= 0 OR coef > 100", "INVALID_COEF"),
-], "unit_id, building_id, floor, door, area, coef", "building_id, floor, door", "building_id, floor, door, unit_id"))
+], "unit_id, building_id, floor, door, area, coef", "building_id, floor, door", "building_id, floor, door, unit_id",
+    "EXISTS (SELECT 1 FROM unit e WHERE e.unit_id % 23 = 0 AND e.building_id = b1.building_id"
+    " AND e.floor = b1.floor AND e.door = b1.door)"))
 def q_validate_units(L):
-    """J-20 units: building exists, floor/door 1-10, area > 0, 0 < coef <= 100, unique."""
-    return V.validate_units(B.units(L.unit), L.building).select(
+    """J-20 units: building exists, floor/door 1-10, area > 0, 0 < coef <= 100, unique in
+    the batch and against the units already stored (here every 23rd)."""
+    stored = L.unit.filter("unit_id % 23 = 0")
+    return V.validate_units(B.units(L.unit), L.building, stored).select(
         "unit_id", "building_id", "floor", "door", "area", "coef", "status", "reasons")
 
 
@@ -159,15 +167,19 @@ def q_validate_charges(L):
 SELECT charge_no, unit_id,
        CASE WHEN (unit_id + charge_no) % 97 = 0 THEN CAST(0 AS DECIMAL(10,2)) ELSE pct END AS pct,
        prior_balance, received, interest, ordinary, extraordinary, total, debt
-FROM apportionment""", [
+FROM (SELECT * FROM apportionment
+      UNION ALL SELECT * FROM apportionment WHERE (unit_id + 3 * charge_no) % 89 = 0) a""", [
     ("charge_no NOT IN (SELECT charge_no FROM charge)", "UNKNOWN_CHARGE"),
     ("unit_id NOT IN (SELECT unit_id FROM unit)", "UNKNOWN_UNIT"),
     ("pct IS NULL OR pct <= 0 OR pct > 100", "INVALID_PCT"),
     (" OR ".join(f"coalesce({c} < 0, false)" for c in V.AMOUNT_COLUMNS), "NEGATIVE_AMOUNT"),
-], "charge_no, unit_id, pct", "charge_no, unit_id"))
+], "charge_no, unit_id, pct", "charge_no, unit_id", stored="charge_no % 31 = 0"))
 def q_validate_apportionments(L):
-    """J-20 apportionment: charge and unit exist, 0 < pct <= 100, amounts >= 0, unique."""
-    return V.validate_apportionments(B.apportionments(L.apportionment), L.charge, L.unit).select(
+    """J-20 apportionment: charge and unit exist, 0 < pct <= 100, amounts >= 0, unique in
+    the batch (which has exact repeats) and against the rows stored (here of every 31st
+    charge number)."""
+    stored = L.apportionment.filter("charge_no % 31 = 0")
+    return V.validate_apportionments(B.apportionments(L.apportionment), L.charge, L.unit, stored).select(
         "charge_no", "unit_id", "pct", "status", "reasons")
 
 

@@ -62,25 +62,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset (local
-    tests) a folder under the system temp dir is chosen and registered. Every call
-    returns a new, unique sub-folder, so concurrent runs never collide.
+    Reads ``spark.checkpoint.dir`` from the session, else the folder set with ``setCheckpointDir``. Only a local
+    session without either (tests) gets a folder under the system temp dir; on a cluster that is an error, since
+    executors do not share their own disks. Every call returns a new, unique sub-folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        # unset (local tests only): a folder of our own, registered with the context
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "strata-checkpoints")
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable (shared) target: the
-    cluster's ``spark.checkpoint.dir`` when set, our own folder otherwise."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    base = shared_dir(spark, "ckpt")
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory())
+
+
+def path_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and latest change of a file, or of the files directly in a folder; (0, 0) if absent."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0, 0
+    files = list(fs.listStatus(p))
+    return sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)

@@ -14,7 +14,7 @@ No row is dropped. Rules (mirrored in the DuckDB oracle):
 - storage: key%8=0 size 0, key%20=0 unknown unit; parking: key%12=0 size 0,
   key%30=0 unknown unit
 - charges: no%17=0 first due date = generation date, no%19=0 second = first
-- apportionment: (unit + charge no)%97=0 pct 0
+- apportionment: (unit + charge no)%97=0 pct 0; (unit + 3 charge no)%89=0 exact repeats
 - expenses: id%23=0 kind 'Otro'
 - ordinary subtype: every ordinary row plus the extraordinary expenses
 - extraordinary subtype: id%7=0 instalment 3 of 2, plus the ordinary expenses
@@ -87,8 +87,9 @@ def charges(c: DataFrame) -> DataFrame:
 
 
 def apportionments(a: DataFrame) -> DataFrame:
+    again = a.filter((F.col("unit_id") + 3 * F.col("charge_no")) % 89 == 0)
     bad = (F.col("unit_id") + F.col("charge_no")) % 97 == 0
-    return a.withColumn("pct", _w(bad, F.lit(Decimal("0.00")).cast("decimal(10,2)"), "pct"))
+    return a.unionByName(again).withColumn("pct", _w(bad, F.lit(Decimal("0.00")).cast("decimal(10,2)"), "pct"))
 
 
 def expenses(e: DataFrame) -> DataFrame:

@@ -18,21 +18,31 @@ applied to that table.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FILES, RAW
-from ..session import shared_dir
+from ..session import is_folder, path_exists, path_stamp, shared_dir
 
 
-def weekly_totals_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet",
-                         watermark: str = "1 day", out_dir: str | None = None,
-                         checkpoint_dir: str | None = None) -> DataFrame:
+def weekly_totals_stream(spark: SparkSession, source: str, watermark: str = "1 day", out_dir: str | None = None,
+                         checkpoint_dir: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """``source``: the events table, a Parquet file or a folder of part files.
+
+    By default one micro-batch takes all files that are there, so nothing is late
+    whatever order the files have; ``files_per_batch`` makes smaller batches, where
+    events older than the watermark of the batch before are dropped.
+    """
     out_dir = out_dir or shared_dir(spark, "stream", "weekly_out")
     checkpoint_dir = checkpoint_dir or shared_dir(spark, "stream", "weekly_ckpt")
-    src = (spark.readStream.schema(RAW["events"]).option("pathGlobFilter", glob)
-           .option("maxFilesPerTrigger", 1).parquet(source_dir))
+    if not path_stamp(spark, source)[0]:
+        raise FileNotFoundError(f"no events to stream in {source}")
+    reader = spark.readStream.schema(RAW["events"])
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    folder, _, name = source.rstrip("/").rpartition("/")
+    # a stream watches a folder: of a table that is one file, the folder of that file
+    src = reader.parquet(source) if is_folder(spark, source) else reader.option("pathGlobFilter", name).parquet(folder)
     ev = src.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
                     F.col("value").cast("decimal(12,2)").alias("value"))
     agg = (ev.withWatermark("ts", watermark)
@@ -58,9 +68,9 @@ _WINDOW_ROWS = ("window_start timestamp_ntz, window_end timestamp_ntz, event_typ
 
 def latest_windows(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current value of every window: the row of its latest micro-batch."""
-    try:
+    if path_exists(spark, out_dir):
         r = spark.read.parquet(out_dir)
-    except AnalysisException:  # no micro-batch has produced output yet
+    else:  # no micro-batch has produced output yet
         r = spark.createDataFrame([], _WINDOW_ROWS)
     v = F.max_by(F.struct("window_end", "events", "total_value"), "batch_id")
     g = r.groupBy("window_start", "event_type").agg(v.alias("_v"))
@@ -69,31 +79,44 @@ def latest_windows(spark: SparkSession, out_dir: str) -> DataFrame:
                     F.col("_v.total_value").cast("decimal(18,2)").alias("total_value"))
 
 
+_PAYMENT_ROWS = ("payment_id bigint, pay_date date, amount decimal(12,2), account string, unit_id bigint, "
+                 "charge_no bigint, batch_id bigint")
+
+
 def apply_payments_stream(spark: SparkSession, bank_dir: str, person: DataFrame, appt: DataFrame,
-                          charge: DataFrame, payments_dir: str | None = None,
-                          checkpoint_dir: str | None = None) -> DataFrame:
-    """Bank CSV files -> accepted payments appended per micro-batch (insert-if-absent
-    against what is already stored) -> balances recomputed from the payment table."""
+                          charge: DataFrame, existing: DataFrame | None = None, payments_dir: str | None = None,
+                          checkpoint_dir: str | None = None, files_per_batch: int = 4) -> DataFrame:
+    """Bank CSV files -> accepted payments stored per micro-batch -> balances recomputed
+    from the payment table.
+
+    Insert-if-absent compares with ``existing``, the ledger as it was at the start, as
+    one batch import of all the files would; rows of other files of the same run are
+    not taken for repeats. A micro-batch that is run again overwrites its own folder.
+    The month candidates are computed once.
+    """
     from ..operators import payments as P
 
     payments_dir = payments_dir or shared_dir(spark, "stream", "payments")
     checkpoint_dir = checkpoint_dir or shared_dir(spark, "stream", "payments_ckpt")
+    candidates_dir = shared_dir(spark, "stream", "candidates")
+    P.month_candidates(appt, charge).write.parquet(candidates_dir)
+    candidates = spark.read.parquet(candidates_dir)
     src = (spark.readStream.schema(FILES["payments_csv"]).option("header", True).option("sep", ",")
-           .option("maxFilesPerTrigger", 4).csv(bank_dir))
+           .option("maxFilesPerTrigger", files_per_batch).csv(bank_dir))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         staged = P.resolve_unit_by_account(P.parse_bank_file(batch), person)
-        accepted, _ = P.split_accepted(P.match_by_month(staged, appt, charge))
-        rows = P.as_payment_rows(accepted).dropDuplicates(["payment_id"])
-        try:
-            stored = spark.read.parquet(payments_dir)
-        except AnalysisException:  # first batch: nothing stored yet
-            stored = None
-        if stored is not None:
-            rows = P.new_payments(rows, stored)
-        rows.write.mode("append").parquet(payments_dir)
+        accepted, _ = P.split_accepted(P.match_by_month(staged, appt, charge, candidates))
+        rows = P.as_payment_rows(accepted)
+        if existing is not None:
+            rows = P.new_payments(rows, existing)
+        rows.write.mode("overwrite").parquet(f"{payments_dir}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return P.apply_payments(appt, spark.read.parquet(payments_dir))
+    if path_exists(spark, payments_dir):
+        paid = spark.read.schema(_PAYMENT_ROWS).parquet(payments_dir)
+    else:
+        paid = spark.createDataFrame([], _PAYMENT_ROWS)
+    return P.apply_payments(appt, paid)

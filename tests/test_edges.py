@@ -80,6 +80,6 @@ def test_stream_drops_events_behind_the_watermark(spark):
         pq.write_table(pa.Table.from_pandas(pdf, schema=schema, preserve_index=False),
                        os.path.join(src, f"part{i}_{uuid.uuid4().hex}.parquet"))
         time.sleep(1.1)  # distinct modification times: the files arrive in order
-    out = weekly_totals_stream(spark, src, glob="*.parquet").collect()
+    out = weekly_totals_stream(spark, src, files_per_batch=1).collect()
     total_events = sum(r.events for r in out)
     assert total_events == 4  # events 1, 2, 3, 5: the late event 4 and the duplicate of 3 are dropped

@@ -155,7 +155,7 @@ def test_fifo_and_interval_match_brute_force(spark):
     p = spark.createDataFrame(pays, "source_id bigint, unit_id bigint, pay_date date")
     fifo = {r.source_id: r.charge_fifo for r in P.match_fifo(p, a, ch).collect()}
     assert fifo == _brute_fifo(pays, appts)
-    iv = {r.source_id: r.charge_interval for r in P.match_interval(p, a, ch).collect()}
+    iv = {r.source_id: r.charge_interval for r in P.match_interval(p, a, ch, key="source_id").collect()}
     assert iv == _brute_interval(pays, appts)
     assert P.match_fifo(p, a, ch).count() == len(pays)  # never fans out
 

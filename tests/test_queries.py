@@ -1,25 +1,15 @@
 """Registered queries: plan properties, oracle agreement, streaming parity.
 
-Set ``STRATA_FULL_ORACLE=1`` to compare every query against its DuckDB oracle
-(the driver does this at sf0.01); by default a representative subset runs at sf0.001.
+Every query is compared with its DuckDB oracle at sf0.001 (the driver does it at sf0.01).
 """
 
-import os
-
 import pytest
 
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
-SUBSET = ["q_weekly_cash_flow", "q_monthly_pivot", "q_income_by_source_xml", "q_top_debtors", "q_days_between_payments",
-          "q_statement_totals", "q_carry_forward", "q_payment_fifo_match", "q_payment_interval_match",
-          "q_late_interest", "q_prior_balance_asof", "q_validate_people", "q_delete_cascade", "q_dedup_people",
-          "q_read_expenses_json", "q_surrogate_keys", "q_scalar_dates", "q_stream_weekly"]
-NAMES = sorted(ORACLE) if os.environ.get("STRATA_FULL_ORACLE") else SUBSET
+from strata.plans.catalog import ORACLE, QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
 
@@ -33,9 +23,9 @@ def test_entry_runs(spark):
     assert df.count() > 0 and "running_total" in df.columns
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"q_import_log"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("q_read_", "q_stream_"))))
@@ -59,7 +49,7 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "WindowGroupLimit" in top  # partial top-k before the shuffle
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows, cols = df.collect(), df.columns
