@@ -90,5 +90,39 @@ INCOME_XML = ("RecaudacionPorOrigen", "Periodo",
 DEBTORS_XML = ("Top3Morosos", "Moroso", "DNI",
                ["Nombre", "Apellido", "Email", "Telefono", "UnidadFuncional", "DeudaTotal",
                 "CantidadExpensasAdeudadas"])
-HTML_CELL = "padding: 12px; border-bottom: 1px solid #ddd;"
+# Debtors page: style of each cell of a row (the first has none), and the page around the rows.
+HTML_CELL_STYLES = (
+    None,
+    "padding: 12px; border-bottom: 1px solid #ddd; white-space: nowrap; font-weight: bold;",
+    "padding: 12px; border-bottom: 1px solid #ddd; white-space: nowrap;",
+    "padding: 12px; border-bottom: 1px solid #ddd; color: #d9534f; text-align: right; white-space: nowrap;",
+    "padding: 12px; border-bottom: 1px solid #ddd; font-size: 12px; color: #666;",
+)
 HTML_LINE_BREAK = "<br>"
+HTML_BEFORE_NAME = (
+    "<!DOCTYPE html><html>"
+    "<body style=\"font-family: 'Helvetica Neue', Helvetica, Arial, sans-serif; background-color: #f4f4f4; margin: 0; "
+    "padding: 20px;\">"
+    "<div style=\"max-width: 700px; margin: 0 auto; background-color: #ffffff; padding: 30px; border-radius: 8px; "
+    "box-shadow: 0 2px 5px rgba(0,0,0,0.1);\">"
+    "<div style=\"border-bottom: 2px solid #0056b3; padding-bottom: 10px; margin-bottom: 20px;\">"
+    "<h2 style=\"color: #333; margin: 0;\">Reporte de Morosidad</h2>"
+    "<p style=\"color: #666; margin: 5px 0 0 0;\">Consorcio: <strong>"
+)
+HTML_BEFORE_ROWS = (
+    "</strong></p></div>"
+    "<p style=\"color: #555; line-height: 1.5;\">Estimados,</p>"
+    "<p style=\"color: #555; line-height: 1.5;\">Se adjunta el listado de los <strong>3 mayores deudores</strong> al día "
+    "de la fecha para iniciar las gestiones de cobranza judicial.</p>"
+    "<table style=\"width: 100%; border-collapse: collapse; margin: 25px 0; font-size: 14px;\"><thead>"
+    "<tr style=\"background-color: #0056b3; color: #ffffff; text-align: left;\">"
+    "<th style=\"padding: 12px;\">DNI</th><th style=\"padding: 12px;\">Nombre</th><th style=\"padding: 12px;\">UF</th>"
+    "<th style=\"padding: 12px; text-align: right;\">Deuda Total</th><th style=\"padding: 12px;\">Contacto</th>"
+    "</tr></thead><tbody>"
+)
+HTML_AFTER_ROWS = (
+    "</tbody></table>"
+    "<div style=\"margin-top: 30px; padding-top: 20px; border-top: 1px solid #eee; font-size: 12px; color: #999; "
+    "text-align: center;\"><p>Este es un reporte automático generado por el <strong>Sistema de Gestión de Consorcios"
+    "</strong>.</p><p>Por favor no responder a este correo.</p></div></div></body></html>"
+)

@@ -143,10 +143,11 @@ def parse_money(c) -> Column:
 
 
 def parse_amount_or_zero(c, precision: int = 18) -> Column:
-    """Blank/NULL amount text -> 0, otherwise money parse (unparseable -> NULL)."""
+    """Blank/NULL amount text -> 0 (blanks alone are blank text, as trailing blanks do
+    not count in a comparison), otherwise money parse (unparseable -> NULL)."""
     raw = col_(c)
     cleaned = F.replace(F.translate(raw, ". ", ""), F.lit(","), F.lit("."))
-    return F.when(raw.isNull() | (raw == ""), dec(0, precision, 2)).otherwise(
+    return F.when(raw.isNull() | (F.rtrim(raw) == ""), dec(0, precision, 2)).otherwise(
         cleaned.try_cast(f"decimal({precision},2)"))
 
 

@@ -27,7 +27,7 @@ def from_cents(x: str, p: int = 12) -> str:
     return f"CAST(CAST(({x}) AS DECIMAL(38,0)) * 0.01 AS DECIMAL({p},2))"
 
 
-def fixed_money(x: str, n: str | None = None, p: int = 18) -> str:
+def fixed_money(x: str, n: str | None = None, p: int = 28) -> str:
     den = str(SCALE) if n is None else f"(CAST({n} AS HUGEINT) * {SCALE})"
     return from_cents(rdiv(f"CAST({x} AS HUGEINT)", den), p)
 

@@ -276,6 +276,21 @@ def q_read_units_tsv(L):
     return df.select(*[c for c in df.columns if c not in (FL.CORRUPT, "file_name")], _ext())
 
 
+@query("q_read_units_bad_rows", files_sql("SELECT * FROM units_file WHERE CAST(unit_no AS BIGINT) % 31 <> 0"))
+def q_read_units_bad_rows(L):
+    """A-01: a units file in which every 31st line has a field too many: those lines are
+    skipped, under a tolerance of as many."""
+    path = shared_dir(L.spark, "files", "bad-units")
+    rows = FX.units_file(L.spark, L.sf)
+    line = F.concat_ws("\t", *[F.col(c) for c in rows.columns])
+    wrong = F.col("unit_no").cast("bigint") % 31 == 0
+    rows.select(F.when(wrong, F.concat(line, F.lit("\tx"))).otherwise(line).alias("value")) \
+        .write.text(f"{path}/rows")
+    bad = FL.count_malformed_lines(L.spark, f"{path}/rows", "\t", len(rows.columns))
+    df = FL.read_units_tsv(L.spark, f"{path}/rows", max_errors=bad, header=False)
+    return df.select(*rows.columns)
+
+
 @query("q_read_people_csv", files_sql("""
 SELECT "Nombre", "Apellido", "DNI", nullif("Email", '') AS "Email", nullif("Telefono", '') AS "Telefono",
        "CVU_CBU", "Inquilino" FROM people_file"""))
@@ -321,6 +336,24 @@ def q_read_expenses_json(L):
     return FL.read_expenses_json(L.spark, path)
 
 
+@query("q_load_expenses_file", with_ctes("""
+WITH m AS (SELECT building_id, 2024 AS year, month, CAST(sum(amount) AS DECIMAL(18,2)) AS total
+           FROM resolved GROUP BY building_id, month)
+SELECT building_id * 100000 + year * 12 + month AS charge_no, building_id, make_date(year, month, 1) AS gen_date,
+       least(make_date(year, month, 1) + 9, last_day(make_date(year, month, 1))) AS due1,
+       least(make_date(year, month, 1) + 19, last_day(make_date(year, month, 1))) AS due2,
+       CAST(CASE WHEN total > 99999999.99 THEN 99999999.99 ELSE total END AS DECIMAL(10,2)) AS total
+FROM m"""))
+def q_load_expenses_file(L):
+    """J-16: the expenses JSON and the providers range read from files and imported as
+    one year; the charges."""
+    from ..operators.charges import load_expenses_file
+    json_path = FL.write_expenses_json(FX.expenses_objects(L.spark, L.sf), shared_dir(L.spark, "files", "load-expenses"))
+    providers = FL.write_delimited(FX.providers_sheet(L.spark, L.sf), shared_dir(L.spark, "files", "load-providers"), ",",
+                                   header=False)
+    return load_expenses_file(L.spark, json_path, providers, L.building, L.unit, year=2024)["charge"]
+
+
 @query("q_read_buildings", files_sql("""
 SELECT "Consorcio" AS source_code, "Nombre del consorcio" AS name, "Domicilio" AS address,
        "Cant unidades funcionales" AS unit_count_raw, "m2 totales" AS area_raw

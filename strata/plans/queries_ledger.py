@@ -201,8 +201,7 @@ def q_apply_payments(L):
     """I-02: ledger holding the earlier import, then the re-import applied: only the
     rows accepted by the anti join add to received; debt = max(total - received, 0)."""
     existing = _existing(L)
-    state0 = P.apply_payments(L.apportion_carried, existing)
-    return P.apply_payments(state0, P.new_payments(L.payment, existing))
+    return P.apply_payments(L.apportion_carried, existing.unionByName(P.new_payments(L.payment, existing)))
 
 
 @query("q_payment_summary", with_ctes("""
@@ -292,10 +291,9 @@ FROM ({_FIFO_SQL}) f LEFT JOIN ({_INTERVAL_SQL}) i ON i.source_id = f.source_id
 WHERE f.charge_fifo IS NULL AND f.unit_id IS NOT NULL"""))
 def q_payment_interval_match(L):
     """C-14: for payments FIFO left unmatched, the newest charge whose
-    [generation, second due date or +30 days] holds the payment date."""
-    f = _fifo(L)
-    todo = f.filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())  # few rows: match only those
-    return P.match_interval(todo, L.apportionment, L.charge).select("source_id", "unit_id", "pay_date", "charge_interval")
+    [generation, second due date or +30 days] holds the payment date. Both rules in one pass."""
+    f = _fifo_interval(L).filter(F.col("charge_fifo").isNull() & F.col("unit_id").isNotNull())
+    return f.select("source_id", "unit_id", "pay_date", "charge_interval")
 
 
 @query("q_payment_rejects", with_ctes(f"""
@@ -320,7 +318,7 @@ def q_payment_rejects(L):
 INTEREST_AS_OF = _dt.date(2003, 3, 15)  # calculation date: every charge is past due, early ones hit the cap
 
 
-def _late_sql(as_of: _dt.date) -> str:
+def _late_sql(as_of: _dt.date, rows: str = "apportionment") -> str:
     d = f"DATE '{as_of}'"
     calc = (f"(a.prior_balance * CASE WHEN {d} > c.due2 THEN 0.02 + 0.005 * "
             f"((year({d}) * 12 + month({d})) - (year(c.due2) * 12 + month(c.due2))) ELSE 0.02 END)")
@@ -331,7 +329,7 @@ SELECT charge_no, unit_id, prior_balance, interest, total,
 FROM (SELECT a.charge_no, a.unit_id, a.prior_balance, a.received, i.interest,
              CAST(coalesce(a.ordinary, 0) + coalesce(a.extraordinary, 0) + a.prior_balance + i.interest
                   AS DECIMAL(12,2)) AS total
-      FROM apportionment a JOIN charge c ON c.charge_no = a.charge_no,
+      FROM {rows} a JOIN charge c ON c.charge_no = a.charge_no,
       LATERAL (SELECT CAST(CASE WHEN {calc} > {cap} THEN {cap} ELSE {calc} END AS DECIMAL(12,2)) AS interest) i
       WHERE a.prior_balance > 0 AND {d} > c.due1) x"""
 
@@ -353,7 +351,7 @@ def q_interest_summary(L):
     return I.interest_summary(I.late_interest(L.apportionment, L.charge, INTEREST_AS_OF))
 
 
-@query("q_prior_balance_asof", with_ctes("""
+_PRIOR_SQL = """
 SELECT a.charge_no, a.unit_id, CAST(coalesce(p.debt, 0) AS DECIMAL(12,2)) AS prior_balance,
        CAST(0 AS DECIMAL(12,2)) AS interest,
        CAST(coalesce(a.ordinary, 0) + coalesce(a.extraordinary, 0) + coalesce(p.debt, 0) AS DECIMAL(12,2)) AS total,
@@ -366,7 +364,25 @@ LEFT JOIN (SELECT charge_no, unit_id, debt FROM (
              FROM (SELECT a.*, c.gen_date FROM apportionment a JOIN charge c ON c.charge_no = a.charge_no) a
              JOIN (SELECT a.*, c.gen_date FROM apportionment a JOIN charge c ON c.charge_no = a.charge_no) b
                ON b.unit_id = a.unit_id AND b.gen_date < a.gen_date AND b.debt > 0) x WHERE rn = 1) p
-  ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id"""))
+  ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id"""
+
+
+@query("q_prior_balance_asof", with_ctes(_PRIOR_SQL))
 def q_prior_balance_asof(L):
     """C-12/J-14: prior balance from the latest earlier charge of the unit with debt."""
     return I.refresh_prior_balance(L.apportionment, L.charge)
+
+
+@query("q_refresh_balances", with_ctes(f"""
+WITH prior AS ({_PRIOR_SQL}),
+refreshed AS (SELECT a.charge_no, a.unit_id, a.received, a.ordinary, a.extraordinary, p.prior_balance,
+                     p.total AS total0, p.debt AS debt0
+              FROM apportionment a JOIN prior p ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id),
+late AS ({_late_sql(INTEREST_AS_OF, "refreshed")})
+SELECT r.charge_no, r.unit_id, r.prior_balance, coalesce(l.interest, CAST(0 AS DECIMAL(12,2))) AS interest,
+       coalesce(l.total, r.total0) AS total, coalesce(l.debt, r.debt0) AS debt
+FROM refreshed r LEFT JOIN late l ON l.charge_no = r.charge_no AND l.unit_id = r.unit_id"""))
+def q_refresh_balances(L):
+    """J-14: prior balances refreshed from the latest earlier debt, then the tiered late
+    interest on them as of the calculation date."""
+    return I.refresh_balances(L.apportionment, L.charge, INTEREST_AS_OF)

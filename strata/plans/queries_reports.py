@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .. import fixed as FX
 from . import reports as R
 from .catalog import query
 from .oracle import SCALE, cents, dmy, es_ar, fixed_money, month_title, us_week, with_ctes, xml_el, xml_escape
@@ -159,25 +160,27 @@ def q_top_debtors_xml(L):
     return R.top_debtors_xml(R.top_debtors(L.person, L.unit, L.apportionment))
 
 
-def _td(style: str, value: str) -> str:
-    return f"'<td style=\"{style}\">' || {value} || '</td>'"
+def _td(style: str | None, value: str) -> str:
+    """A cell; without a value an empty element, which the unstyled one is not worth."""
+    open_ = "<td" + (f' style="{style}"' if style else "")
+    return f"coalesce('{open_}>' || {value} || '</td>', '{open_ + '/>' if style else ''}')"
 
 
-_S = R._TD
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
 
 
 @query("q_debtors_html", with_ctes(f"""
 SELECT t.building_id,
-       '<html><body><h2>Reporte de Morosidad</h2><p>Consorcio: <strong>' || {xml_escape('b.name')}
-       || '</strong></p><table><thead><tr><th>DNI</th><th>Nombre</th><th>UF</th><th>Deuda Total</th><th>Contacto</th></tr></thead><tbody>'
-       || t.rows_ || '</tbody></table></body></html>' AS html
+       {_text(FX.HTML_BEFORE_NAME)} || {xml_escape('b.name')} || {_text(FX.HTML_BEFORE_ROWS)} || t.rows_
+       || {_text(FX.HTML_AFTER_ROWS)} AS html
 FROM (SELECT building_id, string_agg(r, '' ORDER BY rank) AS rows_
       FROM (SELECT building_id, rank, '<tr>'
-                   || {_td(_S + ' white-space: nowrap; font-weight: bold;', xml_escape('dni'))}
-                   || {_td(_S + ' white-space: nowrap;', xml_escape("first_name || ' ' || last_name"))}
-                   || {_td(_S + ' white-space: nowrap;', xml_escape('unit_label'))}
-                   || {_td(_S + ' color: #d9534f; text-align: right; white-space: nowrap;', "'$ ' || " + es_ar('total_debt'))}
-                   || {_td(_S + ' font-size: 12px; color: #666;', xml_escape('email') + " || '<br> Tel.: ' || " + xml_escape('phone'))}
+                   || {_td(None, xml_escape('dni'))}
+                   || {_td('padding: 12px; border-bottom: 1px solid #ddd; white-space: nowrap; font-weight: bold;', xml_escape("first_name || ' ' || last_name"))}
+                   || {_td('padding: 12px; border-bottom: 1px solid #ddd; white-space: nowrap;', xml_escape('unit_label'))}
+                   || {_td('padding: 12px; border-bottom: 1px solid #ddd; color: #d9534f; text-align: right; white-space: nowrap;', "'$ ' || " + es_ar('total_debt'))}
+                   || {_td('padding: 12px; border-bottom: 1px solid #ddd; font-size: 12px; color: #666;', xml_escape('email') + " || '<br> Tel.: ' || " + xml_escape('phone'))}
                    || '</tr>' AS r
             FROM ({_TOP_DEBTORS}) d) x
       GROUP BY building_id) t
@@ -202,17 +205,10 @@ def q_days_between_payments(L):
 
 
 # ---------------------------------------------------------------------------
-_HEADER_ITEMS = [
-    ("ENCABEZADO", "Nombre Administración", "'Administración del Consorcio'"),
-    ("ENCABEZADO", "CUIT Administración", "'30-00000000-0'"),
-    ("CONSORCIO", "Nombre", "b.name"),
-    ("CONSORCIO", "Dirección", "b.address"),
-    ("VENCIMIENTOS", "Periodo", f"{month_title('month(c.gen_date)')} || ' ' || CAST(year(c.gen_date) AS VARCHAR)"),
-    ("VENCIMIENTOS", "Fecha Vto 1", dmy("c.due1")),
-    ("VENCIMIENTOS", "Fecha Vto 2", dmy("c.due2")),
-    ("FORMA DE PAGO", "Medio", "'Transferencia Bancaria'"),
-    ("FORMA DE PAGO", "CVU (Consorcio)", "'0000000000000000000000'"),
-]
+_HEADER_ITEMS = [(section, item, value) for (section, item), value in zip(FX.HEADER_ITEMS, [
+    "'Administración del Consorcio'", "'30-00000000-0'", "b.name", "b.address",
+    f"{month_title('month(c.gen_date)')} || ' ' || CAST(year(c.gen_date) AS VARCHAR)",
+    dmy("c.due1"), dmy("c.due2"), _text(FX.PAYMENT_MEANS), "'0000000000000000000000'"])]
 
 
 @query("q_statement_header", with_ctes(
@@ -250,6 +246,16 @@ def q_statement_ordinary(L):
     return R.statement_ordinary(L.expense, L.expense_ordinary)
 
 
+@query("q_statement_ordinary_order", with_ctes("""
+SELECT e.charge_no, e.expense_id, CAST(e.amount AS DECIMAL(10,2)) AS amount,
+       CAST(row_number() OVER (ORDER BY e.charge_no, e.amount DESC, e.expense_id) AS BIGINT) AS position
+FROM expense e JOIN expense_ordinary eo ON eo.expense_id = e.expense_id"""))
+def q_statement_ordinary_order(L):
+    """F-01/F-05: the rows of the ordinary expenses with their place in presentation order."""
+    return R.positions("statement_ordinary", R.statement_ordinary(L.expense, L.expense_ordinary)) \
+        .select("charge_no", "expense_id", "amount", "position")
+
+
 @query("q_statement_extra", with_ctes(f"""
 SELECT 'EXTRAORDINARIO' AS kind, e.charge_no, e.expense_id, e.description AS detail,
        CAST(x.instalment AS INTEGER) AS instalment, CAST(x.instalments AS INTEGER) AS instalments,
@@ -260,16 +266,12 @@ def q_statement_extra(L):
     return R.statement_extraordinary(L.expense, L.expense_extraordinary)
 
 
-_CONCEPTS = ["TOTAL_GASTO_ORDINARIO", "TOTAL_GASTO_EXTRAORDINARIO", "TOTAL_EXPENSA_A_REPARTIR",
-             "TOTAL_PAGOS_RECIBIDOS", "TOTAL_SALDO_ANTERIOR", "TOTAL_DEUDA_PENDIENTE"]
-
-
 @query("q_statement_totals", with_ctes(
     "SELECT 'ESTADO_FINANCIERO' AS kind, c.charge_no, struct_extract(c.v, 'concept') AS concept, "
     "CAST(CASE struct_extract(c.v, 'line') WHEN 1 THEN e.o WHEN 2 THEN e.x "
     "WHEN 3 THEN c.total WHEN 4 THEN a.rec WHEN 5 THEN a.bal WHEN 6 THEN a.debt END AS DECIMAL(18,2)) AS amount, "
     "CAST(struct_extract(c.v, 'line') AS INTEGER) AS line\n"
-    "FROM (SELECT *, unnest([" + ", ".join(f"{{'line': {i}, 'concept': '{k}'}}" for i, k in enumerate(_CONCEPTS, 1))
+    "FROM (SELECT *, unnest([" + ", ".join(f"{{'line': {i}, 'concept': '{k}'}}" for i, k in enumerate(FX.TOTAL_CONCEPTS, 1))
     + "]) AS v FROM charge) c LEFT JOIN (SELECT charge_no, sum(CASE WHEN kind = 'Ordinario' THEN amount ELSE 0 END) AS o, "
     "sum(CASE WHEN kind = 'Extraordinario' THEN amount ELSE 0 END) AS x FROM expense GROUP BY charge_no) e "
     "ON e.charge_no = c.charge_no\n"
@@ -292,6 +294,16 @@ def q_statement_units(L):
     return R.statement_units(L.apportionment, L.unit)
 
 
+@query("q_statement_units_order", with_ctes("""
+SELECT a.charge_no, u.floor || ' - ' || u.door AS unit_label, a.unit_id,
+       CAST(row_number() OVER (ORDER BY a.charge_no, u.floor || ' - ' || u.door) AS BIGINT) AS position
+FROM apportionment a JOIN unit u ON u.unit_id = a.unit_id"""))
+def q_statement_units_order(L):
+    """F-01/F-05: the apportionment lines with their place in presentation order."""
+    return R.positions("statement_units", R.statement_units(L.apportionment, L.unit)) \
+        .select("charge_no", "unit_label", "unit_id", "position")
+
+
 # ---------------------------------------------------------------------------
 @query("q_guard_unknown_building", with_ctes("""
 SELECT r.building_id, b.building_id IS NOT NULL AS known,

@@ -53,7 +53,7 @@ def _split_parts(j: DataFrame) -> DataFrame:
     return j.withColumn("_ord", amt * r_o).withColumn("_ext", amt * r_e)
 
 
-def _fixed_to_money(c, divisor=None, precision: int = 18) -> F.Column:
+def _fixed_to_money(c, divisor=None, precision: int = 28) -> F.Column:
     den = X.dec(SCALE) if divisor is None else divisor
     return X.from_cents(X.round_div_half_up(c, den), precision)
 
@@ -104,19 +104,22 @@ def monthly_pivot(unit: DataFrame, payment: DataFrame, person: DataFrame, year:
         u = u.filter(F.col("building_id") == building)
     if unit_id is not None:
         u = u.filter(F.col("unit_id") == unit_id)
-    p = payment.filter(X.year_range("pay_date", year)).select(
-        F.col("unit_id").alias("_pu"), "pay_date", "amount")
-    per = person.select(F.col("unit_id").alias("_uu"), "first_name", "last_name")
-    j = u.join(p, u["unit_id"] == p["_pu"], "left").join(per, u["unit_id"] == per["_uu"], "left")
     zero = X.dec(0, 12, 2)
-    sums = [F.sum(F.when(F.month("pay_date") == i, F.col("amount")).otherwise(zero)).cast("decimal(18,2)").alias(name)
+    sums = [F.sum(F.when(F.month("pay_date") == i, F.col("amount")).otherwise(zero)).alias(name)
             for i, name in enumerate(MONTH_COLUMNS, start=1)]
-    g = j.groupBy("unit_id", "building_id", "floor", "door", "first_name", "last_name").agg(
-        *sums, F.sum("amount").cast("decimal(18,2)").alias("year_total"))
-    return g.select(
+    # payments are summed per unit before they meet the units: a unit with very many of
+    # them is added up where they are read, and the joins are one row a unit
+    paid = payment.filter(X.year_range("pay_date", year)).groupBy(F.col("unit_id").alias("_pu")) \
+        .agg(*sums, F.sum("amount").alias("year_total"))
+    # persons of one name on a unit are one line, with the payments counted for each
+    names = person.groupBy(F.col("unit_id").alias("_uu"), "first_name", "last_name").agg(F.count(F.lit(1)).alias("_k"))
+    j = u.join(paid, u["unit_id"] == paid["_pu"], "left").join(names, u["unit_id"] == names["_uu"], "left")
+    k = F.coalesce(F.col("_k"), F.lit(1)).cast("decimal(10,0)")
+    return j.select(
         "building_id", "unit_id", X.display_unit("floor", "door").alias("unit_label"),
         F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("owner"),
-        *MONTH_COLUMNS, "year_total")
+        *[(F.coalesce(F.col(c), zero) * k).cast("decimal(18,2)").alias(c) for c in MONTH_COLUMNS],
+        (F.col("year_total") * k).cast("decimal(18,2)").alias("year_total"))
 
 
 # ---------------------------------------------------------------------------
@@ -211,33 +214,27 @@ def top_debtors_xml(debtors: DataFrame) -> DataFrame:
     return g.select("building_id", F.concat(F.lit(f"<{root}>"), F.col("_rows"), F.lit(f"</{root}>")).alias("xml"))
 
 
-_TD = FX.HTML_CELL
-
-
 def debtors_html(debtors: DataFrame, building: DataFrame) -> DataFrame:
-    """HTML body per building: one <tr> per debtor (amount as es-AR 'N2'), inside a table."""
+    """The debtors notice per building, a whole HTML page: one <tr> per debtor (amount as
+    es-AR 'N2'). A cell without a value is an empty element, as FOR XML writes it."""
     def td(style, value):
-        return F.concat(F.lit(f'<td style="{style}">'), value, F.lit("</td>"))
-
-    row = F.concat(
-        F.lit("<tr>"),
-        td(_TD + " white-space: nowrap; font-weight: bold;", X.xml_escape("dni")),
-        td(_TD + " white-space: nowrap;", X.xml_escape(F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")))),
-        td(_TD + " white-space: nowrap;", X.xml_escape("unit_label")),
-        td(_TD + " color: #d9534f; text-align: right; white-space: nowrap;",
-           F.concat(F.lit("$ "), X.format_es_ar("total_debt"))),
-        td(_TD + " font-size: 12px; color: #666;",
-           F.concat(X.xml_escape("email"), F.lit(FX.HTML_LINE_BREAK + " Tel.: "), X.xml_escape("phone"))),
-        F.lit("</tr>"))
+        open_ = "<td" + (f' style="{style}"' if style else "")
+        return F.coalesce(F.concat(F.lit(open_ + ">"), value, F.lit("</td>")), F.lit(open_ + "/>" if style else ""))
+
+    cells = [
+        X.xml_escape("dni"),
+        X.xml_escape(F.concat(F.col("first_name"), F.lit(" "), F.col("last_name"))),
+        X.xml_escape("unit_label"),
+        F.concat(F.lit("$ "), X.format_es_ar("total_debt")),
+        F.concat(X.xml_escape("email"), F.lit(FX.HTML_LINE_BREAK + " Tel.: "), X.xml_escape("phone")),
+    ]
+    row = F.concat(F.lit("<tr>"), *[td(style, c) for style, c in zip(FX.HTML_CELL_STYLES, cells)], F.lit("</tr>"))
     g = debtors.withColumn("_row", row).groupBy("building_id").agg(
         F.expr("listagg(_row, '') within group (order by rank)").alias("_rows"))
-    b = building.select("building_id", "name")
-    head = ("<table><thead><tr><th>DNI</th><th>Nombre</th><th>UF</th><th>Deuda Total</th>"
-            "<th>Contacto</th></tr></thead><tbody>")
-    html = F.concat(F.lit("<html><body><h2>Reporte de Morosidad</h2><p>Consorcio: <strong>"),
-                    X.xml_escape("name"), F.lit("</strong></p>" + head), F.col("_rows"),
-                    F.lit("</tbody></table></body></html>"))
-    return g.join(b, "building_id").select("building_id", X.strip_crlf(html).alias("html"))
+    html = F.concat(F.lit(FX.HTML_BEFORE_NAME), X.xml_escape("name"), F.lit(FX.HTML_BEFORE_ROWS), F.col("_rows"),
+                    F.lit(FX.HTML_AFTER_ROWS))
+    return g.join(building.select("building_id", "name"), "building_id") \
+        .select("building_id", X.strip_crlf(html).alias("html"))
 
 
 # ---------------------------------------------------------------------------
@@ -389,6 +386,14 @@ def presented(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def positions(name: str, df: DataFrame) -> DataFrame:
+    """The report with the ``position`` (from 1) of each row in the reference's order."""
+    from ..operators.keys import surrogate_keys
+
+    keys = {f"_k{i}": -F.col(k[1:]) if k.startswith("-") else F.col(k) for i, k in enumerate(REPORT_ORDER[name])}
+    return surrogate_keys(df.withColumns(keys), list(keys), "position").drop(*keys)
+
+
 def statement(ledger, charge_no=None) -> dict[str, DataFrame]:
     """J-08: the six result sets of the charge statement (all charges when None)."""
     L = ledger

@@ -25,7 +25,6 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ from ..fixed import ROLE_OWNER, ROLE_TENANT
 from ..operators import charges as C
 from ..operators import payments as P
 from ..schemas import EXPENSE_JSON_KEYS
-from ..session import shared_dir
+from ..session import path_stamp, shared_dir
 from .tables import scan
 
 # Fixed values of the derivation: (returnflag, linestatus) pair -> JSON amount key.
@@ -50,6 +49,8 @@ PROVIDER_CATEGORIES = ["GASTOS BANCARIOS", "GASTOS DE ADMINISTRACION", "SEGUROS"
                        "GASTOS DE LIMPIEZA", "SERVICIOS PUBLICOS"]
 UNKNOWN_ACCOUNT = "9" * 22
 
+BUCKET_BYTES = 128 << 20
+
 
 def _unit_area(key):
     return (F.lit(30) + X.col_(key) % 170).cast("decimal(6,2)")
@@ -357,7 +358,6 @@ class Ledger:
         stored = Ledger(self.spark, self.sf)
         done: set[str] = set()
 
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         run = uuid.uuid4().hex[:12]
 
         def write(name: str) -> DataFrame:
@@ -366,13 +366,12 @@ class Ledger:
             if name in self.BUCKETED:
                 key = self.BUCKETED[name]
                 table = f"strata_{run}_{name}"
-                try:
-                    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
-                     .sortBy(key, "charge_no").option("path", target).saveAsTable(table))
-                    return self.spark.table(table)
-                except AnalysisException:
-                    # no usable catalog for bucketed tables: store plain parquet instead
-                    target = f"{target}_plain"
+                # as many buckets as the table it is made from has blocks, never fewer than tasks
+                blocks = -(-path_stamp(self.spark, f"{path}/apportion_carried")[0] // BUCKET_BYTES)
+                buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), blocks)
+                (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
+                 .sortBy(key, "charge_no").option("path", target).saveAsTable(table))
+                return self.spark.table(table)
             keys = self.SORT_KEYS.get(name)
             if keys:
                 df = df.sortWithinPartitions(*keys)  # narrow min/max per row group

@@ -56,10 +56,11 @@ def check_bad_rows(spark: SparkSession, path: str, sep: str, n_fields: int, max_
     return bad
 
 
-def read_units_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """A-01: tab-delimited units file, header line skipped, UTF-8, type errors kept in
-    ``_corrupt_record``; ``check_bad_rows`` enforces the 1000-line tolerance."""
-    return with_file_name(_csv(spark, path, FILES["units_tsv"], "\t", True))
+def read_units_tsv(spark: SparkSession, path: str, max_errors: int = 1000, header: bool = True) -> DataFrame:
+    """A-01: tab-delimited units file, header line skipped, UTF-8. Lines whose field count
+    differs from the layout are skipped; more than ``max_errors`` of them fail the read."""
+    check_bad_rows(spark, path, "\t", len(FILES["units_tsv"].fields), max_errors)
+    return with_file_name(_csv(spark, path, FILES["units_tsv"], "\t", header)).filter(F.col(CORRUPT).isNull())
 
 
 def read_people_csv(spark: SparkSession, path: str) -> DataFrame:

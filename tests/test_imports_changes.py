@@ -36,7 +36,7 @@ def test_units_tsv_reader_and_cleaning(spark):
             "roto\tsin\tcolumnas\n")
     path = _write(spark, "units", text)
     df = FL.read_units_tsv(spark, path)
-    assert df.count() == 5 and FL.check_bad_rows(spark, path, "\t", 10, 1000) == 1
+    assert df.count() == 4 and FL.check_bad_rows(spark, path, "\t", 10, 1000) == 1
     assert df.select("file_name").first().file_name.endswith(".txt")
     with pytest.raises(FL.TooManyBadRows):
         FL.check_bad_rows(spark, path, "\t", 10, 0)
