@@ -346,22 +346,23 @@ class Ledger:
     # Payments are not bucketed: one unit may hold a third of them.
     BUCKETED = {"apportionment": "unit_id"}
 
-    def materialize(self, path: str | None = None, parallel: int = 8) -> "Ledger":
+    def materialize(self, path: str | None = None) -> "Ledger":
         """Write the ledger tables once, each computed from the already written ones
         (lineage is cut at every table, so a lost executor only recomputes the current
-        stage). Tables whose inputs are ready are written concurrently (one Spark job
-        per thread). Returns a Ledger reading the stored tables; the caller switches
+        stage). A table is written as soon as its inputs are (one Spark job per thread).
+        Returns a Ledger reading the stored tables; the caller switches
         to it only when every table was written (all-or-nothing)."""
-        from concurrent.futures import ThreadPoolExecutor
+        from concurrent.futures import Future, ThreadPoolExecutor
+        from threading import Lock
 
         path = path or shared_dir(self.spark, "ledger")
         stored = Ledger(self.spark, self.sf)
-        done: set[str] = set()
+        plans = Lock()  # plans are built one at a time, their jobs run together
+        written: dict[str, Future] = {}
 
         run = uuid.uuid4().hex[:12]
 
-        def write(name: str) -> DataFrame:
-            df = getattr(stored, name)
+        def write(name: str, df: DataFrame) -> DataFrame:
             target = f"{path}/{name}"
             if name in self.BUCKETED:
                 key = self.BUCKETED[name]
@@ -378,14 +379,20 @@ class Ledger:
             df.write.mode("overwrite").parquet(target)
             return self.spark.read.parquet(target)
 
-        while len(done) < len(self.DEPENDS):
-            ready = [n for n, deps in self.DEPENDS.items() if n not in done and all(d in done for d in deps)]
-            # build the lazy plans on this thread, then run the writes concurrently
-            for n in ready:
-                getattr(stored, n)
-            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-                results = dict(zip(ready, pool.map(write, ready)))
-            for n, df in results.items():
-                stored.__dict__[n] = df
-            done.update(ready)
+        def build(name: str) -> None:
+            for needed in self.DEPENDS[name]:
+                written[needed].result()
+            with plans:
+                df = getattr(stored, name)
+            df = write(name, df)
+            with plans:
+                stored.__dict__[name] = df
+
+        # a table starts as soon as those it is computed from are written; DEPENDS names
+        # them before it, and a waiting thread costs nothing
+        with ThreadPoolExecutor(max_workers=len(self.DEPENDS)) as pool:
+            for name in self.DEPENDS:
+                written[name] = pool.submit(build, name)
+        for f in written.values():
+            f.result()
         return stored
