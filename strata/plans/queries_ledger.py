@@ -131,6 +131,16 @@ def q_missing_buildings(L):
                             F.lit(FX.NONE_IDENTIFIED))).alias("message"))
 
 
+@query("q_missing_building_names", with_ctes("""
+SELECT DISTINCT r_name AS building_name FROM region
+WHERE upper(trim(r_name)) NOT IN (SELECT upper(trim(name)) FROM building)"""))
+def q_missing_building_names(L):
+    """D-09: the missing names as rows, however many there are."""
+    from ..sources.adapter import regional_expense_rows
+    sheet = L.expense_sheet.unionByName(regional_expense_rows(L.spark, L.sf))
+    return C.missing_buildings(C.stage_expenses(sheet), L.building)
+
+
 # ---------------------------------------------------------------------------
 # J-17: bank file with the month rule
 

@@ -3,8 +3,10 @@ exact, and the plans must not gather the hot key's raw rows in one window task."
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from strata.operators import payments as P
 from strata.plans import reports as R
@@ -47,3 +49,27 @@ def test_fifo_hot_unit_does_not_fan_out(spark):
     assert out.filter("charge_fifo IS NOT NULL").count() == len(rows)  # every date is after January 1st, 2020
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan  # grouped min_by, no per-unit window
+
+
+def test_monthly_pivot_hot_unit(spark):
+    """A unit with a third of the payments, and two persons of one name on another."""
+    rows = _payments(spark, n=9000)
+    pay = spark.createDataFrame(rows, "payment_id bigint, unit_id bigint, pay_date date") \
+        .withColumn("amount", F.lit("2.50").cast("decimal(12,2)"))
+    unit = spark.createDataFrame([(u, 1, str(u), "A") for u in range(502)],
+                                 "unit_id bigint, building_id bigint, floor string, door string")
+    person = spark.createDataFrame([(u, "Ana", "Paz") for u in range(500)] + [(8, "Ana", "Paz"), (9, "Leo", "Sur")],
+                                   "unit_id bigint, first_name string, last_name string")
+    out = R.monthly_pivot(unit, pay, person, 2020)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.unit_id, []).append(r)
+    assert len(got) == 502 and len(got[9]) == 2 and len(got[8]) == 1
+    for u in (7, 8, 9, 500):
+        for r in got[u]:
+            k = 2 if u == 8 else 1
+            paid = [d for _, x, d in rows if x == u and d.year == 2020]
+            assert [r[m] for m in R.MONTH_COLUMNS] == [Decimal("2.50") * k * sum(d.month == i for d in paid) for i in range(1, 13)]
+            assert r.year_total == (Decimal("2.50") * k * len(paid) if paid else None)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # payments are summed below the joins
