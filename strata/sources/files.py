@@ -60,7 +60,10 @@ def read_units_tsv(spark: SparkSession, path: str, max_errors: int = 1000, heade
     """A-01: tab-delimited units file, header line skipped, UTF-8. Lines whose field count
     differs from the layout are skipped; more than ``max_errors`` of them fail the read."""
     check_bad_rows(spark, path, "\t", len(FILES["units_tsv"].fields), max_errors)
-    return with_file_name(_csv(spark, path, FILES["units_tsv"], "\t", header)).filter(F.col(CORRUPT).isNull())
+    df = with_file_name(_csv(spark, path, FILES["units_tsv"], "\t", header))
+    # a line is known to be malformed only where all its fields are read, whatever is selected later
+    fields = F.concat_ws("", *FILES["units_tsv"].fieldNames())
+    return df.filter(F.col(CORRUPT).isNull() & (F.length(fields) >= 0))
 
 
 def read_people_csv(spark: SparkSession, path: str) -> DataFrame:
