@@ -8,7 +8,8 @@ only the order of suffixes among equals in their first LENGTH bytes matters. Tha
    window's anchor. Equal windows have equal anchors at equal places. About one position in 14 is an anchor.
 2. Anchor hashes are dealt over parts, shortened and packed; anchors whose hash is in one document only cannot have an
    earlier match and go no further.
-3. For each other anchor the bytes of all windows that it anchors are dealt by its hash. A part sorts the suffixes that
+3. For each other anchor the bytes of all windows that it anchors (a stretch) are dealt by its hash, once for all
+   documents of a slice that have them. A part sorts the suffixes that
    start at these windows by their first LENGTH bytes, ties by document. In that order, the previous smaller document
    of a suffix that agrees with it in LENGTH bytes is where it is copied from: its LPF reaches LENGTH.
    Equal stretches of windows are sorted once, however many documents have them.
@@ -201,9 +202,14 @@ def dealt_windows(joined: DataFrame, parts: int) -> DataFrame:
                 mine = d.astype(np.uint64) << np.uint64(32) | (rest & np.uint64(0xFFFFFFFF))
                 at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
                 i = np.flatnonzero(known[at] == mine)
-                i = i[np.argsort(part[i], kind="stable")]
                 p, first, last, d, part = p[i], first[i], last[i], d[i], part[i]
-                size = last - first + LENGTH
+                size, off = last - first + LENGTH, p - first
+                _, same = _stretch_hashes(data, first, size, off)
+                i = np.lexsort((first, same, part))
+                first, size, off, d, part, same = first[i], size[i], off[i], d[i], part[i], same[i]
+                # a stretch that several documents of the slice have is sent once
+                new = np.ones(len(part), bool)
+                new[1:] = (part[1:] != part[:-1]) | (same[1:] != same[:-1])
                 edges = np.searchsorted(part, np.arange(parts + 1))
                 name, ids = text_column(batch, "rid")[0].as_py(), text_column(batch, "id").to_numpy()
                 rows = [(-1, name, b"", _identity(batch))]
@@ -211,9 +217,11 @@ def dealt_windows(joined: DataFrame, parts: int) -> DataFrame:
                 for k in range(parts):
                     j = slice(edges[k], edges[k + 1])
                     if edges[k] < edges[k + 1]:
+                        lead = edges[k] + np.flatnonzero(new[j])
                         rows.append((k, name, sent, pack(
-                            d=smallest(d[j]), at=smallest(first[j] - offsets[d[j]]), size=smallest(size[j]),
-                            off=smallest(p[j] - first[j]), text=data[_ranges(first[j], size[j])])))
+                            d=smallest(d[j]), at=smallest(first[j] - offsets[d[j]]), new=new[j].astype(np.uint8),
+                            size=smallest(size[lead]), off=smallest(off[lead]),
+                            text=data[_ranges(first[lead], size[lead])])))
                 yield _rows(rows)
 
     return joined.mapInArrow(run, _DEALT)
@@ -274,6 +282,8 @@ def copied_windows(deals: DataFrame, parts: int) -> DataFrame:
         start = np.cumsum(size) - size
         # stretches: equal bytes and anchor place; each anchor's stretches are a group
         gram, same = _stretch_hashes(text, start, size, off)
+        sent = np.cumsum(np.concatenate([x["new"] for x in cols]).astype(np.int64)) - 1  # which one a record has
+        gram, same, start, size = gram[sent], same[sent], start[sent], size[sent]
         order = np.lexsort((doc, same, gram))
         g, s = gram[order], same[order]
         new = np.r_[True, (s[1:] != s[:-1]) | (g[1:] != g[:-1])]
@@ -349,22 +359,31 @@ def document_spans(found: DataFrame) -> DataFrame:
     return found.groupBy("slice").applyInPandas(run, "id long, th long, spans binary").dropDuplicates(["id", "th"])
 
 
+def _with_rid(texts: DataFrame) -> DataFrame:
+    """A slice is named by the id of its first row; the ids only need to differ within one scan."""
+    return texts.withColumn("rid", F.monotonically_increasing_id())
+
+
+def _hits(texts: DataFrame, parts: int) -> DataFrame:
+    return store(hit_documents(dealt_anchors(_with_rid(texts), parts), parts), "suffix-hits")
+
+
+def _spans(texts: DataFrame, hits: DataFrame, parts: int) -> DataFrame:
+    joined = _with_rid(texts.hint("merge").join(hits, ["id", "th"]))
+    return store(document_spans(copied_windows(dealt_windows(joined, parts), parts)), "suffix-spans")
+
+
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's id, text and removed runs (binary: starts, then ends, as 64-bit numbers; null: none)."""
-    spark = docs.sparkSession
     t = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"), t.alias("text"),
                         F.xxhash64(t).alias("th"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
-    # a slice is named by the id of its first row; the ids only need to differ within one scan
-    named = texts.withColumn("rid", F.monotonically_increasing_id())
-    hits = store(hit_documents(dealt_anchors(named, parts), parts), "suffix-hits")
-    release(spark)
-    joined = texts.hint("merge").join(hits, ["id", "th"]).withColumn("rid", F.monotonically_increasing_id())
-    found = copied_windows(dealt_windows(joined, parts), parts)
-    spans = store(document_spans(found), "suffix-spans")
-    release(spark)
+    hits = _hits(texts, parts)
+    release(docs.sparkSession)
+    spans = _spans(texts, hits, parts)
+    release(docs.sparkSession)
     plain = docs.select(F.col(doc_id), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("id"),
                         t.alias("text"), F.xxhash64(t).alias("th"))
     return plain.hint("merge").join(spans, ["id", "th"], "left").select(doc_id, "text", "spans")
