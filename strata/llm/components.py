@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 from .common import store
 
 
-def _large(edges: DataFrame) -> DataFrame:
-    both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")) \
-        .union(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
-    least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-    return both.where("y > x").join(least, "x").where("y != m").select(F.col("y").alias("u"), F.col("m").alias("v")) \
-        .distinct()
+def _least(edges: DataFrame, node: str, other: str, name: str) -> DataFrame:
+    """Smallest neighbour of each node. Stored, so that the join with it meets two plain inputs: a small one is
+    broadcast, and of large ones Spark splits the partition of a node that very many edges have."""
+    return store(edges.groupBy(node).agg(F.min(other).alias("m")), name)
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = edges.join(least, "u")
+def _large(edges: DataFrame, name: str) -> DataFrame:
+    """Every larger neighbour of a node to the smallest of its neighbours and itself.
+
+    Edges go from a larger node u to a smaller v. A node has smaller neighbours only where it is a u, so each edge's
+    v is replaced by its own smallest neighbour, if it has one.
+    """
+    least = _least(edges, "u", "v", name).withColumnRenamed("u", "w")
+    return edges.join(least, edges["v"] == least["w"], "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+
+
+def _small(edges: DataFrame, name: str) -> DataFrame:
+    """Every smaller neighbour of a node, and the node, to the smallest of them."""
+    joined = edges.join(_least(edges, "u", "v", name), "u")
     return joined.select("u", F.col("m").alias("v")) \
         .union(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -37,6 +45,7 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen, k = mark, k + 1
-        e = store(_small(_large(e)), f"{name}-{k}")
+        e = store(_large(e, f"{name}-{k}-large-least"), f"{name}-{k}-large")
+        e = store(_small(e, f"{name}-{k}-small-least"), f"{name}-{k}-small")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
