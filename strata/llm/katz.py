@@ -10,12 +10,14 @@ class, and a word of that class costs P(w | class) more, from the exact counts o
 to one over all words, and no word is dropped. A sliver of mass (``RESERVED``) belongs to a word that never comes, so
 that a history met with every class still leaves some.
 
-Work: one pass counts words. A second deals every text's pairs by (history, word) and its rare words by hash, as packed
-number columns; hot histories are split over several parts by the following word. Each part counts its pairs, which no
-other part has, and answers each dealing batch with partial sums by document that are linear in the logarithms still
-unknown (discounts, backoff weights). History totals are summed by class on the driver (bounded by the vocabulary and
-the splits). The last pass adds up the answers batch by batch. Word counts, pair counts and answers are Parquet tables
-in the shared folder.
+Work: one pass counts words. A second counts the pairs of the ``DENSE`` most frequent classes, a table of fixed size
+that is broadcast: a pair that very many texts have is one of these, so no part ever gathers such a pair. A third pass
+scores these pairs where they are read and deals the others by (history, word) and rare words by hash, as packed number
+columns; hot histories are split over several parts by the following word. Each part counts its pairs, which no other
+part has, and answers each dealing batch with partial sums by document that are linear in the logarithms still unknown
+(discounts, backoff weights). History totals are summed by class on the driver (bounded by the vocabulary and the
+splits). The last pass adds up the answers batch by batch. Word counts, pair counts and answers are Parquet tables in
+the shared folder.
 
 Defined cases: a null text is empty and has the end token only; a null id is not held out; repeated rows are texts of
 their own; without training texts every token is unknown and all scores are 0. Empty tables give empty results.
@@ -33,16 +35,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import release, store
 from .packed import pack, slices, smallest, unpack
 from .tokens import mix, rows_of, text_column, word_hashes
 
 VOCABULARY = 1 << 16
+DENSE = 1 << 10  # classes whose pairs are counted in one table
 TOP = 5  # counts up to this are discounted by Good-Turing
 BIG = 0.999  # discount of larger counts: just below one, so every history leaves mass
 RESERVED = 1e-9
 END = np.uint64(0xE1D0E1D0E1D0E1D0)
 PART_TOKENS = 2_000_000
+SLICE_BYTES = 8 << 20  # text bytes a task handles at once
 _OCTAVE = 64
 
 
@@ -79,6 +83,16 @@ class Words(NamedTuple):
     parts: int
     rare_parts: int
     splits: np.ndarray  # parts of each history
+    dense: np.ndarray  # training count of each pair of dense classes: history by word
+
+    @property
+    def dense_of(self) -> np.ndarray:
+        """Dense number of each class, other words and the start after the frequent ones; -1 for all between."""
+        n, d = len(self.hashes), self.dense.shape[1] - 1
+        out = np.full(n + 2, -1, np.int32)
+        out[:d] = np.arange(d)
+        out[n], out[n + 1] = d, d + 1
+        return out
 
     def discounted(self, c: np.ndarray) -> np.ndarray:
         d = np.array([0.0, *self.discount, BIG])[np.minimum(c, TOP + 1)]
@@ -109,7 +123,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             batch = batch.filter(pa.compute.invert(text_column(batch, "held")))
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 w, n = np.unique(_tokens(text_column(part, "text"))[0], return_counts=True)
                 words.append(w)
                 counts.append(n)
@@ -145,8 +159,9 @@ def word_model(words: DataFrame, texts: int, vocabulary: int, tokens: int | None
     hashes, counts = hashes[rank], counts[rank]
     order = np.argsort(hashes)
     discount = discounts([float(r[f"n{k}"]) for k in range(1, TOP + 2)])
-    model = Words(total, types, hashes[order], order.astype(np.int64), counts, np.zeros(0), discount, 1.0, 1, 1,
-                  np.zeros(0))
+    d = min(DENSE, len(counts))
+    model = Words(total, types, hashes[order], order.astype(np.int32), counts, np.zeros(0), discount, 1.0, 1, 1,
+                  np.zeros(0), np.zeros((d + 2, d + 1), np.int64))
     # mass of all words: discounted by count, so the counts of counts suffice
     mass = sum(model.discounted(np.array([k]))[0] * r[f"n{k}"] for k in range(1, TOP + 1))
     big = total - sum(k * r[f"n{k}"] for k in range(1, TOP + 1))
@@ -170,21 +185,53 @@ def _sum_by(keys: np.ndarray, *values: np.ndarray):
     return keys[new], *[np.add.reduceat(v, new) if len(new) else v[:0] for v in values]
 
 
+def _classes(m: Words, column: pa.Array):
+    """Of each token: hash, row, class, class before it, and whether it is in the vocabulary. And tokens up to each row."""
+    token, upto = _tokens(column)
+    other = len(m.hashes)
+    at = np.minimum(np.searchsorted(m.hashes, token), other - 1)
+    known = m.hashes[at] == token
+    cls = np.where(known, m.class_of[at], np.int32(other))
+    before = np.empty_like(cls)
+    before[1:], before[upto[:-1]] = cls[:-1], other + 1
+    return token, rows_of(upto).astype(np.int32), cls, before, known
+
+
+def dense_pairs(texts: DataFrame, words) -> DataFrame:
+    """(pair, n): training counts of the pairs of dense classes, at most DENSE squared and a few rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Words = words.value
+        of, shape = m.dense_of, m.dense.shape
+        total = np.zeros(shape[0] * shape[1], np.int64)
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_BYTES):
+                _, doc, cls, before, _ = _classes(m, text_column(batch, "text"))
+                learns = ~np.array(text_column(batch, "held").to_pylist(), bool)
+                h, w = of[before], of[cls]
+                ok = (h >= 0) & (w >= 0) & learns[doc]
+                total += np.bincount(h[ok].astype(np.int64) * shape[1] + w[ok], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
+
+    return texts.select("text", "held").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def dealt(texts: DataFrame, words) -> DataFrame:
-    """(part, batch, blob): each slice's pairs by part, then its rare words by part, then its documents (part -1)."""
+    """(part, batch, blob): each slice's pairs by part, then its rare words by part, then its documents with the sums
+    of their dense pairs (part -1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Words = words.value
-        other = len(m.hashes)
+        other, of = len(m.hashes), m.dense_of
         for whole in batches:
-            for batch in slices(whole, "text"):
-                token, upto = _tokens(text_column(batch, "text"))
-                doc = rows_of(upto)
-                at = np.minimum(np.searchsorted(m.hashes, token), other - 1)
-                known = m.hashes[at] == token
-                cls = np.where(known, m.class_of[at], other)
-                before = np.empty_like(cls)
-                before[1:], before[upto[:-1]] = cls[:-1], other + 1
+            for batch in slices(whole, "text", SLICE_BYTES):
+                token, doc, cls, before, known = _classes(m, text_column(batch, "text"))
                 docs = batch.num_rows
+                rare = np.flatnonzero(~known)
+                rare_token, rare_doc = token[rare], doc[rare]
+                hd, wd = of[before], of[cls]
+                dense = (hd >= 0) & (wd >= 0)
+                sums = _dense_sums(m, docs, doc[dense], before[dense], cls[dense], m.dense[hd[dense], wd[dense]])
+                doc, cls, before = doc[~dense], cls[~dense], before[~dense]
                 bits = max(1, (other + 2).bit_length())
                 key = (before.astype(np.uint64) << np.uint64(bits) | cls.astype(np.uint64)) * np.uint64(docs) \
                     + doc.astype(np.uint64)
@@ -202,8 +249,7 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                     if len(i):
                         out.append((k, pack(dh=smallest(np.diff(h[i], prepend=0)), w=smallest(w[i]), d=smallest(d[i]),
                                             n=smallest(n[i]))))
-                rare = np.flatnonzero(~known)
-                t, d = token[rare], doc[rare]
+                t, d = rare_token, rare_doc
                 part = (t % np.uint64(m.rare_parts)).astype(np.int64)
                 order = np.lexsort((d, t, part))
                 edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
@@ -218,7 +264,7 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                 flags = pack(train=train.astype(np.uint8))
                 rows = [(k, batch_id, flags, b) for k, b in out]
                 rows.append((-1, batch_id, flags, pack(id=pa.compute.fill_null(ids, 0).to_numpy().astype(np.int64),
-                                                       null=null)))
+                                                       null=null, **sums)))
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
@@ -227,6 +273,28 @@ def dealt(texts: DataFrame, words) -> DataFrame:
     return texts.mapInArrow(run, "part int, batch long, flags binary, blob binary")
 
 
+def _token_terms(m: Words, c: np.ndarray, h: np.ndarray, w: np.ndarray):
+    """Of tokens with pair count c: the known part of log10 P, log10 of the baseline (0 for other words), and whether
+    training has the word (no for other words)."""
+    in_words = w < len(m.hashes)
+    own = np.where(in_words, m.counts[np.minimum(w, len(m.hashes) - 1)], 0)
+    with np.errstate(divide="ignore"):
+        share = np.log10(c / np.maximum(1, m.counts[h])) + np.where(c > TOP, math.log10(BIG), 0)
+        fixed = np.where(c > 0, share, np.log10(m.unigram[w]))
+    base = np.where(in_words, np.log10((own + 0.1) / (m.total + 0.1 * (m.types + 1))), 0)
+    return fixed, base, own > 0
+
+
+def _dense_sums(m: Words, docs: int, doc: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) -> dict:
+    """Sums by document of its dense pairs, and the history of each unseen one in order of document."""
+    fixed, base, known = _token_terms(m, c, h, w)
+    unseen = c == 0
+    return dict(n=smallest(np.bincount(doc, minlength=docs)), known=smallest(np.bincount(doc[known], minlength=docs)),
+                base=np.bincount(doc, base, docs), fixed=np.bincount(doc, fixed, docs),
+                **{f"low{r}": smallest(np.bincount(doc[c == r], minlength=docs)) for r in range(1, TOP + 1)},
+                unseen=smallest(np.bincount(doc[unseen], minlength=docs)), history=smallest(h[unseen]))
+
+
 def _answers(batch_of: np.ndarray, doc: np.ndarray, known_n: np.ndarray, base: np.ndarray, fixed: np.ndarray,
              n: np.ndarray, low: list[np.ndarray], unseen: np.ndarray, history: np.ndarray,
              batches: list[int]) -> Iterator[tuple[str, int, bytes]]:
@@ -252,7 +320,6 @@ def _count_pairs(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]
     w, d, n = (np.concatenate([x[c].astype(np.int64) for x in cols]) for c in ("w", "d", "n"))
     batch_of = np.repeat(np.arange(len(cols)), [len(x["w"]) for x in cols])
     learns = np.concatenate([t[x["d"].astype(np.int64)] for t, x in zip(train, cols)])
-    other = len(m.hashes)
     pair = h * (1 << 24) + w
     name, at = np.unique(pair, return_inverse=True)
     count = np.bincount(at, np.where(learns, n, 0), minlength=len(name)).astype(np.int64)
@@ -264,13 +331,8 @@ def _count_pairs(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]
     yield "history", 0, pack(h=hist, **{f"m{r + 1}": x for r, x in enumerate(sums[:TOP + 1])}, big=sums[-2], p=sums[-1])
     yield "pairs", 0, pack(dh=smallest(np.diff(ph[seen], prepend=0)), w=smallest(pw[seen]), n=smallest(count[seen]))
     # sums by document
-    with np.errstate(divide="ignore"):
-        share = np.log10(count / np.maximum(1, m.counts[ph])) + np.where(count > TOP, math.log10(BIG), 0)
-        fixed = np.where(seen, share, np.log10(m.unigram[pw]))
-    in_words = pw < other
-    c = np.where(in_words, m.counts[np.minimum(pw, other - 1)], 0)
-    base = np.where(in_words, np.log10((c + 0.1) / (m.total + 0.1 * (m.types + 1))), 0)
-    yield from _answers(batch_of, d, np.where((c > 0)[at], n, 0), base[at] * n, fixed[at] * n, n,
+    fixed, base, known = _token_terms(m, count, ph, pw)
+    yield from _answers(batch_of, d, np.where(known[at], n, 0), base[at] * n, fixed[at] * n, n,
                         [np.where((count == r)[at], n, 0) for r in range(1, TOP + 1)],
                         np.where(seen[at], 0, n), h, batches)
 
@@ -300,17 +362,8 @@ def backoff_weights(m: Words, types: np.ndarray, big: np.ndarray, p: np.ndarray,
     return np.log10(left / np.where(total > 0, 1 - p, 1.0))
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
-    """Doc id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
-                        held_out(F.col(doc_id)).alias("held"))
-    words = store(count_words(texts), "katz-words")
-    n_train, n_docs = texts.agg(F.count_if(~F.col("held")), F.count("*")).first()
-    total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
-    m = word_model(words, n_train, vocabulary, int(total * n_docs / max(1, n_train)))
-    shared = spark.sparkContext.broadcast(m)
-
+def _tables(texts: DataFrame, shared, parts: int) -> DataFrame:
+    """(kind, batch, blob), stored: pair counts, history sums, answers and documents."""
     def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         w: Words = shared.value
         part = int(key[0])
@@ -324,9 +377,28 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
 
     # a slice is named by the id of its first row; the ids only need to differ within this one scan
     deals = dealt(texts.withColumn("rid", F.monotonically_increasing_id()), shared)
-    spread = F.when(F.col("part") < 0, -1 - F.pmod(F.xxhash64("batch"), F.lit(m.parts))).otherwise(F.col("part"))
-    tables = store(deals.withColumn("part", spread.cast("int")).groupBy("part")
+    spread = F.when(F.col("part") < 0, -1 - F.pmod(F.xxhash64("batch"), F.lit(parts))).otherwise(F.col("part"))
+    return store(deals.withColumn("part", spread.cast("int")).groupBy("part")
                    .applyInPandas(count, "kind string, batch long, blob binary"), "katz-tables")
+
+
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
+    """Doc id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
+                        held_out(F.col(doc_id)).alias("held"))
+    words = store(count_words(texts), "katz-words")
+    n_train, n_docs = texts.agg(F.count_if(~F.col("held")), F.count("*")).first()
+    total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
+    m = word_model(words, n_train, vocabulary, int(total * n_docs / max(1, n_train)))
+    shared = spark.sparkContext.broadcast(m)
+    pairs = store(dense_pairs(texts, shared), "katz-dense").toPandas()
+    dense = m.dense.copy()
+    dense.reshape(-1)[pairs["pair"].to_numpy()] = pairs["n"].to_numpy()
+    m = m._replace(dense=dense)
+    shared = spark.sparkContext.broadcast(m)
+    tables = _tables(texts, shared, m.parts)
+    release(spark)
     n = len(m.hashes) + 2
     types, big, p = np.zeros((TOP + 1, n)), np.zeros(n), np.zeros(n)
     for row in tables.where("kind = 'history'").select("blob").toLocalIterator():  # a row a history and split
@@ -335,6 +407,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
             np.add.at(types[r], x["h"], x[f"m{r + 1}"])
         np.add.at(big, x["h"], x["big"])
         np.add.at(p, x["h"], x["p"])
+    # the dense pairs' share of the sums
+    classes = np.flatnonzero(m.dense_of >= 0)
+    for r in range(TOP + 1):
+        types[r][classes] += (dense == r + 1).sum(1)
+    big[classes] += np.where(dense > TOP, dense, 0).sum(1)
+    p[classes] += (dense > 0) @ m.unigram[classes[:-1]]
     d = discounts(types.sum(1).tolist())
     weights = spark.sparkContext.broadcast((backoff_weights(m, types, big, p, d), [math.log10(x) for x in d], m.total))
 
@@ -345,7 +423,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
         size = len(rows["id"])
         tokens, known = np.zeros(size, np.int64), np.zeros(size, np.int64)
         base, own = np.zeros(size), np.zeros(size)
-        for x in sorted(by.get("answer", ()), key=lambda x: (len(x["d"]), x["base"].sum(), x["fixed"].sum())):
+        rows["d"] = np.arange(size)  # its dense sums are an answer for every document
+        answers = sorted(by.get("answer", ()), key=lambda x: (len(x["d"]), x["base"].sum(), x["fixed"].sum()))
+        for x in [rows, *answers]:
             at = x["d"].astype(np.int64)
             tokens[at] += x["n"].astype(np.int64)
             known[at] += x["known"].astype(np.int64)
