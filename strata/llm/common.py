@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,11 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove shuffle files that no plan needs any more: those of stored steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner remove shuffle files that no plan needs any more: those of stored steps.
+
+    Twice, since the driver's Python lets go of its plans a moment after it is done with them.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
