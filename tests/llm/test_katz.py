@@ -56,9 +56,10 @@ def model(rows, vocabulary):
     return p, count, total, top, back
 
 
-@pytest.mark.parametrize("vocabulary", [1 << 16, 40, 0])
-def test_scores_against_a_plain_model(spark, monkeypatch, vocabulary):
+@pytest.mark.parametrize("vocabulary,dense", [(1 << 16, 1024), (1 << 16, 6), (40, 7), (40, 1), (0, 1024)])
+def test_scores_against_a_plain_model(spark, monkeypatch, vocabulary, dense):
     monkeypatch.setattr(Z, "PART_TOKENS", 4000)
+    monkeypatch.setattr(Z, "DENSE", dense)
     texts = edge_texts() + [" ".join(f"w{(i * j * j) % (7 + i)}" for j in range(30)) + " The END" for i in range(120)]
     rows = list(enumerate(texts)) + [(5, "the same id"), (None, "w1 w2 w3"), (None, "w1 w2 w3")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
