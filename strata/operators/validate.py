@@ -37,18 +37,19 @@ def exists_in(df: DataFrame, ref: DataFrame, left_cols: list[str], right_cols: l
 def first_of_key(df: DataFrame, key: list[str], order: list[str], flag: str = "_first") -> DataFrame:
     """Mark one row of each key, the first by ``order`` (ties: by all columns).
 
-    A grouped MIN and count per key joined back; keys that come once need no more. Of the
-    others, equal rows are grouped (with partial aggregation) and numbered, so exactly one of
-    them is first. A NULL in a key is no repeat.
+    A count per key is joined back; rows whose key comes once need no more. Of the others, equal
+    rows are grouped (with partial aggregation) and numbered, and the smallest row of each key is
+    found, so exactly one row is first. A NULL in a key is no repeat.
     """
-    every = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in df.columns if c not in order])
-    firsts = df.groupBy(*key).agg(F.min(every).alias("_min_o"), F.count(F.lit(1)).alias("_n"))
-    out = df.join(firsts, key, "left").withColumn("_n", F.coalesce("_n", F.lit(1)))
-    once = out.filter(F.col("_n") == 1).withColumn(flag, F.lit(True)).drop("_min_o", "_n")
-    groups = out.filter(F.col("_n") > 1).groupBy(*df.columns, "_min_o").agg(F.count(F.lit(1)).alias("_m"))
-    copies = groups.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
-    repeated = copies.withColumn(flag, (F.col("_i") == 1) & every.eqNullSafe(F.col("_min_o"))) \
-        .drop("_min_o", "_m", "_i")
+    cols = df.columns
+    every = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
+    out = df.join(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key, "left") \
+        .withColumn("_n", F.coalesce("_n", F.lit(1)))
+    once = out.filter(F.col("_n") == 1).withColumn(flag, F.lit(True)).select(*cols, flag)
+    groups = out.filter(F.col("_n") > 1).groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    least = groups.groupBy(*key).agg(F.min(every).alias("_least"))
+    copies = groups.join(least, key).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    repeated = copies.withColumn(flag, (F.col("_i") == 1) & every.eqNullSafe(F.col("_least"))).select(*cols, flag)
     return once.unionByName(repeated)
 
 
