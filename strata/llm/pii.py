@@ -56,7 +56,7 @@ _IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_GATE = re.compile(r"[0-9@\[]")
+_GATE = re.compile(r"[0-9@\[(]|[A-Fa-f]:[A-Fa-f]")  # every span has one of these; ipv6 may be all letters
 _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(](?:at|@)[\])] ?[A-Za-z0-9-]{1,63}+"
                       r"(?: ?[\[(](?:dot|\.)[\])] ?[A-Za-z0-9-]{2,63}+|\.[A-Za-z0-9-]{2,63}+)+", re.I)
 _NATIONAL = re.compile(r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9A-Za-z-])")

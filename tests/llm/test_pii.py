@@ -73,3 +73,12 @@ def test_redaction_and_empty(spark):
     assert out[0] is None and out[3] == "one"
     assert "@" not in out[len(TEXTS) - 1] and "[email]" in out[len(TEXTS) - 1]
     assert P.find(docs.limit(0)).collect() == []
+
+
+def test_spans_without_digits(spark):
+    spelled, ipv6 = "write to jane (at) example (dot) org", "from address fe:dc:ba:ab:cd:ef:fa:ce here"
+    docs = documents(spark, TEXTS + [ipv6])
+    found = {r["doc_id"]: r["spans"] for r in P.find(docs).collect()}
+    out = {r["doc_id"]: r["text"] for r in P.redact(docs).collect()}
+    assert found[TEXTS.index(spelled)] == "email:9:36" and out[TEXTS.index(spelled)] == "write to [email]"
+    assert found[len(TEXTS)] == "ip:13:36" and out[len(TEXTS)] == "from address [ip] here"
