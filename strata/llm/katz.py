@@ -5,18 +5,25 @@ where the pair was met in training, else a(h) P(w); P(w) in turn is the discount
 unknown words. a(h) is normalised exactly: the mass that discounting leaves after h, over the P mass of what was not
 met after h.
 
-The ``vocabulary`` most frequent words (a bounded table, broadcast) are classes of their own; all others share one
-class, and a word of that class costs P(w | class) more, from the exact counts of all words. So probabilities add up
-to one over all words, and no word is dropped. A sliver of mass (``RESERVED``) belongs to a word that never comes, so
-that a history met with every class still leaves some.
+Every pair of words is counted, at any number of distinct words. The ``table`` most frequent words (a bounded table,
+broadcast) are only a shortcut: their pairs travel by number, those of open words (all others) by hash. On request
+(``vocabulary``) the model is closed instead: words outside the table share one class, and a word of that class costs
+P(w | class) more, from the exact counts of all words. Either way probabilities add up to one over all words, and no
+word is dropped. A sliver of mass (``RESERVED``) belongs to a word that never comes, so that a history met with every
+word still leaves some.
 
 Work: one pass counts words. A second counts the pairs of the ``DENSE`` most frequent classes, a table of fixed size
 that is broadcast: a pair that very many texts have is one of these, so no part ever gathers such a pair. A third pass
-scores these pairs where they are read and deals the others by (history, word) and rare words by hash, as packed number
-columns; hot histories are split over several parts by the following word. Each part counts its pairs, which no other
-part has, and answers each dealing batch with partial sums by document that are linear in the logarithms still unknown
-(discounts, backoff weights). History totals are summed by class on the driver (bounded by the vocabulary and the
-splits). The last pass adds up the answers batch by batch. Word counts, pair counts and answers are Parquet tables in
+scores these pairs where they are read and deals the others by (history, word), as packed number columns; hot
+histories are split over several parts by the following word. A pair with an open word is dealt by that word's hash,
+a pair of two open words by both: the follower's part has all tokens of the follower and so knows P(w), the history's
+part has all that follows the history and so knows its total; both know the pair's count, and the logarithm of a
+score is a sum of what each of them knows. Each part counts its pairs, and answers each dealing batch with partial
+sums by document that are linear in the logarithms still unknown (discounts, backoff weights). History totals of table
+words are summed on the driver (bounded by the table and the splits). The backoff weight of an open history also needs
+the P mass of its open followers: their parts send it by history hash, and a pass between joins it to the tokens that
+wait for the weight. The last pass adds up the answers batch by batch. An open word has at most about one in ``table``
+of all tokens, so no part gathers a hot one. Word counts, pair counts of table words and answers are Parquet tables in
 the shared folder.
 
 Defined cases: a null text is empty and has the end token only; a null id is not held out; repeated rows are texts of
@@ -39,7 +46,7 @@ from .common import release, store
 from .packed import pack, slices, smallest, unpack
 from .tokens import mix, rows_of, text_column, word_hashes
 
-VOCABULARY = 1 << 16
+VOCABULARY = 1 << 16  # words in the table
 DENSE = 1 << 10  # classes whose pairs are counted in one table
 TOP = 5  # counts up to this are discounted by Good-Turing
 BIG = 0.999  # discount of larger counts: just below one, so every history leaves mass
@@ -84,14 +91,16 @@ class Words(NamedTuple):
     rare_parts: int
     splits: np.ndarray  # parts of each history
     dense: np.ndarray  # training count of each pair of dense classes: history by word
+    closed: bool  # other words are one class; else each is a word of its own
 
     @property
     def dense_of(self) -> np.ndarray:
-        """Dense number of each class, other words and the start after the frequent ones; -1 for all between."""
+        """Dense number of each class, other words and the start after the frequent ones; -1 for all between, and for
+        other words of an open model."""
         n, d = len(self.hashes), self.dense.shape[1] - 1
         out = np.full(n + 2, -1, np.int32)
         out[:d] = np.arange(d)
-        out[n], out[n + 1] = d, d + 1
+        out[n], out[n + 1] = d if self.closed else -1, d + 1
         return out
 
     def discounted(self, c: np.ndarray) -> np.ndarray:
@@ -137,7 +146,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text", "held").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
-def word_model(words: DataFrame, texts: int, vocabulary: int, tokens: int | None = None) -> Words:
+def word_model(words: DataFrame, texts: int, vocabulary: int, tokens: int | None = None, closed: bool = True) -> Words:
     """Classes and discounts from the word counts; collects at most ``vocabulary`` words."""
     c = F.col("n")
     r = words.agg(F.sum(c).alias("total"), F.count("*").alias("types"),
@@ -161,7 +170,7 @@ def word_model(words: DataFrame, texts: int, vocabulary: int, tokens: int | None
     discount = discounts([float(r[f"n{k}"]) for k in range(1, TOP + 2)])
     d = min(DENSE, len(counts))
     model = Words(total, types, hashes[order], order.astype(np.int32), counts, np.zeros(0), discount, 1.0, 1, 1,
-                  np.zeros(0), np.zeros((d + 2, d + 1), np.int64))
+                  np.zeros(0), np.zeros((d + 2, d + 1), np.int64), closed)
     # mass of all words: discounted by count, so the counts of counts suffice
     mass = sum(model.discounted(np.array([k]))[0] * r[f"n{k}"] for k in range(1, TOP + 1))
     big = total - sum(k * r[f"n{k}"] for k in range(1, TOP + 1))
@@ -174,7 +183,7 @@ def word_model(words: DataFrame, texts: int, vocabulary: int, tokens: int | None
     every = np.concatenate([counts, [total - total_known, texts]])
     n_all = max(tokens or total, 1)
     parts = max(1, -(-n_all // PART_TOKENS))
-    rare = max(1, -(-int(n_all * (1 - total_known / max(1, total))) // PART_TOKENS))
+    rare = max(1, -(-int(n_all * (1 - total_known / max(1, total))) // (PART_TOKENS if closed else PART_TOKENS // 2)))
     splits = np.maximum(1, np.ceil(every * 4 * parts / n_all)).astype(np.int64)
     return model._replace(counts=every, unigram=unigram, unknown=unknown, parts=parts, rare_parts=rare, splits=splits)
 
@@ -216,9 +225,26 @@ def dense_pairs(texts: DataFrame, words) -> DataFrame:
     return texts.select("text", "held").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def _by_hash(m: Words, first: int, x: np.ndarray, y: np.ndarray, y_class: np.ndarray,
+             doc: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(part, blob) of the open words x beside y, dealt by x; y is a class, or a hash if it is open too (o...)."""
+    both_open = y_class == len(m.hashes)
+    part = (x % np.uint64(m.rare_parts)).astype(np.int64)
+    order = np.lexsort((doc, y_class, x, part))
+    edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
+    zero = np.uint64(0)
+    for k in range(m.rare_parts):
+        i = order[edges[k]:edges[k + 1]]
+        if len(i):
+            a, b = i[~both_open[i]], i[both_open[i]]
+            yield first + k, pack(dx=np.diff(x[a], prepend=zero), y=smallest(y_class[a]), d=smallest(doc[a]),
+                                  odx=np.diff(x[b], prepend=zero), oy=y[b], od=smallest(doc[b]))
+
+
 def dealt(texts: DataFrame, words) -> DataFrame:
-    """(part, batch, blob): each slice's pairs by part, then its rare words by part, then its documents with the sums
-    of their dense pairs (part -1)."""
+    """(part, batch, blob): each slice's pairs by part, then its rare words by part (of an open model with the word
+    before, then its rare histories with the word after), then its documents with the sums of their dense pairs
+    (part -1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Words = words.value
         other, of = len(m.hashes), m.dense_of
@@ -228,10 +254,19 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                 docs = batch.num_rows
                 rare = np.flatnonzero(~known)
                 rare_token, rare_doc = token[rare], doc[rare]
+                by_hash: list[tuple[int, bytes]] = []
+                here = np.ones(len(token), bool)
+                if not m.closed:
+                    after = np.flatnonzero(before == other)
+                    by_hash += _by_hash(m, m.parts, rare_token, token[rare - 1], before[rare], rare_doc)
+                    by_hash += _by_hash(m, m.parts + m.rare_parts, token[after - 1], token[after], cls[after],
+                                        doc[after])
+                    here[rare] = here[after] = False
                 hd, wd = of[before], of[cls]
                 dense = (hd >= 0) & (wd >= 0)
                 sums = _dense_sums(m, docs, doc[dense], before[dense], cls[dense], m.dense[hd[dense], wd[dense]])
-                doc, cls, before = doc[~dense], cls[~dense], before[~dense]
+                here &= ~dense
+                doc, cls, before = doc[here], cls[here], before[here]
                 bits = max(1, (other + 2).bit_length())
                 key = (before.astype(np.uint64) << np.uint64(bits) | cls.astype(np.uint64)) * np.uint64(docs) \
                     + doc.astype(np.uint64)
@@ -249,7 +284,8 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                     if len(i):
                         out.append((k, pack(dh=smallest(np.diff(h[i], prepend=0)), w=smallest(w[i]), d=smallest(d[i]),
                                             n=smallest(n[i]))))
-                t, d = rare_token, rare_doc
+                out += by_hash
+                t, d = (rare_token, rare_doc) if m.closed else (rare_token[:0], rare_doc[:0])
                 part = (t % np.uint64(m.rare_parts)).astype(np.int64)
                 order = np.lexsort((d, t, part))
                 edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
@@ -353,6 +389,117 @@ def _count_rare(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]
                         zero, zero, batches)
 
 
+class OpenPairs(NamedTuple):
+    """Pairs of an open word x and a word y in one part, and the tokens that have them."""
+    x: np.ndarray
+    y: np.ndarray  # class, or hash if open
+    open: np.ndarray  # whether y is
+    count: np.ndarray  # in training
+    at: np.ndarray  # pair of each token
+    doc: np.ndarray
+    batch: np.ndarray  # place in batches
+    batches: list[int]
+
+
+def _open_pairs(pdf: pd.DataFrame) -> OpenPairs:
+    cols = [unpack(x) for x in pdf["blob"]]
+    train = [unpack(x)["train"].astype(bool) for x in pdf["flags"]]
+    both = [(k, c, o) for k, c in enumerate(cols) for o in ("", "o")]
+    sizes = [len(c[o + "y"]) for _, c, o in both]
+    x = np.concatenate([np.cumsum(c[o + "dx"], dtype=np.uint64) for _, c, o in both])
+    y = np.concatenate([c[o + "y"].astype(np.uint64) for _, c, o in both])
+    d = np.concatenate([c[o + "d"].astype(np.int64) for _, c, o in both])
+    learns = np.concatenate([train[k][c[o + "d"].astype(np.int64)] for k, c, o in both])
+    is_open = np.repeat([o == "o" for _, _, o in both], sizes)
+    order = np.lexsort((y, is_open, x))
+    sx, sy, so = x[order], y[order], is_open[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (sx[1:] != sx[:-1]) | (sy[1:] != sy[:-1]) | (so[1:] != so[:-1])
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    count = np.bincount(at, learns, minlength=int(new.sum())).astype(np.int64)
+    return OpenPairs(sx[new], sy[new], so[new], count, at, d, np.repeat([k for k, _, _ in both], sizes),
+                     pdf["batch"].tolist())
+
+
+def _seen_share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Known part of log10 P of seen pairs; the discounts of small counts are added later."""
+    return np.log10(np.maximum(1, count) / np.maximum(1, total)) + np.where(count > TOP, math.log10(BIG), 0)
+
+
+def _count_open_words(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
+    """Of open words and the words before them: all about their tokens, but for what open histories add."""
+    q = _open_pairs(pdf)
+    _, of = np.unique(q.x, return_inverse=True)
+    own = np.bincount(of, q.count).astype(np.int64)  # every token has a word or the start before it
+    p = np.where(own > 0, m.discounted(own), m.unknown)[of]
+    base = np.log10((own + 0.1) / (m.total + 0.1 * (m.types + 1)))[of]
+    seen, hist = q.count > 0, np.where(q.open, 0, q.y).astype(np.int64)
+    s = np.flatnonzero(seen & ~q.open)
+    s = s[np.argsort(hist[s], kind="stable")]
+    h, *sums = _sum_by(hist[s], *[np.where(q.count == r, 1, 0)[s] for r in range(1, TOP + 2)],
+                       np.where(q.count > TOP, q.count, 0)[s], p[s])
+    yield "history", 0, pack(h=h, **{f"m{r + 1}": x for r, x in enumerate(sums[:TOP + 1])}, big=sums[-2], p=sums[-1])
+    # to the open histories: how often training has the words that follow them
+    s = np.flatnonzero(seen & q.open)
+    part = (q.y[s] % np.uint64(m.rare_parts)).astype(np.int64)
+    order = np.lexsort((q.y[s], part))
+    edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
+    for k in range(m.rare_parts):
+        i = s[order[edges[k]:edges[k + 1]]]
+        if len(i):
+            yield "mass", k, pack(dh=np.diff(q.y[i], prepend=np.uint64(0)), n=smallest(own[of[i]]))
+    fixed = np.where(seen, np.where(q.open, 0, _seen_share(q.count, m.counts[hist])), np.log10(p))
+    one = np.ones(len(q.at), np.int64)
+    yield from _answers(q.batch, q.doc, (own > 0)[of][q.at].astype(np.int64), base[q.at], fixed[q.at], one,
+                        [((q.count == r) & ~q.open)[q.at].astype(np.int64) for r in range(1, TOP + 1)],
+                        (~seen & ~q.open)[q.at].astype(np.int64), hist[q.at], q.batches)
+
+
+def _count_open_histories(m: Words, part: int, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
+    """Of open histories and the words after them: shares of seen pairs, and all about tokens of table words. Tokens
+    that need a backoff weight wait for the mass of open followers."""
+    q = _open_pairs(pdf)
+    name, of = np.unique(q.x, return_inverse=True)
+    total = np.bincount(of, q.count).astype(np.int64)
+    types = [np.bincount(of[q.count == r], minlength=len(name)) for r in range(1, TOP + 2)]
+    big = np.bincount(of, np.where(q.count > TOP, q.count, 0), len(name)).astype(np.int64)
+    yield "history", 0, pack(h=np.array([len(m.hashes)]), **{f"m{r + 1}": np.array([x.sum()]) for r, x in enumerate(types)},
+                             big=np.array([big.sum()]), p=np.zeros(1))
+    seen, w = q.count > 0, np.where(q.open, 0, q.y).astype(np.int64)
+    mass = np.bincount(of, np.where(seen & ~q.open, m.unigram[w], 0.0), len(name))
+    _, base, known = _token_terms(m, q.count, np.full(len(w), len(m.hashes)), w)
+    fixed = np.where(seen, _seen_share(q.count, total[of]), np.where(q.open, 0, np.log10(m.unigram[w])))
+    none = np.zeros(len(q.at), np.int64)
+    yield from _answers(q.batch, q.doc, (known & ~q.open)[q.at].astype(np.int64), np.where(q.open, 0, base)[q.at],
+                        fixed[q.at], (~q.open)[q.at].astype(np.int64),
+                        [(q.count == r)[q.at].astype(np.int64) for r in range(1, TOP + 1)], none, none, q.batches)
+    waits = np.flatnonzero(~seen[q.at] & (total[of] > 0)[q.at])  # a history never met backs off in full
+    if len(waits):
+        h, at = np.unique(of[q.at[waits]], return_inverse=True)
+        b, place = np.unique(q.batch[waits], return_inverse=True)
+        yield "wait", part, pack(h=name[h], total=smallest(total[h]), big=smallest(big[h]), p=mass[h],
+                                 **{f"m{r + 1}": smallest(types[r][h]) for r in range(TOP)}, at=smallest(at),
+                                 d=smallest(q.doc[waits]), b=smallest(place), batch=np.array(q.batches, np.int64)[b])
+
+
+def _late_answers(m: Words, d: list[float], pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
+    """Backoff weights of the open histories of a part, for the tokens that wait for them."""
+    for blob in pdf["blob"][pdf["kind"] == "wait"]:  # at most one
+        x = unpack(blob)
+        p = x["p"].copy()
+        for y in map(unpack, sorted(pdf["blob"][pdf["kind"] == "mass"])):
+            h = np.cumsum(y["dh"], dtype=np.uint64)
+            at = np.minimum(np.searchsorted(x["h"], h), len(p) - 1)
+            ours = x["h"][at] == h
+            np.add.at(p, at[ours], m.discounted(y["n"][ours].astype(np.int64)))
+        met = sum(d[r] * (r + 1) * x[f"m{r + 1}"].astype(float) for r in range(TOP)) + BIG * x["big"]
+        back = np.log10((1 - met / x["total"]) / (1 - p))
+        none = np.zeros(len(x["at"]), np.int64)
+        yield from _answers(x["b"].astype(np.int64), x["d"].astype(np.int64), none, none.astype(float),
+                            back[x["at"].astype(np.int64)], none, [none] * TOP, none, none, x["batch"].tolist())
+
+
 def backoff_weights(m: Words, types: np.ndarray, big: np.ndarray, p: np.ndarray, d: list[float]) -> np.ndarray:
     """log10 of every history's backoff weight; a history never met backs off in full."""
     met = sum(d[r] * (r + 1) * types[r] for r in range(TOP)) + BIG * big
@@ -371,8 +518,12 @@ def _tables(texts: DataFrame, shared, parts: int) -> DataFrame:
             rows = [(k, b, x) for k, c in (("documents", "blob"), ("flags", "flags")) for b, x in zip(pdf["batch"], pdf[c])]
         elif part < w.parts:
             rows = list(_count_pairs(w, pdf))
-        else:
+        elif w.closed:
             rows = list(_count_rare(w, pdf))
+        elif part < w.parts + w.rare_parts:
+            rows = list(_count_open_words(w, pdf))
+        else:
+            rows = list(_count_open_histories(w, part - w.parts - w.rare_parts, pdf))
         return pd.DataFrame(rows, columns=["kind", "batch", "blob"])
 
     # a slice is named by the id of its first row; the ids only need to differ within this one scan
@@ -382,15 +533,20 @@ def _tables(texts: DataFrame, shared, parts: int) -> DataFrame:
                    .applyInPandas(count, "kind string, batch long, blob binary"), "katz-tables")
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
-    """Doc id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None,
+          table: int = VOCABULARY) -> DataFrame:
+    """Doc id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text.
+
+    The model has every word; ``table`` does not change it. Only ``vocabulary`` closes it to that many words.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
                         held_out(F.col(doc_id)).alias("held"))
     words = store(count_words(texts), "katz-words")
     n_train, n_docs = texts.agg(F.count_if(~F.col("held")), F.count("*")).first()
     total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
-    m = word_model(words, n_train, vocabulary, int(total * n_docs / max(1, n_train)))
+    m = word_model(words, n_train, table if vocabulary is None else vocabulary,
+                   int(total * n_docs / max(1, n_train)), vocabulary is not None)
     shared = spark.sparkContext.broadcast(m)
     pairs = store(dense_pairs(texts, shared), "katz-dense").toPandas()
     dense = m.dense.copy()
@@ -408,7 +564,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
         np.add.at(big, x["h"], x["big"])
         np.add.at(p, x["h"], x["p"])
     # the dense pairs' share of the sums
-    classes = np.flatnonzero(m.dense_of >= 0)
+    classes = np.r_[:dense.shape[1] - 1, n - 2, n - 1]
     for r in range(TOP + 1):
         types[r][classes] += (dense == r + 1).sum(1)
     big[classes] += np.where(dense > TOP, dense, 0).sum(1)
@@ -439,6 +595,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
         return pd.DataFrame({doc_id: ids, "held_out": flags["train"] == 0, "n_tokens": tokens, "n_known": known,
                              "train_tokens": total, "base_score": base, "score": own})
 
-    return tables.where("kind in ('documents', 'flags', 'answer')").groupBy("batch").applyInPandas(
+    ready = tables.where("kind in ('documents', 'flags', 'answer')")
+    if not m.closed:
+        def late(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(list(_late_answers(shared.value, d, pdf)), columns=["kind", "batch", "blob"])
+
+        ready = ready.unionByName(tables.where("kind in ('wait', 'mass')").groupBy("batch")
+                                  .applyInPandas(late, tables.schema))
+    return ready.groupBy("batch").applyInPandas(
         finish, f"`{doc_id}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")

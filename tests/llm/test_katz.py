@@ -97,3 +97,28 @@ def test_packing_round_trips():
     cols = {"a": rng.integers(0, 1 << 40, 1000), "b": rng.random(17), "c": np.zeros(0, np.uint8), "d": np.arange(300, dtype=np.uint16)}
     back = unpack(pack(**cols))
     assert all((back[k] == v).all() and back[k].dtype == v.dtype for k, v in cols.items())
+
+
+@pytest.mark.parametrize("table,dense", [(0, 1024), (12, 5), (40, 1024)])
+def test_every_pair_is_counted_whatever_the_table(spark, monkeypatch, table, dense):
+    monkeypatch.setattr(Z, "PART_TOKENS", 500)
+    monkeypatch.setattr(Z, "DENSE", dense)
+    texts = edge_texts() + [" ".join(f"w{(i * j * j) % (7 + i)}" for j in range(30)) + " The END" for i in range(120)]
+    held = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = list(enumerate(texts)) + [(None, "rare1 rare2 rare3")] * 8 + [(None, "rare1 w3 rare2")]
+    rows += [(held[0], "rare1 rare2"), (held[1], "rare1 rare3 rare1 new1 new2 w3 rare1 w5"), (held[2], "rare2 rare1 w1 rare3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    p, count, total, _, _ = model(rows, 1 << 30)
+    want = defaultdict(list)
+    for i, t in rows:
+        w = words(lower(t)) + ["</s>"]
+        own = sum(math.log10(p(h if h == "<s>" or h in count else None, x)) for h, x in zip(["<s>", *w], w))
+        base = sum(math.log10((count[x] + .1) / (total + .1 * (len(count) + 1))) for x in w)
+        want[i].append((len(w), sum(count[x] > 0 for x in w), base, own))
+    got = defaultdict(list)
+    for r in Z.score(df, table=table).collect():
+        got[r["doc_id"]].append((r["n_tokens"], r["n_known"], r["base_score"], r["score"]))
+    assert got.keys() == want.keys()
+    for i, rows_of in want.items():
+        for a, b in zip(sorted(got[i]), sorted(rows_of), strict=True):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9, abs=1e-7)
