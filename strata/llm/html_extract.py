@@ -39,10 +39,15 @@ NOT_TEXT = set("head script style noscript template nav footer aside form button
                "object embed dialog menu audio video map title xmp noembed noframes input".split())
 NOT_TEXT_ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar "
                      "toolbar".split())
-NOT_TEXT_NAMES = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
-                     "consent cookie cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar "
-                     "navigation newsletter notice notices notification popup promo promotion related replies "
-                     "respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+# Whole class names and ids; what else recurs is left to the counts. Never of an article, a heading or around an article.
+NOT_TEXT_NAMES = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comments "
+                     "comment-list comments-area consent cookie-banner cookie-consent cookie-notice cookies disqus "
+                     "disqus_thread footer gdpr menu modal nav navbar navigation newsletter popup promo promotion "
+                     "related-posts respond share-buttons sharing sidebar site-footer social-links social-share "
+                     "sponsor sponsored subscribe toolbar".split())
+HEADER_NAMES = {"header", "masthead", "site-header"}  # as a header element: not text outside an article
+NAMES = NOT_TEXT_NAMES | HEADER_NAMES
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -60,9 +65,18 @@ class Page:
     """Elements of a page in document order: tag, parent, whether HTML marks it as not text, and its content."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.marked = ["#page"], [-1], [False]
+        self.tag, self.parent, self.marked, self.header = ["#page"], [-1], [False], [False]
         self.content: list[list] = [[]]  # of each element: texts, and numbers of child elements
+        self.named: list[tuple[int, set[str]]] = []  # elements with such names
         self._read(source)
+        around = {0}  # an article, or an ancestor of one
+        for i in range(len(self.tag) - 1, 0, -1):
+            if self.tag[i] in ARTICLE or i in around:
+                around |= {i, self.parent[i]}
+        for i, names in self.named:
+            if i not in around:
+                self.marked[i] |= not names.isdisjoint(NOT_TEXT_NAMES)
+                self.header[i] |= not names.isdisjoint(HEADER_NAMES)
 
     def _read(self, s: str) -> None:
         stack, pos, n = [0], 0, len(s)
@@ -114,7 +128,11 @@ class Page:
             me = len(tag)
             tag.append(name)
             parent.append(stack[-1])
-            marked.append(self._not_text(name, attrs))
+            frame = name in ("html", "body")
+            marked.append(name in NOT_TEXT or not frame and self._not_text(attrs))
+            self.header.append(name == "header")
+            if attrs and not (frame or name in HEADINGS or NAMES.isdisjoint(names := self._names(attrs))):
+                self.named.append((me, names))
             content.append([])
             content[stack[-1]].append(me)
             if name in RAW:
@@ -125,19 +143,19 @@ class Page:
                 stack.append(me)
 
     @staticmethod
-    def _not_text(name: str, attrs: str) -> bool:
-        if name in NOT_TEXT:
-            return True
-        if not attrs or name in ("html", "body"):
-            return False
-        for key, a, b, c in _ATTR.findall(attrs):
+    def _not_text(attrs: str) -> bool:
+        for key, a, b, c in _ATTR.findall(attrs) if attrs else ():
             key, value = key.lower(), (a or b or c).lower()
             if key == "hidden" or key == "role" and value in NOT_TEXT_ROLES:
                 return True
-            if key in ("class", "id") and not NOT_TEXT_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return True
         return False
 
+    @staticmethod
+    def _names(attrs: str) -> set[str]:
+        """Class names and id."""
+        return {x for key, a, b, c in _ATTR.findall(attrs) if key.lower() in ("class", "id")
+                for x in (a or b or c).lower().split()}
+
     def articles(self, removed: list[bool]) -> list[int]:
         """Outermost article elements; the page itself if it names none."""
         found, under = [], set()
@@ -155,7 +173,7 @@ class Page:
         for i in range(1, len(self.tag)):
             p = self.parent[i]
             inside[i] = inside[p] or self.tag[i] in ARTICLE
-            gone[i] = gone[p] or self.marked[i] or i in more or (self.tag[i] == "header" and not inside[i])
+            gone[i] = gone[p] or self.marked[i] or i in more or (self.header[i] and not inside[i])
         return gone
 
     def hashes(self) -> dict[int, int]:

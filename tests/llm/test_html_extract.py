@@ -54,3 +54,20 @@ def test_template_counts_against_brute_force(spark):
 
 def test_empty(spark):
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+NAMED = [
+    ("<main class='has-sidebar'><p>a</p></main>", "a"),
+    ("<div class='content-sidebar-wrap'><article class='post category-social'><header class='entry-header'><h1>T</h1>"
+     "</header><p>a</p></article></div>", "T\na"),
+    ("<div class='sidebar'><main><p>a</p></main></div>", "a"), ("<div id=header><main><p>a</p></main></div>", "a"),
+    ("<article class='comments banner'><h2 id=comments>C</h2><div class=header>In</div><p>a</p></article>", "C\nIn\na"),
+    ("<section class='related-work'><p>a</p></section><div class='share-price widget'>b</div><p class=notice>c</p>", "a\nb\nc"),
+    ("<div class='x sidebar'>s</div><div id=AD>s</div><div class=header>out</div><header class=big>out</header><p>a</p>", "a"),
+    ("<body hidden><p>h</p></body>", "h"), ("<article role=banner>b</article><p>a</p>", "a"),
+]
+
+
+def test_names_mark_only_what_they_name():
+    for source, text in NAMED:
+        assert H.Page(source).text() == text
