@@ -1,13 +1,15 @@
 """HTML extraction: site template removal.
 
-Every element subtree outside the article is hashed. Spark counts the hashes per host; subtrees that recur across many
-pages of their host are its template and are deleted. What HTML itself marks as not the article (navigation, asides,
+Every element subtree outside the article is hashed. Spark counts the hashes per host; subtrees that recur on
+``min_pages`` pages of their host with different texts, however large the host, are its template and are deleted.
+Pages of equal text count once, so copies of one article are no template. What HTML itself marks as not the article (navigation, asides,
 forms, scripts, comment sections and the like) is deleted too, and the text of the rest is joined block by block. When
 a page names its article (``article`` or ``main``), only that is text, and what is inside is never taken for template:
 pages of a host may well carry the same article.
 
-A template recurs on ``min_share`` of the host's pages, so a host has at most (elements a page / min_share) of them;
-they travel as one bounded array a host.
+Subtrees are joined to the template by (host, hash), and a page gets those of its own subtrees that are template, so
+nothing grows with the number of a host's pages or templates. A task sends a subtree with ``min_pages`` different texts
+at most, as more make no difference; pages without an article send all their subtrees, which are what can be deleted.
 
 Defined cases: a null or empty page gives an empty text; null urls are one host with an empty name; repeated rows count
 as pages of their own and have equal texts; unclosed and stray tags are read as browsers read the common cases; an
@@ -239,7 +241,8 @@ def _subtrees(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def template_subtrees(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Of each host the subtrees that recur on at least ``min_pages`` and ``min_share`` of its pages."""
+    """Of each host the subtrees that recur on at least ``min_pages`` and ``min_share`` of its pages, as one array: for
+    a look at small hosts. ``extract`` does not use it."""
     hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
     seen = pages.mapInPandas(_subtrees, "host string, subtree long").groupBy("host", "subtree") \
         .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
@@ -247,14 +250,46 @@ def template_subtrees(pages: DataFrame, min_pages: int, min_share: float) -> Dat
         .groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
 
 
-def extract(pages: DataFrame, html: str = "html", url: str = "url", out: str = "text", min_pages: int = 3,
-            min_share: float = 0.02) -> DataFrame:
+def occurrences(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(host, subtree, text, page): subtrees with the hash of a page's text before deletion; ``page`` only where the
+    page names no article, so that the subtree can be deleted."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            known: dict[tuple, set[int]] = {}
+            rows = []
+            for host, source, number in zip(pdf["host"], pdf["html"], pdf["page"]):
+                page = Page(source)
+                text = blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                text = int.from_bytes(text, "little", signed=True)
+                whole = page.articles(page.off()) == [0]
+                for d in sorted(set(page.hashes().values())):
+                    texts = known.setdefault((host, d), set())
+                    if whole or (len(texts) < min_pages and text not in texts):
+                        rows.append((host, d, text, number if whole else None))
+                        texts.add(text)
+            host, subtree, text, number = zip(*rows) if rows else ((),) * 4
+            yield pd.DataFrame({"host": pd.Series(host, dtype=object), "subtree": np.array(subtree, dtype=np.int64),
+                                "text": np.array(text, dtype=np.int64), "page": pd.array(list(number), dtype="Int64")})
+
+    return pages.mapInPandas(run, "host string, subtree long, text long, page long")
+
+
+def page_templates(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(host, page, template): of each page of (host, html, page) its subtrees that are its host's template."""
+    seen = store(occurrences(pages, min_pages), "html-subtrees")
+    recurring = seen.select("host", "subtree", "text").distinct().groupBy("host", "subtree") \
+        .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).drop("n")
+    return seen.where("page is not null").select("host", "subtree", "page").join(recurring, ["host", "subtree"]) \
+        .groupBy("host", "page").agg(F.sort_array(F.collect_set("subtree")).alias("template"))
+
+
+def extract(pages: DataFrame, html: str = "html", url: str = "url", out: str = "text", min_pages: int = 3) -> DataFrame:
     """Adds the main text of every page; the raw html goes."""
-    rest = [c for c in pages.columns if c not in (html, out, "host", "path", "template")]
-    df = with_host_path(pages.drop("host", "path", "template"), url).drop("path") \
-        .withColumn("html", F.coalesce(F.col(html), F.lit("")))
-    template = store(template_subtrees(df.select("host", "html"), min_pages, min_share), "html-templates")
-    df = df.select(*rest, "host", "html").join(template, "host", "left")
+    rest = [c for c in pages.columns if c not in (html, out, "host", "path", "page", "template")]
+    df = with_host_path(pages.drop("host", "path", "page", "template"), url).drop("path") \
+        .withColumn("html", F.coalesce(F.col(html), F.lit(""))).withColumn("page", F.xxhash64("html"))
+    template = store(page_templates(df.select("host", "html", "page"), min_pages), "html-templates")
+    df = df.select(*rest, "host", "html", "page").join(template, ["host", "page"], "left")
 
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

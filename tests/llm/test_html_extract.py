@@ -71,3 +71,13 @@ NAMED = [
 def test_names_mark_only_what_they_name():
     for source, text in NAMED:
         assert H.Page(source).text() == text
+
+
+def test_template_needs_few_pages_of_a_large_host_but_different_texts(spark):
+    rows = [(i, "http://h.org/x", ("<div>Rare notice</div>" if i < 5 else "") + f"<p>Only page {i}</p>") for i in range(400)]
+    rows += [(400 + i, "http://h.org/c", f"<div>Rare notice</div><p>The same story</p><!-- {i} -->") for i in range(9)]
+    rows += [(500 + i, "http://twice.org/c", "<p>Told again</p>") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in H.extract(df).collect()}
+    assert got == {**{i: f"Only page {i}" for i in range(400)}, **{400 + i: "The same story" for i in range(9)},
+                   **{500 + i: "Told again" for i in range(9)}}
