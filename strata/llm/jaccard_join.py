@@ -11,11 +11,14 @@ threshold; linked documents form components. The result is exact (but for collis
    all blocks that it must have in common with a partner might be poor.
 3. In a family, an R-tree over the count vectors finds partners: the overlap of two sets is at most the sum of their
    counts' minima, that of a set and any point in a box at most the sum with the box's upper corner. Survivors are
-   verified on the sets. Pairs that are already connected need no check.
+   verified on the sets, each pair once: two nodes lie in one family and one pair of tiles. Links are counted by node,
+   weighted by copies, and those that connect what was not connected go on. Where only components are wanted, pairs
+   that are already connected need no check.
    A family of more than ``TILE`` nodes is split by size into tiles, and each pair of tiles of near sizes is one task.
 4. The links' components give every document the smallest id it is connected with.
 
-Copies are never paired, and the blocks' nodes are linked to the first of them, never each with each.
+``join`` gives every document its component and its number of links, ``node_links`` the links themselves as pairs of
+nodes and the documents of each node. Copies are never paired, and the blocks' nodes are linked to the first of them, never each with each.
 
 Defined cases: null and blank texts have an empty set, belong to no one and are their own component; a text of fewer
 words than a shingle has one shingle, the whole sequence; repeated rows have equal sets and are connected; a null id
@@ -170,31 +173,53 @@ def count_vector(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.bincount(at.astype(np.int64), minlength=groups)
 
 
-def family_links(nodes: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
-                 percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected, between the left and the right members (both sides: any pair)."""
-    groups = groups_for(max(map(len, sets)))
+def family_links(nodes: list[int], sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, right: np.ndarray,
+                 percent: int, want: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links between the left and the right members (both sides: any pair): with ``want`` "pairs" all of them, else
+    enough to connect what is connected; and, unless only "components" are wanted, the links of each member with
+    others, weighted by the others' copies."""
+    size = np.array([len(s) for s in sets])
+    groups = groups_for(int(size.max()))
     vectors = np.array([count_vector(s, groups) for s in sets], np.int32)
     tree_at = np.flatnonzero(right)
     tree = CountTree(vectors[tree_at], percent)
-    parent = list(range(len(nodes)))
+    label = np.arange(len(nodes))  # of what is connected
+    weight = np.zeros(len(nodes), np.int64)
+    out: list[tuple[int, int]] = []
+    starts = np.cumsum(size) - size
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.zeros(len(names), bool)
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    def connect(i: int, j: int) -> None:
+        label[label == label[j]] = label[i]
+        out.append((nodes[i], nodes[j]))
 
-    out = []
     for i in np.flatnonzero(left).tolist():
-        for j in tree_at[tree.near(vectors[i])].tolist():
-            if i == j or (left[j] and right[i] and j < i):
-                continue
-            a, b = root(i), root(j)
-            if a != b and links(sets[i], sets[j], percent):
-                parent[max(a, b)] = min(a, b)
-                out.append((nodes[i], nodes[j]))
-    return out
+        near = tree_at[tree.near(vectors[i])]
+        near = near[(near != i) & ~(left[near] & right[i] & (near < i))]
+        if want == "components":
+            for j in near[label[near] != label[i]].tolist():
+                if label[j] != label[i] and links(sets[i], sets[j], percent):
+                    connect(i, j)
+            continue
+        if not len(near):
+            continue
+        mine = flat[starts[i]:starts[i] + size[i]]
+        own[mine] = True
+        if 2 * len(near) > len(sets):
+            common = np.add.reduceat(own[flat], starts, dtype=np.int64)[near]
+        else:
+            common = np.array([int(own[flat[starts[j]:starts[j] + size[j]]].sum()) for j in near.tolist()])
+        own[mine] = False
+        linked = near[100 * common >= percent * (size[i] + size[near] - common)]
+        weight[i] += copies[linked].sum()
+        weight[linked] += copies[i]
+        if want == "pairs":
+            out += [(nodes[i], nodes[j]) for j in linked.tolist()]
+            continue
+        while len(linked := linked[label[linked] != label[i]]):
+            connect(i, int(linked[0]))
+    return out, weight
 
 
 def _ids(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -272,8 +297,9 @@ def family_members(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
         run, "family long, node long, size long, shingles binary")
 
 
-def verified(members: DataFrame, chosen: DataFrame, percent: int, tile: int) -> DataFrame:
-    """(a, b): links between members of a family; ``chosen`` has (node, family, n) of all of them."""
+def verified(members: DataFrame, chosen: DataFrame, percent: int, tile: int, want: str) -> DataFrame:
+    """(a, b, links): links a-b between members of a family, as ``family_links`` gives them, and, without b, numbers of
+    links of nodes a; ``chosen`` has (node, family, n, copies) of all of them."""
     band = F.floor(F.log("n") / math.log(BAND)).cast("long")
     large = chosen.groupBy("family").agg(F.count("*").alias("m")).withColumn("split", F.col("m") > tile)
     banded = chosen.join(large, "family").withColumn("band", F.when(F.col("split"), band).otherwise(F.lit(0)))
@@ -293,9 +319,9 @@ def verified(members: DataFrame, chosen: DataFrame, percent: int, tile: int) ->
     rights = near.where(~same).select("family", F.col("band2").alias("band"), F.col("sub2").alias("sub"), pair,
                                       F.lit(False).alias("left"), F.lit(True).alias("right"))
     sides = lefts.unionByName(rights)
-    placed = banded.select("node", "family", "band").join(per_band, ["family", "band"]) \
+    placed = banded.select("node", "family", "band", "copies").join(per_band, ["family", "band"]) \
         .withColumn("sub", F.pmod(F.xxhash64("node"), F.col("tiles"))).drop("tiles") \
-        .join(sides, ["family", "band", "sub"]).select("family", "node", "pair", "left", "right")
+        .join(sides, ["family", "band", "sub"]).select("family", "node", "copies", "pair", "left", "right")
 
     def run(t: pa.Table) -> pa.Table:
         rows = t.sort_by("node").to_pydict()
@@ -304,38 +330,65 @@ def verified(members: DataFrame, chosen: DataFrame, percent: int, tile: int) ->
             if node not in seen:
                 seen.add(node)
                 keep.append(i)
-        pairs = family_links([rows["node"][i] for i in keep],
-                             [np.frombuffer(rows["shingles"][i], np.uint64) for i in keep],
-                             np.array([rows["left"][i] for i in keep]), np.array([rows["right"][i] for i in keep]),
-                             percent)
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()),
-                         "b": pa.array([b for _, b in pairs], pa.int64())})
-
-    return members.hint("merge").join(placed, ["family", "node"]).select("family", "pair", "node", "left", "right", "shingles") \
-        .groupBy("family", "pair").applyInArrow(run, "a long, b long")
-
-
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT,
-         tile: int = TILE) -> DataFrame:
-    """Doc id, n_shingles and component_id of every row."""
+        nodes = [rows["node"][i] for i in keep]
+        pairs, weight = family_links(nodes, [np.frombuffer(rows["shingles"][i], np.uint64) for i in keep],
+                                     *(np.array([rows[c][i] for i in keep]) for c in ("copies", "left", "right")),
+                                     percent, want)
+        of = np.flatnonzero(weight) if want == "counts" else []
+        return pa.table({"a": pa.array([a for a, _ in pairs] + [nodes[i] for i in of], pa.int64()),
+                         "b": pa.array([b for _, b in pairs] + [None] * len(of), pa.int64()),
+                         "links": pa.array([None] * len(pairs) + [int(weight[i]) for i in of], pa.int64())})
+
+    return members.hint("merge").join(placed, ["family", "node"]) \
+        .select("family", "pair", "node", "copies", "left", "right", "shingles") \
+        .groupBy("family", "pair").applyInArrow(run, "a long, b long, links long")
+
+
+def _verified(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, tile: int,
+              want: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, n, node) of every row; (node, id, n, copies) with the smallest id; and what ``verified`` gives."""
     if not 100 <= percent * RATIO or percent > 100:
         raise ValueError("the threshold must be from 80 to 100 percent")
     rows = _ids(docs, doc_id, text)
     nodes = store(document_nodes(rows, n), "jaccard-nodes")
     families = store(components(met(dealt_blocks(rows, n, percent)), "a", "b", "jaccard-families"), "jaccard-families")
     release(docs.sparkSession)
-    first = nodes.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"))
-    chosen = store(first.join(families, "node").select("id", "node", F.col("root").alias("family"), "n"),
+    first = nodes.groupBy("node").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.count("*").alias("copies"))
+    chosen = store(first.join(families, "node").select("id", "node", F.col("root").alias("family"), "n", "copies"),
                    "jaccard-chosen")
     members = family_members(rows, chosen.select("id", "node", "family"), n)
-    linked = components(verified(members, chosen.select("node", "family", "n"), percent, tile), "a", "b",
-                        "jaccard-links")
+    return nodes, first, verified(members, chosen.select("node", "family", "n", "copies"), percent, tile, want)
+
+
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT,
+         tile: int = TILE, count: bool = True) -> DataFrame:
+    """Doc id, n_shingles, component_id and n_links of every row: the number of other rows whose sets are similar enough,
+    copies included. Without ``count`` no n_links, and no check of pairs that are already connected."""
+    nodes, first, found = _verified(docs, doc_id, text, n, percent, tile, "counts" if count else "components")
+    if count:
+        found = store(found, "jaccard-found")
+    linked = components(found.where("b is not null").select("a", "b"), "a", "b", "jaccard-links")
     rooted = first.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    by_node = store(rooted.join(least, "root").select("node", "component"), "jaccard-components")
+    by_node = rooted.join(least, "root").select("node", "component", "copies")
+    if count:
+        others = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
+        by_node = by_node.join(others, "node", "left") \
+            .select("node", "component", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    by_node = store(by_node.drop("copies"), "jaccard-components")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
+    more = [F.when(F.col("n") == 0, F.lit(0).cast("long")).otherwise(F.col("links")).alias("n_links")] if count else []
     return nodes.join(by_node, "node").select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
-                                              component.alias("component_id"))
+                                              component.alias("component_id"), *more)
+
+
+def node_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT,
+               tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b) between nodes of different sets, each once with a < b, and the node of every row: doc id,
+    n_shingles, node. Rows of one node have equal sets and link, but for empty ones."""
+    nodes, _, found = _verified(docs, doc_id, text, n, percent, tile, "pairs")
+    pairs = store(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "jaccard-pairs")
+    return pairs, nodes.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "node")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = SHINGLE,
@@ -344,7 +397,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
 
     Empty texts belong to no one and stay. Rows of one id with different texts are one document's and stay together.
     """
-    of = join(docs, doc_id, text, n, percent).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
+    of = join(docs, doc_id, text, n, percent, count=False).where(F.col(doc_id).eqNullSafe(F.col("component_id")))
     rows = store(of.groupBy(F.col(doc_id).alias("__id")).agg(F.count("*").alias("__n")), "jaccard-kept")
     kept = docs.hint("merge").join(rows.select("__id"), F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
     if rows.where("__n > 1").isEmpty():

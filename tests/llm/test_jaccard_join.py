@@ -105,3 +105,26 @@ def test_one_of_each_and_empty(spark):
     assert J.join(empty).collect() == [] and J.one_of_each(empty).collect() == []
     with pytest.raises(ValueError):
         J.join(empty, percent=50)
+
+
+@pytest.mark.parametrize("n,percent,tile", [(3, 90, 1024), (5, 80, 6)])
+def test_links_against_brute_force(spark, n, percent, tile):
+    rows = list(enumerate(edge_texts() + family_texts()))
+    rows += [(3, rows[20][1]), (None, rows[21][1]), (900, rows[21][1]), (901, rows[22][1])]
+    sets = [shingles(t, n) for _, t in rows]
+
+    def near(x, y):
+        return bool(x) and bool(y) and 100 * len(x & y) >= percent * len(x | y)
+
+    want = sorted((str(i), sum(near(x, y) for y in sets) - bool(x)) for (i, _), x in zip(rows, sets))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.join(df, n=n, percent=percent, tile=tile).collect()
+    assert sorted((str(r["doc_id"]), r["n_links"]) for r in got) == want
+    assert max(c for _, c in want) > 5
+    pairs, nodes = J.node_links(df, n=n, percent=percent, tile=tile)
+    of = {r["node"]: r["n_shingles"] for r in nodes.collect()}
+    found = [(r["a"], r["b"]) for r in pairs.collect()]
+    different = list(dict.fromkeys(sets))
+    assert nodes.count() == len(rows) and len(of) == len(different) and {x for p in found for x in p} <= of.keys()
+    assert len(found) == len(set(found)) and all(a < b for a, b in found)
+    assert len(found) == sum(near(x, y) for k, x in enumerate(different) for y in different[:k])
