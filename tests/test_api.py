@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from strata.operators import audit as A
 from strata.operators import charges as C
 from strata.operators import interest as I

@@ -5,7 +5,7 @@ Every query is compared with its DuckDB oracle at sf0.001 (the driver does it at
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 import __spark_entry__ as entry
 

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from strata.operators import charges as C
 from strata.operators import imports as IM
 from strata.operators import payments as P
