@@ -14,6 +14,7 @@ from . import (
     html_extract,
     jaccard_join,
     katz,
+    periodic_runs,
     pii,
     quality_rules,
     sentencepiece_codec,
@@ -21,9 +22,9 @@ from . import (
     url_filter,
 )
 from .common import table
+from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
@@ -113,3 +114,21 @@ def op2_katz(spark, sf_dir):
 def op6_suffix_dedup(spark, sf_dir):
     """Bytes of every document that an earlier document has in strings of 50 bytes."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every text, a tenth of them with planted repeats, and the texts without repeats."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", periodic_runs.with_planted_repeats(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.find(docs)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"),
+        F.lit("\n"))), "")
+    best = F.col("best")
+    return found.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), listed.alias("listed"),
+                        periodic_runs.strongest(F.col("runs")).alias("best")).select(
+        "doc_id", "n_runs", best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
