@@ -44,4 +44,30 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, r[1] AS start, r[3] AS length, r[2
 FROM planted LEFT JOIN best USING (k) LEFT JOIN first_best USING (k) JOIN kept USING (k)
 """
 
-ORACLE: dict[str, str] = {"op11_periodic_runs": OP11}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def terms(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '{TERM}')")
+
+
+OP12 = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, {terms("text")} AS t FROM documents),
+filled AS (SELECT k, doc_id, t, len(t)::BIGINT AS n FROM docs WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM filled),
+items AS (SELECT row_number() OVER () AS i, item_id, {terms("text")} AS t FROM benchmark),
+asked AS (SELECT i, t, count(*)::BIGINT AS c FROM (SELECT i, unnest(t) AS t FROM items) GROUP BY i, t),
+counts AS (SELECT k, t, count(*)::BIGINT AS tf FROM (SELECT k, unnest(t) AS t FROM filled) GROUP BY k, t),
+held AS (SELECT t, count(*)::BIGINT AS df FROM counts GROUP BY t),
+weights AS (SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM held, total),
+sizes AS (SELECT k, doc_id, 100 - 25 + (25 * n * nd) // nt AS m FROM filled, total),
+scores AS (
+    SELECT i, k, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN counts USING (t) JOIN weights USING (t) JOIN sizes USING (k) GROUP BY i, k, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank
+           FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op11_periodic_runs": OP11, "op12_dual_tree": OP12}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import configure
 from . import (
     cube_mix,
+    dual_tree,
     fingerprint,
     html_extract,
     jaccard_join,
@@ -132,3 +133,9 @@ def op11_periodic_runs(spark, sf_dir):
         best["period"].alias("period"),
         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
         F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_dual_tree(spark, sf_dir):
+    """The 20 highest-scoring documents of every benchmark item."""
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -57,7 +57,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+def _cuts(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> Iterator[tuple[int, int]]:
     """Slices of about SLICE bytes that end at a row's end or a space."""
     at, n = 0, len(data)
     while at < n:
@@ -66,7 +66,7 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
             row_end = int(offsets[np.searchsorted(offsets, end, "left")])
             stop = end
             while stop < row_end:
-                near = _SPACE[data[stop:min(stop + 4096, row_end)]]
+                near = space[data[stop:min(stop + 4096, row_end)]]
                 if near.any():
                     stop += int(near.argmax())
                     break
@@ -76,16 +76,17 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, lower: bool = True, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of a column in order, and the number of words up to each row (from 0).
 
-    Words are what the six ASCII spaces separate; ``lower`` reads A-Z as a-z.
+    Words are what the six ASCII spaces separate, or the bytes that ``between`` marks (256 flags, ASCII only);
+    ``lower`` reads A-Z as a-z.
     """
     data, offsets = text_bytes(column)
     found, starts_at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for a, b in _cuts(data, offsets):
+    for a, b in _cuts(data, offsets, between):
         raw = data[a:b]
-        space = _SPACE[raw]
+        space = between[raw]
         new_row = np.zeros(len(raw), bool)
         inner = offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, b)] - a
         new_row[inner] = True
