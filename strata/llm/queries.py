@@ -15,6 +15,7 @@ from . import (
     html_extract,
     jaccard_join,
     katz,
+    language_id,
     periodic_runs,
     pii,
     quality_rules,
@@ -139,3 +140,13 @@ def op11_periodic_runs(spark, sf_dir):
 def op12_dual_tree(spark, sf_dir):
     """The 20 highest-scoring documents of every benchmark item."""
     return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_language_id(spark, sf_dir):
+    """Predicted language of every text, learned from four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    learn = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("doc_id", "text", "lang")
+    model = language_id.fit(learn, label="lang", key="doc_id")
+    asked = docs.select("doc_id", "text", language_id.held_out(F.col("doc_id")).alias("held_out"))
+    return language_id.predict(asked, model).drop("text")
