@@ -11,8 +11,11 @@ documents; these are dealt again, a few thousand to a block, until one block a s
 source with a third of all rows is many tasks, and a level passes on two rows for each ``block`` rows.
 
 Defined cases: a null text has size 0 and is taken 0 times its size; a null source is a source of its own; repeated
-rows are rows of their own; rows that tie in order are equal in all that decides, so reruns return the same rows.
-No rows give no rows. Extra columns do not enter.
+rows are rows of their own, numbered among their equals and dealt over all blocks like others, however many they are;
+rows that tie in order are equal in all that decides, so reruns return the same rows. No rows give no rows. Ids keep
+their type and value. Extra columns do not enter.
+
+All sources (one row each) are ordered in one task to deal weights in turn; they are assumed to be few.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,7 +64,7 @@ def fly(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return x
 
 
-def land(x: np.ndarray, size: np.ndarray, drift: float) -> np.ndarray:
+def land(x: np.ndarray, size: np.ndarray, drift: float = 0.0) -> np.ndarray:
     """Landing phase: settles the last fractional documents so that the words come nearest to their expectation.
 
     ``drift`` is what earlier choices took beyond expectation. Ties go to fewer documents, then the earlier.
@@ -79,13 +82,17 @@ def land(x: np.ndarray, size: np.ndarray, drift: float) -> np.ndarray:
     return y
 
 
-def _block(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["__order", "__id", "size"], kind="stable", na_position="last")
-    size = pdf["size"].to_numpy(float)
-    x = fly(pdf["__p"].to_numpy(float), size)
-    if pdf["__last"].iloc[0]:
-        x = land(x, size, 0.0)
-    return pdf.astype({"__source": object}).assign(__p=x)
+def _block(rows: pa.Table) -> pa.Table:
+    """Rounds the ``__p`` of a block's documents; all other columns stay as they came."""
+    order, p, size = (rows.column(c).to_numpy() for c in ("__order", "__p", "size"))
+    by = np.lexsort((size, rows.column("__tie").to_numpy(), order))
+    size = size[by].astype(float)
+    x = fly(p[by].astype(float), size)
+    if rows.column("__last")[0].as_py():
+        x = land(x, size)
+    rounded = np.empty(len(x))
+    rounded[by] = x
+    return rows.set_column(rows.schema.get_field_index("__p"), "__p", pa.array(rounded))
 
 
 def targets(sources: DataFrame, cap: float) -> DataFrame:
@@ -113,6 +120,19 @@ def targets(sources: DataFrame, cap: float) -> DataFrame:
     return sources.withColumn("target", F.least(held, F.lit(rate) * F.col("weight")).cast("double"))
 
 
+_RUN = 1 << 16
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``__copy``, the number of a row among the rows equal to it: counted, and dealt out again."""
+    n = F.col("__n")
+    runs = rows.groupBy(*rows.columns).agg(F.count("*").alias("__n")) \
+        .withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _RUN))))
+    first = F.col("__run") * _RUN
+    return runs.withColumn("__copy", F.explode(F.sequence(first, F.least(first + (_RUN - 1), n - 1)))) \
+        .drop("__n", "__run")
+
+
 def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str = "source",
         size: Column | None = None, cap: float = 3.0, block: int = BLOCK) -> DataFrame:
     """``copies`` of every document, by targets in words.
@@ -121,8 +141,8 @@ def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str
     ``text``. Returns doc id, source, size, source_size, target, copies, taken.
     """
     n = F.size(words(F.col("text"))) if size is None else size
-    rows = store(docs.select(F.col(doc_id).alias("__id"), F.col(source).alias("__source"),
-                             n.cast("long").alias("size")), "mix-sizes")
+    sizes = docs.select(F.col(doc_id).alias("__id"), F.col(source).alias("__source"), n.cast("long").alias("size"))
+    rows = store(numbered(sizes), "mix-sizes")
     per = rows.groupBy("__source").agg(F.sum("size").alias("source_size"))
     w = weights.select(F.col("source").alias("__w"), F.col("weight").cast("double").alias("weight"))
     per = store(targets(store(per.join(w, F.col("__source").eqNullSafe(F.col("__w"))).drop("__w"), "mix-sources"), cap)
@@ -130,7 +150,8 @@ def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     state = rows.join(per, F.col("__source").eqNullSafe(F.col("__s"))).drop("__s").withColumns({
         "__whole": F.floor(share + _EPS),
-        "__order": F.xxhash64("__id", "size"),
+        "__order": F.xxhash64("__id", "size", "__copy"),
+        "__tie": F.hash("__copy", "__id"),
     }).withColumn("__p", F.greatest(F.lit(0.0), share - F.col("__whole")))
     done, level = [], 0
     while True:
@@ -141,7 +162,7 @@ def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str
             "__block": F.pmod(F.xxhash64("__order", F.lit(level)), F.col("__n")),
             "__last": F.col("__n") == 1,
         }).drop("__n")
-        flown = store(dealt.groupBy("__source", "__block").applyInPandas(_block, dealt.schema)
+        flown = store(dealt.groupBy("__source", "__block").applyInArrow(_block, dealt.schema)
                       .drop("__block", "__last"), f"mix-flight-{level}")
         open_ = (F.col("__p") > 0) & (F.col("__p") < 1)
         done.append(flown.where(~open_))

@@ -1,19 +1,22 @@
 """HTML extraction: site template removal.
 
-Every element subtree outside the article is hashed. Spark counts the hashes per host; subtrees that recur on
-``min_pages`` pages of their host with different texts, however large the host, are its template and are deleted.
-Pages of equal text count once, so copies of one article are no template. What HTML itself marks as not the article (navigation, asides,
-forms, scripts, comment sections and the like) is deleted too, and the text of the rest is joined block by block. When
-a page names its article (``article`` or ``main``), only that is text, and what is inside is never taken for template:
-pages of a host may well carry the same article.
+Every element subtree is hashed, and Spark counts the hashes per host over pages with different texts (copies of a page
+count once). A subtree outside the article that recurs on ``min_pages`` such pages, however large the host, is template
+and is deleted. Pages of a host may well carry the same article or passages of it, so inside an article only boxes
+(``BOXES``: adverts, share bars, link lists) count, and only those on at least ``INSIDE_PAGES`` pages and on
+``INSIDE_SHARE`` of all different pages of the host are template. What HTML itself marks as not the article
+(navigation, asides, forms, scripts, comment and related sections and the like) is deleted too, and the text of the
+rest is joined block by block. When a page names its article (``article`` or ``main``), only that is text. Articles
+inside a section of comments or related stories are not the page's, unless it has no other.
 
 Subtrees are joined to the template by (host, hash), and a page gets those of its own subtrees that are template, so
-nothing grows with the number of a host's pages or templates. A task sends a subtree with ``min_pages`` different texts
-at most, as more make no difference; pages without an article send all their subtrees, which are what can be deleted.
+nothing grows with the number of a host's pages or templates. A task sends a subtree outside the article with
+``min_pages`` different texts at most, where the page can't delete it, as more make no difference.
 
 Defined cases: a null or empty page gives an empty text; null urls are one host with an empty name; repeated rows count
 as pages of their own and have equal texts; unclosed and stray tags are read as browsers read the common cases; an
-unclosed comment or script runs to the end. Empty tables give empty results.
+unclosed comment or script runs to the end. Pages are read whole, however long. Empty tables give empty results. Other
+columns pass through as they came; only one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -23,12 +26,12 @@ from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
+from .tokens import text_column
 from .url_filter import with_host_path
 
 # Element and class names that say what a part of a page is.
@@ -47,10 +50,17 @@ NOT_TEXT_NAMES = set("ad ads advert adverts advertisement advertising banner bre
                      "disqus_thread footer gdpr menu modal nav navbar navigation newsletter popup promo promotion "
                      "related-posts respond share-buttons sharing sidebar site-footer social-links social-share "
                      "sponsor sponsored subscribe toolbar".split())
+# Sections of readers' comments or of other stories: their articles are not the page's.
+SECTION_NAMES = set("comments comment-list commentlist comments-area comments-section comment-section disqus "
+                    "disqus_thread respond replies responses related related-posts related-articles related-stories "
+                    "recommended recommendations more-stories read-more".split())
+COMMENT_NAMES = set("comment comment-body comment-content comment-item reply".split())  # of an article that is a comment
 HEADER_NAMES = {"header", "masthead", "site-header"}  # as a header element: not text outside an article
-NAMES = NOT_TEXT_NAMES | HEADER_NAMES
+NAMES = NOT_TEXT_NAMES | SECTION_NAMES | COMMENT_NAMES | HEADER_NAMES
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
+BOXES = set("aside details div dl figure footer form header menu nav ol section table ul".split())
+INSIDE_PAGES, INSIDE_SHARE = 10, 0.5
 CLOSES = {  # a start tag that ends an open element of these kinds
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
@@ -71,15 +81,40 @@ class Page:
         self.content: list[list] = [[]]  # of each element: texts, and numbers of child elements
         self.named: list[tuple[int, set[str]]] = []  # elements with such names
         self._read(source)
-        around = {0}  # an article, or an ancestor of one
-        for i in range(len(self.tag) - 1, 0, -1):
-            if self.tag[i] in ARTICLE or i in around:
-                around |= {i, self.parent[i]}
+        self._mark_named()
+
+    def _mark_named(self) -> None:
+        """Marks elements by their names; those around the page's articles only if they are sections of others."""
+        n = len(self.tag)
+        section = [False] * n  # comments or other stories
+        for i, names in self.named:
+            article = self.tag[i] in ARTICLE
+            section[i] = not names.isdisjoint(COMMENT_NAMES if article else SECTION_NAMES)
+        inside = [False] * n
+        for i in range(1, n):
+            inside[i] = section[i] or inside[self.parent[i]]
+        articles = [i for i in range(1, n) if self.tag[i] in ARTICLE]
+        own = [i for i in articles if not inside[i]]
+        if articles and not own:  # nothing but such articles: the longest is the page's
+            own = [max(articles, key=self._letters().__getitem__)]
+        around = {0}  # an article of the page, or an ancestor of one
+        for i in own:
+            while i not in around:
+                around.add(i)
+                i = self.parent[i]
         for i, names in self.named:
             if i not in around:
-                self.marked[i] |= not names.isdisjoint(NOT_TEXT_NAMES)
+                by_name = NOT_TEXT_NAMES if self.tag[i] not in ARTICLE else frozenset()
+                self.marked[i] |= section[i] or not names.isdisjoint(by_name)
                 self.header[i] |= not names.isdisjoint(HEADER_NAMES)
 
+    def _letters(self) -> list[int]:
+        """Characters of text in each element."""
+        size = [0] * len(self.tag)
+        for i in range(len(self.tag) - 1, -1, -1):
+            size[i] = sum(size[c] if isinstance(c, int) else len(c.strip()) for c in self.content[i])
+        return size
+
     def _read(self, s: str) -> None:
         stack, pos, n = [0], 0, len(s)
         tag, parent, marked, content = self.tag, self.parent, self.marked, self.content
@@ -178,10 +213,14 @@ class Page:
             gone[i] = gone[p] or self.marked[i] or i in more or (self.header[i] and not inside[i])
         return gone
 
-    def hashes(self) -> dict[int, int]:
-        """Hash of each subtree with text that may be template: not of the page's frame, nor in or around an article."""
+    def hashes(self) -> tuple[dict[int, int], dict[int, int]]:
+        """Hashes of the subtrees with text that may be template: those outside the article, and boxes inside it.
+
+        The page's frame, and what holds an article, is none; nor is what is marked anyway inside an article.
+        """
         n = len(self.tag)
         digest, text, frame, inside = [b""] * n, [False] * n, [False] * n, [False] * n
+        off = self.off()
         for i in range(1, n):
             inside[i] = inside[self.parent[i]] or (self.tag[i] in ARTICLE and not self.marked[i])
         for i in range(n - 1, 0, -1):
@@ -194,10 +233,12 @@ class Page:
                 elif c := " ".join(c.split()):
                     h.update(b">" + c.encode("utf-8", "surrogatepass"))
                     text[i] = True
-            frame[i] |= inside[i] or self.tag[i] in ("html", "body", "head")
+            frame[i] |= self.tag[i] in ("html", "body", "head") or (self.tag[i] in ARTICLE and not self.marked[i])
             digest[i] = h.digest()
-        return {i: int.from_bytes(digest[i], "little", signed=True) for i in range(1, n)
-                if text[i] and not frame[i] and self.tag[i] not in RAW}
+        of = {i: int.from_bytes(digest[i], "little", signed=True) for i in range(1, n)
+              if text[i] and not frame[i] and self.tag[i] not in RAW}
+        return ({i: h for i, h in of.items() if not inside[i]},
+                {i: h for i, h in of.items() if inside[i] and self.tag[i] in BOXES and not off[i]})
 
     def text(self, template: set[int] = frozenset()) -> str:
         gone = self.off(template)
@@ -230,75 +271,81 @@ class Page:
         return "\n".join(blocks)
 
 
-def _subtrees(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
-        host, subtree = [], []
-        for h, source in zip(pdf["host"], pdf["html"]):
-            for d in sorted(set(Page(source).hashes().values())):
-                host.append(h)
-                subtree.append(d)
-        yield pd.DataFrame({"host": pd.Series(host, dtype=object), "subtree": np.array(subtree, dtype=np.int64)})
-
-
-def template_subtrees(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Of each host the subtrees that recur on at least ``min_pages`` and ``min_share`` of its pages, as one array: for
-    a look at small hosts. ``extract`` does not use it."""
-    hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = pages.mapInPandas(_subtrees, "host string, subtree long").groupBy("host", "subtree") \
-        .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    return seen.join(hosts, "host").where(F.col("n") >= min_share * F.col("pages")) \
-        .groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def occurrences(pages: DataFrame, min_pages: int) -> DataFrame:
-    """(host, subtree, text, page): subtrees with the hash of a page's text before deletion; ``page`` only where the
-    page names no article, so that the subtree can be deleted."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+    """(host, subtree, inside, text, page): subtrees with the hash of a page's text before deletion.
+
+    ``page`` is there only where the page can delete the subtree: inside its article, or if it names no article. One
+    row a page has no subtree: it counts the host's different pages.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             known: dict[tuple, set[int]] = {}
             rows = []
-            for host, source, number in zip(pdf["host"], pdf["html"], pdf["page"]):
+            for host, source, number in zip(*(text_column(batch, c).to_pylist() for c in ("host", "html", "page"))):
                 page = Page(source)
-                text = blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                text = int.from_bytes(text, "little", signed=True)
+                text = _digest(page.text())
                 whole = page.articles(page.off()) == [0]
-                for d in sorted(set(page.hashes().values())):
+                outer, inner = page.hashes()
+                every = known.setdefault((host, None), set())
+                if text not in every:
+                    every.add(text)
+                    rows.append((host, None, False, text, None))
+                for d in sorted(set(outer.values())):
                     texts = known.setdefault((host, d), set())
                     if whole or (len(texts) < min_pages and text not in texts):
-                        rows.append((host, d, text, number if whole else None))
+                        rows.append((host, d, False, text, number if whole else None))
                         texts.add(text)
-            host, subtree, text, number = zip(*rows) if rows else ((),) * 4
-            yield pd.DataFrame({"host": pd.Series(host, dtype=object), "subtree": np.array(subtree, dtype=np.int64),
-                                "text": np.array(text, dtype=np.int64), "page": pd.array(list(number), dtype="Int64")})
+                rows += [(host, d, True, text, number) for d in sorted(set(inner.values()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(zip(*rows) if rows else ((),) * 5, _OCCURRENCE)],
+                names=["host", "subtree", "inside", "text", "page"])
+
+    return pages.mapInArrow(run, "host string, subtree long, inside boolean, text long, page long")
 
-    return pages.mapInPandas(run, "host string, subtree long, text long, page long")
+
+_OCCURRENCE = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
 
 
 def page_templates(pages: DataFrame, min_pages: int) -> DataFrame:
     """(host, page, template): of each page of (host, html, page) its subtrees that are its host's template."""
     seen = store(occurrences(pages, min_pages), "html-subtrees")
-    recurring = seen.select("host", "subtree", "text").distinct().groupBy("host", "subtree") \
-        .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).drop("n")
-    return seen.where("page is not null").select("host", "subtree", "page").join(recurring, ["host", "subtree"]) \
-        .groupBy("host", "page").agg(F.sort_array(F.collect_set("subtree")).alias("template"))
+    counts = seen.select("host", "subtree", "inside", "text").distinct().groupBy("host", "subtree", "inside") \
+        .agg(F.count("*").alias("n"))
+    hosts = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
+    outer = counts.where((F.col("n") >= min_pages) & ~F.col("inside") & F.col("subtree").isNotNull()).drop("n")
+    inner = counts.where((F.col("n") >= max(min_pages, INSIDE_PAGES)) & F.col("inside")).join(hosts, "host") \
+        .where(F.col("n") >= F.lit(INSIDE_SHARE) * F.col("pages")).drop("n", "pages")
+    return seen.where("page is not null").select("host", "subtree", "inside", "page") \
+        .join(outer.unionByName(inner), ["host", "subtree", "inside"]).groupBy("host", "page") \
+        .agg(F.sort_array(F.collect_set(F.when(~F.col("inside"), F.col("subtree")))).alias("outer"),
+             F.sort_array(F.collect_set(F.when(F.col("inside"), F.col("subtree")))).alias("inner"))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", out: str = "text", min_pages: int = 3) -> DataFrame:
     """Adds the main text of every page; the raw html goes."""
-    rest = [c for c in pages.columns if c not in (html, out, "host", "path", "page", "template")]
-    df = with_host_path(pages.drop("host", "path", "page", "template"), url).drop("path") \
-        .withColumn("html", F.coalesce(F.col(html), F.lit(""))).withColumn("page", F.xxhash64("html"))
-    template = store(page_templates(df.select("host", "html", "page"), min_pages), "html-templates")
-    df = df.select(*rest, "host", "html", "page").join(template, ["host", "page"], "left")
-
-    def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            found = []
-            for source, known in zip(pdf["html"], pdf["template"]):
-                page = Page(source)
-                known = set() if known is None else {int(x) for x in known}
-                found.append(page.text({i for i, h in page.hashes().items() if h in known} if known else frozenset()))
-            yield pdf[rest].astype(object).assign(**{out: pd.Series(found, dtype=object)})
-
+    rest = [c for c in pages.columns if c not in (html, out)]
+    df = with_host_path(pages, url, "__host", "__path").withColumn("__html", F.coalesce(F.col(html), F.lit(""))) \
+        .withColumn("__page", F.xxhash64("__html"))
+    names = {"__host": "host", "__html": "html", "__page": "page"}
+    template = store(page_templates(df.select(*names).withColumnsRenamed(names), min_pages), "html-templates")
+    template = template.select(F.col("host").alias("__host"), F.col("page").alias("__page"),
+                               F.col("outer").alias("__outer"), F.col("inner").alias("__inner"))
+    df = df.select(*rest, "__host", "__html", "__page").join(template, ["__host", "__page"], "left") \
+        .select(*rest, "__html", "__outer", "__inner")
     schema = df.select(*rest).withColumn(out, F.lit("")).schema
-    return df.mapInPandas(texts, schema)
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for source, *known in zip(*(text_column(batch, c).to_pylist() for c in ("__html", "__outer", "__inner"))):
+                page, known = Page(source), [set(x or ()) for x in known]
+                gone = {i for subtrees, hashes in zip(known, page.hashes()) if subtrees
+                        for i, h in hashes.items() if h in subtrees} if any(known) else frozenset()
+                found.append(page.text(gone))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-3] + [pa.array(found, pa.string())], names=schema.names)
+
+    return df.mapInArrow(texts, schema)

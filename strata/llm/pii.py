@@ -13,7 +13,8 @@ whose number is bounded by the number of combinations.
 
 Defined cases: a null text is empty and has no spans; repeated rows are scanned row by row; without candidates the
 classifier keeps nothing but base spans. Texts are scanned whole, in time linear in their length. Empty tables give
-empty results. Extra columns pass through.
+empty results. ``find`` returns the id, as it came, and its own columns; ``redact`` returns all columns, and only the
+text changes.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ from hashlib import sha256
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
+from .tokens import text_column
 
 # Kinds (the base ones in the order that breaks ties) and word lists of the labelers.
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
@@ -256,25 +258,29 @@ def joined(spans: list[Span]) -> str:
 
 _SCANNED = ("n_email long, n_ip long, n_card long, n_phone long, base string, "
             "seen array<struct<span:string,f:array<int>>>")
+_SEEN = pa.list_(pa.struct([("span", pa.string()), ("f", pa.list_(pa.int32()))]))
 
 
 def scanned(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and the scan of each text: base counts, base spans, and proposed and base spans with features."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for t in pdf["__text"]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, base_spans_, seen = [], [], []
+            for t in text_column(batch, "__text").to_pylist():
                 base, spans = scan(t)
                 n = Counter(s.kind for s in base)
-                rows.append((*[n[k] for k in BASE], joined(base),
-                             [{"span": joined([s]), "f": list(f)} for s, f in spans]))
-            out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "seen"])
-            yield pd.concat([pdf[keep].reset_index(drop=True).astype(object), out], axis=1)
+                counts.append([n[k] for k in BASE])
+                base_spans_.append(joined(base))
+                seen.append([{"span": joined([s]), "f": list(f)} for s, f in spans])
+            yield pa.RecordBatch.from_arrays(
+                [text_column(batch, c) for c in keep] + [pa.array([n[k] for n in counts], pa.int64()) for k in range(4)]
+                + [pa.array(base_spans_, pa.string()), pa.array(seen, _SEEN)], names=schema.names)
 
     head = docs.select(*keep).schema
     fields = docs.sparkSession.createDataFrame([], _SCANNED).schema
+    schema = type(head)([*head, *fields])
     df = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    return df.mapInPandas(run, type(head)([*head, *fields]))
+    return df.mapInArrow(run, schema)
 
 
 def fit(scan_rows: DataFrame) -> Model:
@@ -295,21 +301,22 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     rows = store(scanned(docs, [doc_id], text), "pii-spans")
     model = fit(rows)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             digest, every = [], []
-            for base, seen in zip(pdf["base"], pdf["seen"]):
+            for base, seen in zip(text_column(batch, "base").to_pylist(), text_column(batch, "seen").to_pylist()):
                 digest.append(sha256(base.encode()).hexdigest())
-                if len(seen):
-                    spans = [(_parsed(x["span"]), tuple(int(v) for v in x["f"])) for x in seen]
+                if seen:
+                    spans = [(_parsed(x["span"]), tuple(x["f"])) for x in seen]
                     strict = [_parsed(x) for x in base.split(",") if x]
                     every.append(joined(decide(strict, spans, model)))
                 else:
                     every.append(base)
-            yield pdf.drop(columns=["base", "seen"]).astype(object).assign(base_sha256=digest, spans=every)
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:-2] + [pa.array(digest, pa.string()), pa.array(every, pa.string())], names=schema.names)
 
     schema = rows.drop("base", "seen").withColumns({"base_sha256": F.lit(""), "spans": F.lit("")}).schema
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _parsed(s: str) -> Span:
@@ -332,10 +339,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                 last = s.end
         return "".join(out) + t[last:]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            pdf = pdf.astype(object)
-            pdf[text] = [replaced(t) if isinstance(t, str) else None for t in pdf[text]]
-            yield pdf
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            clean = pa.array([replaced(t) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield batch.set_column(at, batch.schema.field(at), clean)
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

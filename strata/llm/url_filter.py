@@ -4,7 +4,8 @@ The trees learn from labelled URLs: by default those that a rule decides. Every
 Defined cases: a null URL, or one without ``://``, has an empty host and path and fits no rule; it is judged by
 the trees on the features of an empty host. Repeated rows are judged alike, each on its own. Without labelled
 URLs of both verdicts there is nothing to learn and the verdict of the one known class (else ``allow``) holds.
-Extra columns pass through ``judge``; its own columns replace those of the same name.
+Extra columns pass through ``judge``; its five own columns replace those of the same name. Names that begin with ``__``
+are for working columns.
 """
 
 from __future__ import annotations
@@ -34,18 +35,19 @@ QUERY_RULES = (
     Rule("block", "com", "/de/"),
 )
 
-FEATURES = ("url_chars", "host_chars", "path_chars", "depth", "labels", "digit_ratio", "hyphens", "entropy",
-            "params", "has_fragment", "is_https", "log_suffix_urls", "log_site_urls", "log_site_hosts")
+FEATURES = tuple(f"__f_{x}" for x in (
+    "url_chars", "host_chars", "path_chars", "depth", "labels", "digit_ratio", "hyphens", "entropy", "params",
+    "has_fragment", "is_https", "log_suffix_urls", "log_site_urls", "log_site_hosts"))
 
 
-def with_host_path(urls: DataFrame, url: str = "url") -> DataFrame:
+def with_host_path(urls: DataFrame, url: str = "url", host: str = "host", path: str = "path") -> DataFrame:
     """Adds ``host`` (A-Z lower-cased) and ``path``."""
     u = F.coalesce(F.col(url), F.lit(""))
     scheme = F.substring_index(u, "://", 1)  # the whole url without one, which leaves nothing after it
     rest = F.substring(u, F.length(scheme) + 4, F.length(u))
     return urls.withColumns({
-        "host": lower_ascii(F.regexp_extract(rest, r"^([^/?#]*)", 1)),
-        "path": F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1),
+        host: lower_ascii(F.regexp_extract(rest, r"^([^/?#]*)", 1)),
+        path: F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1),
     })
 
 
@@ -78,24 +80,24 @@ def with_features(urls: DataFrame, url: str = "url") -> DataFrame:
     df = urls.withColumns({"__suffix": suffix, "__site": site})
     by_host = df.groupBy("__suffix", "__site", "host").agg(F.count("*").alias("__n"))
     by_site = by_host.groupBy("__suffix", "__site").agg(F.sum("__n").alias("__n"), F.count("*").alias("__hosts"))
-    sites = by_site.select("__site", F.log1p(F.col("__n").cast("double")).alias("log_site_urls"),
-                           F.log1p(F.col("__hosts").cast("double")).alias("log_site_hosts"))
+    sites = by_site.select("__site", F.log1p(F.col("__n").cast("double")).alias("__f_log_site_urls"),
+                           F.log1p(F.col("__hosts").cast("double")).alias("__f_log_site_hosts"))
     suffixes = by_site.groupBy("__suffix").agg(
-        F.log1p(F.sum("__n").cast("double")).alias("log_suffix_urls"))
+        F.log1p(F.sum("__n").cast("double")).alias("__f_log_suffix_urls"))
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     return df.join(sites, "__site").join(suffixes, "__suffix").withColumns({
-        "url_chars": F.length(u).cast("double"),
-        "host_chars": F.length(host).cast("double"),
-        "path_chars": F.length("path").cast("double"),
-        "depth": F.size(F.filter(F.split("path", "/"), lambda x: x != "")).cast("double"),
-        "labels": F.size(F.filter(F.split(host, r"\."), lambda x: x != "")).cast("double"),
-        "digit_ratio": F.when(F.length(u) > 0, F.length(F.regexp_replace(u, "[^0-9]", ""))
+        "__f_url_chars": F.length(u).cast("double"),
+        "__f_host_chars": F.length(host).cast("double"),
+        "__f_path_chars": F.length("path").cast("double"),
+        "__f_depth": F.size(F.filter(F.split("path", "/"), lambda x: x != "")).cast("double"),
+        "__f_labels": F.size(F.filter(F.split(host, r"\."), lambda x: x != "")).cast("double"),
+        "__f_digit_ratio": F.when(F.length(u) > 0, F.length(F.regexp_replace(u, "[^0-9]", ""))
                               / F.length(u)).otherwise(0.0).cast("double"),
-        "hyphens": (F.length(host) - F.length(F.replace(host, F.lit("-"), F.lit("")))).cast("double"),
-        "entropy": _entropy(u),
-        "params": F.size(F.filter(F.split(query, "&"), lambda x: x != "")).cast("double"),
-        "has_fragment": F.contains(u, F.lit("#")).cast("double"),
-        "is_https": F.startswith(u, F.lit("https://")).cast("double"),
+        "__f_hyphens": (F.length(host) - F.length(F.replace(host, F.lit("-"), F.lit("")))).cast("double"),
+        "__f_entropy": _entropy(u),
+        "__f_params": F.size(F.filter(F.split(query, "&"), lambda x: x != "")).cast("double"),
+        "__f_has_fragment": F.contains(u, F.lit("#")).cast("double"),
+        "__f_is_https": F.startswith(u, F.lit("https://")).cast("double"),
     }).drop("__site", "__suffix")
 
 
@@ -115,11 +117,11 @@ def fit(labelled: DataFrame, max_rows: int = 20_000, trees: int = 10, depth: int
 
 def judge(urls: DataFrame, rules=QUERY_RULES, url: str = "url", max_rows: int = 20_000) -> DataFrame:
     """Adds host, path, rule (null if none fits), verdict and ``by`` (rule or model) to every row."""
-    df = urls.drop("host", "path", "rule", "verdict", "by", *FEATURES)
+    df = urls.drop("host", "path", "rule", "verdict", "by")
     df = with_host_path(df, url)
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
     df = with_features(df.withColumns({"rule": rule, "__ruled": ruled}), url)
-    df = store(df.drop("features"), "url-features")
+    df = store(df, "url-features")
     labelled = df.where("__ruled is not null").withColumn("blocked", (F.col("__ruled") == "block").cast("double"))
     model = fit(labelled, max_rows)
     if model is None:
