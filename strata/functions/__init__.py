@@ -86,6 +86,17 @@ def canon(c) -> Column:
     return F.upper(F.trim(col_(c)))
 
 
+NATURAL_KEY = "UTF8_LCASE"  # the server's default collation: case does not count, accents do
+
+
+def ci(c) -> Column:
+    """Text as the database compares it: without outer blanks, under a case-insensitive collation.
+
+    Joins, groups and distinct rows on it hold ``Calle 1`` and ``CALLE 1`` for one key.
+    """
+    return F.collate(F.trim(col_(c)), NATURAL_KEY)
+
+
 def tsql_len(c) -> Column:
     """T-SQL LEN ignores trailing blanks."""
     return F.length(F.rtrim(col_(c)))

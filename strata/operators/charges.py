@@ -86,15 +86,15 @@ def stage_expenses(sheet: DataFrame, year_col: str | None = "year", year: int |
 
 def resolve_building(stage: DataFrame, building: DataFrame) -> DataFrame:
     """Attach building_id by (case-insensitive) name; unknown names drop out."""
-    b = building.select(X.canon("name").alias("_k"), "building_id")
-    return stage.join(b, X.canon(stage["building_name"]) == b["_k"], "inner").drop("_k")
+    b = building.select(X.ci("name").alias("_k"), "building_id")
+    return stage.join(b, X.ci(stage["building_name"]) == b["_k"], "inner").drop("_k")
 
 
 def missing_buildings(stage: DataFrame, building: DataFrame) -> DataFrame:
     """Distinct staged building names that do not exist, plus the one-line message."""
-    b = building.select(X.canon("name").alias("_k"))
+    b = building.select(X.ci("name").alias("_k"))
     names = (stage.select("building_name").distinct()
-             .join(b, X.canon(F.col("building_name")) == b["_k"], "left_anti"))
+             .join(b, X.ci(F.col("building_name")) == b["_k"], "left_anti"))
     return names
 
 

@@ -1,8 +1,9 @@
 """Set-based imports of the raw files (buildings, units, people, occupancy).
 
 The reference loops row by row in places; here every import is one declarative
-plan: clean -> resolve natural keys by equi-joins on canonical text -> insert if
-absent (left anti join) -> report rejects with reasons.
+plan: clean -> resolve natural keys by equi-joins -> insert if absent (left anti
+join) -> report rejects with reasons. Names, addresses, floors and doors compare as
+the database compares them (``functions.ci``): case and outer blanks do not count.
 
 Deduplication keeps one row per key with ``min`` over a struct ordered by the
 tie-break columns: a grouped aggregate with map-side partial aggregation, so a key
@@ -42,25 +43,35 @@ def units_staged(units_file: DataFrame) -> DataFrame:
 
 def new_buildings(staged: DataFrame, building: DataFrame) -> DataFrame:
     """I-04: distinct building names of the file that do not exist yet, as placeholder
-    buildings (address 'Dirección <name>', area 1000.00, fees 2.00/5.00)."""
-    b = building.select(X.canon("name").alias("_k"))
-    names = staged.select(F.col("building_name").alias("name")).distinct()
-    new = names.join(b, X.canon(F.col("name")) == b["_k"], "left_anti")
+    buildings (address 'Dirección <name>', area 1000.00, fees 2.00/5.00). Of spellings
+    that compare alike the first in binary order is stored."""
+    b = building.select(X.ci("name").alias("_k"))
+    names = staged.groupBy(X.ci("building_name").alias("_n")).agg(F.min("building_name").alias("name"))
+    new = names.join(b, F.col("_n") == b["_k"], "left_anti")
     return new.select(
         "name", F.concat(F.lit(PLACEHOLDER_ADDRESS_PREFIX), F.col("name")).alias("address"),
         F.lit(PLACEHOLDER_AREA).cast("decimal(10,2)").alias("area"),
         F.lit(FEE_FIRST).cast("decimal(5,2)").alias("fee_first"), F.lit(FEE_NEXT).cast("decimal(5,2)").alias("fee_next"))
 
 
+def _unit_keys(unit: DataFrame, *more: str) -> DataFrame:
+    return unit.select(F.col("building_id").alias("_ub"), X.ci("floor").alias("_uf"), X.ci("door").alias("_ud"), *more)
+
+
+def _same_unit(rows: DataFrame, keys: DataFrame) -> F.Column:
+    return (rows["building_id"] == keys["_ub"]) & (X.ci(rows["floor"]) == keys["_uf"]) \
+        & (X.ci(rows["door"]) == keys["_ud"])
+
+
 def clean_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> DataFrame:
     """Units of the file with status: EXISTING (same building/floor/door already
     stored), REJECTED (reasons; the reference stores 0 instead, against its own CHECK),
     ACCEPTED otherwise. Rows with blank floor or door are skipped, as in the reference."""
     s = staged.filter(~X.is_blank("floor") & ~X.is_blank("door"))
-    b = building.select(X.canon("name").alias("_k"), "building_id")
-    s = s.join(b, X.canon(F.col("building_name")) == b["_k"], "left").drop("_k")
-    u = unit.select("building_id", "floor", "door", F.lit(True).alias("_exists")).distinct()
-    s = s.join(u, ["building_id", "floor", "door"], "left")
+    b = building.select(X.ci("name").alias("_k"), "building_id")
+    s = s.join(b, X.ci(F.col("building_name")) == b["_k"], "left").drop("_k")
+    u = _unit_keys(unit).distinct().withColumn("_exists", F.lit(True))
+    s = s.join(u, _same_unit(s, u), "left").drop("_ub", "_uf", "_ud")
     reasons = _reasons(
         (F.col("area").isNull() | (F.col("area") <= 0), "INVALID_AREA"),
         (F.col("coef").isNull() | (F.col("coef") <= 0) | (F.col("coef") > 100), "INVALID_COEF"),
@@ -68,7 +79,7 @@ def clean_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> Data
     s = s.withColumn("_reasons", reasons)
     # of the rows of one new unit the first is accepted, the others find it stored
     fits = F.coalesce(F.col("_exists"), F.lit(False)) | (F.col("_reasons") != "")
-    new = first_of_key(s.filter(~fits).withColumn("_key", F.coalesce(F.col("building_id").cast("string"), X.canon("building_name"))),
+    new = first_of_key(s.filter(~fits).withColumn("_key", F.coalesce(F.col("building_id").cast("string"), F.concat(F.lit("#"), "building_name"))),
                        ["_key", "floor", "door"], ["_key", "floor", "door", "area", "coef"]).drop("_key")
     s = s.filter(fits).withColumn("_first", F.lit(True)).unionByName(new)
     reasons = F.col("_reasons")
@@ -98,11 +109,11 @@ def import_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> dic
 
 
 def resolve_file_units(staged: DataFrame, building: DataFrame, unit: DataFrame) -> DataFrame:
-    """C-04/C-05: file rows -> unit_id by (building name, floor, door) on trimmed text."""
-    b = building.select(X.canon("name").alias("_k"), "building_id")
-    u = unit.select("unit_id", "building_id", "floor", "door")
-    return (staged.join(b, X.canon(F.col("building_name")) == b["_k"]).drop("_k")
-            .join(u, ["building_id", "floor", "door"]))
+    """C-04/C-05: file rows -> unit_id by (building name, floor, door) under the database's collation."""
+    b = building.select(X.ci("name").alias("_k"), "building_id")
+    u = _unit_keys(unit, "unit_id")
+    s = staged.join(b, X.ci(F.col("building_name")) == b["_k"]).drop("_k")
+    return s.join(u, _same_unit(s, u)).drop("_ub", "_uf", "_ud")
 
 
 def storage_rows(staged: DataFrame, building: DataFrame, unit: DataFrame, kind: str = "storage") -> DataFrame:
@@ -192,8 +203,9 @@ def import_buildings(sheet: DataFrame, building: DataFrame) -> DataFrame:
         F.trim("name").alias("name"), F.trim("address").alias("address"),
         F.trim("unit_count_raw").try_cast("int").alias("unit_count"),
         F.trim("area_raw").try_cast("decimal(10,2)").alias("area"))
-    e = building.select(F.col("name").alias("name"), "address", F.lit(True).alias("_exists")).distinct()
-    s = s.join(e, ["name", "address"], "left")
+    e = building.select(X.ci("name").alias("_en"), X.ci("address").alias("_ea")).distinct() \
+        .withColumn("_exists", F.lit(True))
+    s = s.join(e, (X.ci(s["name"]) == e["_en"]) & (X.ci(s["address"]) == e["_ea"]), "left").drop("_en", "_ea")
     reasons = _reasons(
         ((F.coalesce(F.col("name"), F.lit("")) == "") | (X.tsql_len("name") > 40), "NAME_LENGTH"),
         ((F.coalesce(F.col("address"), F.lit("")) == "") | (X.tsql_len("address") > 100), "ADDRESS_LENGTH"),

@@ -1,13 +1,14 @@
 """Validated appends: the reference's single-row insert procedures, as one batch
 operator per table.
 
-``validate(batch, rules, key, order, existing)`` returns every batch row with
+``validate(batch, rules, key, order, existing, parents)`` returns every batch row with
 ``status`` ('ACCEPTED' / 'REJECTED') and ``reasons`` (comma-separated codes, empty
 when accepted). Foreign-key rules are left joins against the referenced tables (each
 reduced to its distinct keys first). Uniqueness is checked against the stored table
 (``existing``) and inside the batch: the first row of a key (by ``order``) may pass,
-the others get DUPLICATE_KEY. Both use grouped aggregates (partial aggregation), not
-windows, so a heavily repeated key is never gathered in one task.
+the others get DUPLICATE_KEY. One aggregate over batch and stored keys finds both
+(``keyed_rows``); it is partial, so a heavily repeated key is never gathered in one task.
+Text keys compare as the database compares them (``functions.ci``): case does not count.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import functions as X
 from ..fixed import KIND_EXTRAORDINARY, KIND_ORDINARY, ROLE_OWNER, ROLE_TENANT
@@ -25,49 +27,80 @@ def _date(v):
     return _dt.date.fromisoformat(v) if isinstance(v, str) else v
 
 
+def compared(df: DataFrame, c: str) -> Column:
+    """A key column as the database compares it."""
+    return X.ci(c) if isinstance(df.schema[c].dataType, StringType) else F.col(c)
+
+
 def exists_in(df: DataFrame, ref: DataFrame, left_cols: list[str], right_cols: list[str], flag: str) -> DataFrame:
     """Add boolean ``flag``: the row's key exists in ``ref`` (left join on distinct keys)."""
-    r = ref.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(right_cols)]).distinct() \
+    r = ref.select(*[compared(ref, c).alias(f"_r{i}") for i, c in enumerate(right_cols)]).distinct() \
         .withColumn(flag, F.lit(True))
-    cond = [df[lc] == r[f"_r{i}"] for i, lc in enumerate(left_cols)]
+    cond = [compared(df, lc) == r[f"_r{i}"] for i, lc in enumerate(left_cols)]
     out = df.join(r, cond, "left")
     return out.drop(*[f"_r{i}" for i in range(len(right_cols))]).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def first_of_key(df: DataFrame, key: list[str], order: list[str], flag: str = "_first") -> DataFrame:
-    """Mark one row of each key, the first by ``order`` (ties: by all columns).
+def keyed_rows(df: DataFrame, key: list[str], order: list[str], existing: DataFrame | None = None,
+               flag: str = "_first", stored: str = "_stored") -> DataFrame:
+    """Mark one row of each key, the first by ``order`` (ties: by all columns), and whether
+    ``existing`` holds the key.
 
-    A count per key is joined back; rows whose key comes once need no more. Of the others, equal
-    rows are grouped (with partial aggregation) and numbered, and the smallest row of each key is
-    found, so exactly one row is first. A NULL in a key is no repeat.
+    One aggregate over the batch's rows and the stored keys gives each key its number of rows,
+    its smallest row and whether it is stored. That row comes out of the aggregate; only rows of
+    keys that repeat are looked up again, equal rows grouped and dealt out, so exactly one row
+    is first. A NULL in a key is no repeat, and stored nowhere.
     """
-    cols = df.columns
+    cols, names = df.columns, [f"_k{i}" for i in range(len(key))]
     every = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
-    out = df.join(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), key, "left") \
-        .withColumn("_n", F.coalesce("_n", F.lit(1)))
-    once = out.filter(F.col("_n") == 1).withColumn(flag, F.lit(True)).select(*cols, flag)
-    groups = out.filter(F.col("_n") > 1).groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    least = groups.groupBy(*key).agg(F.min(every).alias("_least"))
-    copies = groups.join(least, key).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
-    repeated = copies.withColumn(flag, (F.col("_i") == 1) & every.eqNullSafe(F.col("_least"))).select(*cols, flag)
-    return once.unionByName(repeated)
+    keyed = df.select(*cols, *[compared(df, c).alias(n) for c, n in zip(key, names)])
+    whole = F.lit(True)
+    for n in names:
+        whole = whole & F.col(n).isNotNull()
+    own = keyed.filter(whole).select(*names, every.alias("_row"), F.lit(False).alias(stored))
+    if existing is not None:
+        old = existing.select(*[compared(existing, c).alias(n) for c, n in zip(key, names)]) \
+            .select("*", F.lit(None).cast(own.schema["_row"].dataType).alias("_row"), F.lit(True).alias(stored))
+        own = own.unionByName(old)
+    keys = own.groupBy(*names).agg(F.count("_row").alias("_n"), F.min("_row").alias("_least"),
+                                   F.max(stored).alias(stored)).filter(F.col("_n") > 0)
+    first = keys.select(*[F.col("_least")[c].alias(c) for c in cols], F.lit(True).alias(flag), F.col(stored))
+    repeated = keys.filter(F.col("_n") > 1).select(*[F.col(n).alias(f"_r{i}") for i, n in enumerate(names)], "_least", stored)
+    again = keyed.filter(whole).join(repeated, [F.col(n) == F.col(f"_r{i}") for i, n in enumerate(names)]) \
+        .groupBy(*cols, "_least", stored).agg(F.count(F.lit(1)).alias("_m")) \
+        .withColumn("_m", F.col("_m") - every.eqNullSafe(F.col("_least")).cast("int")).filter(F.col("_m") > 0)
+    copies = again.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    out = first.unionByName(copies.select(*cols, F.lit(False).alias(flag), stored))
+    if any(keyed.schema[n].nullable for n in names):
+        out = out.unionByName(keyed.filter(~whole).select(*cols, F.lit(True).alias(flag), F.lit(False).alias(stored)))
+    return out
+
+
+def first_of_key(df: DataFrame, key: list[str], order: list[str], flag: str = "_first") -> DataFrame:
+    """Mark one row of each key, the first by ``order`` (``keyed_rows`` without stored keys)."""
+    return keyed_rows(df, key, order, flag=flag).drop("_stored")
+
+
+Parent = tuple[DataFrame, list[str], list[str], str]  # referenced table, batch columns, its columns, flag
 
 
 def validate(batch: DataFrame, rules: list[tuple[Column, str]], key: list[str] | None = None,
-             order: list[str] | None = None, existing: DataFrame | None = None) -> DataFrame:
+             order: list[str] | None = None, existing: DataFrame | None = None,
+             parents: list[Parent] | tuple = ()) -> DataFrame:
     df = batch
     extra: list[tuple[Column, str]] = []
     if key:
+        df = keyed_rows(df, key, order or key, existing)
         if existing is not None:
-            df = exists_in(df, existing, key, key, "_stored")
             extra.append((F.col("_stored"), "ALREADY_EXISTS"))
-        df = first_of_key(df, key, order or key)
         extra.append((~F.col("_first"), "DUPLICATE_KEY"))
+    for parent in parents:
+        df = exists_in(df, *parent)
     all_rules = list(rules) + extra
     reasons = F.array_join(F.array_compact(F.array(*[F.when(c, F.lit(code)) for c, code in all_rules])), ",")
     df = df.withColumn("reasons", reasons)
     df = df.withColumn("status", F.when(F.col("reasons") == "", "ACCEPTED").otherwise("REJECTED"))
-    return df.drop(*[c for c in ("_stored", "_first") if c in df.columns])
+    return df.drop("_stored", "_first", *[p[3] for p in parents])
 
 
 # ---------------------------------------------------------------------------
@@ -92,7 +125,6 @@ def validate_buildings(batch: DataFrame, existing: DataFrame | None = None) -> D
 
 
 def validate_units(batch: DataFrame, building: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    df = exists_in(batch, building, ["building_id"], ["building_id"], "_b")
     rules = [
         (~F.col("_b"), "UNKNOWN_BUILDING"),
         (_blank_or_longer("floor", 10), "FLOOR_LENGTH"),
@@ -100,12 +132,11 @@ def validate_units(batch: DataFrame, building: DataFrame, existing: DataFrame |
         (F.col("area").isNull() | (F.col("area") <= 0), "INVALID_AREA"),
         (F.col("coef").isNull() | (F.col("coef") <= 0) | (F.col("coef") > 100), "INVALID_COEF"),
     ]
-    return validate(df, rules, ["building_id", "floor", "door"], ["building_id", "floor", "door", "unit_id"],
-                    existing).drop("_b")
+    return validate(batch, rules, ["building_id", "floor", "door"], ["building_id", "floor", "door", "unit_id"],
+                    existing, [(building, ["building_id"], ["building_id"], "_b")])
 
 
 def validate_people(batch: DataFrame, unit: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    df = exists_in(batch, unit, ["unit_id"], ["unit_id"], "_u")
     rules = [
         ((F.coalesce(F.col("dni"), F.lit("")) == "") | F.col("dni").rlike("[^0-9]") | (X.tsql_len("dni") > 10),
          "INVALID_DNI"),
@@ -116,30 +147,26 @@ def validate_people(batch: DataFrame, unit: DataFrame, existing: DataFrame | Non
         (_present("account") & (F.col("account").rlike("[^0-9]") | (X.tsql_len("account") != 22)), "INVALID_ACCOUNT"),
         (F.col("unit_id").isNotNull() & ~F.col("_u"), "UNKNOWN_UNIT"),
     ]
-    return validate(df, rules, ["dni"], ["dni", "account"], existing).drop("_u")
+    return validate(batch, rules, ["dni"], ["dni", "account"], existing, [(unit, ["unit_id"], ["unit_id"], "_u")])
 
 
 def validate_occupancy(batch: DataFrame, unit: DataFrame, person: DataFrame) -> DataFrame:
-    df = exists_in(batch, unit, ["unit_id"], ["unit_id"], "_u")
-    df = exists_in(df, person, ["dni"], ["dni"], "_p")
     rules = [
         (~F.col("_u"), "UNKNOWN_UNIT"),
         (~F.col("_p"), "UNKNOWN_PERSON"),
         (~F.coalesce(F.col("role").isin(ROLE_OWNER, ROLE_TENANT), F.lit(False)), "INVALID_ROLE"),
     ]
-    return validate(df, rules).drop("_u", "_p")
+    return validate(batch, rules, parents=[(unit, ["unit_id"], ["unit_id"], "_u"), (person, ["dni"], ["dni"], "_p")])
 
 
 def validate_sized(batch: DataFrame, unit: DataFrame) -> DataFrame:
     """Storage rooms and parking spaces: unit exists, size > 0."""
-    df = exists_in(batch, unit, ["unit_id"], ["unit_id"], "_u")
     rules = [(~F.col("_u"), "UNKNOWN_UNIT"), (F.col("size").isNull() | (F.col("size") <= 0), "INVALID_SIZE")]
-    return validate(df, rules).drop("_u")
+    return validate(batch, rules, parents=[(unit, ["unit_id"], ["unit_id"], "_u")])
 
 
 def validate_charges(batch: DataFrame, building: DataFrame, as_of) -> DataFrame:
     d = F.lit(_date(as_of))
-    df = exists_in(batch, building, ["building_id"], ["building_id"], "_b")
     rules = [
         (~F.col("_b"), "UNKNOWN_BUILDING"),
         (F.col("gen_date").isNull() | (F.col("gen_date") > d), "INVALID_GEN_DATE"),
@@ -147,7 +174,7 @@ def validate_charges(batch: DataFrame, building: DataFrame, as_of) -> DataFrame:
         (F.col("due2").isNotNull() & F.col("due1").isNotNull() & (F.col("due2") <= F.col("due1")), "INVALID_DUE2"),
         (F.col("total").isNotNull() & (F.col("total") < 0), "NEGATIVE_TOTAL"),
     ]
-    return validate(df, rules).drop("_b")
+    return validate(batch, rules, parents=[(building, ["building_id"], ["building_id"], "_b")])
 
 
 AMOUNT_COLUMNS = ["prior_balance", "received", "interest", "ordinary", "extraordinary", "total", "debt"]
@@ -155,8 +182,6 @@ AMOUNT_COLUMNS = ["prior_balance", "received", "interest", "ordinary", "extraord
 
 def validate_apportionments(batch: DataFrame, charge: DataFrame, unit: DataFrame,
                             existing: DataFrame | None = None) -> DataFrame:
-    df = exists_in(batch, charge, ["charge_no"], ["charge_no"], "_c")
-    df = exists_in(df, unit, ["unit_id"], ["unit_id"], "_u")
     neg = None
     for c in AMOUNT_COLUMNS:
         cond = F.coalesce(F.col(c) < 0, F.lit(False))
@@ -166,13 +191,12 @@ def validate_apportionments(batch: DataFrame, charge: DataFrame, unit: DataFrame
         (F.col("pct").isNull() | (F.col("pct") <= 0) | (F.col("pct") > 100), "INVALID_PCT"),
         (neg, "NEGATIVE_AMOUNT"),
     ]
-    return validate(df, rules, ["charge_no", "unit_id"], ["charge_no", "unit_id"], existing).drop("_c", "_u")
+    return validate(batch, rules, ["charge_no", "unit_id"], ["charge_no", "unit_id"], existing,
+                    [(charge, ["charge_no"], ["charge_no"], "_c"), (unit, ["unit_id"], ["unit_id"], "_u")])
 
 
 def validate_payments(batch: DataFrame, unit: DataFrame, charge: DataFrame, as_of) -> DataFrame:
     d = F.lit(_date(as_of))
-    df = exists_in(batch, unit, ["unit_id"], ["unit_id"], "_u")
-    df = exists_in(df, charge, ["charge_no"], ["charge_no"], "_c")
     acc = F.col("account")
     rules = [
         (~F.col("_u"), "UNKNOWN_UNIT"), (~F.col("_c"), "UNKNOWN_CHARGE"),
@@ -180,14 +204,13 @@ def validate_payments(batch: DataFrame, unit: DataFrame, charge: DataFrame, as_o
         (F.col("amount").isNull() | (F.col("amount") <= 0), "INVALID_AMOUNT"),
         (F.coalesce((acc == "") | (X.tsql_len(acc) != 22) | acc.rlike("[^0-9]"), F.lit(False)), "INVALID_ACCOUNT"),
     ]
-    return validate(df, rules).drop("_u", "_c")
+    return validate(batch, rules, parents=[(unit, ["unit_id"], ["unit_id"], "_u"),
+                                           (charge, ["charge_no"], ["charge_no"], "_c")])
 
 
 def validate_expenses(batch: DataFrame, charge: DataFrame, building: DataFrame, as_of) -> DataFrame:
     d = F.lit(_date(as_of))
-    df = exists_in(batch, charge, ["charge_no"], ["charge_no"], "_c")
-    df = exists_in(df, building, ["building_id"], ["building_id"], "_b")
-    df = df.withColumn("issue_date", F.coalesce(F.col("issue_date"), d))  # default: today
+    df = batch.withColumn("issue_date", F.coalesce(F.col("issue_date"), d))  # default: today
     rules = [
         (~F.col("_c"), "UNKNOWN_CHARGE"), (~F.col("_b"), "UNKNOWN_BUILDING"),
         (~F.coalesce(F.col("kind").isin(KIND_ORDINARY, KIND_EXTRAORDINARY), F.lit(False)), "INVALID_KIND"),
@@ -195,7 +218,8 @@ def validate_expenses(batch: DataFrame, charge: DataFrame, building: DataFrame,
         (F.col("issue_date") > d, "INVALID_DATE"),
         (F.col("amount").isNull() | (F.col("amount") < 0), "INVALID_AMOUNT"),
     ]
-    return validate(df, rules).drop("_c", "_b")
+    return validate(df, rules, parents=[(charge, ["charge_no"], ["charge_no"], "_c"),
+                                        (building, ["building_id"], ["building_id"], "_b")])
 
 
 def _parent_kind(batch: DataFrame, expense: DataFrame) -> DataFrame:

@@ -146,6 +146,66 @@ def q_parking(L):
     return IM.storage_rows(_staged_units(L), L.building, L.unit, "parking")
 
 
+# ---------------------------------------------------------------------------
+# Keys under the database's collation: every row comes a second time in small letters
+def _both_cases(df, *cols):
+    return df.unionByName(df.withColumns({c: F.lower(c) for c in cols}))
+
+
+def _both_cases_sql(select: str, cols: str) -> str:
+    low = ", ".join(f"lower({c}) AS {c}" for c in cols.split(", "))
+    return f"SELECT * FROM ({select}) c1 UNION ALL BY NAME SELECT * EXCLUDE ({cols}), {low} FROM ({select}) c2"
+
+
+_UNIT_RULES = """concat_ws(',', CASE WHEN area IS NULL OR area <= 0 THEN 'INVALID_AREA' END,
+                               CASE WHEN coef IS NULL OR coef <= 0 OR coef > 100 THEN 'INVALID_COEF' END,
+                               CASE WHEN length(floor) > 10 THEN 'FLOOR_LENGTH' END,
+                               CASE WHEN length(door) > 10 THEN 'DOOR_LENGTH' END)"""
+
+
+@query("q_clean_units_any_case", files_sql(f"""
+, cased AS ({_both_cases_sql(STAGED_UNITS, "building_name, door")}),
+found AS (
+  SELECT s.*, b.building_id, uu.unit_id, {_UNIT_RULES} AS r
+  FROM cased s LEFT JOIN (SELECT building_id, name FROM building) b ON lower(trim(b.name)) = lower(trim(s.building_name))
+  LEFT JOIN (SELECT unit_id, building_id AS ub, floor AS uf, door AS ud FROM unit WHERE unit_id % 3 = 0) uu
+    ON uu.ub = b.building_id AND lower(uu.uf) = lower(s.floor) AND lower(uu.ud) = lower(s.door)
+  WHERE trim(coalesce(s.floor, '')) <> '' AND trim(coalesce(s.door, '')) <> '')
+SELECT building_name, building_id, floor, door, area, coef,
+       CASE WHEN unit_id IS NOT NULL THEN 'EXISTING' WHEN r <> '' THEN 'REJECTED'
+            WHEN row_number() OVER (PARTITION BY lower(building_name), lower(floor), lower(door),
+                                    unit_id IS NULL AND r = '' ORDER BY floor, door, area, coef, building_name) > 1
+            THEN 'EXISTING' ELSE 'ACCEPTED' END AS status, r AS reasons
+FROM found"""))
+def q_clean_units_any_case(L):
+    """C-04/J-10: units file in two spellings against every third unit stored: a key in
+    other capitals is the same unit, stored or earlier in the file."""
+    staged = _both_cases(_staged_units(L), "building_name", "door")
+    return IM.clean_units(staged, L.building, L.unit.filter("unit_id % 3 = 0"))
+
+
+@query("q_resolve_units_any_case", files_sql(f"""
+, cased AS ({_both_cases_sql(STAGED_UNITS, "building_name, door")})
+SELECT s.building_name, s.floor, s.door, u.unit_id
+FROM cased s JOIN building b ON lower(trim(b.name)) = lower(trim(s.building_name))
+JOIN unit u ON u.building_id = b.building_id AND lower(u.floor) = lower(s.floor) AND lower(u.door) = lower(s.door)"""))
+def q_resolve_units_any_case(L):
+    """C-04/C-05: file rows in two spellings resolved to the stored unit."""
+    staged = _both_cases(_staged_units(L), "building_name", "door")
+    return IM.resolve_file_units(staged, L.building, L.unit).select("building_name", "floor", "door", "unit_id")
+
+
+@query("q_new_buildings_any_case", files_sql(f"""
+, cased AS ({_both_cases_sql(STAGED_UNITS, "building_name")})
+SELECT min(building_name) AS name, 'Dirección ' || min(building_name) AS address, CAST(1000.00 AS DECIMAL(10,2)) AS area,
+       CAST(2.00 AS DECIMAL(5,2)) AS fee_first, CAST(5.00 AS DECIMAL(5,2)) AS fee_next
+FROM cased WHERE lower(trim(building_name)) NOT IN (SELECT lower(trim(name)) FROM building)
+GROUP BY lower(trim(building_name))"""))
+def q_new_buildings_any_case(L):
+    """I-04: of names that differ in case only one placeholder building is made."""
+    return IM.new_buildings(_both_cases(_staged_units(L), "building_name"), L.building)
+
+
 # ---------------------------------------------------------------------------
 # J-11 / J-12 people, accounts, occupancy
 def _accounts(L):
@@ -222,6 +282,35 @@ def q_import_buildings(L):
     return IM.import_buildings(sheet.unionByName(sheet.filter("name like 'Torre %'")), L.building)
 
 
+_SHEET = """
+SELECT trim("Nombre del consorcio") AS name, trim("Domicilio") AS address,
+       TRY_CAST(trim("Cant unidades funcionales") AS INTEGER) AS unit_count,
+       TRY_CAST(trim("m2 totales") AS DECIMAL(10,2)) AS area
+FROM buildings_sheet"""
+
+
+@query("q_import_buildings_any_case", files_sql(f"""
+, found AS (
+  SELECT s.*, b.building_id, concat_ws(',',
+         CASE WHEN coalesce(s.name, '') = '' OR length(rtrim(s.name)) > 40 THEN 'NAME_LENGTH' END,
+         CASE WHEN coalesce(s.address, '') = '' OR length(rtrim(s.address)) > 100 THEN 'ADDRESS_LENGTH' END,
+         CASE WHEN s.area IS NULL OR s.area <= 0 THEN 'INVALID_AREA' END,
+         CASE WHEN s.unit_count IS NULL OR s.unit_count <= 0 THEN 'INVALID_UNIT_COUNT' END) AS r
+  FROM ({_both_cases_sql(_SHEET, "name, address")}) s
+  LEFT JOIN building b ON lower(trim(b.name)) = lower(s.name) AND lower(trim(b.address)) = lower(s.address))
+SELECT name, address, unit_count, area, CAST(2.00 AS DECIMAL(5,2)) AS fee_first, CAST(5.00 AS DECIMAL(5,2)) AS fee_next,
+       CASE WHEN building_id IS NOT NULL THEN 'EXISTING' WHEN r <> '' THEN 'REJECTED'
+            WHEN row_number() OVER (PARTITION BY lower(name), lower(address), building_id IS NULL AND r = ''
+                                    ORDER BY name, address, unit_count, area) > 1 THEN 'EXISTING'
+            ELSE 'INSERTED' END AS status, r AS reasons
+FROM found"""))
+def q_import_buildings_any_case(L):
+    """J-09: the sheet in two spellings: a building in other capitals is stored already,
+    or was inserted by the row before."""
+    sheet = _both_cases(_sheet_frame(FX.buildings_sheet(L.spark, L.sf)), "name", "address")
+    return IM.import_buildings(sheet, L.building)
+
+
 # ---------------------------------------------------------------------------
 @query("q_surrogate_keys", with_ctes("""
 SELECT *, CAST(row_number() OVER (ORDER BY o_custkey DESC, o_orderkey) AS BIGINT) AS order_no FROM orders"""))

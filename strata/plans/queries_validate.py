@@ -78,6 +78,26 @@ def q_validate_units(L):
         "unit_id", "building_id", "floor", "door", "area", "coef", "status", "reasons")
 
 
+@query("q_validate_units_any_case", _sql("""
+SELECT unit_id, building_id, floor, door, area, coef FROM unit WHERE unit_id % 2 = 0
+UNION ALL SELECT unit_id + 1000000, building_id, floor, lower(door), area, coef FROM unit WHERE unit_id % 4 = 0""", [
+    ("building_id NOT IN (SELECT building_id FROM building)", "UNKNOWN_BUILDING"),
+    (_blank_long("floor", 10), "FLOOR_LENGTH"), (_blank_long("door", 10), "DOOR_LENGTH"),
+    ("area IS NULL OR area <= 0", "INVALID_AREA"), ("coef IS NULL OR coef <= 0 OR coef > 100", "INVALID_COEF"),
+], "unit_id, building_id, floor, door, area, coef", "building_id, lower(floor), lower(door)",
+    "building_id, floor, door, unit_id",
+    "EXISTS (SELECT 1 FROM unit e WHERE e.unit_id % 6 = 0 AND e.building_id = b1.building_id"
+    " AND lower(e.floor) = lower(b1.floor) AND lower(e.door) = lower(b1.door))"))
+def q_validate_units_any_case(L):
+    """J-20 units whose keys differ in case only: repeats of the batch and of the units
+    stored (here every sixth)."""
+    from pyspark.sql import functions as F
+    u = L.unit.select("unit_id", "building_id", "floor", "door", "area", "coef")
+    again = u.filter("unit_id % 4 = 0").withColumns({"unit_id": F.col("unit_id") + 1_000_000, "door": F.lower("door")})
+    return V.validate_units(u.filter("unit_id % 2 = 0").unionByName(again), L.building, L.unit.filter("unit_id % 6 = 0")) \
+        .select("unit_id", "building_id", "floor", "door", "area", "coef", "status", "reasons")
+
+
 _PEOPLE_BATCH = f"""
 SELECT dni,
        CASE WHEN substring(dni, 1, 1) <> '9' AND unit_id % 13 = 0 THEN 'José' ELSE first_name END AS first_name,

@@ -193,8 +193,8 @@ def providers_table(sheet: DataFrame, building: DataFrame) -> DataFrame:
     s = sheet.select(F.trim("_c0").alias("category"), F.trim("_c1").alias("provider"),
                      F.trim("_c2").alias("description"), F.trim("_c3").alias("building_name"))
     s = s.filter(~X.is_blank("category") & ~X.is_blank("building_name"))
-    b = building.select("building_id", F.col("name").alias("building_name"))
-    return s.join(b, "building_name")
+    b = building.select("building_id", X.ci("name").alias("_k"))
+    return s.join(b, X.ci(s["building_name"]) == b["_k"]).drop("_k")
 
 
 class Ledger:

@@ -136,3 +136,54 @@ def test_surrogate_keys_match_global_order(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k")).repartition(5)
     out = surrogate_keys(df, ["k"], "sk", start=100).collect()
     assert sorted((r.k, r.sk) for r in out) == [(k, 101 + k) for k in range(5000)]
+
+
+def test_keys_in_other_case_are_the_same(spark):
+    building = spark.createDataFrame([(1, "Azcuénaga", "Calle 1")], "building_id bigint, name string, address string")
+    unit = spark.createDataFrame([(10, 1, "PB", "A")], "unit_id bigint, building_id bigint, floor string, door string")
+    sheet = spark.createDataFrame([("AZCUÉNAGA ", "calle 1", "3", "10.00"), ("Azcuenaga", "Calle 1", "3", "10.00"),
+                                   ("azcuenaga", "CALLE 1", "3", "10.00")],
+                                  "name string, address string, unit_count_raw string, area_raw string")
+    got = {(r["name"], r.address): r.status for r in IM.import_buildings(sheet, building).collect()}
+    # case does not count, accents do
+    assert got == {("AZCUÉNAGA", "calle 1"): "EXISTING", ("Azcuenaga", "Calle 1"): "INSERTED",
+                   ("azcuenaga", "CALLE 1"): "EXISTING"}
+    rows = [("azcuÉNAGA", "pb", "a"), ("Azcuénaga", "1", "B"), ("AZCUÉNAGA", "1", "b"), ("Otro", "1", "b"), ("OTRO", "1", "B")]
+    staged = spark.createDataFrame([(*r, D("50.00"), D("1.00"), "si", "no", D("3.00"), None) for r in rows],
+                                   "building_name string, floor string, door string, area decimal(6,2), coef decimal(5,2), "
+                                   "has_storage string, has_parking string, storage_area decimal(10,2), parking_area decimal(10,2)")
+    out = {(r.building_name, r.floor, r.door): r.status for r in IM.clean_units(staged, building, unit).collect()}
+    assert out == {rows[0]: "EXISTING", rows[1]: "ACCEPTED", rows[2]: "EXISTING", rows[3]: "EXISTING", rows[4]: "ACCEPTED"}
+    assert [r["name"] for r in IM.new_buildings(staged, building).collect()] == ["OTRO"]
+    assert [(r.unit_id, r.size) for r in IM.storage_rows(staged, building, unit).collect()] == [(10, D("3.00"))]
+    whole = IM.import_units(staged, building, unit.withColumns({"area": F.lit(1).cast("decimal(6,2)"),
+                                                                "coef": F.lit(1).cast("decimal(5,2)")}))
+    assert whole["unit"].count() == 3 and whole["building"].count() == 2 and whole["storage"].count() == 3
+
+
+def test_keyed_rows_against_plain(spark):
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 2, 3, 7]), rng.choice([None, "a", "A", "b ", "B"]), rng.randrange(3), rng.choice([None, "x"]))
+            for _ in range(400)] + [(9, "hot", 0, "x")] * 300
+    batch = spark.createDataFrame(rows, "k long, t string, v int, w string").repartition(7)
+    old = spark.createDataFrame([(1, "A"), (2, "b"), (None, "a"), (3, None), (2, "B")], "k long, t string")
+    got = V.keyed_rows(batch, ["k", "t"], ["v"], old).collect()
+    assert sorted(map(str, ((r.k, r.t, r.v, r.w) for r in got))) == sorted(map(str, rows))
+    key = lambda k, t: None if k is None or t is None else (k, t.strip().lower())
+    stored = {key(1, "a"), key(2, "b")}
+    first = {}
+    for r in got:
+        k = key(r.k, r.t)
+        assert r._stored == (k in stored)
+        if k is None:
+            assert r._first
+        elif r._first:
+            assert k not in first
+            first[k] = r
+    least = {}
+    for r in rows:
+        k = key(r[0], r[1])
+        if k is not None:
+            least.setdefault(k, []).append(r[2])
+    assert set(first) == set(least) and all(first[k].v == min(v) for k, v in least.items())
