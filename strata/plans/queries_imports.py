@@ -425,6 +425,27 @@ def q_read_expenses_json(L):
     return FL.read_expenses_json(L.spark, path)
 
 
+@query("q_read_json_array", with_ctes("""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') AS fecha,
+       '"}], {' || chr(92) || CAST(o_orderkey AS VARCHAR) || '}' AS nota, [CAST(o_custkey AS VARCHAR), '{', '}'] AS lista
+FROM orders"""))
+def q_read_json_array(L):
+    """A-05: one JSON array a year of all orders, each larger than a task at scale, read in
+    byte ranges; texts hold brackets, quotes and backslashes."""
+    from pyspark.sql import types as T
+    from ..sources.json_array import read_json_array
+    o = L.spark.read.parquet(f"{L.sf}/orders.parquet").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d"))
+    key = F.col("o_orderkey").cast("string")
+    rows = o.select(F.year("d").alias("part"), F.struct(
+        key.alias("id"), F.date_format("d", "dd/MM/yyyy").alias("fecha"),
+        F.concat(F.lit('"}], {\\'), key, F.lit("}")).alias("nota"),
+        F.array(F.col("o_custkey").cast("string"), F.lit("{"), F.lit("}")).alias("lista")).alias("o"))
+    path = FL.write_json_arrays(rows, "o", "part", shared_dir(L.spark, "files", "json-arrays"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "fecha", "nota")]
+                          + [T.StructField("lista", T.ArrayType(T.StringType()))])
+    return read_json_array(L.spark, path, schema)
+
+
 @query("q_load_expenses_file", with_ctes("""
 WITH m AS (SELECT building_id, 2024 AS year, month, CAST(sum(amount) AS DECIMAL(18,2)) AS total
            FROM resolved GROUP BY building_id, month)

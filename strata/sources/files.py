@@ -120,6 +120,24 @@ def write_expenses_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_json_arrays(df: DataFrame, obj: str, part: str, path: str) -> str:
+    """One JSON array file for each value of ``part``, one object a line: ``<path>/part=<value>/*.txt``.
+
+    A task writes an array of any size row by row; the first object (by text) has no comma before it.
+    """
+    rows = df.select(F.col(part).alias("part"), F.to_json(obj).alias("value"))
+    ends = rows.groupBy("part").agg(F.min("value").alias("first"))
+    brackets = ends.select("part", F.explode(F.array(F.lit("["), F.lit("]"))).alias("value"))
+    rows = rows.join(ends, "part").groupBy("part", "value", "first").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))) \
+        .select("part", F.when((F.col("i") == 1) & (F.col("value") == F.col("first")), F.col("value"))
+                .otherwise(F.concat(F.lit(","), "value")).alias("value"))
+    place = F.when(F.col("value") == "[", 0).when(F.col("value") == "]", 3).when(F.startswith("value", F.lit("{")), 1).otherwise(2)
+    (rows.unionByName(brackets).withColumn("place", place).repartition("part").sortWithinPartitions("part", "place")
+     .select("part", "value").write.mode("overwrite").partitionBy("part").text(path))
+    return path
+
+
 def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, attributes: tuple[str, ...] = ()) -> str:
     """A-10 whole-file sink with Spark's XML data source: one ``root_tag`` document per
     output file, one ``row_tag`` element per row; ``attributes`` become XML attributes
