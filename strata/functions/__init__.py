@@ -62,10 +62,22 @@ def int_div(num, den) -> Column:
 
 
 def round_div_half_up(num, den) -> Column:
-    """round(num / den) half-up for non-negative integers, in exact integer arithmetic."""
+    """round(num / den) half away from zero, for whole numbers of up to 38 digits and ``den`` > 0: DECIMAL(38,0).
+
+    Quotient and remainder are taken apart, so nothing passes through 64 bits and nothing is doubled; a quotient of
+    more than 32 digits raises.
+    """
     n = col_(num).cast("decimal(38,0)")
     d = col_(den).cast("decimal(38,0)")
-    return int_div(n * 2 + d, d * 2)
+    rest = n % d  # has the sign of num
+    whole = ((n - rest) / d).cast("decimal(38,0)")
+    up = F.when(F.abs(rest) >= d - F.abs(rest), F.signum(n).cast("decimal(38,0)")).otherwise(dec(0))
+    return (whole + up).cast("decimal(38,0)")
+
+
+def wide_cents(c) -> Column:
+    """Money value as whole cents of up to 36 digits, exact for DECIMAL(*,2) input."""
+    return (col_(c).cast("decimal(38,2)") * dec(100)).cast("decimal(38,0)")
 
 
 # ---------------------------------------------------------------------------

@@ -266,7 +266,7 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chaine
     same unit *before* this step; interest = rate x balance when positive.
 
     ``chained=True`` instead folds the linear recurrence d_t = c_t + (1+rate) d_{t-1}
-    per unit (each charge sees the already carried debt of its predecessor).
+    per unit (each charge sees the already carried debt of its predecessor), in one pass.
 
     ``stored_charge`` / ``stored_appt``: the ledger as it is. The previous charge of a
     building's first new charge is a stored one, and its stored debt is carried. Only
@@ -284,9 +284,9 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chaine
         a = a.join(old, ["prev_charge_no", "unit_id"], "left")
     else:
         a = a.withColumn("_stored", F.lit(None).cast("decimal(12,2)"))
-    w = Window.partitionBy("unit_id").orderBy("charge_no")
-    a = a.withColumn("_lag_no", F.lag("charge_no").over(w)).withColumn("_lag_debt", F.lag("debt").over(w))
     if not chained:
+        w = Window.partitionBy("unit_id").orderBy("charge_no")
+        a = a.withColumn("_lag_no", F.lag("charge_no").over(w)).withColumn("_lag_debt", F.lag("debt").over(w))
         bal = F.when(F.col("_lag_no") == F.col("prev_charge_no"), F.col("_lag_debt")).otherwise(F.col("_stored"))
         a = a.withColumn("prior_balance", F.coalesce(bal, zero).cast("decimal(12,2)"))
     else:
@@ -301,28 +301,29 @@ def carry_forward(appt: DataFrame, charge: DataFrame, rate=FLAT_INTEREST, chaine
 
 
 def _chained_balance(a: DataFrame, rate) -> DataFrame:
-    """Chained recurrence as an ordered fold over the unit's earlier charges.
+    """Chained recurrence as one ordered fold over each unit's rows.
 
-    A unit's rows are bounded by its building's billing months, so the per-unit
-    array is small; the fold runs inside the JVM (``aggregate`` higher-order function).
-    A row whose previous charge is stored starts from the stored debt.
+    A unit has one row a billing month, so its rows are gathered once, sorted, folded inside the JVM (``aggregate``
+    carries the last charge, its debt and the balances so far) and laid out again with their balances. A row whose
+    previous charge is not the unit's row before starts from the stored debt.
     """
-    w = Window.partitionBy("unit_id").orderBy("charge_no").rowsBetween(Window.unboundedPreceding, -1)
-    hist = F.collect_list(F.struct("charge_no", "prev_charge_no", "debt", "_stored")).over(w)
-    a = a.withColumn("_hist", hist)
-    r = F.lit(Decimal(str(rate)))
-    zero = X.dec(0, 12, 2)
+    zero, r = X.dec(0, 12, 2), F.lit(Decimal(str(rate)))
+    row = F.struct("charge_no", *[c for c in a.columns if c not in ("charge_no", "unit_id")])
+    units = a.groupBy("unit_id").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
 
     def step(acc, x):
-        # acc: struct(no, bal): no = last charge folded, bal = its carried debt
-        carried = F.when(x["prev_charge_no"] == acc["no"], acc["bal"]).otherwise(F.coalesce(x["_stored"], zero))
-        inter = F.when(carried > 0, (carried * r).cast("decimal(12,2)")).otherwise(zero)
-        return F.struct(x["charge_no"].alias("no"), (x["debt"] + carried + inter).cast("decimal(12,2)").alias("bal"))
-
-    init = F.struct(F.lit(None).cast("bigint").alias("no"), zero.alias("bal"))
-    folded = F.aggregate(F.col("_hist"), init, step)
-    bal = F.when(folded["no"] == F.col("prev_charge_no"), folded["bal"]).otherwise(F.col("_stored"))
-    return a.withColumn("prior_balance", F.coalesce(bal, zero).cast("decimal(12,2)")).drop("_hist")
+        carried = F.coalesce(F.when(x["prev_charge_no"] == acc["no"], acc["debt"]).otherwise(x["_stored"]), zero)
+        interest = F.when(carried > 0, (carried * r).cast("decimal(12,2)")).otherwise(zero)
+        own = F.coalesce(x["ordinary"], zero) + F.coalesce(x["extraordinary"], zero)
+        return F.struct(x["charge_no"].alias("no"), (own + carried + interest).cast("decimal(12,2)").alias("debt"),
+                        F.array_append(acc["balances"], carried.cast("decimal(12,2)")).alias("balances"))
+
+    start = F.struct(F.lit(None).cast(a.schema["charge_no"].dataType).alias("no"), zero.alias("debt"),
+                     F.array().cast("array<decimal(12,2)>").alias("balances"))
+    balances = F.aggregate("_rows", start, step)["balances"]
+    both = units.select("unit_id", F.explode(F.arrays_zip(F.col("_rows").alias("row"), balances.alias("balance"))).alias("_x"))
+    return both.select("unit_id", "_x.row.*", F.col("_x.balance").alias("_balance")) \
+        .withColumn("prior_balance", F.col("_balance")).select(*a.columns)
 
 
 # ---------------------------------------------------------------------------

@@ -50,7 +50,7 @@ def interest_summary(updated: DataFrame) -> DataFrame:
     r = updated.filter(F.col("interest") > 0)
     g = r.agg(F.count(F.lit(1)).alias("n"), F.sum("interest").alias("s"),
               F.min("interest").alias("mn"), F.max("interest").alias("mx"))
-    avg = X.from_cents(X.round_div_half_up(X.cents("s"), F.col("n")), 12)
+    avg = X.from_cents(X.round_div_half_up(X.wide_cents("s"), F.col("n")), 12)
     return g.select(F.lit(INTEREST_INFO).alias("info"), F.col("n").cast("bigint").alias("total_rows"),
                     F.col("s").cast("decimal(18,2)").alias("total_interest"),
                     F.when(F.col("n") > 0, avg).alias("avg_interest"),

@@ -282,6 +282,8 @@ def with_ctes(select: str) -> str:
     ctes = [f"{name} AS MATERIALIZED ({LEDGER_CTES[name].strip()})" for name in _needed(sel)]
     if not ctes:
         return sel
+    if sel[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {',\n'.join(ctes)},\n{sel[15:]}"
     if sel[:5].upper() == "WITH ":
         return f"WITH {',\n'.join(ctes)},\n{sel[5:]}"
     return f"WITH {',\n'.join(ctes)}\n{sel}"

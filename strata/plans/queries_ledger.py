@@ -63,6 +63,28 @@ def q_carry_forward(L):
     return L.apportion_carried
 
 
+@query("q_carry_forward_chained", with_ctes("""
+WITH RECURSIVE placed AS (
+  SELECT a.*, pc.prev_charge_no, row_number() OVER (PARTITION BY a.unit_id ORDER BY a.charge_no) AS i
+  FROM apportion_final a JOIN prev_charge pc ON pc.charge_no = a.charge_no),
+chain AS (
+  SELECT charge_no, unit_id, i, CAST(0 AS DECIMAL(12,2)) AS bal, CAST(0 AS DECIMAL(12,2)) AS int_,
+         CAST(coalesce(ordinary, 0) + coalesce(extraordinary, 0) AS DECIMAL(12,2)) AS debt
+  FROM placed WHERE i = 1
+  UNION ALL
+  SELECT charge_no, unit_id, i, bal, int_, CAST(own + bal + int_ AS DECIMAL(12,2))
+  FROM (SELECT *, CASE WHEN bal > 0 THEN CAST(bal * 0.05 AS DECIMAL(12,2)) ELSE CAST(0 AS DECIMAL(12,2)) END AS int_
+        FROM (SELECT p.charge_no, p.unit_id, p.i, coalesce(p.ordinary, 0) + coalesce(p.extraordinary, 0) AS own,
+                     CASE WHEN p.prev_charge_no = c.charge_no THEN c.debt ELSE CAST(0 AS DECIMAL(12,2)) END AS bal
+              FROM chain c JOIN placed p ON p.unit_id = c.unit_id AND p.i = c.i + 1) b) t)
+SELECT f.charge_no, f.unit_id, f.pct, c.bal AS prior_balance, f.received, c.int_ AS interest, f.ordinary,
+       f.extraordinary, c.debt AS total, c.debt AS debt
+FROM chain c JOIN apportion_final f ON f.charge_no = c.charge_no AND f.unit_id = c.unit_id"""))
+def q_carry_forward_chained(L):
+    """C-11/J-15 chained: every charge carries its predecessor's debt with all it carried itself."""
+    return C.carry_forward(L.apportion_final, L.charge, chained=True)
+
+
 IMPORTED_UNTIL = _dt.date(1996, 12, 31)  # months up to this date are in the ledger, the rest is imported
 
 

@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixed as FX
+from .. import functions as X
 from . import reports as R
 from .catalog import query
 from .oracle import SCALE, cents, dmy, es_ar, fixed_money, month_title, us_week, with_ctes, xml_el, xml_escape
 
 # ---------------------------------------------------------------------------
-_SPLIT = f"""
+def _split(amount_cents: str = cents("p.amount"), where: str = "TRUE") -> str:
+    return f"""
 SELECT pay_date, building_id, amt,
        CASE WHEN tot = 0 THEN CAST({SCALE} AS HUGEINT) ELSE (oc * {SCALE}) // tot END AS r_o,
        CASE WHEN tot = 0 THEN CAST(0 AS HUGEINT) ELSE (ec * {SCALE}) // tot END AS r_e
-FROM (SELECT p.pay_date, c.building_id, {cents('p.amount')} AS amt,
+FROM (SELECT p.pay_date, c.building_id, {amount_cents} AS amt,
              {cents('coalesce(a.ordinary, 0)')} AS oc, {cents('coalesce(a.extraordinary, 0)')} AS ec,
              {cents('coalesce(a.ordinary, 0)')} + {cents('coalesce(a.extraordinary, 0)')} AS tot
       FROM payment p JOIN apportionment a ON a.charge_no = p.charge_no AND a.unit_id = p.unit_id
-      JOIN charge c ON c.charge_no = a.charge_no) s
+      JOIN charge c ON c.charge_no = a.charge_no WHERE {where}) s
 """
 
 
-@query("q_weekly_cash_flow", with_ctes(f"""
+_SPLIT = _split()
+
+
+def _weekly(split: str) -> str:
+    return with_ctes(f"""
 SELECT year, week, {fixed_money('o')} AS ordinary, {fixed_money('e')} AS extraordinary,
        {fixed_money('t')} AS week_total, {fixed_money('run')} AS running_total,
        {fixed_money('run', 'n')} AS running_avg
@@ -29,13 +37,39 @@ FROM (SELECT year, week, o, e, t,
              count(*) OVER (ORDER BY year, week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
       FROM (SELECT CAST(year(pay_date) AS INTEGER) AS year, {us_week('pay_date')} AS week,
                    sum(amt * r_o) AS o, sum(amt * r_e) AS e, sum(amt * r_o + amt * r_e) AS t
-            FROM ({_SPLIT}) x GROUP BY ALL) w) r
-"""))
+            FROM ({split}) x GROUP BY ALL) w) r
+""")
+
+
+@query("q_weekly_cash_flow", _weekly(_SPLIT))
 def q_weekly_cash_flow(L):
     """J-01 over every payment of every building (no optional filter given)."""
     return R.weekly_cash_flow(L.payment, L.apportionment, L.charge)
 
 
+FROM_DAY, TO_DAY = "1995-03-05", "1996-08-20"  # report parameters of the closed date range
+
+
+@query("q_weekly_cash_flow_range", _weekly(_split(where=f"p.pay_date >= DATE '{FROM_DAY}' AND p.pay_date <= DATE '{TO_DAY}'")))
+def q_weekly_cash_flow_range(L):
+    """J-01/B-03 with the closed date range given: both days count, running figures start anew."""
+    return R.weekly_cash_flow(L.payment, L.apportionment, L.charge, FROM_DAY, TO_DAY)
+
+
+WIDE = 10 ** 8  # payments times this add up to more cents than 64 bits hold
+_WIDE_CENTS = f"(CAST(p.amount * 100 AS HUGEINT) * {WIDE})"
+
+
+def _wide_payments(L):
+    return L.payment.withColumn("amount", (F.col("amount").cast("decimal(28,2)") * X.dec(WIDE)).cast("decimal(30,2)"))
+
+
+@query("q_weekly_cash_flow_wide", _weekly(_split(_WIDE_CENTS)))
+def q_weekly_cash_flow_wide(L):
+    """J-01/H-38 on payments of 10^8 times the amount: sums and means beyond 64 bits, exact."""
+    return R.weekly_cash_flow(_wide_payments(L), L.apportionment, L.charge)
+
+
 # ---------------------------------------------------------------------------
 PIVOT_YEAR = 1996  # report parameter of the registered monthly pivot (the pivot is yearly)
 PIVOT_UNIT = 10    # report parameter of the single-unit variant (optional-parameter filter)
@@ -70,15 +104,25 @@ def q_monthly_pivot_unit(L):
 
 
 # ---------------------------------------------------------------------------
-_INCOME = f"""
+def _income(split: str) -> str:
+    return f"""
 SELECT building_id, year, month, {month_title('month')} AS month_name,
        {fixed_money('o')} AS ordinary, {fixed_money('e')} AS extraordinary, {fixed_money('t')} AS total
 FROM (SELECT building_id, CAST(year(pay_date) AS INTEGER) AS year, CAST(month(pay_date) AS INTEGER) AS month,
              sum(amt * r_o) AS o, sum(amt * r_e) AS e, sum(amt * r_o + amt * r_e) AS t
-      FROM ({_SPLIT}) x GROUP BY ALL) g
+      FROM ({split}) x GROUP BY ALL) g
 """
 
 
+_INCOME = _income(_SPLIT)
+
+
+@query("q_income_by_source_wide", with_ctes(_income(_split(_WIDE_CENTS))))
+def q_income_by_source_wide(L):
+    """J-03/H-38 on payments of 10^8 times the amount."""
+    return R.income_by_source(_wide_payments(L), L.apportionment, L.charge)
+
+
 @query("q_income_by_source", with_ctes(_INCOME))
 def q_income_by_source(L):
     """J-03 per building, year and month."""

@@ -43,13 +43,13 @@ def _split_parts(j: DataFrame) -> DataFrame:
     reference's decimal division; a zero total puts the whole payment in ordinary.
     """
     zero = X.dec(0, 12, 2)
-    o = X.cents(F.coalesce("ordinary", zero)).cast("decimal(38,0)")
-    e = X.cents(F.coalesce("extraordinary", zero)).cast("decimal(38,0)")
+    o = X.wide_cents(F.coalesce("ordinary", zero))
+    e = X.wide_cents(F.coalesce("extraordinary", zero))
     t = o + e
     s = X.dec(SCALE)
     r_o = F.when(t == 0, s).otherwise(X.int_div(o * s, t).cast("decimal(38,0)"))
     r_e = F.when(t == 0, X.dec(0)).otherwise(X.int_div(e * s, t).cast("decimal(38,0)"))
-    amt = X.cents("amount").cast("decimal(38,0)")
+    amt = X.wide_cents("amount")
     return j.withColumn("_ord", amt * r_o).withColumn("_ext", amt * r_e)
 
 
