@@ -160,16 +160,14 @@ SELECT {CHARGE_NO} * 10 + {_cat_index('category')} AS expense_id, {CHARGE_NO} AS
 FROM resolved""",
     "area_tot": "SELECT building_id, CAST(sum(area) AS DECIMAL(18,2)) AS building_area FROM unit GROUP BY building_id",
     "apportion_base": f"""
-SELECT c.charge_no, u.unit_id,
-       {from_cents(rdiv(f"{cents('u.area')} * 10000", cents('t.building_area')), 10)} AS pct,
-       CAST(0 AS DECIMAL(12,2)) AS prior_balance, CAST(0 AS DECIMAL(12,2)) AS received,
-       CAST(0 AS DECIMAL(12,2)) AS interest,
-       {from_cents(rdiv(f"{cents('c.total')} * {cents('u.area')}", cents('t.building_area')))} AS ordinary,
-       CAST(0 AS DECIMAL(12,2)) AS extraordinary,
-       {from_cents(rdiv(f"{cents('c.total')} * {cents('u.area')}", cents('t.building_area')))} AS total,
-       {from_cents(rdiv(f"{cents('c.total')} * {cents('u.area')}", cents('t.building_area')))} AS debt
-FROM charge c JOIN unit u ON u.building_id = c.building_id JOIN area_tot t ON t.building_id = u.building_id
-WHERE t.building_area > 0""",
+SELECT charge_no, unit_id, pct, CAST(0 AS DECIMAL(12,2)) AS prior_balance, CAST(0 AS DECIMAL(12,2)) AS received,
+       CAST(0 AS DECIMAL(12,2)) AS interest, share AS ordinary, CAST(0 AS DECIMAL(12,2)) AS extraordinary,
+       share AS total, share AS debt
+FROM (SELECT c.charge_no, u.unit_id,
+             {from_cents(rdiv(f"{cents('u.area')} * 10000", cents('t.building_area')), 10)} AS pct,
+             {from_cents(rdiv(f"{cents('c.total')} * {cents('u.area')}", cents('t.building_area')))} AS share
+      FROM charge c JOIN unit u ON u.building_id = c.building_id JOIN area_tot t ON t.building_id = u.building_id
+      WHERE t.building_area > 0) s""",
     "exp_tot": """
 SELECT charge_no,
        CAST(sum(CASE WHEN kind = 'Ordinario' THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS sum_ordinary,
@@ -177,12 +175,12 @@ SELECT charge_no,
        CAST(sum(amount) AS DECIMAL(18,2)) AS sum_total
 FROM expense GROUP BY charge_no""",
     "apportion_final": f"""
-SELECT b.charge_no, b.unit_id, b.pct, b.prior_balance, b.received, b.interest,
-       CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_ordinary')} END AS ordinary,
-       CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_extraordinary')} END AS extraordinary,
-       CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_total')} END AS total,
-       CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_total')} END AS debt
-FROM apportion_base b JOIN exp_tot t ON t.charge_no = b.charge_no""",
+SELECT charge_no, unit_id, pct, prior_balance, received, interest, o AS ordinary, e AS extraordinary, t AS total, t AS debt
+FROM (SELECT b.charge_no, b.unit_id, b.pct, b.prior_balance, b.received, b.interest,
+             CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_ordinary')} END AS o,
+             CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_extraordinary')} END AS e,
+             CASE WHEN {_ZERO_ROW} THEN CAST(0 AS DECIMAL(12,2)) ELSE {_share('t.sum_total')} END AS t
+      FROM apportion_base b JOIN exp_tot t ON t.charge_no = b.charge_no) s""",
     "prev_charge": """
 SELECT c.charge_no, (SELECT max(c2.charge_no) FROM charge c2 WHERE c2.building_id = c.building_id
                      AND c2.charge_no < c.charge_no) AS prev_charge_no
@@ -208,9 +206,11 @@ FROM orders""",
     "acct_unit": """
 SELECT trim(account) AS account, min(unit_id) AS unit_id FROM person
 WHERE account IS NOT NULL AND unit_id IS NOT NULL GROUP BY trim(account)""",
+    # the apportionment's keys alone: a charge with expenses times the units of a building with an area
     "appt_month": """
-SELECT a.unit_id, date_trunc('month', c.gen_date) AS m, min(a.charge_no) AS charge_no
-FROM apportion_carried a JOIN charge c ON c.charge_no = a.charge_no GROUP BY ALL""",
+SELECT u.unit_id, date_trunc('month', c.gen_date) AS m, min(c.charge_no) AS charge_no
+FROM charge c JOIN unit u ON u.building_id = c.building_id JOIN area_tot t ON t.building_id = u.building_id
+WHERE t.building_area > 0 AND c.charge_no IN (SELECT charge_no FROM expense) GROUP BY ALL""",
     "bank_matched": """
 SELECT b.source_id, b.pay_date, b.amount, b.account, au.unit_id, am.charge_no
 FROM bank b LEFT JOIN acct_unit au ON au.account = b.account
