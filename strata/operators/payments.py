@@ -9,15 +9,16 @@ Scale notes
   charge per unit is one grouped aggregate (partial aggregation on the map side), then
   an equi-join on unit and one comparison. No range join and no per-unit window.
 - Interval ("payment date within [generation, second due or +30 days]", newest wins):
-  each charge interval is expanded to the calendar months it touches (an interval
-  spans at most a few months), the payments are equi-joined on (unit, month) and
-  filtered by the exact range; ``max_by`` per payment keeps the newest. The expansion
-  is bounded by months per interval, never by the number of payments.
+  a unit's intervals (one a billing month) are one array; a payment looks its date up
+  there. One equi-join on unit; the payments are neither multiplied nor grouped again.
+- Running allocation: prefix sums of payments and of open debts for each unit, taken
+  in two steps so that a unit with very many payments is split over days and slots,
+  then a join of the two sequences of stretches where they overlap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as X
@@ -91,27 +92,59 @@ def match_interval(payments: DataFrame, appt: DataFrame, charge: DataFrame, key:
                    only_if_null: str | None = None) -> DataFrame:
     """Newest charge of the unit whose [gen, COALESCE(due2, gen+30)] holds the payment date.
 
-    One left join on (unit, month bucket) with the exact range as residual condition,
-    then one aggregate per payment (``max_by``; a payment without candidates keeps its
-    single NULL-extended row), so no join back onto the payments is needed. ``key``
-    tells the payment rows apart: the file's own ids may repeat or be missing.
+    A unit's intervals, bounded by its building's billing months, are gathered into one array; every payment
+    finds the newest that holds its date in it. The payments meet one row a unit (which AQE repeats where a unit
+    is hot), so rows stay what they are, whatever their ids (``key`` is no longer needed to tell them apart).
     ``only_if_null`` names a column: rows where it is set get no interval match.
     """
-    c = with_charge_dates(appt.select("charge_no", "unit_id"), charge).select(
-        F.col("unit_id").alias("_cu"), F.col("charge_no").alias("_cno"), F.col("gen_date").alias("_gen"),
-        F.coalesce("due2", F.date_add("gen_date", FALLBACK_DUE_DAYS)).alias("_end"))
-    months = F.sequence(X.month_start("_gen"), X.month_start(F.greatest("_end", "_gen")), F.expr("interval 1 month"))
-    c = c.select("*", F.explode(months).alias("_cm"))
-    p = payments.withColumn("_m", X.month_start("pay_date"))
-    cond = ((p["unit_id"] == c["_cu"]) & (p["_m"] == c["_cm"])
-            & p["pay_date"].between(c["_gen"], c["_end"]))
+    spans = with_charge_dates(appt.select("charge_no", "unit_id"), charge).groupBy(F.col("unit_id").alias("_cu")).agg(
+        F.collect_list(F.struct(F.col("gen_date").alias("gen"), F.col("charge_no").alias("no"),
+                                F.coalesce("due2", F.date_add("gen_date", FALLBACK_DUE_DAYS)).alias("end"))).alias("_spans"))
+    day = F.col("pay_date")
+    newest = F.array_max(F.filter("_spans", lambda x: day.between(x["gen"], x["end"])))["no"]
     if only_if_null is not None:
-        # rows already matched (e.g. by FIFO) keep their row but get no candidates
-        cond = cond & p[only_if_null].isNull()
-    j = p.join(c, cond, "left")
-    payload = [F.first(x).alias(x) for x in payments.columns if x != key]
-    best = F.max_by(F.col("_cno"), F.struct(F.col("_gen"), F.col("_cno"))).alias("charge_interval")
-    return j.groupBy(key).agg(*payload, best).select(*payments.columns, "charge_interval")
+        newest = F.when(F.col(only_if_null).isNull(), newest)
+    j = payments.join(spans, payments["unit_id"] == spans["_cu"], "left")
+    return j.withColumn("charge_interval", newest).select(*payments.columns, "charge_interval")
+
+
+# ---------------------------------------------------------------------------
+SLOTS = 16  # a day's payments of one unit are summed in so many slots (payment id modulo SLOTS)
+
+
+def allocate_running(payments: DataFrame, appt: DataFrame, charge: DataFrame) -> DataFrame:
+    """Payments settle a unit's open charges one after the other (oldest first, by charge number where the date is
+    the same): a payment may settle several, a charge may take several, and what is paid ahead is credit for later ones.
+
+    An option beside the snapshot matcher, which gives a payment to one charge. Payments are in the order of
+    (date, payment id modulo SLOTS, payment id). Returns (payment_id, unit_id, charge_no, amount): ``amount`` of the
+    payment goes to the charge; a row without a charge has what no charge takes. The amounts of a payment add up to it.
+    """
+    zero = X.dec(0, 30, 2)
+    slot = F.pmod(F.col("payment_id"), F.lit(SLOTS))
+    p = payments.filter((F.col("amount") > 0) & F.col("unit_id").isNotNull()) \
+        .select("payment_id", "unit_id", "pay_date", slot.alias("_slot"), F.col("amount").cast("decimal(30,2)").alias("_a"))
+    by_slot = p.groupBy("unit_id", "pay_date", "_slot").agg(F.sum("_a").cast("decimal(30,2)").alias("_s"))
+    earlier = Window.partitionBy("unit_id").orderBy("pay_date", "_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = by_slot.select("unit_id", "pay_date", "_slot", F.coalesce(F.sum("_s").over(earlier), zero).alias("_before"))
+    inside = Window.partitionBy("unit_id", "pay_date", "_slot").orderBy("payment_id").rowsBetween(Window.unboundedPreceding, -1)
+    p = p.join(slots, ["unit_id", "pay_date", "_slot"]) \
+        .withColumn("_from", (F.col("_before") + F.coalesce(F.sum("_a").over(inside), zero)).cast("decimal(30,2)"))
+    p = p.select("payment_id", "unit_id", "_from", (F.col("_from") + F.col("_a")).cast("decimal(30,2)").alias("_to"))
+    owed = with_charge_dates(appt.filter(F.col("debt") > 0).select("charge_no", "unit_id", "debt"), charge)
+    upto = Window.partitionBy("unit_id").orderBy("gen_date", "charge_no").rowsBetween(Window.unboundedPreceding, 0)
+    owed = owed.withColumn("_d1", F.sum("debt").over(upto).cast("decimal(30,2)")) \
+        .select(F.col("unit_id").alias("_du"), "charge_no", (F.col("_d1") - F.col("debt")).cast("decimal(30,2)").alias("_d0"), "_d1")
+    # beyond the last debt lies a stretch without end that no charge takes
+    open_end = owed.groupBy("_du").agg(F.max("_d1").alias("_d0")).select(
+        "_du", F.lit(None).cast(owed.schema["charge_no"].dataType).alias("charge_no"), "_d0",
+        F.lit(None).cast("decimal(30,2)").alias("_d1"))
+    stretches = owed.unionByName(open_end)
+    j = p.join(stretches, (p["unit_id"] == stretches["_du"]) & (p["_to"] > stretches["_d0"])
+               & (stretches["_d1"].isNull() | (p["_from"] < stretches["_d1"])), "left")
+    high = F.least("_to", F.coalesce("_d1", "_to"))
+    low = F.greatest("_from", F.coalesce("_d0", "_from"))
+    return j.select("payment_id", "unit_id", "charge_no", (high - low).cast("decimal(30,2)").alias("amount"))
 
 
 # ---------------------------------------------------------------------------

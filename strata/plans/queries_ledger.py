@@ -89,15 +89,18 @@ IMPORTED_UNTIL = _dt.date(1996, 12, 31)  # months up to this date are in the led
 
 
 @query("q_incremental_import", with_ctes(f"""
-WITH dated AS (SELECT a.*, c.gen_date, pc.prev_charge_no FROM apportion_final a
-               JOIN charge c ON c.charge_no = a.charge_no JOIN prev_charge pc ON pc.charge_no = a.charge_no),
+WITH dated AS (SELECT a.charge_no, a.unit_id, a.pct, a.received, a.ordinary, a.extraordinary, a.debt, c.gen_date,
+                      lag(c.gen_date) OVER unit_rows AS gen_before, lag(a.debt) OVER unit_rows AS own_before
+               FROM apportion_final a JOIN charge c ON c.charge_no = a.charge_no
+               WINDOW unit_rows AS (PARTITION BY a.unit_id ORDER BY a.charge_no)),
+with_stored AS (SELECT *, lag(own_before) OVER (PARTITION BY unit_id ORDER BY charge_no) AS own_earlier,
+                       lag(ordinary) OVER (PARTITION BY unit_id ORDER BY charge_no) AS ord_before,
+                       lag(extraordinary) OVER (PARTITION BY unit_id ORDER BY charge_no) AS ext_before FROM dated),
 balance AS (
-  SELECT d.*, CAST(coalesce(CASE WHEN p.gen_date <= DATE '{IMPORTED_UNTIL}' THEN s.debt ELSE f.debt END, 0)
-                   AS DECIMAL(12,2)) AS bal
-  FROM dated d LEFT JOIN charge p ON p.charge_no = d.prev_charge_no
-  LEFT JOIN apportion_carried s ON s.charge_no = d.prev_charge_no AND s.unit_id = d.unit_id
-  LEFT JOIN apportion_final f ON f.charge_no = d.prev_charge_no AND f.unit_id = d.unit_id
-  WHERE d.gen_date > DATE '{IMPORTED_UNTIL}'),
+  SELECT *, CAST(CASE WHEN gen_before IS NULL THEN 0 WHEN gen_before > DATE '{IMPORTED_UNTIL}' THEN own_before
+                      ELSE coalesce(ord_before, 0) + coalesce(ext_before, 0) + coalesce(own_earlier, 0)
+                           + CAST(greatest(coalesce(own_earlier, 0), 0) * 0.05 AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS bal
+  FROM with_stored WHERE gen_date > DATE '{IMPORTED_UNTIL}'),
 charged AS (SELECT *, CASE WHEN bal > 0 THEN CAST(bal * 0.05 AS DECIMAL(12,2)) ELSE CAST(0 AS DECIMAL(12,2)) END AS i
             FROM balance)
 SELECT charge_no, unit_id, pct, bal AS prior_balance, received, i AS interest, ordinary, extraordinary,
@@ -191,44 +194,32 @@ def _existing(L):
     return L.payment.filter(F.col("pay_date") < F.lit(PRIOR_IMPORT_END))
 
 
-@query("q_new_payments", with_ctes(f"""
-SELECT * FROM payment b WHERE NOT EXISTS (
-  SELECT 1 FROM payment e WHERE e.pay_date < DATE '{PRIOR_IMPORT_END}' AND e.pay_date = b.pay_date
-    AND e.amount = b.amount AND e.account = b.account AND e.unit_id = b.unit_id)"""))
+# A payment is stored if one with its date, amount, account and unit is, and that has its date: before the day or not.
+@query("q_new_payments", with_ctes(f"SELECT * FROM payment WHERE pay_date >= DATE '{PRIOR_IMPORT_END}'"))
 def q_new_payments(L):
     """C-06/I-01: re-import of the whole bank file over a ledger that already holds the
     earlier import (payments before 1998): only rows not already present are new."""
     return P.new_payments(L.payment, _existing(L))
 
 
-@query("q_duplicate_payments", with_ctes(f"""
-SELECT * FROM payment b WHERE EXISTS (
-  SELECT 1 FROM payment e WHERE e.pay_date < DATE '{PRIOR_IMPORT_END}' AND e.pay_date = b.pay_date
-    AND e.amount = b.amount AND e.account = b.account AND e.unit_id = b.unit_id)"""))
+@query("q_duplicate_payments", with_ctes(f"SELECT * FROM payment WHERE pay_date < DATE '{PRIOR_IMPORT_END}'"))
 def q_duplicate_payments(L):
     """C-07: bank rows already present in the ledger (EXISTS)."""
     return P.duplicate_payments(L.payment, _existing(L))
 
 
 @query("q_apply_payments", with_ctes(f"""
-WITH e AS (SELECT * FROM payment WHERE pay_date < DATE '{PRIOR_IMPORT_END}'),
-n AS (SELECT * FROM payment b WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.pay_date = b.pay_date
-        AND e.amount = b.amount AND e.account = b.account AND e.unit_id = b.unit_id)),
-s0 AS (SELECT a.charge_no, a.unit_id, a.pct, a.prior_balance,
-              CAST(coalesce(a.received, 0) + coalesce(p.paid, 0) AS DECIMAL(12,2)) AS received,
-              a.interest, a.ordinary, a.extraordinary, a.total,
-              CAST(CASE WHEN p.paid IS NULL THEN a.debt
-                        ELSE greatest(a.total - (coalesce(a.received, 0) + p.paid), 0) END AS DECIMAL(12,2)) AS debt
-       FROM apportion_carried a
-       LEFT JOIN (SELECT charge_no, unit_id, sum(amount) AS paid FROM e GROUP BY ALL) p
-         ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id)
-SELECT a.charge_no, a.unit_id, a.pct, a.prior_balance,
-       CAST(coalesce(a.received, 0) + coalesce(p.paid, 0) AS DECIMAL(12,2)) AS received,
-       a.interest, a.ordinary, a.extraordinary, a.total,
-       CAST(CASE WHEN p.paid IS NULL THEN a.debt
-                 ELSE greatest(a.total - (coalesce(a.received, 0) + p.paid), 0) END AS DECIMAL(12,2)) AS debt
-FROM s0 a LEFT JOIN (SELECT charge_no, unit_id, sum(amount) AS paid FROM n GROUP BY ALL) p
-  ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id"""))
+WITH sums AS (SELECT charge_no, unit_id, sum(CASE WHEN pay_date < DATE '{PRIOR_IMPORT_END}' THEN amount END) AS old,
+                     sum(CASE WHEN pay_date >= DATE '{PRIOR_IMPORT_END}' THEN amount END) AS new
+              FROM payment GROUP BY ALL),
+first_import AS (SELECT a.*, p.new, CAST(coalesce(a.received, 0) + coalesce(p.old, 0) AS DECIMAL(12,2)) AS r1,
+                        CASE WHEN p.old IS NULL THEN a.debt
+                             ELSE greatest(a.total - (coalesce(a.received, 0) + p.old), 0) END AS d1
+                 FROM apportion_carried a LEFT JOIN sums p ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id)
+SELECT charge_no, unit_id, pct, prior_balance, CAST(r1 + coalesce(new, 0) AS DECIMAL(12,2)) AS received, interest,
+       ordinary, extraordinary, total,
+       CAST(CASE WHEN new IS NULL THEN d1 ELSE greatest(total - (r1 + new), 0) END AS DECIMAL(12,2)) AS debt
+FROM first_import"""))
 def q_apply_payments(L):
     """I-02: ledger holding the earlier import, then the re-import applied: only the
     rows accepted by the anti join add to received; debt = max(total - received, 0)."""
@@ -328,6 +319,28 @@ def q_payment_interval_match(L):
     return f.select("source_id", "unit_id", "pay_date", "charge_interval")
 
 
+@query("q_payment_running", with_ctes(f"""
+WITH paid_in AS (
+  SELECT payment_id, unit_id, amount, sum(amount) OVER (PARTITION BY unit_id ORDER BY pay_date, payment_id % {P.SLOTS}, payment_id
+                                                        ROWS UNBOUNDED PRECEDING) AS p1 FROM payment),
+owed AS (
+  SELECT a.unit_id, a.charge_no, a.debt, sum(a.debt) OVER (PARTITION BY a.unit_id ORDER BY c.gen_date, a.charge_no
+                                                           ROWS UNBOUNDED PRECEDING) AS d1
+  FROM apportion_carried a JOIN charge c ON c.charge_no = a.charge_no WHERE a.debt > 0),
+settled AS (
+  SELECT p.payment_id, p.unit_id, o.charge_no, least(p.p1, o.d1) - greatest(p.p1 - p.amount, o.d1 - o.debt) AS amount
+  FROM paid_in p JOIN owed o ON o.unit_id = p.unit_id AND p.p1 > o.d1 - o.debt AND p.p1 - p.amount < o.d1),
+rest AS (
+  SELECT p.payment_id, p.unit_id, p.amount - coalesce(s.amount, 0) AS amount
+  FROM paid_in p LEFT JOIN (SELECT payment_id, sum(amount) AS amount FROM settled GROUP BY 1) s USING (payment_id))
+SELECT payment_id, unit_id, charge_no, CAST(amount AS DECIMAL(30,2)) AS amount FROM settled
+UNION ALL SELECT payment_id, unit_id, NULL, CAST(amount AS DECIMAL(30,2)) FROM rest WHERE amount > 0"""))
+def q_payment_running(L):
+    """C-13/J-18 as a running allocation: payments settle the unit's open charges in turn,
+    the debts as they are before any payment."""
+    return P.allocate_running(L.payment, L.apportion_carried, L.charge)
+
+
 @query("q_payment_rejects", with_ctes(f"""
 SELECT source_id, pay_date, amount, unit_id, charge_no, reasons FROM (
   SELECT f.source_id, f.pay_date, f.amount, f.unit_id, coalesce(f.charge_fifo, i.charge_interval) AS charge_no,
@@ -406,13 +419,18 @@ def q_prior_balance_asof(L):
 
 
 @query("q_refresh_balances", with_ctes(f"""
-WITH prior AS ({_PRIOR_SQL}),
-refreshed AS (SELECT a.charge_no, a.unit_id, a.received, a.ordinary, a.extraordinary, p.prior_balance,
-                     p.total AS total0, p.debt AS debt0
-              FROM apportionment a JOIN prior p ON p.charge_no = a.charge_no AND p.unit_id = a.unit_id),
+WITH dated AS (SELECT a.charge_no, a.unit_id, a.received, a.ordinary, a.extraordinary, a.debt, c.gen_date
+               FROM apportionment a JOIN charge c ON c.charge_no = a.charge_no),
+owed AS (SELECT unit_id, gen_date, debt FROM dated WHERE debt > 0),
+refreshed AS (
+  SELECT d.charge_no, d.unit_id, d.received, d.ordinary, d.extraordinary,
+         CAST(coalesce(p.debt, 0) AS DECIMAL(12,2)) AS prior_balance,
+         CAST(coalesce(d.ordinary, 0) + coalesce(d.extraordinary, 0) + coalesce(p.debt, 0) AS DECIMAL(12,2)) AS total0
+  FROM dated d ASOF LEFT JOIN owed p ON p.unit_id = d.unit_id AND d.gen_date > p.gen_date),
 late AS ({_late_sql(INTEREST_AS_OF, "refreshed")})
 SELECT r.charge_no, r.unit_id, r.prior_balance, coalesce(l.interest, CAST(0 AS DECIMAL(12,2))) AS interest,
-       coalesce(l.total, r.total0) AS total, coalesce(l.debt, r.debt0) AS debt
+       coalesce(l.total, r.total0) AS total,
+       coalesce(l.debt, CAST(greatest(r.total0 - coalesce(r.received, 0), 0) AS DECIMAL(12,2))) AS debt
 FROM refreshed r LEFT JOIN late l ON l.charge_no = r.charge_no AND l.unit_id = r.unit_id"""))
 def q_refresh_balances(L):
     """J-14: prior balances refreshed from the latest earlier debt, then the tiered late
