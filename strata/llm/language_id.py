@@ -31,12 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import store
 from .packed import pack, unpack
 from .tokens import mix, text_column
 
 BUCKETS, DIM = 1 << 16, 16
 ORDERS = (2, 3, 4)
 MAX_ROWS = 4000
+FEW_LABELS = 10_000
 FRAGMENTS = 4
 EPOCHS, RATE = 6, 0.8
 PRECISION = 0.98
@@ -219,9 +221,11 @@ def sample(labelled: DataFrame, max_rows: int, text: str = "text", label: str =
     rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
                            F.xxhash64(text, label, *([key] if key else [])).alias(_SEED)) \
         .where(F.col("text").isNotNull() & F.col("label").isNotNull())
-    sizes = rows.groupBy("label").agg(F.count("*").alias("n"))
-    each = max_rows / max(1, sizes.count())
-    shares = sizes.select("label", (F.lit(each) / F.col("n")).alias("share"))
+    sizes = store(rows.groupBy("label").agg(F.count("*").alias("n")), "language-labels")
+    labels = sizes.count()
+    shares = sizes.select("label", (F.lit(max_rows / max(1, labels)) / F.col("n")).alias("share"))
+    if labels <= FEW_LABELS:  # counted: the texts stay where they are
+        shares = F.broadcast(shares)
     place = F.col(_SEED).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     taken = rows.join(shares, "label").where(place < F.col("share")).select("label", _SEED, "text") \
         .orderBy(_SEED, "label").limit(max_rows)
