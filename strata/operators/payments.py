@@ -25,14 +25,15 @@ from .. import functions as X
 from ..fixed import FALLBACK_DUE_DAYS
 
 
-def parse_bank_file(raw: DataFrame) -> DataFrame:
+def parse_bank_file(raw: DataFrame, row_key: bool = True) -> DataFrame:
     """Raw text columns (id, fecha, CVU_CBU, valor) -> typed staging rows.
 
     ``row_key`` tells the file's rows apart whatever their id says (repeated, blank or
-    not a number); it is assigned where the file is read, before any shuffle.
+    not a number); it is assigned where the file is read, before any shuffle. A stream has none.
     """
+    key = [F.monotonically_increasing_id().alias("row_key")] if row_key else []
     return raw.select(
-        F.monotonically_increasing_id().alias("row_key"),
+        *key,
         F.trim("id").try_cast("bigint").alias("source_id"),
         F.col("fecha").alias("date_text"),
         X.parse_dmy("fecha").alias("pay_date"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixed as FX
 from .. import functions as X
 from . import reports as R
-from .catalog import query
+from .catalog import ORACLE, query
 from .oracle import SCALE, cents, dmy, es_ar, fixed_money, month_title, us_week, with_ctes, xml_el, xml_escape
 
 # ---------------------------------------------------------------------------
@@ -53,7 +53,7 @@ FROM_DAY, TO_DAY = "1995-03-05", "1996-08-20"  # report parameters of the closed
 @query("q_weekly_cash_flow_range", _weekly(_split(where=f"p.pay_date >= DATE '{FROM_DAY}' AND p.pay_date <= DATE '{TO_DAY}'")))
 def q_weekly_cash_flow_range(L):
     """J-01/B-03 with the closed date range given: both days count, running figures start anew."""
-    return R.weekly_cash_flow(L.payment, L.apportionment, L.charge, FROM_DAY, TO_DAY)
+    return R.weekly_cash_flow(L.payment_by_month, L.apportionment, L.charge, FROM_DAY, TO_DAY)
 
 
 WIDE = 10 ** 8  # payments times this add up to more cents than 64 bits hold
@@ -360,3 +360,72 @@ def q_guard_unknown_building(L):
     range) checked against ``building``; unknown ids get the message and no report."""
     from ..operators.guards import guard_buildings
     return guard_buildings(L.unit, L.building)
+
+
+# ---------------------------------------------------------------------------
+# H-43: the XML documents read back into columns
+@query("q_income_xml_read_back", with_ctes(_INCOME))
+def q_income_xml_read_back(L):
+    """H-43/A-10: income documents parsed again: the rows they were made from."""
+    return R.income_from_xml(q_income_by_source_xml(L))
+
+
+@query("q_debtors_xml_read_back", f"SELECT * FROM ({ORACLE['q_top_debtors']}) t")
+def q_debtors_xml_read_back(L):
+    """H-43/A-10: debtors documents parsed again, the attribute as a column."""
+    return R.debtors_from_xml(q_top_debtors_xml(L))
+
+
+# ---------------------------------------------------------------------------
+# F-01: every report in the reference's order
+def _order_query(name: str, report, base: str) -> None:
+    def run(L):
+        return R.positions(name, report(L))
+
+    run.__doc__ = f"F-01: the place of every row of {name} in the reference's order."
+    columns = R.REPORT_ORDER[name]
+    keys = ", ".join(f"{k[1:]} DESC NULLS FIRST" if k.startswith("-") else f"{k} ASC NULLS FIRST" for k in columns)
+    rest = "".join(f", {c} ASC NULLS FIRST" for c in R.ties(name, REPORT_COLUMNS[name]))
+    query(f"q_order_{name}", f"SELECT *, CAST(row_number() OVER (ORDER BY {keys}{rest}) AS BIGINT) AS position "
+          f"FROM ({ORACLE[base]}) t")(run)
+
+
+_TOP_MONTHS = ["category", "building_id", "year", "month", "month_name", "total", "rank"]
+REPORT_COLUMNS = {
+    "weekly_cash_flow": ["year", "week", "ordinary", "extraordinary", "week_total", "running_total", "running_avg"],
+    "monthly_pivot": ["building_id", "unit_id", "unit_label", "owner", *R.MONTH_COLUMNS, "year_total"],
+    "income_by_source": ["building_id", "year", "month", "month_name", "ordinary", "extraordinary", "total"],
+    "top_months_income": _TOP_MONTHS,
+    "top_months_expense": _TOP_MONTHS,
+    "top_debtors": ["building_id", "dni", "first_name", "last_name", "email", "phone", "unit_label", "total_debt",
+                    "open_charges", "rank"],
+    "days_between_payments": ["building_id", "payment_id", "unit_label", "pay_date", "previous_date", "days"],
+    "statement_header": ["charge_no", "section", "item", "value", "line"],
+    "statement_debtors": ["kind", "building_id", "dni", "full_name", "unit_label", "debt", "interest", "charge_no"],
+    "statement_extraordinary": ["kind", "charge_no", "expense_id", "detail", "instalment", "instalments", "issue_date",
+                                "amount"],
+    "statement_totals": ["kind", "charge_no", "concept", "amount", "line"],
+}
+for _name, _report in (("weekly_cash_flow", q_weekly_cash_flow), ("monthly_pivot", q_monthly_pivot),
+                       ("income_by_source", q_income_by_source), ("top_months_income", q_top_months_income),
+                       ("top_months_expense", q_top_months_expense), ("top_debtors", q_top_debtors),
+                       ("days_between_payments", q_days_between_payments), ("statement_header", q_statement_header),
+                       ("statement_debtors", q_statement_debtors), ("statement_extraordinary", q_statement_extra),
+                       ("statement_totals", q_statement_totals)):
+    _order_query(_name, _report, _report.__name__)
+
+
+@query("q_export_csv", f"""
+SELECT 'totals' AS file, CAST(charge_no AS VARCHAR) AS charge_no, concept AS item, CAST(amount AS VARCHAR) AS value
+FROM ({ORACLE['q_statement_totals']}) t
+UNION ALL SELECT 'units', CAST(charge_no AS VARCHAR), unit_label, CAST(debt AS VARCHAR) FROM ({ORACLE['q_statement_units']}) u""")
+def q_export_csv(L):
+    """A-11: the statement's totals and units exported as CSV with header, and read back as text."""
+    from ..session import shared_dir
+    sets = R.statement(L)
+    files = R.export_csv({n: sets[n] for n in ("statement_totals", "statement_units")}, shared_dir(L.spark, "files", "export"))
+    read = {n: L.spark.read.option("header", True).csv(path) for n, path in files.items()}
+    totals, units = read["statement_totals"], read["statement_units"]
+    return totals.select(F.lit("totals").alias("file"), "charge_no", F.col("concept").alias("item"), F.col("amount").alias("value")) \
+        .unionByName(units.select(F.lit("units").alias("file"), "charge_no", F.col("unit_label").alias("item"),
+                                  F.col("debt").alias("value")))

@@ -66,16 +66,22 @@ def _paid_with_mix(payment: DataFrame, apportionment: DataFrame, charge: DataFra
     return payment.select("charge_no", "unit_id", "pay_date", "amount").join(a, ["charge_no", "unit_id"]).join(c, "charge_no")
 
 
+def in_range(payment: DataFrame, start=None, end=None) -> DataFrame:
+    """Payments of the closed date range; of a table stored by month only the months it touches are read."""
+    for day, keep in ((start, F.Column.__ge__), (end, F.Column.__le__)):
+        if day is not None:
+            payment = payment.filter(keep(F.col("pay_date"), F.lit(_d(day))))
+            if "pay_month" in payment.columns:
+                payment = payment.filter(keep(F.col("pay_month"), F.lit(_d(day).replace(day=1))))
+    return payment
+
+
 # ---------------------------------------------------------------------------
 def weekly_cash_flow(payment: DataFrame, apportionment: DataFrame, charge: DataFrame,
                      start=None, end=None, building=None) -> DataFrame:
     """Payments split ordinary/extraordinary, summed by (year, US week), with the
     running total and running mean of the weekly totals."""
-    p = payment
-    if start is not None:
-        p = p.filter(F.col("pay_date") >= F.lit(_d(start)))
-    if end is not None:
-        p = p.filter(F.col("pay_date") <= F.lit(_d(end)))
+    p = in_range(payment, start, end)
     j = _split_parts(_paid_with_mix(p, apportionment, charge, building))
     wk = j.groupBy(F.year("pay_date").alias("year"), X.us_week(F.col("pay_date")).alias("week")).agg(
         F.sum("_ord").alias("_o"), F.sum("_ext").alias("_e"), F.sum(F.col("_ord") + F.col("_ext")).alias("_t"))
@@ -152,6 +158,27 @@ def income_by_source_xml(income: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
+def income_from_xml(docs: DataFrame) -> DataFrame:
+    """H-43: the rows of ``income_by_source`` read back from its documents."""
+    _, row_tag, tags = FX.INCOME_XML
+    types = ["int", "int", "string", "decimal(28,2)", "decimal(28,2)", "decimal(28,2)"]
+    fields = ["year", "month", "month_name", "ordinary", "extraordinary", "total"]
+    schema = f"{row_tag} array<struct<{', '.join(f'{t}: {k}' for t, k in zip(tags, types))}>>"
+    rows = docs.select("building_id", F.explode(F.from_xml("xml", schema)[row_tag]).alias("r"))
+    return rows.select("building_id", *[F.col(f"r.{t}").alias(f) for t, f in zip(tags, fields)])
+
+
+def debtors_from_xml(docs: DataFrame) -> DataFrame:
+    """H-43: the debtors read back from their documents, the attribute as a column; the order is their rank."""
+    _, row_tag, attr, tags = FX.DEBTORS_XML
+    types = ["string"] * 5 + ["decimal(18,2)", "int"]
+    fields = ["first_name", "last_name", "email", "phone", "unit_label", "total_debt", "open_charges"]
+    schema = f"{row_tag} array<struct<_{attr}: string, {', '.join(f'{t}: {k}' for t, k in zip(tags, types))}>>"
+    rows = docs.select("building_id", F.posexplode(F.from_xml("xml", schema)[row_tag]).alias("place", "r"))
+    return rows.select("building_id", (F.col("place") + 1).alias("rank"), F.col(f"r._{attr}").alias("dni"),
+                       *[F.col(f"r.{t}").alias(f) for t, f in zip(tags, fields)])
+
+
 def _top_n(df: DataFrame, part: list[str], order: list, n: int) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
@@ -386,11 +413,17 @@ def presented(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def ties(name: str, columns: list[str]) -> list[str]:
+    return sorted(set(columns) - {k.lstrip("-") for k in REPORT_ORDER[name]})
+
+
 def positions(name: str, df: DataFrame) -> DataFrame:
     """The report with the ``position`` (from 1) of each row in the reference's order."""
     from ..operators.keys import surrogate_keys
 
     keys = {f"_k{i}": -F.col(k[1:]) if k.startswith("-") else F.col(k) for i, k in enumerate(REPORT_ORDER[name])}
+    # rows that tie in the report's order go by the rest of their columns
+    keys |= {f"_t{i}": F.col(c) for i, c in enumerate(ties(name, df.columns))}
     return surrogate_keys(df.withColumns(keys), list(keys), "position").drop(*keys)
 
 

@@ -317,6 +317,11 @@ class Ledger:
         accepted, _ = P.split_accepted(self.bank_matched)
         return P.as_payment_rows(accepted)
 
+    @cached_property
+    def payment_by_month(self) -> DataFrame:
+        """The payments with ``pay_month``; the stored table is laid out by it, so a date range reads its months only."""
+        return self.payment.withColumn("pay_month", X.month_start("pay_date"))
+
     @cached_property
     def apportionment(self) -> DataFrame:
         return P.apply_payments(self.apportion_carried, self.payment)
@@ -346,6 +351,9 @@ class Ledger:
     # Payments are not bucketed: one unit may hold a third of them.
     BUCKETED = {"apportionment": "unit_id"}
 
+    # Payments are laid out by month (a folder each), in files of even size cut by (month, id): a month may be large.
+    BY_MONTH = {"payment": "payment_by_month"}
+
     def materialize(self, path: str | None = None) -> "Ledger":
         """Write the ledger tables once, each computed from the already written ones
         (lineage is cut at every table, so a lost executor only recomputes the current
@@ -373,6 +381,13 @@ class Ledger:
                 (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key)
                  .sortBy(key, "charge_no").option("path", target).saveAsTable(table))
                 return self.spark.table(table)
+            if name in self.BY_MONTH:
+                rows = df.withColumn("pay_month", X.month_start("pay_date"))
+                (rows.repartitionByRange("pay_month", "payment_id").sortWithinPartitions("pay_month", *self.SORT_KEYS[name])
+                 .write.mode("overwrite").partitionBy("pay_month").parquet(target))
+                by_month = self.spark.read.schema(rows.schema).parquet(target)
+                stored.__dict__[self.BY_MONTH[name]] = by_month
+                return by_month.drop("pay_month")
             keys = self.SORT_KEYS.get(name)
             if keys:
                 df = df.sortWithinPartitions(*keys)  # narrow min/max per row group

@@ -11,9 +11,11 @@ events are dropped once they fall behind the watermark of the previous micro-bat
 watermark are dropped before aggregation.
 
 K-02 ``apply_payments_stream``: bank files arriving in a folder are parsed, matched
-and de-duplicated per micro-batch (``foreachBatch`` calling the same operators as the
-batch import) and appended to the payment table; balances are the batch operator
-applied to that table.
+and de-duplicated by the operators of the batch import and appended to the payment
+table (Spark's file sink: each file's rows exactly once). A second stream reads what
+that table gained and keeps what every (charge, unit) was paid in keyed state; a run
+touches only the keys it changed, whose new sums are written as versions. Balances are
+the latest version of every key on the apportionment.
 """
 
 from __future__ import annotations
@@ -79,44 +81,75 @@ def latest_windows(spark: SparkSession, out_dir: str) -> DataFrame:
                     F.col("_v.total_value").cast("decimal(18,2)").alias("total_value"))
 
 
-_PAYMENT_ROWS = ("payment_id bigint, pay_date date, amount decimal(12,2), account string, unit_id bigint, "
-                 "charge_no bigint, batch_id bigint")
+_PAYMENT_ROWS = "payment_id bigint, pay_date date, amount decimal(12,2), account string, unit_id bigint, charge_no bigint"
+_PAID_ROWS = "charge_no bigint, unit_id bigint, paid decimal(22,2), batch_id bigint"
 
 
-def apply_payments_stream(spark: SparkSession, bank_dir: str, person: DataFrame, appt: DataFrame,
-                          charge: DataFrame, existing: DataFrame | None = None, payments_dir: str | None = None,
-                          checkpoint_dir: str | None = None, files_per_batch: int = 4) -> DataFrame:
-    """Bank CSV files -> accepted payments stored per micro-batch -> balances recomputed
-    from the payment table.
-
-    Insert-if-absent compares with ``existing``, the ledger as it was at the start, as
-    one batch import of all the files would; rows of other files of the same run are
-    not taken for repeats. A micro-batch that is run again overwrites its own folder.
-    The month candidates are computed once.
+def _fixed_table(spark: SparkSession, folder: str, df: DataFrame) -> DataFrame:
+    """A side table of a stream, written by its first run: a restarted run reads the same rows."""
+    if not path_exists(spark, f"{folder}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def accepted_payments_stream(spark: SparkSession, bank_dir: str, person: DataFrame, appt: DataFrame, charge: DataFrame,
+                             work_dir: str, existing: DataFrame | None = None, files_per_batch: int = 4) -> str:
+    """New files of ``bank_dir`` -> accepted payments, appended to the table whose folder is returned.
+
+    Insert-if-absent compares with ``existing``, the ledger as it was at the start, as one batch import of all the
+    files would; rows of other files are not taken for repeats. Accounts and month candidates meet the stream as
+    static tables.
     """
     from ..operators import payments as P
 
-    payments_dir = payments_dir or shared_dir(spark, "stream", "payments")
-    checkpoint_dir = checkpoint_dir or shared_dir(spark, "stream", "payments_ckpt")
-    candidates_dir = shared_dir(spark, "stream", "candidates")
-    P.month_candidates(appt, charge).write.parquet(candidates_dir)
-    candidates = spark.read.parquet(candidates_dir)
+    candidates = _fixed_table(spark, f"{work_dir}/candidates", P.month_candidates(appt, charge))
     src = (spark.readStream.schema(FILES["payments_csv"]).option("header", True).option("sep", ",")
            .option("maxFilesPerTrigger", files_per_batch).csv(bank_dir))
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        staged = P.resolve_unit_by_account(P.parse_bank_file(batch), person)
-        accepted, _ = P.split_accepted(P.match_by_month(staged, appt, charge, candidates))
-        rows = P.as_payment_rows(accepted)
-        if existing is not None:
-            rows = P.new_payments(rows, existing)
-        rows.write.mode("overwrite").parquet(f"{payments_dir}/batch_id={batch_id}")
-
-    q = (src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
+    staged = P.resolve_unit_by_account(P.parse_bank_file(src, row_key=False), person)
+    accepted, _ = P.split_accepted(P.match_by_month(staged, appt, charge, candidates))
+    rows = P.as_payment_rows(accepted)
+    if existing is not None:
+        rows = P.new_payments(rows, existing)
+    table = f"{work_dir}/payments"
+    q = (rows.writeStream.format("parquet").option("path", table).outputMode("append")
+         .option("checkpointLocation", f"{work_dir}/payments_ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
+    return table
+
+
+def paid_stream(spark: SparkSession, payments_dir: str, work_dir: str) -> DataFrame:
+    """What every (charge, unit) was paid so far: sums in keyed state, new payments only read.
+
+    A micro-batch writes the sums it changed to a folder of its own; run again it overwrites that folder.
+    """
+    versions = f"{work_dir}/paid"
     if path_exists(spark, payments_dir):
-        paid = spark.read.schema(_PAYMENT_ROWS).parquet(payments_dir)
+        src = spark.readStream.schema(_PAYMENT_ROWS).parquet(payments_dir)
+        sums = src.groupBy("charge_no", "unit_id").agg(F.sum("amount").cast("decimal(22,2)").alias("paid"))
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{versions}/batch_id={batch_id}")
+
+        q = (sums.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", f"{work_dir}/paid_ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+    if path_exists(spark, versions):
+        paid = spark.read.schema(_PAID_ROWS).parquet(versions)
     else:
-        paid = spark.createDataFrame([], _PAYMENT_ROWS)
-    return P.apply_payments(appt, paid)
+        paid = spark.createDataFrame([], _PAID_ROWS)
+    return paid.groupBy("charge_no", "unit_id").agg(F.max_by("paid", "batch_id").alias("amount"))
+
+
+def apply_payments_stream(spark: SparkSession, bank_dir: str, person: DataFrame, appt: DataFrame,
+                          charge: DataFrame, existing: DataFrame | None = None, work_dir: str | None = None,
+                          files_per_batch: int = 4) -> DataFrame:
+    """Bank CSV files -> accepted payments -> sums by (charge, unit) in keyed state -> balances.
+
+    With the same ``work_dir`` a later run goes on where the last one ended, finished or not: it reads new files only
+    and changes only the sums of the keys they pay. Give each call its own for a run from the start.
+    """
+    from ..operators import payments as P
+
+    work_dir = work_dir or shared_dir(spark, "stream", "payments")
+    table = accepted_payments_stream(spark, bank_dir, person, appt, charge, work_dir, existing, files_per_batch)
+    return P.apply_payments(appt, paid_stream(spark, table, work_dir))
