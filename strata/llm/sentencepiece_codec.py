@@ -3,11 +3,14 @@
 The vocabulary is a SentencePiece model's pieces. Each piece has a log probability (by default 1/rank of its score,
 normalised); a character that no piece covers is spelled in byte pieces. The best segmentation has the largest sum.
 
-``Stream`` reads a text chunk by chunk. It keeps path scores for as many positions as the longest piece has characters:
-no later piece can start before them. Whenever all paths from those positions lead back through one boundary, the ids
-before it are committed and forgotten. No piece has a mark of a blank after another character, so every such place is
-a boundary of all paths; what lies between two of them is one unit, whose ids are remembered (up to ``CACHE`` units,
-then forgotten) for the next time it is met.
+``Stream`` reads marked text chunk by chunk. It keeps characters and path scores for a window as long as the longest
+piece: no later piece can start before it. Whenever the paths of all live positions of the window lead back through one
+boundary, the ids before it are committed and forgotten. No piece has a mark of a blank after another character, so
+every such place is a boundary where all paths converge; what lies between two of them is one unit. A unit goes through
+a stream when it is met first; its ids are remembered (up to ``CACHE`` units, then forgotten) for the next time.
+
+A run that no path decides (of one letter, say) has its backpointers and ids kept, six bytes a character, until it is
+decided or ends; scores and characters are never kept beyond the window. Texts of any length are read whole.
 
 A blank is written as the mark U+2581, and one mark is put before the text. A U+2581 of the text itself is spelled in
 bytes, so decoding gives back every text exactly.
@@ -83,133 +86,123 @@ class Vocabulary:
 class Stream:
     """Viterbi over a stream of characters (blanks already marks); positions count from the last committed boundary.
 
-    The live positions are those from which a later piece can still start, as many as the longest piece has
-    characters. ``root`` tells through which live position of the last check each path came: when all live paths
-    came through one, they have converged there. Each position is looked at a bounded number of times.
+    ``text`` holds the last characters, fewer than the longest piece has, and ``score`` and ``root`` the positions
+    before, between and after them: no later piece can start before. ``root`` tells through which position of the last
+    check's window each path came: when all live paths came through one, they have converged there.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.text = ""  # characters since the boundary
-        self.score, self.back, self.ids, self.root = [0.0], [0], [None], [0]
-
-    def feed(self, chunk: str, literal: bool = False) -> list[int]:
-        """Ids committed after reading ``chunk``; ``literal``: the chunk is one character to spell in bytes."""
+        self.text, self.score, self.root = "", [0.0], [0]
+        # of each position since the boundary: characters of its last piece, and the id, or for a spelled character
+        # the code point as a number below 0
+        self.step, self.ids = array("H"), array("i")
+
+    def feed(self, chunk: str, literal: bool = False, last: bool = False) -> list[int]:
+        """Ids committed after reading ``chunk``; ``literal``: the chunk is one character to spell in bytes; ``last``:
+        ``close`` follows, so nothing is committed before."""
         v, old = self.v, len(self.text)
-        self.text += "\x00" if literal else chunk
-        n = len(self.text)
-        score, back, ids = self.score, self.back, self.ids
+        text = self.text = self.text + ("\x00" if literal else chunk)  # which no piece has
+        n = len(text)
+        score, step, ids = self.score, self.step, self.ids
         score += [_NEVER] * (n - old)
-        back += [0] * (n - old)
-        ids += [None] * (n - old)
+        none = bytes(4 * (n - old))
+        ids.frombytes(none)
+        step.frombytes(none[:2 * (n - old)])
+        base = len(step) - n - 1  # of position k of the window
         if literal:
-            spelled = v.spelled(chunk)
-            score[n], back[n], ids[n] = score[old] + len(spelled) * v.byte_score, old, spelled
+            self._spell(old, n, base, chunk)
         else:
             done = old  # positions up to here have their final score
-            for end, (size, p, i) in v.find.iter(self.text, max(0, old - v.longest + 1), n):
+            for end, (size, p, i) in v.find.iter(text):
                 if end < old:
                     continue
                 if end > done:
-                    self._spell(done, end)
+                    self._spell(done, end, base)
                     done = end
-                s = score[end + 1 - size] + p if end + 1 >= size else _NEVER
-                if s > score[end + 1]:
-                    score[end + 1], back[end + 1], ids[end + 1] = s, end + 1 - size, i
-            self._spell(done, n)
-        for j in range(old + 1, n + 1):
-            self.root.append(self.root[back[j]])
-        live = [k for k in range(max(0, n - v.longest + 1), n + 1) if score[k] > _NEVER]
-        roots = {self.root[k] for k in live}
-        if len(roots) > 1:
+                s = score[end + 1 - size] + p
+                end += 1
+                if s > score[end]:
+                    score[end], step[base + end], ids[base + end] = s, size, i
+            self._spell(done, n, base)
+        return [] if last else self._check(old, base)
+
+    def _check(self, old: int, base: int) -> list[int]:
+        """Commits what all live paths agree on, and moves the window on."""
+        n, keep = len(self.text), self.v.longest - 1
+        root, step, score = self.root, self.step, self.score
+        for k in range(old + 1, n + 1):
+            root.append(root[k - step[base + k]] if score[k] > _NEVER else -1)
+        first = max(0, n - keep)
+        roots = {root[k] for k in range(first, n + 1) if score[k] > _NEVER}
+        out = self._commit(roots.pop()) if len(roots) == 1 else None
+        self.text = self.text[first:]
+        self.score = score[first:]
+        if out is None:
+            self.root = root[first:]
             return []
-        out = self._commit(roots.pop())
-        for k in range(max(0, len(self.text) - v.longest + 1), len(self.text) + 1):
-            self.root[k] = k
+        top = max(self.score)
+        self.score = [s - top for s in self.score]
+        at = len(self.step)
+        # a boundary inside the window: nothing can start before it
+        self.root = [max(0, at - len(self.text) + k) for k in range(len(self.text) + 1)]
         return out
 
-    def _spell(self, a: int, b: int) -> None:
-        """Spells in bytes the characters at a..b that no piece covers."""
+    def _spell(self, a: int, b: int, base: int, literal: str = "") -> None:
+        """Spells in bytes the characters at a..b that no piece covers, or the literal character."""
         for k in range(a, b):
-            c = self.text[k]
-            if c not in self.v.chars and self.score[k] > _NEVER:
-                spelled = self.v.spelled(c)
-                s = self.score[k] + len(spelled) * self.v.byte_score
+            c = literal or self.text[k]
+            if (literal or c not in self.v.chars) and self.score[k] > _NEVER:
+                s = self.score[k] + len(self.v.spelled(c)) * self.v.byte_score
                 if s > self.score[k + 1]:
-                    self.score[k + 1], self.back[k + 1], self.ids[k + 1] = s, k, spelled
+                    self.score[k + 1], self.step[base + k + 1], self.ids[base + k + 1] = s, 1, -1 - ord(c)
 
     def _commit(self, at: int) -> list[int]:
         """Ids of the path to the boundary ``at``, which becomes position 0."""
-        out, k = [], at
-        while k > 0:
-            out.append(self.ids[k])
-            k = self.back[k]
-        if at:
-            base = self.score[at]
-            self.text = self.text[at:]
-            self.score = [s - base for s in self.score[at:]]
-            self.back = [max(0, b - at) for b in self.back[at:]]
-            self.ids, self.root = self.ids[at:], [0] * (len(self.ids) - at)
-        flat: list[int] = []
-        for x in reversed(out):
-            flat.extend(x) if isinstance(x, list) else flat.append(x)
-        return flat
+        step, ids = self.step, self.ids
+        out, k = [], at - 1
+        while k >= 0:
+            out.append(ids[k])
+            k -= step[k]
+        del step[:at], ids[:at]
+        out.reverse()
+        if out and min(out) < 0:
+            out = [y for x in out for y in (self.v.spelled(chr(-1 - x)) if x < 0 else (x,))]
+        return out
 
     def close(self) -> list[int]:
-        return self._commit(len(self.text))
+        """Ids of the rest; the stream is as new."""
+        out = self._commit(len(self.step))
+        self.text, self.score, self.root = "", [0.0], [0]
+        return out
+
+    def read(self, unit: str, chunk: int = CHUNK) -> list[int]:
+        """Ids of a stretch of marked text, read in chunks, to its end."""
+        out: list[int] = []
+        for a in range(0, len(unit) - chunk, chunk):
+            out += self.feed(unit[a:a + chunk])
+        rest = len(unit) % chunk or min(chunk, len(unit))
+        self.feed(unit[len(unit) - rest:] if rest < len(unit) else unit, last=True)
+        return out + self.close() if out else self.close()
 
 
 def segment(vocabulary: Vocabulary, unit: str, chunk: int = CHUNK) -> list[int]:
-    """Ids of a stretch of marked text, read in chunks."""
-    stream = Stream(vocabulary)
-    out: list[int] = []
-    for a in range(0, len(unit), chunk):
-        out += stream.feed(unit[a:a + chunk])
-    return out + stream.close()
-
-
-def window(vocabulary: Vocabulary, unit: str) -> list[int]:
-    """Ids of a short unit whose characters are all pieces: the stream's step over one window."""
-    n = len(unit)
-    score, back, ids = [0.0] + [_NEVER] * n, [0] * (n + 1), [0] * (n + 1)
-    for end, (size, p, i) in vocabulary.find.iter(unit):
-        s = score[end + 1 - size] + p
-        if s > score[end + 1]:
-            score[end + 1], back[end + 1], ids[end + 1] = s, end + 1 - size, i
-    out = []
-    while n:
-        out.append(ids[n])
-        n = back[n]
-    out.reverse()
-    return out
-
-
-def unit_ids(vocabulary: Vocabulary, unit: str) -> list[int]:
-    """Ids of a unit. A character of no piece is a boundary of all paths on both sides."""
-    if len(unit) <= CHUNK and vocabulary.chars.issuperset(unit):
-        return window(vocabulary, unit)
-    out, start = [], 0
-    for k, c in enumerate(unit):
-        if c not in vocabulary.alphabet:
-            out += unit_ids(vocabulary, unit[start:k]) if k > start else []
-            out += vocabulary.spelled(c)
-            start = k + 1
-    if not start:
-        return segment(vocabulary, unit)
-    return out + (unit_ids(vocabulary, unit[start:]) if start < len(unit) else [])
+    """Ids of a stretch of marked text, read in chunks by a stream of its own."""
+    return Stream(vocabulary).read(unit, chunk)
 
 
 class _Units(dict):
-    """Ids, as bytes, of each word after a blank."""
+    """Ids, as bytes, of each word after a blank; ``streamed`` counts those that went through a stream."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.stream, self.streamed = Stream(vocabulary), 0
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        ids = self[word] = array("i", unit_ids(self.vocabulary, MARK + word)).tobytes()
+        self.streamed += 1
+        ids = self[word] = array("i", self.stream.read(MARK + word)).tobytes()
         return ids
 
 

@@ -71,3 +71,27 @@ def test_tables(spark, tmp_path):
     rows = QUERIES["op5_sentencepiece"](spark, str(tmp_path)).collect()
     assert len(rows) == len(texts) and all(r["round_trip"] for r in rows)
     assert S.encode(docs.limit(0)).collect() == []
+
+
+def test_stream_holds_a_window_on_a_run_of_one_letter(codec):
+    """Scores and characters stay within the longest piece, committed or not; what is undecided is six bytes a character."""
+    v, n = codec.vocabulary, 300_000
+    for letters in ("a", "ab", "=", "e\n"):
+        stream, most, count = S.Stream(v), 0, 0
+        for a in range(0, n, 1000):
+            count += len(stream.feed((letters * 1000)[:1000]))
+            most = max(most, len(stream.text), len(stream.score), len(stream.root))
+            assert len(stream.step) == len(stream.ids) <= a + 1000
+        assert most <= v.longest + 1
+        ids = count + len(stream.close())
+        assert ids == len(S.segment(v, (letters * n)[:n]))
+        assert stream.read(S.MARK + "the") == S.segment(v, S.MARK + "the")
+
+
+def test_every_unit_goes_through_a_stream(codec):
+    fresh = S.Codec(S.load_pieces())
+    text = " ".join(f"word{k} Straße{k % 7} 漢字" for k in range(200))
+    assert fresh.decode(fresh.encode(text)) == text
+    assert fresh.units.streamed == len(fresh.units) == len(set(text.split(" ")))
+    fresh.encode(text)
+    assert fresh.units.streamed == len(fresh.units)
