@@ -20,7 +20,7 @@ a pair of two open words by both: the follower's part has all tokens of the foll
 part has all that follows the history and so knows its total; both know the pair's count, and the logarithm of a
 score is a sum of what each of them knows. Each part counts its pairs, and answers each dealing batch with partial
 sums by document that are linear in the logarithms still unknown (discounts, backoff weights). History totals of table
-words are summed on the driver (bounded by the table and the splits). The backoff weight of an open history also needs
+words are added up in tasks and by history; the driver gets one row a table word. The backoff weight of an open history also needs
 the P mass of its open followers: their parts send it by history hash, and a pass between joins it to the tokens that
 wait for the weight. The last pass adds up the answers batch by batch. An open word has at most about one in ``table``
 of all tokens, so no part gathers a hot one. Word counts, pair counts of table words and answers are Parquet tables in
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import release, store
-from .packed import pack, slices, smallest, unpack
+from .packed import pack, runs, slices, smallest, unpack
 from .tokens import mix, rows_of, text_column, word_hashes
 
 VOCABULARY = 1 << 16  # words in the table
@@ -231,14 +231,12 @@ def _by_hash(m: Words, first: int, x: np.ndarray, y: np.ndarray, y_class: np.nda
     both_open = y_class == len(m.hashes)
     part = (x % np.uint64(m.rare_parts)).astype(np.int64)
     order = np.lexsort((doc, y_class, x, part))
-    edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
     zero = np.uint64(0)
-    for k in range(m.rare_parts):
-        i = order[edges[k]:edges[k + 1]]
-        if len(i):
-            a, b = i[~both_open[i]], i[both_open[i]]
-            yield first + k, pack(dx=np.diff(x[a], prepend=zero), y=smallest(y_class[a]), d=smallest(doc[a]),
-                                  odx=np.diff(x[b], prepend=zero), oy=y[b], od=smallest(doc[b]))
+    for k, start, end in runs(part[order]):
+        i = order[start:end]
+        a, b = i[~both_open[i]], i[both_open[i]]
+        yield first + k, pack(dx=np.diff(x[a], prepend=zero), y=smallest(y_class[a]), d=smallest(doc[a]),
+                              odx=np.diff(x[b], prepend=zero), oy=y[b], od=smallest(doc[b]))
 
 
 def dealt(texts: DataFrame, words) -> DataFrame:
@@ -278,21 +276,17 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                 batch_id = text_column(batch, "rid")[0].as_py()
                 out: list[tuple[int, bytes]] = []
                 order = np.argsort(part, kind="stable")
-                edges = np.searchsorted(part[order], np.arange(m.parts + 1))
-                for k in range(m.parts):
-                    i = order[edges[k]:edges[k + 1]]
-                    if len(i):
-                        out.append((k, pack(dh=smallest(np.diff(h[i], prepend=0)), w=smallest(w[i]), d=smallest(d[i]),
-                                            n=smallest(n[i]))))
+                for k, start, end in runs(part[order]):
+                    i = order[start:end]
+                    out.append((k, pack(dh=smallest(np.diff(h[i], prepend=0)), w=smallest(w[i]), d=smallest(d[i]),
+                                        n=smallest(n[i]))))
                 out += by_hash
                 t, d = (rare_token, rare_doc) if m.closed else (rare_token[:0], rare_doc[:0])
                 part = (t % np.uint64(m.rare_parts)).astype(np.int64)
                 order = np.lexsort((d, t, part))
-                edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
-                for k in range(m.rare_parts):
-                    i = order[edges[k]:edges[k + 1]]
-                    if len(i):
-                        out.append((m.parts + k, pack(t=t[i], d=smallest(d[i]))))
+                for k, start, end in runs(part[order]):
+                    i = order[start:end]
+                    out.append((m.parts + k, pack(t=t[i], d=smallest(d[i]))))
                 ids = text_column(batch, "id")
                 null = np.array(ids.is_null().to_pylist(), np.uint8)
                 train = ~np.array(text_column(batch, "held").to_pylist(), bool)
@@ -444,11 +438,9 @@ def _count_open_words(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, b
     s = np.flatnonzero(seen & q.open)
     part = (q.y[s] % np.uint64(m.rare_parts)).astype(np.int64)
     order = np.lexsort((q.y[s], part))
-    edges = np.searchsorted(part[order], np.arange(m.rare_parts + 1))
-    for k in range(m.rare_parts):
-        i = s[order[edges[k]:edges[k + 1]]]
-        if len(i):
-            yield "mass", k, pack(dh=np.diff(q.y[i], prepend=np.uint64(0)), n=smallest(own[of[i]]))
+    for k, start, end in runs(part[order]):
+        i = s[order[start:end]]
+        yield "mass", k, pack(dh=np.diff(q.y[i], prepend=np.uint64(0)), n=smallest(own[of[i]]))
     fixed = np.where(seen, np.where(q.open, 0, _seen_share(q.count, m.counts[hist])), np.log10(p))
     one = np.ones(len(q.at), np.int64)
     yield from _answers(q.batch, q.doc, (own > 0)[of][q.at].astype(np.int64), base[q.at], fixed[q.at], one,
@@ -533,6 +525,36 @@ def _tables(texts: DataFrame, shared, parts: int) -> DataFrame:
                    .applyInPandas(count, "kind string, batch long, blob binary"), "katz-tables")
 
 
+def history_sums(tables: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of ``n`` histories the numbers of seen types by count, the tokens of those above TOP, and the seen mass.
+
+    Added up in tasks and then by history; the driver gets one row a history, ``VOCABULARY`` + 2 at most. The mass adds
+    up as decimals, so its order does not matter.
+    """
+    names = [*[f"m{r + 1}" for r in range(TOP + 1)], "big"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, mass = np.zeros((len(names), n), np.int64), np.zeros(n)
+        for batch in batches:
+            for blob in batch.column(0):
+                x = unpack(blob.as_py())
+                at = x["h"].astype(np.int64)
+                for row, name in zip(sums, names):
+                    np.add.at(row, at, x[name].astype(np.int64))
+                np.add.at(mass, at, x["p"])
+        h = np.flatnonzero(sums.any(axis=0) | (mass != 0))
+        yield pa.RecordBatch.from_arrays([pa.array(h), *[pa.array(row[h]) for row in sums], pa.array(mass[h])],
+                                         names=["h", *names, "p"])
+
+    rows = tables.where("kind = 'history'").select("blob").mapInArrow(
+        run, f"h long, {', '.join(f'{x} long' for x in names)}, p double")
+    found = rows.groupBy("h").agg(*[F.sum(x).alias(x) for x in names],
+                                  F.sum(F.col("p").cast("decimal(38,28)")).cast("double").alias("p")).toPandas()
+    out = np.zeros((len(names) + 1, n))
+    out[:, found["h"].to_numpy()] = found[[*names, "p"]].to_numpy(float).T
+    return out[:TOP + 1], out[TOP + 1], out[TOP + 2]
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None,
           table: int = VOCABULARY) -> DataFrame:
     """Doc id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text.
@@ -556,13 +578,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
     tables = _tables(texts, shared, m.parts)
     release(spark)
     n = len(m.hashes) + 2
-    types, big, p = np.zeros((TOP + 1, n)), np.zeros(n), np.zeros(n)
-    for row in tables.where("kind = 'history'").select("blob").toLocalIterator():  # a row a history and split
-        x = unpack(row["blob"])
-        for r in range(TOP + 1):
-            np.add.at(types[r], x["h"], x[f"m{r + 1}"])
-        np.add.at(big, x["h"], x["big"])
-        np.add.at(p, x["h"], x["p"])
+    types, big, p = history_sums(tables, n)
     # the dense pairs' share of the sums
     classes = np.r_[:dense.shape[1] - 1, n - 2, n - 1]
     for r in range(TOP + 1):

@@ -41,6 +41,13 @@ def smallest(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+def runs(sorted_keys: np.ndarray):
+    """(key, start, end) of each run of equal keys, however many keys there could be."""
+    keys, starts = np.unique(sorted_keys, return_index=True)
+    ends = np.r_[starts[1:], len(sorted_keys)]
+    yield from zip(keys.tolist(), starts.tolist(), ends.tolist())
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = BYTES):
     """Runs of a batch's rows with about ``size`` bytes of text each, one row at least."""
     at = batch.schema.get_field_index(column)

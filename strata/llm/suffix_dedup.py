@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import release, store
-from .packed import pack, slices, smallest, unpack
+from .packed import pack, runs, slices, smallest, unpack
 from .tokens import mix, powers, text_bytes, text_column
 
 LENGTH = 50
@@ -131,14 +131,12 @@ def dealt_anchors(texts: DataFrame, parts: int) -> DataFrame:
                 if len(part):
                     new = np.r_[True, (part[1:] != part[:-1]) | (rest[1:] != rest[:-1]) | (d[1:] != d[:-1])]
                     part, rest, d = part[new], rest[new], d[new]
-                edges = np.searchsorted(part, np.arange(parts + 1))
                 name = text_column(batch, "rid")[0].as_py()
                 rows = [(-1, name, b"", _identity(batch))]
-                for k in range(parts):
-                    i = slice(edges[k], edges[k + 1])
-                    if edges[k] < edges[k + 1]:
-                        rows.append((k, name, b"", pack(dh=smallest(np.diff(rest[i], prepend=np.uint64(0))),
-                                                        d=smallest(d[i]))))
+                for k, start, end in runs(part):
+                    i = slice(start, end)
+                    rows.append((k, name, b"", pack(dh=smallest(np.diff(rest[i], prepend=np.uint64(0))),
+                                                    d=smallest(d[i]))))
                 yield _rows(rows)
 
     return texts.mapInArrow(run, _DEALT)
@@ -210,18 +208,16 @@ def dealt_windows(joined: DataFrame, parts: int) -> DataFrame:
                 # a stretch that several documents of the slice have is sent once
                 new = np.ones(len(part), bool)
                 new[1:] = (part[1:] != part[:-1]) | (same[1:] != same[:-1])
-                edges = np.searchsorted(part, np.arange(parts + 1))
                 name, ids = text_column(batch, "rid")[0].as_py(), text_column(batch, "id").to_numpy()
                 rows = [(-1, name, b"", _identity(batch))]
                 sent = pack(id=ids)
-                for k in range(parts):
-                    j = slice(edges[k], edges[k + 1])
-                    if edges[k] < edges[k + 1]:
-                        lead = edges[k] + np.flatnonzero(new[j])
-                        rows.append((k, name, sent, pack(
-                            d=smallest(d[j]), at=smallest(first[j] - offsets[d[j]]), new=new[j].astype(np.uint8),
-                            size=smallest(size[lead]), off=smallest(off[lead]),
-                            text=data[_ranges(first[lead], size[lead])])))
+                for k, start, end in runs(part):
+                    j = slice(start, end)
+                    lead = start + np.flatnonzero(new[j])
+                    rows.append((k, name, sent, pack(
+                        d=smallest(d[j]), at=smallest(first[j] - offsets[d[j]]), new=new[j].astype(np.uint8),
+                        size=smallest(size[lead]), off=smallest(off[lead]),
+                        text=data[_ranges(first[lead], size[lead])])))
                 yield _rows(rows)
 
     return joined.mapInArrow(run, _DEALT)
