@@ -12,6 +12,8 @@ and a non-empty one not at all (0.0). Repeated rows have equal sketches. Empty t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,30 +81,81 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, width_bits: int = 10) -> DataFrame:
+ROWS = 1024  # of a bucket, about
+MOST = 1024  # coarse buckets, and fine ones in each
+HOT = 64 * ROWS  # rows of one key beyond which they are dealt by value
+
+
+def _cuts(keys: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """``by`` and n - 1 of its keys that cut them into n about equal parts (``c``, ascending)."""
+    shares = F.array(*[F.lit((i + 1) / n) for i in range(n - 1)])
+    return keys.groupBy(*by).agg(F.percentile_approx("k", shares, F.lit(10 * n)).alias("c")) \
+        .select(*by, F.coalesce("c", F.array().cast("array<bigint>")).alias("c"))
+
+
+def _place(cuts: Column, k: Column) -> Column:
+    """Place of a key among cuts; a key that is a cut has a place of its own, and a null comes before all."""
+    return F.when(k.isNull(), -1).otherwise(F.size(F.filter(cuts, lambda c: c < k)) + F.size(F.filter(cuts, lambda c: c <= k)))
+
+
+def _dealt(docs: DataFrame, k: Column) -> DataFrame:
+    """Adds ``__bucket`` (a struct in the order of keys) of about ROWS rows each, whatever the keys are.
+
+    Cuts come from the keys themselves, in two levels of at most MOST parts (to the precision of a double: up to 1024
+    neighbouring keys beyond 2 ** 53 can't be told apart). A key that more than HOT rows have gets buckets of its own,
+    as many as it needs, by ``__tie``, a hash.
+    """
+    keys = docs.select(k.alias("k"))
+    n = min(MOST, max(1, math.ceil(math.sqrt(keys.count() / ROWS))))
+    if n == 1:
+        out = docs.withColumns({"__a": F.lit(0), "__b": F.lit(0)})
+    else:
+        coarse = F.array(*[F.lit(c).cast("bigint") for c in _cuts(keys, n, []).first()["c"]]).cast("array<bigint>")
+        fine = store(_cuts(keys.select("k", _place(coarse, F.col("k")).alias("a")), n, ["a"]), "cuts")
+        fine = F.broadcast(fine.select(F.col("a").alias("__f"), F.col("c").alias("__cuts")))  # 2 * MOST rows of MOST numbers
+        out = docs.withColumn("__a", _place(coarse, k)).join(fine, F.col("__a") == F.col("__f")) \
+            .withColumn("__b", _place(F.col("__cuts"), k)).drop("__f", "__cuts")
+    many = out.groupBy("__a", "__b", k.alias("k")).agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    hot = store(many.groupBy("__a", "__b").agg(F.collect_list(F.struct("k", "n")).alias("__hot")), "hot-keys")
+    if n == 1 or hot.isEmpty():
+        return out.withColumn("__bucket", F.struct("__a", "__b", F.lit(0).alias("__c"))).drop("__a", "__b")
+    # among the hot keys of its bucket a key lies before, between, after or on one, and then goes by hash
+    mine = F.filter("__hot", lambda h: h["k"].eqNullSafe(k))
+    parts = F.coalesce(F.ceil(F.get(mine, F.lit(0))["n"] / ROWS), F.lit(1))
+    share = (F.col("__tie").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+    place = F.coalesce(_place(F.transform("__hot", lambda h: h["k"]), k), F.lit(0))
+    return out.join(hot, ["__a", "__b"], "left").withColumn("__bucket", F.struct(
+        "__a", "__b", place.alias("__c"), F.least(F.floor(share * parts), parts - 1).alias("__d"))) \
+        .drop("__a", "__b", "__hot")
+
+
+def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, tie: Column | None = None) -> DataFrame:
     """``key``, ``value`` of the row itself as ``own`` and of the next row by descending key (after the last: of the
-    first) as ``out``.
+    first) as ``out``. Rows of one key are ordered by ``tie`` (a 64-bit hash, of the value if not given), then by value;
+    a null key comes last.
 
-    Rows are dealt by ranges of 2**width_bits keys and ordered within; only the first row of a range looks further, to
-    the last row of the range before. The table of ranges has one short row a range. Rows of one key are ordered by
-    value; a null key comes last.
+    Rows are dealt into buckets of about ROWS rows by cuts taken from the keys and ordered within; only the first row
+    of a bucket looks further, to the last row of the bucket before. The buckets, one short row each, are ordered in
+    one task: a few for each ROWS rows, whatever the keys are, and no more than 4 * MOST * MOST but for keys that very
+    many rows have.
     """
     k = F.col(key).cast("long")
-    df = docs.withColumn("__bucket", F.coalesce(F.shiftright(k, width_bits), F.lit(-(1 << 62))))
-    edges = store(df.groupBy("__bucket").agg(F.max(F.col(key)).alias("__k")), "ranges")
+    df = _dealt(docs.withColumn("__tie", F.xxhash64(value) if tie is None else tie), k)
+    edges = store(df.groupBy("__bucket").agg(F.max(F.struct(F.col(key).alias("k"), F.col("__tie").alias("t"))).alias("__k")),
+                  "edges")
     before = F.coalesce(F.lag("__bucket").over(W.orderBy("__bucket")), F.max("__bucket").over(W.partitionBy()))
     source = edges.withColumn("__from", before).select("__from", F.col("__bucket").alias("__to"))
-    keys = edges.select(F.col("__bucket").alias("__b"), "__k")
-    last = df.join(keys, (F.col("__bucket") == F.col("__b")) & F.col(key).eqNullSafe(F.col("__k"))) \
-        .select("__b", value.alias("__e")).groupBy("__b").agg(F.max("__e").alias("__far"))
-    far = source.join(last, F.col("__from") == F.col("__b")) \
+    keys = edges.select(F.col("__bucket").alias("__of"), "__k")
+    last = df.join(keys, (F.col("__bucket") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__k.k"))
+                   & (F.col("__tie") == F.col("__k.t"))) \
+        .select("__of", value.alias("__e")).groupBy("__of").agg(F.max("__e").alias("__far"))
+    far = source.join(last, F.col("__from") == F.col("__of")) \
         .select(F.col("__to").alias("__bucket"), F.lit(1).alias("__rank"), "__far")
-    at = W.partitionBy("__bucket").orderBy(key, own)
-    # dealt by range first, so that only the rows themselves are shuffled, not their values
-    inner = df.repartition(shuffle_parts(docs.sparkSession), "__bucket").select("__bucket", key, value.alias(own)) \
+    at = W.partitionBy("__bucket").orderBy(key, "__tie", own)
+    # dealt by bucket first, so that only the rows themselves are shuffled, not their values
+    inner = df.repartition(shuffle_parts(docs.sparkSession), "__bucket").select("__bucket", key, "__tie", value.alias(own)) \
         .withColumns({"__near": F.lag(own).over(at), "__rank": F.row_number().over(at)})
-    return inner.join(far, ["__bucket", "__rank"], "left") \
-        .select(key, own, F.coalesce("__near", "__far").alias(out))
+    return inner.join(far, ["__bucket", "__rank"], "left").select(key, own, F.coalesce("__near", "__far").alias(out))
 
 
 def edited(text: Column, following: Column) -> Column:

@@ -64,7 +64,7 @@ def op10_fingerprint(spark, sf_dir):
     """Fingerprints of every text and of its edited form, and their likeness."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     value = F.struct(F.col("text").alias("text"), fingerprint.sketch(F.col("text")).alias("sketch"))
-    both = fingerprint.with_next(docs, "doc_id", value, "own", "next")
+    both = fingerprint.with_next(docs, "doc_id", value, "own", "next", F.xxhash64("text"))
     changed = both.select("doc_id", F.col("own.text").alias("text"), F.col("own.sketch").alias("own"),
                           F.col("next.sketch").alias("next"),
                           fingerprint.edited(F.col("own.text"), F.col("next.text")).alias("edited"))

@@ -65,3 +65,33 @@ def test_empty_ties_and_native(spark, tmp_path):
     assert q.count() == 5
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _plain_next(rows):
+    """Descending by (id, hash, value), null last; each row's next, and the last one's the first."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1]), reverse=True)
+    return sorted((repr((r[0], r[1], order[(k + 1) % len(order)][1])) for k, r in enumerate(order)))
+
+
+def test_next_by_sparse_dense_and_repeated_ids(spark, monkeypatch):
+    """Hashed 64-bit ids, dense ones beside them, one id and null ids on very many rows; many buckets."""
+    import random
+    monkeypatch.setattr(P, "ROWS", 8)
+    monkeypatch.setattr(P, "HOT", 40)
+    rng = random.Random(4)
+    cases = {
+        "sparse": [rng.randrange(-(1 << 63), 1 << 63) for _ in range(500)],
+        "dense": list(range(300)) + [(1 << 62) + 4096 * k for k in range(200)],
+        "repeated and large": [(1 << 62) + 1] * 300 + [(1 << 62) + k for k in range(30)] + [None] * 120,
+        "repeated": [7] * 300 + list(range(100)) + [None] * 120,
+        "null": [None] * 90, "few": [3, 1, 2], "one": [5],
+    }
+    for name, ids in cases.items():
+        docs = spark.createDataFrame([(i, f"{name} {k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+        rows = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+        got = P.with_next(docs, "doc_id", F.col("text"), "own", "next")
+        assert sorted(repr(tuple(r)) for r in got.collect()) == _plain_next(rows), name
+        size = P._dealt(docs.withColumn("__tie", F.xxhash64("text")), F.col("doc_id")).groupBy("__bucket").count()
+        r = size.agg(F.count("*").alias("n"), F.max("count").alias("most")).first()
+        if len(ids) > 200:  # neither one bucket a row nor all rows in one
+            assert r["most"] <= 80 and r["n"] <= len(ids) * 3 / 4, (name, r)
