@@ -129,12 +129,17 @@ def q_income_by_source(L):
     return R.income_by_source(L.payment, L.apportionment, L.charge)
 
 
+def _elements(tags: list[str], columns: list[str]) -> str:
+    return " || ".join(xml_el(t, c) for t, c in zip(tags, columns))
+
+
+_ROOT, _ROW, _TAGS = FX.INCOME_XML
+
+
 @query("q_income_by_source_xml", with_ctes(f"""
-SELECT building_id, year, '<RecaudacionPorOrigen>' || string_agg(r, '' ORDER BY month) || '</RecaudacionPorOrigen>' AS xml
-FROM (SELECT building_id, year, month,
-             '<Periodo>' || {xml_el('Anio', 'year')} || {xml_el('Mes', 'month')} || {xml_el('NombreMes', 'month_name')}
-             || {xml_el('RecaudacionOrdinaria', 'ordinary')} || {xml_el('RecaudacionExtraordinaria', 'extraordinary')}
-             || {xml_el('TotalRecaudado', 'total')} || '</Periodo>' AS r
+SELECT building_id, year, '<{_ROOT}>' || string_agg(r, '' ORDER BY month) || '</{_ROOT}>' AS xml
+FROM (SELECT building_id, year, month, '<{_ROW}>' ||
+             {_elements(_TAGS, ["year", "month", "month_name", "ordinary", "extraordinary", "total"])} || '</{_ROW}>' AS r
       FROM ({_INCOME}) i) x
 GROUP BY building_id, year"""))
 def q_income_by_source_xml(L):
@@ -152,7 +157,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY building_id, year ORDER BY s DES
 WHERE rank <= 5""")
 
 
-@query("q_top_months_income", _top_months_sql("MAYORES INGRESOS", """
+@query("q_top_months_income", _top_months_sql(FX.TOP_INCOME_LABEL, """
 SELECT u.building_id, CAST(year(p.pay_date) AS INTEGER) AS year, CAST(month(p.pay_date) AS INTEGER) AS month,
        sum(p.amount) AS s
 FROM payment p JOIN unit u ON u.unit_id = p.unit_id GROUP BY ALL"""))
@@ -161,7 +166,7 @@ def q_top_months_income(L):
     return R.top_months_income(L.payment, L.unit)
 
 
-@query("q_top_months_expense", _top_months_sql("MAYORES GASTOS", """
+@query("q_top_months_expense", _top_months_sql(FX.TOP_EXPENSE_LABEL, """
 SELECT building_id, CAST(year(issue_date) AS INTEGER) AS year, CAST(month(issue_date) AS INTEGER) AS month,
        sum(amount) AS s
 FROM expense GROUP BY ALL"""))
@@ -171,10 +176,10 @@ def q_top_months_expense(L):
 
 
 # ---------------------------------------------------------------------------
-_TOP_DEBTORS = """
+_TOP_DEBTORS = f"""
 SELECT * FROM (
   SELECT u.building_id, pe.dni, pe.first_name, pe.last_name,
-         coalesce(pe.email, 'No informado') AS email, coalesce(pe.phone, 'No informado') AS phone,
+         coalesce(pe.email, '{FX.NOT_GIVEN}') AS email, coalesce(pe.phone, '{FX.NOT_GIVEN}') AS phone,
          u.floor || ' - ' || u.door AS unit_label, CAST(a.d AS DECIMAL(18,2)) AS total_debt,
          CAST(a.n AS INTEGER) AS open_charges,
          CAST(row_number() OVER (PARTITION BY u.building_id ORDER BY a.d DESC, pe.dni ASC) AS INTEGER) AS rank
@@ -190,13 +195,14 @@ def q_top_debtors(L):
     return R.top_debtors(L.person, L.unit, L.apportionment)
 
 
+_ROOT, _ROW, _ATTRIBUTE, _TAGS = FX.DEBTORS_XML
+
+
 @query("q_top_debtors_xml", with_ctes(f"""
-SELECT building_id, '<Top3Morosos>' || string_agg(r, '' ORDER BY rank) || '</Top3Morosos>' AS xml
-FROM (SELECT building_id, rank,
-             '<Moroso DNI="' || {xml_escape('dni')} || '">' || {xml_el('Nombre', 'first_name')}
-             || {xml_el('Apellido', 'last_name')} || {xml_el('Email', 'email')} || {xml_el('Telefono', 'phone')}
-             || {xml_el('UnidadFuncional', 'unit_label')} || {xml_el('DeudaTotal', 'total_debt')}
-             || {xml_el('CantidadExpensasAdeudadas', 'open_charges')} || '</Moroso>' AS r
+SELECT building_id, '<{_ROOT}>' || string_agg(r, '' ORDER BY rank) || '</{_ROOT}>' AS xml
+FROM (SELECT building_id, rank, '<{_ROW} {_ATTRIBUTE}="' || {xml_escape('dni')} || '">' ||
+             {_elements(_TAGS, ["first_name", "last_name", "email", "phone", "unit_label", "total_debt", "open_charges"])}
+             || '</{_ROW}>' AS r
       FROM ({_TOP_DEBTORS}) t) x
 GROUP BY building_id"""))
 def q_top_debtors_xml(L):
@@ -235,9 +241,9 @@ def q_debtors_html(L):
 
 
 # ---------------------------------------------------------------------------
-@query("q_days_between_payments", with_ctes("""
+@query("q_days_between_payments", with_ctes(f"""
 SELECT u.building_id, p.payment_id, u.floor || ' - ' || u.door AS unit_label, p.pay_date,
-       coalesce(CAST(p.prev AS VARCHAR), 'Primer Pago') AS previous_date,
+       coalesce(CAST(p.prev AS VARCHAR), '{FX.FIRST_PAYMENT}') AS previous_date,
        CAST(CASE WHEN p.prev IS NULL THEN 0 ELSE date_diff('day', p.prev, p.pay_date) END AS INTEGER) AS days
 FROM (SELECT payment_id, unit_id, pay_date,
              lag(pay_date) OVER (PARTITION BY unit_id ORDER BY pay_date, payment_id) AS prev
@@ -268,12 +274,12 @@ def q_statement_header(L):
     return R.statement_header(L.charge, L.building)
 
 
-@query("q_statement_debtors", with_ctes("""
-SELECT 'DEUDOR' AS kind, u.building_id, pe.dni, pe.first_name || ' ' || pe.last_name AS full_name,
+@query("q_statement_debtors", with_ctes(f"""
+SELECT '{FX.DEBTOR_LABEL}' AS kind, u.building_id, pe.dni, pe.first_name || ' ' || pe.last_name AS full_name,
        u.floor || ' - ' || u.door AS unit_label, CAST(a.debt AS DECIMAL(12,2)) AS debt,
        CAST(a.interest AS DECIMAL(12,2)) AS interest, a.charge_no
 FROM apportionment a JOIN unit u ON u.unit_id = a.unit_id
-JOIN occupancy o ON o.unit_id = u.unit_id AND o.role = 'Propietario'
+JOIN occupancy o ON o.unit_id = u.unit_id AND o.role = '{FX.ROLE_OWNER}'
 JOIN person pe ON pe.dni = o.dni
 WHERE a.debt > 0"""))
 def q_statement_debtors(L):
@@ -282,7 +288,7 @@ def q_statement_debtors(L):
 
 
 @query("q_statement_ordinary", with_ctes(f"""
-SELECT 'ORDINARIO' AS kind, e.charge_no, e.expense_id, eo.category, e.description AS detail, eo.provider,
+SELECT '{FX.ORDINARY_LABEL}' AS kind, e.charge_no, e.expense_id, eo.category, e.description AS detail, eo.provider,
        eo.invoice_no, {dmy('e.issue_date')} AS issue_date, CAST(e.amount AS DECIMAL(10,2)) AS amount
 FROM expense e JOIN expense_ordinary eo ON eo.expense_id = e.expense_id"""))
 def q_statement_ordinary(L):
@@ -301,7 +307,7 @@ def q_statement_ordinary_order(L):
 
 
 @query("q_statement_extra", with_ctes(f"""
-SELECT 'EXTRAORDINARIO' AS kind, e.charge_no, e.expense_id, e.description AS detail,
+SELECT '{FX.EXTRAORDINARY_LABEL}' AS kind, e.charge_no, e.expense_id, e.description AS detail,
        CAST(x.instalment AS INTEGER) AS instalment, CAST(x.instalments AS INTEGER) AS instalments,
        {dmy('e.issue_date')} AS issue_date, CAST(e.amount AS DECIMAL(10,2)) AS amount
 FROM expense e JOIN expense_extraordinary x ON x.expense_id = e.expense_id"""))
@@ -311,7 +317,7 @@ def q_statement_extra(L):
 
 
 @query("q_statement_totals", with_ctes(
-    "SELECT 'ESTADO_FINANCIERO' AS kind, c.charge_no, struct_extract(c.v, 'concept') AS concept, "
+    f"SELECT '{FX.FINANCIAL_LABEL}' AS kind, c.charge_no, struct_extract(c.v, 'concept') AS concept, "
     "CAST(CASE struct_extract(c.v, 'line') WHEN 1 THEN e.o WHEN 2 THEN e.x "
     "WHEN 3 THEN c.total WHEN 4 THEN a.rec WHEN 5 THEN a.bal WHEN 6 THEN a.debt END AS DECIMAL(18,2)) AS amount, "
     "CAST(struct_extract(c.v, 'line') AS INTEGER) AS line\n"
@@ -326,8 +332,8 @@ def q_statement_totals(L):
     return R.statement_totals(L.charge, L.expense, L.apportionment)
 
 
-@query("q_statement_units", with_ctes("""
-SELECT 'PRORRATEO' AS kind, a.charge_no, a.unit_id, u.floor || ' - ' || u.door AS unit_label,
+@query("q_statement_units", with_ctes(f"""
+SELECT '{FX.APPORTIONMENT_LABEL}' AS kind, a.charge_no, a.unit_id, u.floor || ' - ' || u.door AS unit_label,
        CAST(a.pct AS DECIMAL(5,2)) AS pct, CAST(a.ordinary AS DECIMAL(12,2)) AS ordinary,
        CAST(a.extraordinary AS DECIMAL(12,2)) AS extraordinary, CAST(a.prior_balance AS DECIMAL(12,2)) AS prior_balance,
        CAST(a.interest AS DECIMAL(12,2)) AS interest, CAST(a.total AS DECIMAL(12,2)) AS total,

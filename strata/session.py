@@ -66,7 +66,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session, else the folder set with ``setCheckpointDir``. Only a local
     session without either (tests) gets a folder under the system temp dir; on a cluster that is an error, since
-    executors do not share their own disks. Every call returns a new, unique sub-folder.
+    executors do not share their own disks. Every call returns a new, unique sub-folder of the application's folder,
+    which ``drop_run`` removes.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
@@ -75,7 +76,31 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "strata-checkpoints")
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, *parts, uuid.uuid4().hex)
+    return os.path.join(base, run_name(spark), *parts, uuid.uuid4().hex)
+
+
+def run_name(spark: SparkSession) -> str:
+    """Names what this application stores: its folder, and the prefix of its tables."""
+    return "strata_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId.lower())
+
+
+def drop_run(spark: SparkSession) -> None:
+    """Removes all that this application stored: its shared folder, its tables and the ledgers it remembers.
+
+    For the end of a job, when no DataFrame of it is read any more.
+    """
+    from .plans import catalog
+
+    name = run_name(spark)
+    for table in spark.catalog.listTables(pattern=f"{name}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    app = spark.sparkContext.applicationId
+    for key in [k for k in catalog._LEDGERS if k[0] == app]:
+        del catalog._LEDGERS[key]
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(base, name))
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -33,7 +33,7 @@ from ..fixed import ROLE_OWNER, ROLE_TENANT
 from ..operators import charges as C
 from ..operators import payments as P
 from ..schemas import EXPENSE_JSON_KEYS
-from ..session import path_stamp, shared_dir
+from ..session import path_stamp, run_name, shared_dir
 from .tables import scan
 
 # Fixed values of the derivation: (returnflag, linestatus) pair -> JSON amount key.
@@ -374,7 +374,7 @@ class Ledger:
             target = f"{path}/{name}"
             if name in self.BUCKETED:
                 key = self.BUCKETED[name]
-                table = f"strata_{run}_{name}"
+                table = f"{run_name(self.spark)}_{run}_{name}"
                 # as many buckets as the table it is made from has blocks, never fewer than tasks
                 blocks = -(-path_stamp(self.spark, f"{path}/apportion_carried")[0] // BUCKET_BYTES)
                 buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), blocks)

@@ -173,3 +173,17 @@ def test_a_date_range_reads_its_months_only(spark):
     every = {r.pay_month for r in L.payment_by_month.select("pay_month").distinct().collect()}
     assert len(every) > 60 and "pay_month" not in L.payment.columns
     assert L.payment_by_month.filter("pay_month <> trunc(pay_date, 'month')").isEmpty()
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    """The application's folder, tables and remembered ledgers go; what is asked for next is built again."""
+    from strata.plans.catalog import _LEDGERS
+    from strata.session import drop_run, path_exists, run_name
+    rows = QUERIES["q_statement_units"](spark, SF_SMALL).count()
+    folder = shared_dir(spark, "x").rsplit("/x/", 1)[0]
+    assert folder.endswith(run_name(spark)) and path_exists(spark, folder)
+    assert spark.catalog.listTables(pattern=f"{run_name(spark)}_*")
+    drop_run(spark)
+    assert not path_exists(spark, folder) and not spark.catalog.listTables(pattern=f"{run_name(spark)}_*")
+    assert not _LEDGERS
+    assert QUERIES["q_statement_units"](spark, SF_SMALL).count() == rows
