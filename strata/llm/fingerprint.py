@@ -7,7 +7,9 @@ texts' shingles. They estimate resemblance, containment and the number of distin
 Hashes are xxhash64 values mapped to unsigned order by flipping the sign bit, so smallness is uniform.
 
 Defined cases: null and blank texts have an empty sketch; two empty sketches resemble each other fully (1.0), an empty
-and a non-empty one not at all (0.0). Repeated rows have equal sketches. Empty tables give empty results.
+and a non-empty one not at all (0.0). Repeated rows have equal sketches. Texts are read whole: a very long one is one row,
+with eight bytes a word beside it. Empty tables give empty results. ``with_next`` reads the key and the value and
+returns them under the names given; no other column enters, and working columns begin with ``__``.
 """
 
 from __future__ import annotations

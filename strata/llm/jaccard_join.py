@@ -22,7 +22,9 @@ nodes and the documents of each node. Copies are never paired, and the blocks' n
 
 Defined cases: null and blank texts have an empty set, belong to no one and are their own component; a text of fewer
 words than a shingle has one shingle, the whole sequence; repeated rows have equal sets and are connected; a null id
-gets the smallest id of its component, null if there is none. Empty tables give empty results.
+gets the smallest id of its component, null if there is none. Texts are read whole, in slices of about a megabyte; a very
+long one is one set, eight bytes a shingle. ``join`` and ``node_links`` read the id and the text only and return their own
+columns; ``one_of_each`` returns all columns as they came. Empty tables give empty results.
 """
 
 from __future__ import annotations

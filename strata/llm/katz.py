@@ -27,7 +27,9 @@ of all tokens, so no part gathers a hot one. Word counts, pair counts of table w
 the shared folder.
 
 Defined cases: a null text is empty and has the end token only; a null id is not held out; repeated rows are texts of
-their own; without training texts every token is unknown and all scores are 0. Empty tables give empty results.
+their own; without training texts every token is unknown and all scores are 0. Classes of equal count are told apart by hash,
+and a class count that does not fit the table stays open whole, so ties change no score. Texts are read whole, however
+long. Empty tables give empty results. Only the named columns are read; the result has the id and its own columns.
 """
 
 from __future__ import annotations
