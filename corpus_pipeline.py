@@ -1,6 +1,13 @@
 """Corpus pipeline: five stages over ``documents``, each stored as Parquet and read again by the next.
 
 Every stage works on all that its predecessor kept and returns the columns of ``documents``; the last one returns ids.
+
+Defined cases. Null texts and texts of fewer than 20 words fail the quality rules, and go with the first stage; the stages
+after it take them as their operators say, if called alone. Null ids, sources and languages are values like others: a null
+source is one source, null ids stay null and come after all others where the smallest id is kept. Of documents that are
+near copies the smallest id stays, of repeated rows of one id one row; the mix then may take a row up to three times, as
+equal rows. Ids keep their type and value, and columns beyond those of ``documents`` pass through all stages but the last.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
