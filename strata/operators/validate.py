@@ -46,10 +46,10 @@ def keyed_rows(df: DataFrame, key: list[str], order: list[str], existing: DataFr
     """Mark one row of each key, the first by ``order`` (ties: by all columns), and whether
     ``existing`` holds the key.
 
-    One aggregate over the batch's rows and the stored keys gives each key its number of rows,
-    its smallest row and whether it is stored. That row comes out of the aggregate; only rows of
-    keys that repeat are looked up again, equal rows grouped and dealt out, so exactly one row
-    is first. A NULL in a key is no repeat, and stored nowhere.
+    One aggregate over the batch's rows and the stored keys gives each key its number of rows, whether it is stored, and
+    for a key that comes once its row. Only rows of keys that repeat are looked up again: equal rows are grouped, the
+    smallest of each key is found, and all are dealt out, so exactly one row is first. A NULL in a key is no repeat, and
+    stored nowhere.
     """
     cols, names = df.columns, [f"_k{i}" for i in range(len(key))]
     every = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
@@ -57,20 +57,25 @@ def keyed_rows(df: DataFrame, key: list[str], order: list[str], existing: DataFr
     whole = F.lit(True)
     for n in names:
         whole = whole & F.col(n).isNotNull()
-    own = keyed.filter(whole).select(*names, every.alias("_row"), F.lit(False).alias(stored))
+    own = keyed.filter(whole).withColumns({"_own": F.lit(1), stored: F.lit(False)})
     if existing is not None:
-        old = existing.select(*[compared(existing, c).alias(n) for c, n in zip(key, names)]) \
-            .select("*", F.lit(None).cast(own.schema["_row"].dataType).alias("_row"), F.lit(True).alias(stored))
+        old = existing.select(*[compared(existing, c).alias(n) for c, n in zip(key, names)])
+        old = old.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema], *names,
+                         F.lit(0).alias("_own"), F.lit(True).alias(stored))
         own = own.unionByName(old)
-    keys = own.groupBy(*names).agg(F.count("_row").alias("_n"), F.min("_row").alias("_least"),
-                                   F.max(stored).alias(stored)).filter(F.col("_n") > 0)
-    first = keys.select(*[F.col("_least")[c].alias(c) for c in cols], F.lit(True).alias(flag), F.col(stored))
-    repeated = keys.filter(F.col("_n") > 1).select(*[F.col(n).alias(f"_r{i}") for i, n in enumerate(names)], "_least", stored)
-    again = keyed.filter(whole).join(repeated, [F.col(n) == F.col(f"_r{i}") for i, n in enumerate(names)]) \
-        .groupBy(*cols, "_least", stored).agg(F.count(F.lit(1)).alias("_m")) \
-        .withColumn("_m", F.col("_m") - every.eqNullSafe(F.col("_least")).cast("int")).filter(F.col("_m") > 0)
-    copies = again.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
-    out = first.unionByName(copies.select(*cols, F.lit(False).alias(flag), stored))
+    mine = F.col("_own") == 1
+    keys = own.groupBy(*names).agg(F.sum("_own").alias("_n"), F.max(stored).alias(stored),
+                                   *[F.max(F.when(mine, F.col(c))).alias(f"_c{i}") for i, c in enumerate(cols)])
+    once = keys.filter(F.col("_n") == 1).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(cols)],
+                                                F.lit(True).alias(flag), F.col(stored))
+    repeated = keys.filter(F.col("_n") > 1).select(*[F.col(n).alias(f"_r{i}") for i, n in enumerate(names)], stored)
+    by = [f"_r{i}" for i in range(len(names))]
+    groups = keyed.filter(whole).join(repeated, [F.col(n) == F.col(r) for n, r in zip(names, by)]) \
+        .groupBy(*by, *cols, stored).agg(F.count(F.lit(1)).alias("_m"))
+    least = groups.groupBy(*by).agg(F.min(every).alias("_least"))
+    copies = groups.join(least, by).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m"))))
+    out = once.unionByName(copies.select(
+        *cols, ((F.col("_i") == 1) & every.eqNullSafe(F.col("_least"))).alias(flag), stored))
     if any(keyed.schema[n].nullable for n in names):
         out = out.unionByName(keyed.filter(~whole).select(*cols, F.lit(True).alias(flag), F.lit(False).alias(stored)))
     return out
