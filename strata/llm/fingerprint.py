@@ -95,13 +95,19 @@ def _cuts(keys: DataFrame, n: int, by: list[str]) -> DataFrame:
         .select(*by, F.coalesce("c", F.array().cast("array<bigint>")).alias("c"))
 
 
-def _place(cuts: Column, k: Column) -> Column:
-    """Place of a key among cuts; a key that is a cut has a place of its own, and a null comes before all."""
-    return F.when(k.isNull(), -1).otherwise(F.size(F.filter(cuts, lambda c: c < k)) + F.size(F.filter(cuts, lambda c: c <= k)))
+def _below(cuts: Column, k: Column) -> Column:
+    """How many cuts are below a key; a null comes before all."""
+    return F.when(k.isNull(), -1).otherwise(F.size(F.filter(cuts, lambda c: c < k)))
+
+
+def _number(place: Column, part: Column) -> Column:
+    """Coarse and fine place (-1 to 1023), place among hot keys (-1 to 16382) and part (below 2 ** 24) in one number."""
+    a, b = F.col("__a").cast("bigint") + 1, F.col("__b").cast("bigint") + 1
+    return ((a * 2048 + b) * 16384 + place.cast("bigint") + 1) * (1 << 24) + part.cast("bigint")
 
 
 def _dealt(docs: DataFrame, k: Column) -> DataFrame:
-    """Adds ``__bucket`` (a struct in the order of keys) of about ROWS rows each, whatever the keys are.
+    """Adds ``__bucket`` (a number in the order of keys) of about ROWS rows each, whatever the keys are.
 
     Cuts come from the keys themselves, in two levels of at most MOST parts (to the precision of a double: up to 1024
     neighbouring keys beyond 2 ** 53 can't be told apart). A key that more than HOT rows have gets buckets of its own,
@@ -113,22 +119,22 @@ def _dealt(docs: DataFrame, k: Column) -> DataFrame:
         out = docs.withColumns({"__a": F.lit(0), "__b": F.lit(0)})
     else:
         coarse = F.array(*[F.lit(c).cast("bigint") for c in _cuts(keys, n, []).first()["c"]]).cast("array<bigint>")
-        fine = store(_cuts(keys.select("k", _place(coarse, F.col("k")).alias("a")), n, ["a"]), "cuts")
-        fine = F.broadcast(fine.select(F.col("a").alias("__f"), F.col("c").alias("__cuts")))  # 2 * MOST rows of MOST numbers
-        out = docs.withColumn("__a", _place(coarse, k)).join(fine, F.col("__a") == F.col("__f")) \
-            .withColumn("__b", _place(F.col("__cuts"), k)).drop("__f", "__cuts")
+        fine = store(_cuts(keys.select("k", _below(coarse, F.col("k")).alias("a")), n, ["a"]), "cuts")
+        fine = F.broadcast(fine.select(F.col("a").alias("__f"), F.col("c").alias("__cuts")))  # MOST rows of MOST numbers
+        out = docs.withColumn("__a", _below(coarse, k)).join(fine, F.col("__a") == F.col("__f")) \
+            .withColumn("__b", _below(F.col("__cuts"), k)).drop("__f", "__cuts")
     many = out.groupBy("__a", "__b", k.alias("k")).agg(F.count("*").alias("n")).where(F.col("n") > HOT)
     hot = store(many.groupBy("__a", "__b").agg(F.collect_list(F.struct("k", "n")).alias("__hot")), "hot-keys")
     if n == 1 or hot.isEmpty():
-        return out.withColumn("__bucket", F.struct("__a", "__b", F.lit(0).alias("__c"))).drop("__a", "__b")
+        return out.withColumn("__bucket", _number(F.lit(0), F.lit(0))).drop("__a", "__b")
     # among the hot keys of its bucket a key lies before, between, after or on one, and then goes by hash
     mine = F.filter("__hot", lambda h: h["k"].eqNullSafe(k))
-    parts = F.coalesce(F.ceil(F.get(mine, F.lit(0))["n"] / ROWS), F.lit(1))
+    parts = F.least(F.coalesce(F.ceil(F.get(mine, F.lit(0))["n"] / ROWS), F.lit(1)), F.lit(1 << 24))
     share = (F.col("__tie").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
-    place = F.coalesce(_place(F.transform("__hot", lambda h: h["k"]), k), F.lit(0))
-    return out.join(hot, ["__a", "__b"], "left").withColumn("__bucket", F.struct(
-        "__a", "__b", place.alias("__c"), F.least(F.floor(share * parts), parts - 1).alias("__d"))) \
-        .drop("__a", "__b", "__hot")
+    place = F.when(k.isNull(), -1).otherwise(F.coalesce(
+        F.size(F.filter("__hot", lambda h: h["k"] < k)) + F.size(F.filter("__hot", lambda h: h["k"] <= k)), F.lit(0)))
+    return out.join(hot, ["__a", "__b"], "left") \
+        .withColumn("__bucket", _number(place, F.least(F.floor(share * parts), parts - 1))).drop("__a", "__b", "__hot")
 
 
 def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, tie: Column | None = None) -> DataFrame:
@@ -138,8 +144,8 @@ def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, tie:
 
     Rows are dealt into buckets of about ROWS rows by cuts taken from the keys and ordered within; only the first row
     of a bucket looks further, to the last row of the bucket before. The buckets, one short row each, are ordered in
-    one task: a few for each ROWS rows, whatever the keys are, and no more than 4 * MOST * MOST but for keys that very
-    many rows have.
+    one task: a few for each ROWS rows, whatever the keys are, and no more than MOST * MOST but for keys that very many
+    rows have.
     """
     k = F.col(key).cast("long")
     df = _dealt(docs.withColumn("__tie", F.xxhash64(value) if tie is None else tie), k)
@@ -151,13 +157,13 @@ def with_next(docs: DataFrame, key: str, value: Column, own: str, out: str, tie:
     last = df.join(keys, (F.col("__bucket") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__k.k"))
                    & (F.col("__tie") == F.col("__k.t"))) \
         .select("__of", value.alias("__e")).groupBy("__of").agg(F.max("__e").alias("__far"))
-    far = source.join(last, F.col("__from") == F.col("__of")) \
-        .select(F.col("__to").alias("__bucket"), F.lit(1).alias("__rank"), "__far")
+    far = source.join(last, F.col("__from") == F.col("__of")).select(F.col("__to").alias("__bucket"), "__far")
     at = W.partitionBy("__bucket").orderBy(key, "__tie", own)
-    # dealt by bucket first, so that only the rows themselves are shuffled, not their values
+    # dealt by bucket first, so that only the rows themselves are shuffled, not their values; the join finds them in place
     inner = df.repartition(shuffle_parts(docs.sparkSession), "__bucket").select("__bucket", key, "__tie", value.alias(own)) \
         .withColumns({"__near": F.lag(own).over(at), "__rank": F.row_number().over(at)})
-    return inner.join(far, ["__bucket", "__rank"], "left").select(key, own, F.coalesce("__near", "__far").alias(out))
+    return inner.join(far, "__bucket", "left") \
+        .select(key, own, F.when(F.col("__rank") == 1, F.col("__far")).otherwise(F.col("__near")).alias(out))
 
 
 def edited(text: Column, following: Column) -> Column:
