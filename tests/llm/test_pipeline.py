@@ -53,7 +53,7 @@ def test_stages(spark, tmp_path):
 
 
 def test_registered_and_empty(spark, tmp_path):
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     documents(spark, ["a"]).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     assert C.run(spark, str(tmp_path)).collect() == []
