@@ -90,3 +90,12 @@ def test_all_trusted_documents_count(spark):
     few, every = ({r["doc_id"]: r["score"] for r in Q.judge(documents(spark, texts), labels, n=512, max_labelled=m).collect()}
                   for m in (2, 1000))
     assert few == every and any(every.values())
+
+
+def test_threshold_is_set_on_all_labelled_documents(spark):
+    ids = [r["id"] for r in spark.range(20_060).orderBy(F.xxhash64("id")).collect()]
+    bad = set(ids[20_000:])  # the last by id hash
+    texts = [" ".join(f"{'buy' if i in bad else 'calm'}{j}" for j in range(22)) for i in range(len(ids))]
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in ids], "doc_id long, quality int")
+    dropped = {r["doc_id"] for r in Q.judge(documents(spark, texts), labels, n=512).where("not kept and not base_failed").collect()}
+    assert dropped == bad
