@@ -80,8 +80,9 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     object. What is no object in an array is no row; an element that is no JSON is a row of NULLs."""
     n = tasks_for(spark, path_bytes(spark, path))
     stored = _pieces(spark, path)
-    roots = stored.filter("split = 0").groupBy("file").agg(
-        F.startswith(F.ltrim(F.min_by("value", "pos"), F.lit(_BLANK)), F.lit("[")).cast("bigint").alias("root"))
+    # whether a file's first piece opens an array, beside its place: a number needs no sort to find the first
+    opens = F.startswith(F.ltrim("value", F.lit(_BLANK)), F.lit("[")).cast("bigint")
+    roots = stored.filter("split = 0").groupBy("file").agg(F.pmod(F.min(2 * F.col("pos") + opens), F.lit(2)).alias("root"))
     p = _inside(stored.repartition(n, *_PLACE))
     inside = F.col("inside") == 1
     p = p.join(_block_starts(p), [*_PLACE]).join(roots, "file")
