@@ -27,7 +27,8 @@ MOST_COPIES = 3.0
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality rules reject."""
-    judged = quality_rules.judge(docs.withColumn("__doc", F.struct("*")), table(configure(spark), sf_dir, "labels"))
+    judged = quality_rules.judge(docs.withColumn("__doc", F.struct("*")), table(configure(spark), sf_dir, "labels"),
+                                 passed=["__doc"])
     return judged.where("kept").select("__doc.*")
 
 

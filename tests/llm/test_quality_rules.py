@@ -99,3 +99,13 @@ def test_threshold_is_set_on_all_labelled_documents(spark):
     labels = spark.createDataFrame([(i, int(i not in bad)) for i in ids], "doc_id long, quality int")
     dropped = {r["doc_id"] for r in Q.judge(documents(spark, texts), labels, n=512).where("not kept and not base_failed").collect()}
     assert dropped == bad
+
+
+def test_texts_are_measured_once(spark):
+    docs = documents(spark, ["a b c"] * 3).withColumn("id", F.lit("clash")).withColumn("m", F.lit("clash"))
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    judged = Q.judge(docs, labels)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan and "split" not in plan  # neither figure nor score is computed again for the result
+    assert judged.columns == [*docs.columns, *Q.COLUMNS]
+    assert Q.judge(docs, labels, passed=["doc_id"]).columns == ["doc_id", *Q.COLUMNS]
