@@ -1,7 +1,8 @@
 """Connected components of an edge list by alternating large and small stars.
 
 Each round joins and aggregates edges by key; no component is ever gathered. A round is stored in the shared folder, so
-lineage stays short. Rounds grow with the logarithm of the longest path.
+lineage stays short. Rounds grow with the logarithm of the longest path. The steps of a round have one task for so many
+edges, at most the cluster's number: a round of few edges is not dealt over hundreds of tasks and files.
 """
 
 from __future__ import annotations
@@ -9,28 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import shuffle_parts, store
 
+TASK_EDGES = 10_000
 
-def _least(edges: DataFrame, node: str, other: str, name: str) -> DataFrame:
+
+def _store(df: DataFrame, edges: int, name: str) -> DataFrame:
+    """Stores a step on so many edges, in as many tasks and files as they need."""
+    tasks = max(1, -(-edges // TASK_EDGES))
+    return store(df.coalesce(tasks) if tasks < shuffle_parts(df.sparkSession) else df, name)
+
+
+def _least(edges: DataFrame, node: str, other: str, n: int, name: str) -> DataFrame:
     """Smallest neighbour of each node. Stored, so that the join with it meets two plain inputs: a small one is
     broadcast, and of large ones Spark splits the partition of a node that very many edges have."""
-    return store(edges.groupBy(node).agg(F.min(other).alias("m")), name)
+    return _store(edges.groupBy(node).agg(F.min(other).alias("m")), n, name)
 
 
-def _large(edges: DataFrame, name: str) -> DataFrame:
+def _large(edges: DataFrame, n: int, name: str) -> DataFrame:
     """Every larger neighbour of a node to the smallest of its neighbours and itself.
 
     Edges go from a larger node u to a smaller v. A node has smaller neighbours only where it is a u, so each edge's
     v is replaced by its own smallest neighbour, if it has one.
     """
-    least = _least(edges, "u", "v", name).withColumnRenamed("u", "w")
+    least = _least(edges, "u", "v", n, name).withColumnRenamed("u", "w")
     return edges.join(least, edges["v"] == least["w"], "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
-def _small(edges: DataFrame, name: str) -> DataFrame:
+def _small(edges: DataFrame, n: int, name: str) -> DataFrame:
     """Every smaller neighbour of a node, and the node, to the smallest of them."""
-    joined = edges.join(_least(edges, "u", "v", name), "u")
+    joined = edges.join(_least(edges, "u", "v", n, name), "u")
     return joined.select("u", F.col("m").alias("v")) \
         .union(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -45,7 +54,7 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen, k = mark, k + 1
-        e = store(_large(e, f"{name}-{k}-large-least"), f"{name}-{k}-large")
-        e = store(_small(e, f"{name}-{k}-small-least"), f"{name}-{k}-small")
+        e = _store(_large(e, mark[0], f"{name}-{k}-large-least"), mark[0], f"{name}-{k}-large")
+        e = _store(_small(e, mark[0], f"{name}-{k}-small-least"), mark[0], f"{name}-{k}-small")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

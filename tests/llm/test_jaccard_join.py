@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from helpers import DOCS, documents, edge_texts, lower, words
 
+from strata.llm import components as C
 from strata.llm import jaccard_join as J
 from strata.llm.components import components
 
@@ -128,3 +129,25 @@ def test_links_against_brute_force(spark, n, percent, tile):
     assert nodes.count() == len(rows) and len(of) == len(different) and {x for p in found for x in p} <= of.keys()
     assert len(found) == len(set(found)) and all(a < b for a, b in found)
     assert len(found) == sum(near(x, y) for k, x in enumerate(different) for y in different[:k])
+
+
+def test_rounds_of_few_edges_have_few_tasks(spark, monkeypatch):
+    tasks, coalesce = {}, "spark.sql.adaptive.coalescePartitions.enabled"
+
+    def spy(df, name):
+        out = store(df, name)
+        tasks[name] = len(out.inputFiles())
+        return out
+
+    store = C.store
+    monkeypatch.setattr(C, "store", spy)
+    monkeypatch.setattr(C, "TASK_EDGES", 50)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(99)] + [(200, 201)], "a long, b long")
+    old = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        found = {r["node"]: r["root"] for r in C.components(edges, "a", "b", "few").collect()}
+    finally:
+        spark.conf.set(coalesce, old)
+    assert found == {**{i: 0 for i in range(100)}, 200: 200, 201: 200}
+    assert all(n <= 2 for name, n in tasks.items() if name != "few-0") and len(tasks) > 4
