@@ -77,3 +77,13 @@ def test_positions_store_what_is_asked_for(spark):
     debtors = spark.createDataFrame([("x", 1, None), ("y", 2, 5), ("z", 3, 7)], "dni string, charge_no long, debt int")
     found = R.positions("statement_debtors", debtors).orderBy("position").collect()
     assert [r.dni for r in found] == ["x", "z", "y"]
+
+
+def test_tasks_stay_small_where_the_cluster_has_partitions_enough(spark, small_tasks):
+    spark.conf.unset(session._PART_BYTES)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session.tasks_for(spark, 4096) == own
+    assert spark.conf.get(session._PART_BYTES) == "16m"
+    spark.conf.set(session._PART_BYTES, "3m")  # the cluster's word holds
+    session.tasks_for(spark, 4096)
+    assert spark.conf.get(session._PART_BYTES) == "3m"
