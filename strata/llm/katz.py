@@ -17,9 +17,11 @@ that is broadcast: a pair that very many texts have is one of these, so no part
 scores these pairs where they are read and deals the others by (history, word), as packed number columns; hot
 histories are split over several parts by the following word. A pair with an open word is dealt by that word's hash,
 a pair of two open words by both: the follower's part has all tokens of the follower and so knows P(w), the history's
-part has all that follows the history and so knows its total; both know the pair's count, and the logarithm of a
-score is a sum of what each of them knows. Each part counts its pairs, and answers each dealing batch with partial
-sums by document that are linear in the logarithms still unknown (discounts, backoff weights). History totals of table
+part has all that follows the history; both know the pair's count, and the logarithm of a score is a sum of what
+each of them knows. An open history's total is its count as a word, so it goes with the history's own token. Each part
+counts its pairs, and answers each dealing batch with those counts by document: small whole numbers, a byte or two a
+token at any number of parts, of which the last pass takes the logarithms. What the table alone tells of a token is
+summed by document where the token is read. History totals of table
 words are added up in tasks and by history; the driver gets one row a table word. The backoff weight of an open history also needs
 the P mass of its open followers: their parts send it by history hash, and a pass between joins it to the tokens that
 wait for the weight. The last pass adds up the answers batch by batch. An open word has at most about one in ``table``
@@ -243,8 +245,7 @@ def _by_hash(m: Words, first: int, x: np.ndarray, y: np.ndarray, y_class: np.nda
 
 def dealt(texts: DataFrame, words) -> DataFrame:
     """(part, batch, blob): each slice's pairs by part, then its rare words by part (of an open model with the word
-    before, then its rare histories with the word after), then its documents with the sums of their dense pairs
-    (part -1)."""
+    before, then its rare histories with the word after), then its documents with their sums (part -1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Words = words.value
         other, of = len(m.hashes), m.dense_of
@@ -264,7 +265,7 @@ def dealt(texts: DataFrame, words) -> DataFrame:
                     here[rare] = here[after] = False
                 hd, wd = of[before], of[cls]
                 dense = (hd >= 0) & (wd >= 0)
-                sums = _dense_sums(m, docs, doc[dense], before[dense], cls[dense], m.dense[hd[dense], wd[dense]])
+                sums = _sums(m, docs, doc, before, cls, dense, m.dense[hd[dense], wd[dense]])
                 here &= ~dense
                 doc, cls, before = doc[here], cls[here], before[here]
                 bits = max(1, (other + 2).bit_length())
@@ -305,43 +306,74 @@ def dealt(texts: DataFrame, words) -> DataFrame:
     return texts.mapInArrow(run, "part int, batch long, flags binary, blob binary")
 
 
-def _token_terms(m: Words, c: np.ndarray, h: np.ndarray, w: np.ndarray):
-    """Of tokens with pair count c: the known part of log10 P, log10 of the baseline (0 for other words), and whether
-    training has the word (no for other words)."""
-    in_words = w < len(m.hashes)
-    own = np.where(in_words, m.counts[np.minimum(w, len(m.hashes) - 1)], 0)
+def _sums(m: Words, docs: int, doc: np.ndarray, h: np.ndarray, w: np.ndarray, dense: np.ndarray, c: np.ndarray) -> dict:
+    """Sums by document of what the tables tell: tokens, all about table words alone, what history totals take from
+    the score, and the scores of dense pairs (training counts ``c``) with the history of each unseen one in order of
+    document."""
+    n = len(m.hashes)
+    own = np.append(m.counts[:n], [0, 0])
+    base_of = np.where(np.arange(n + 2) < n, _base(m, own), 0.0)
+    less = -np.log10(np.maximum(1, m.counts))
+    less[n] *= m.closed  # of an open history its own token tells
+    fixed = less[h]
+    seen = _met(c) + fixed[dense]
     with np.errstate(divide="ignore"):
-        share = np.log10(c / np.maximum(1, m.counts[h])) + np.where(c > TOP, math.log10(BIG), 0)
-        fixed = np.where(c > 0, share, np.log10(m.unigram[w]))
-    base = np.where(in_words, np.log10((own + 0.1) / (m.total + 0.1 * (m.types + 1))), 0)
-    return fixed, base, own > 0
+        fixed[dense] = np.where(c > 0, seen, np.log10(m.unigram)[w[dense]])
+    d = doc[dense]
+    unseen = c == 0
+    return dict(n=smallest(np.bincount(doc, minlength=docs)),
+                known=smallest(np.bincount(doc[own[w] > 0], minlength=docs)),
+                base=np.bincount(doc, base_of[w], docs), fixed=np.bincount(doc, fixed, docs),
+                **{f"low{r}": smallest(np.bincount(d[c == r], minlength=docs)) for r in range(1, TOP + 1)},
+                unseen=smallest(np.bincount(d[unseen], minlength=docs)), history=smallest(h[dense][unseen]))
 
 
-def _dense_sums(m: Words, docs: int, doc: np.ndarray, h: np.ndarray, w: np.ndarray, c: np.ndarray) -> dict:
-    """Sums by document of its dense pairs, and the history of each unseen one in order of document."""
-    fixed, base, known = _token_terms(m, c, h, w)
-    unseen = c == 0
-    return dict(n=smallest(np.bincount(doc, minlength=docs)), known=smallest(np.bincount(doc[known], minlength=docs)),
-                base=np.bincount(doc, base, docs), fixed=np.bincount(doc, fixed, docs),
-                **{f"low{r}": smallest(np.bincount(doc[c == r], minlength=docs)) for r in range(1, TOP + 1)},
-                unseen=smallest(np.bincount(doc[unseen], minlength=docs)), history=smallest(h[unseen]))
-
-
-def _answers(batch_of: np.ndarray, doc: np.ndarray, known_n: np.ndarray, base: np.ndarray, fixed: np.ndarray,
-             n: np.ndarray, low: list[np.ndarray], unseen: np.ndarray, history: np.ndarray,
-             batches: list[int]) -> Iterator[tuple[str, int, bytes]]:
-    """A blob of sums by document for each batch; ``unseen`` tokens list their history."""
-    order = np.lexsort((doc, batch_of))
-    edges = np.searchsorted(batch_of[order], np.arange(len(batches) + 1))
-    for k, b in enumerate(batches):
-        i = order[edges[k]:edges[k + 1]]
+def _base(m: Words, own: np.ndarray) -> np.ndarray:
+    """log10 of the baseline of words that training has ``own`` times."""
+    return np.log10((own + 0.1) / (m.total + 0.1 * (m.types + 1)))
+
+
+def _met(c: np.ndarray) -> np.ndarray:
+    """What a pair's count adds to log10 P of a seen pair; the discounts of small counts are added later."""
+    return np.log10(np.maximum(1, c)) + np.where(c > TOP, math.log10(BIG), 0)
+
+
+def _answers(batch_of: np.ndarray, doc: np.ndarray, n: np.ndarray, batches: list[int],
+             **lists: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[str, int, bytes]]:
+    """A blob for each batch: of each list the tokens it holds (a mask), by document and value, equal ones once with
+    their number. ``met``: counts of seen pairs; ``own``: counts of open words; ``new``: those of them that back off;
+    ``to`` and ``from``: word and history, both of the table, of tokens that back off; ``late``: backoff weights."""
+    blobs: list[dict[str, np.ndarray]] = [{} for _ in batches]
+    for name, (holds, value) in lists.items():
+        i = np.flatnonzero(holds)
         if not len(i):
             continue
-        d, *sums = _sum_by(doc[i], n[i], known_n[i], base[i], fixed[i], *[x[i] for x in low], unseen[i])
-        u = i[unseen[i] > 0]
-        yield "answer", b, pack(d=smallest(d), n=smallest(sums[0]), known=smallest(sums[1]), base=sums[2],
-                                fixed=sums[3], **{f"low{r + 1}": smallest(x) for r, x in enumerate(sums[4:4 + TOP])},
-                                unseen=smallest(sums[-1]), history=smallest(np.repeat(history[u], unseen[u])))
+        i = i[np.lexsort((value[i], doc[i], batch_of[i]))]
+        b, d, v = batch_of[i], doc[i], value[i]
+        first = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]) | (d[1:] != d[:-1]) | (v[1:] != v[:-1])])
+        times, b, d, v = np.add.reduceat(n[i], first), b[first], d[first], v[first]
+        for k, start, end in runs(b):
+            one, many = slice(start, end), times[start:end]
+            blobs[k] |= {f"{name}_d": smallest(np.diff(d[one], prepend=0)),
+                         name: v[one] if v.dtype.kind == "f" else smallest(v[one])}
+            if (many > 1).any():
+                blobs[k][f"{name}_n"] = smallest(many)
+    for b, x in zip(batches, blobs):
+        if x:
+            yield "answer", b, pack(**x)
+
+
+def _listed(answers: list[dict[str, np.ndarray]], name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, value and number of all entries of a list, in an order that does not depend on that of the answers."""
+    parts = [(np.cumsum(x[f"{name}_d"].astype(np.int64)), x[name],
+              x[f"{name}_n"].astype(np.int64) if f"{name}_n" in x else np.ones(len(x[name]), np.int64))
+             for x in answers if name in x]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    d, v, n = map(np.concatenate, zip(*parts))
+    v = v if v.dtype.kind == "f" else v.astype(np.int64)
+    order = np.lexsort((n, v, d))
+    return d[order], v[order], n[order]
 
 
 def _count_pairs(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
@@ -362,11 +394,8 @@ def _count_pairs(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]
     hist, *sums = _sum_by(ph[seen], *stats, np.where(count > TOP, count, 0)[seen], m.unigram[pw[seen]])
     yield "history", 0, pack(h=hist, **{f"m{r + 1}": x for r, x in enumerate(sums[:TOP + 1])}, big=sums[-2], p=sums[-1])
     yield "pairs", 0, pack(dh=smallest(np.diff(ph[seen], prepend=0)), w=smallest(pw[seen]), n=smallest(count[seen]))
-    # sums by document
-    fixed, base, known = _token_terms(m, count, ph, pw)
-    yield from _answers(batch_of, d, np.where(known[at], n, 0), base[at] * n, fixed[at] * n, n,
-                        [np.where((count == r)[at], n, 0) for r in range(1, TOP + 1)],
-                        np.where(seen[at], 0, n), h, batches)
+    met = seen[at]
+    yield from _answers(batch_of, d, n, batches, met=(met, count[at]), to=(~met, w), **{"from": (~met, h)})
 
 
 def _count_rare(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
@@ -378,11 +407,7 @@ def _count_rare(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]
     learns = np.concatenate([f[x["d"].astype(np.int64)] for f, x in zip(train, cols)])
     name, at = np.unique(t, return_inverse=True)
     count = np.bincount(at, learns, minlength=len(name)).astype(np.int64)
-    p = np.where(count > 0, m.discounted(count), m.unknown) / m.unigram[-1]
-    base = np.log10((count + 0.1) / (m.total + 0.1 * (m.types + 1)))
-    zero = np.zeros(len(t), np.int64)
-    yield from _answers(batch_of, d, (count > 0)[at].astype(np.int64), base[at], np.log10(p)[at], zero, [zero] * TOP,
-                        zero, zero, batches)
+    yield from _answers(batch_of, d, np.ones(len(t), np.int64), batches, own=(np.ones(len(t), bool), count[at]))
 
 
 class OpenPairs(NamedTuple):
@@ -418,18 +443,12 @@ def _open_pairs(pdf: pd.DataFrame) -> OpenPairs:
                      pdf["batch"].tolist())
 
 
-def _seen_share(count: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Known part of log10 P of seen pairs; the discounts of small counts are added later."""
-    return np.log10(np.maximum(1, count) / np.maximum(1, total)) + np.where(count > TOP, math.log10(BIG), 0)
-
-
 def _count_open_words(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
     """Of open words and the words before them: all about their tokens, but for what open histories add."""
     q = _open_pairs(pdf)
     _, of = np.unique(q.x, return_inverse=True)
     own = np.bincount(of, q.count).astype(np.int64)  # every token has a word or the start before it
     p = np.where(own > 0, m.discounted(own), m.unknown)[of]
-    base = np.log10((own + 0.1) / (m.total + 0.1 * (m.types + 1)))[of]
     seen, hist = q.count > 0, np.where(q.open, 0, q.y).astype(np.int64)
     s = np.flatnonzero(seen & ~q.open)
     s = s[np.argsort(hist[s], kind="stable")]
@@ -443,15 +462,14 @@ def _count_open_words(m: Words, pdf: pd.DataFrame) -> Iterator[tuple[str, int, b
     for k, start, end in runs(part[order]):
         i = s[order[start:end]]
         yield "mass", k, pack(dh=np.diff(q.y[i], prepend=np.uint64(0)), n=smallest(own[of[i]]))
-    fixed = np.where(seen, np.where(q.open, 0, _seen_share(q.count, m.counts[hist])), np.log10(p))
-    one = np.ones(len(q.at), np.int64)
-    yield from _answers(q.batch, q.doc, (own > 0)[of][q.at].astype(np.int64), base[q.at], fixed[q.at], one,
-                        [((q.count == r) & ~q.open)[q.at].astype(np.int64) for r in range(1, TOP + 1)],
-                        (~seen & ~q.open)[q.at].astype(np.int64), hist[q.at], q.batches)
+    n, met, is_open = own[of][q.at], seen[q.at], q.open[q.at]
+    yield from _answers(q.batch, q.doc, np.ones(len(q.at), np.int64), q.batches, own=(np.ones(len(q.at), bool), n),
+                        met=(met & ~is_open, q.count[q.at]), new=(~met, n),
+                        **{"from": (~met & ~is_open, hist[q.at])})
 
 
 def _count_open_histories(m: Words, part: int, pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
-    """Of open histories and the words after them: shares of seen pairs, and all about tokens of table words. Tokens
+    """Of open histories and the words after them: counts of seen pairs, and the table words that back off. Tokens
     that need a backoff weight wait for the mass of open followers."""
     q = _open_pairs(pdf)
     name, of = np.unique(q.x, return_inverse=True)
@@ -462,12 +480,8 @@ def _count_open_histories(m: Words, part: int, pdf: pd.DataFrame) -> Iterator[tu
                              big=np.array([big.sum()]), p=np.zeros(1))
     seen, w = q.count > 0, np.where(q.open, 0, q.y).astype(np.int64)
     mass = np.bincount(of, np.where(seen & ~q.open, m.unigram[w], 0.0), len(name))
-    _, base, known = _token_terms(m, q.count, np.full(len(w), len(m.hashes)), w)
-    fixed = np.where(seen, _seen_share(q.count, total[of]), np.where(q.open, 0, np.log10(m.unigram[w])))
-    none = np.zeros(len(q.at), np.int64)
-    yield from _answers(q.batch, q.doc, (known & ~q.open)[q.at].astype(np.int64), np.where(q.open, 0, base)[q.at],
-                        fixed[q.at], (~q.open)[q.at].astype(np.int64),
-                        [(q.count == r)[q.at].astype(np.int64) for r in range(1, TOP + 1)], none, none, q.batches)
+    yield from _answers(q.batch, q.doc, np.ones(len(q.at), np.int64), q.batches, met=(seen[q.at], q.count[q.at]),
+                        to=((~seen & ~q.open)[q.at], w[q.at]))
     waits = np.flatnonzero(~seen[q.at] & (total[of] > 0)[q.at])  # a history never met backs off in full
     if len(waits):
         h, at = np.unique(of[q.at[waits]], return_inverse=True)
@@ -478,7 +492,8 @@ def _count_open_histories(m: Words, part: int, pdf: pd.DataFrame) -> Iterator[tu
 
 
 def _late_answers(m: Words, d: list[float], pdf: pd.DataFrame) -> Iterator[tuple[str, int, bytes]]:
-    """Backoff weights of the open histories of a part, for the tokens that wait for them."""
+    """Backoff weights of the open histories of a part, for the tokens that wait for them. Their totals, which go with
+    the histories' own tokens, are for seen pairs only, so they are taken back."""
     for blob in pdf["blob"][pdf["kind"] == "wait"]:  # at most one
         x = unpack(blob)
         p = x["p"].copy()
@@ -488,10 +503,10 @@ def _late_answers(m: Words, d: list[float], pdf: pd.DataFrame) -> Iterator[tuple
             ours = x["h"][at] == h
             np.add.at(p, at[ours], m.discounted(y["n"][ours].astype(np.int64)))
         met = sum(d[r] * (r + 1) * x[f"m{r + 1}"].astype(float) for r in range(TOP)) + BIG * x["big"]
-        back = np.log10((1 - met / x["total"]) / (1 - p))
-        none = np.zeros(len(x["at"]), np.int64)
-        yield from _answers(x["b"].astype(np.int64), x["d"].astype(np.int64), none, none.astype(float),
-                            back[x["at"].astype(np.int64)], none, [none] * TOP, none, none, x["batch"].tolist())
+        back = np.log10((1 - met / x["total"]) / (1 - p)) + np.log10(x["total"].astype(float))
+        size = len(x["at"])
+        yield from _answers(x["b"].astype(np.int64), x["d"].astype(np.int64), np.ones(size, np.int64), x["batch"].tolist(),
+                            late=(np.ones(size, bool), back[x["at"].astype(np.int64)]))
 
 
 def backoff_weights(m: Words, types: np.ndarray, big: np.ndarray, p: np.ndarray, d: list[float]) -> np.ndarray:
@@ -591,23 +606,31 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabular
     weights = spark.sparkContext.broadcast((backoff_weights(m, types, big, p, d), [math.log10(x) for x in d], m.total))
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        w: Words = shared.value
         back, low, total = weights.value
         by = {k: [unpack(x) for x in g["blob"]] for k, g in pdf.groupby("kind")}
         rows, flags = by["documents"][0], by["flags"][0]
         size = len(rows["id"])
-        tokens, known = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        base, own = np.zeros(size), np.zeros(size)
-        rows["d"] = np.arange(size)  # its dense sums are an answer for every document
-        answers = sorted(by.get("answer", ()), key=lambda x: (len(x["d"]), x["base"].sum(), x["fixed"].sum()))
-        for x in [rows, *answers]:
-            at = x["d"].astype(np.int64)
-            tokens[at] += x["n"].astype(np.int64)
-            known[at] += x["known"].astype(np.int64)
-            base[at] += x["base"]
-            own[at] += x["fixed"]
-            for r in range(TOP):
-                own[at] += low[r] * x[f"low{r + 1}"]
-            own += np.bincount(np.repeat(at, x["unseen"]), back[x["history"].astype(np.int64)], minlength=size)
+        answers = by.get("answer", [])
+
+        def added(name: str, of) -> np.ndarray:
+            d, v, times = _listed(answers, name)
+            return np.bincount(d, of(v) * times, size)
+
+        def p(c: np.ndarray) -> np.ndarray:
+            return np.log10(np.where(c > 0, w.discounted(c), w.unknown))
+
+        met = np.array([0.0, *low, 0.0])
+        tokens = rows["n"].astype(np.int64)
+        known = rows["known"].astype(np.int64) + added("own", lambda c: c > 0).astype(np.int64)
+        base = rows["base"] + added("own", lambda c: _base(w, c))
+        own = rows["fixed"] + sum(low[r] * rows[f"low{r + 1}"] for r in range(TOP))
+        own += np.bincount(np.repeat(np.arange(size), rows["unseen"]), back[rows["history"].astype(np.int64)], size)
+        own += added("met", lambda c: _met(c) + met[np.minimum(c, TOP + 1)])
+        # of an open word: the total of the token after it; in a closed model: its share of its class
+        own += added("own", lambda c: p(c) - math.log10(w.unigram[-1]) if w.closed else -np.log10(np.maximum(1, c)))
+        own += added("new", p) + added("to", lambda x: np.log10(w.unigram[x])) + added("late", lambda x: x)
+        own += added("from", lambda h: back[h] + np.log10(np.maximum(1, w.counts[h])))
         ids = pd.array(rows["id"], dtype="Int64")
         ids[rows["null"].astype(bool)] = pd.NA
         return pd.DataFrame({doc_id: ids, "held_out": flags["train"] == 0, "n_tokens": tokens, "n_known": known,

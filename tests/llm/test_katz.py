@@ -122,3 +122,27 @@ def test_every_pair_is_counted_whatever_the_table(spark, monkeypatch, table, den
     for i, rows_of in want.items():
         for a, b in zip(sorted(got[i]), sorted(rows_of), strict=True):
             assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9, abs=1e-7)
+
+
+@pytest.mark.parametrize("table", [1 << 16, 40])
+def test_answers_take_few_bytes_a_token_at_any_number_of_parts(spark, monkeypatch, table):
+    """Sums that a part adds up by document come to two doubles a token once the parts are many; counts do not."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 300) % 4000)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(Z, "DENSE", 4)
+    size, scores, kept = [], [], Z.store
+
+    def measured(made, name):
+        out = kept(made, name)
+        if name == "katz-tables":
+            size.append(sum(len(r["blob"]) for r in out.where("kind = 'answer'").collect()))
+        return out
+
+    monkeypatch.setattr(Z, "store", measured)
+    for tokens in (90_000, 1_500):
+        monkeypatch.setattr(Z, "PART_TOKENS", tokens)
+        scores.append(sorted((r["doc_id"], r["score"]) for r in Z.score(df, table=table).collect()))
+    assert [i for i, _ in scores[0]] == [i for i, _ in scores[1]]
+    assert [x for _, x in scores[0]] == pytest.approx([x for _, x in scores[1]], rel=1e-9)
+    assert max(size) < 2 * 300 * 301, size
